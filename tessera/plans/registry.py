@@ -14,6 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.geohash import ALPHABET, geo_decode, geo_encode
+from tessera.functions.nested import json_field, parse_doc
+from tessera.functions.paths import file_format, join_path, object_stem, parse_object_path, path_levels
+from tessera.operators.inventory import check_objects, crawl_size
+from tessera.operators.reshape import (array_vocabulary, explode_ranked, multi_hot, union_all_by_name,
+                                       with_row_index, zip_rows)
+from tessera.sources.files import read_many
+from tessera.sources.sheets import pack_sheets, prepare_full_refresh, sheet_to_table
+from tessera.sources.tables import keep_unless, sql_query
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,14 +116,360 @@ FROM ax
 """
 
 
+
+# ------------------------------------------------------------------ paths
+
+def _page_objects(spark, sf_dir) -> DataFrame:
+    """pages as object paths: https urls become s3:// paths, http urls bare
+    ``bucket/key`` paths; size is the html length, 0 for every ninth page."""
+    url = F.col("url")
+    obj = (F.when(url.startswith("https://"), F.concat(F.lit("s3://"), F.substr(url, F.lit(9))))
+           .otherwise(F.substr(url, F.lit(8))))
+    size = F.when(F.col("page_id") % 9 == 0, F.lit(0)).otherwise(F.length("html"))
+    return table(spark, sf_dir, "pages").select("page_id", obj.alias("object"), size.alias("length"))
+
+
+_SQL_PAGE_OBJECTS = """
+  SELECT page_id,
+         CASE WHEN url LIKE 'https://%' THEN 's3://' || substr(url, 9) ELSE substr(url, 8) END AS object,
+         CASE WHEN page_id % 9 = 0 THEN 0 ELSE length(html) END AS length
+  FROM pages
+"""
+
+
+def q_parse_path(spark, sf_dir):
+    """[P1] split object paths into bucket and key."""
+    o = _page_objects(spark, sf_dir)
+    p = parse_object_path("object")
+    return o.select("page_id", "object", p["bucket"].alias("bucket"), p["key"].alias("key"))
+
+
+_SQL_PARSE_PATH = f"""
+WITH o AS ({_SQL_PAGE_OBJECTS}),
+r AS (SELECT *, CASE WHEN object LIKE 's3://%' THEN substr(object, 6) ELSE object END AS rest FROM o)
+SELECT page_id, object,
+  CASE WHEN strpos(rest, '/') > 0 THEN split_part(rest, '/', 1) END AS bucket,
+  CASE WHEN strpos(rest, '/') > 0 THEN substr(rest, strpos(rest, '/') + 1) END AS key
+FROM r
+"""
+
+
+def _bucket_keys(spark, sf_dir) -> DataFrame:
+    o = _page_objects(spark, sf_dir)
+    return o.select("page_id", parse_object_path("object")["key"].alias("path"), "length")
+
+
+def q_path_levels(spark, sf_dir):
+    """[P2, P3] keys split into levels and joined back."""
+    k = q_parse_path(spark, sf_dir)
+    lv = path_levels("key")
+    return k.select("page_id", F.size(lv).alias("n_levels"), F.get(lv, 0).alias("first_level"),
+                    F.element_at(lv, -1).alias("last_level"), join_path(lv).alias("rejoined"))
+
+
+_SQL_PATH_LEVELS = f"""
+WITH k AS ({_SQL_PARSE_PATH}), l AS (SELECT page_id, string_split(key, '/') AS lv FROM k)
+SELECT page_id, len(lv) AS n_levels, lv[1] AS first_level, lv[-1] AS last_level,
+       array_to_string(lv, '/') AS rejoined
+FROM l
+"""
+
+
+def q_crawl_size(spark, sf_dir):
+    """[C1, C2, F3] size inventory by level; depth found by a small job."""
+    levels_df, _ = crawl_size(_bucket_keys(spark, sf_dir), "path", "length")
+    return levels_df
+
+
+_SQL_CRAWL_SIZE = f"""
+WITH k AS ({_SQL_PARSE_PATH}),
+l AS (SELECT string_split(key, '/') AS lv, length FROM k JOIN ({_SQL_PAGE_OBJECTS}) o USING (page_id, object))
+SELECT lv[1] AS "Level 0", lv[2] AS "Level 1", lv[3] AS "Level 2", length AS "Size"
+FROM l WHERE length > 0
+"""
+
+
+def q_crawl_paths(spark, sf_dir):
+    """[C1] the second output: every path, empty objects included."""
+    _, paths_df = crawl_size(_bucket_keys(spark, sf_dir), "path", "length", levels=0)
+    return paths_df
+
+
+_SQL_CRAWL_PATHS = f"""
+WITH k AS ({_SQL_PARSE_PATH}) SELECT key AS path FROM k
+"""
+
+
+def _document_objects(spark, sf_dir) -> DataFrame:
+    sfx = F.element_at(F.array(*[F.lit(x) for x in _NAME_SUFFIXES]), (F.col("doc_id") % len(_NAME_SUFFIXES) + 1).cast("int"))
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit("."), F.col("lang"), sfx)
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", name).alias("object"),
+                                                   name.alias("name"))
+
+
+_NAME_SUFFIXES = [".csv", ".parquet", ".pq", ".parquet.snappy", ".dict", ".txt", ".json.gz", ""]
+_SQL_DOCUMENT_OBJECTS = f"""
+  SELECT doc_id, source || '/' || nm AS object, nm AS name FROM (
+    SELECT doc_id, source, 'doc_' || CAST(doc_id AS VARCHAR) || '.' || lang ||
+      ({"[" + ", ".join(repr(x) for x in _NAME_SUFFIXES) + "]"})[doc_id % {len(_NAME_SUFFIXES)} + 1] AS nm
+    FROM documents)
+"""
+
+
+def q_object_stem(spark, sf_dir):
+    """[K4] output-name stem: text before the first dot."""
+    return _document_objects(spark, sf_dir).select("doc_id", "name", object_stem("name").alias("stem"))
+
+
+_SQL_OBJECT_STEM = f"""
+SELECT doc_id, name, split_part(name, '.', 1) AS stem FROM ({_SQL_DOCUMENT_OBJECTS})
+"""
+
+
+def q_file_format(spark, sf_dir):
+    """[P14, F2] reader format by suffix."""
+    return _document_objects(spark, sf_dir).select("doc_id", "object", file_format("object").alias("format"))
+
+
+_SQL_FILE_FORMAT = f"""
+SELECT doc_id, object,
+  CASE WHEN object LIKE '%.csv' THEN 'csv'
+       WHEN object LIKE '%.parquet' OR object LIKE '%.pq' OR object LIKE '%.parquet.snappy' THEN 'parquet'
+       WHEN object LIKE '%.dict' THEN 'json'
+       WHEN object LIKE '%.txt' THEN 'text' END AS format
+FROM ({_SQL_DOCUMENT_OBJECTS})
+"""
+
+
+def q_check_objects(spark, sf_dir):
+    """[J5] does each document's object exist in the (labels) listing?"""
+    path = lambda c: F.concat(F.lit("docs/"), F.col(c).cast("string"), F.lit(".txt")).alias("path")
+    manifest = table(spark, sf_dir, "documents").select(path("doc_id"))
+    listing = table(spark, sf_dir, "labels").select(path("doc_id"))
+    return check_objects(manifest, listing)
+
+
+_SQL_CHECK_OBJECTS = """
+SELECT m.path, EXISTS (SELECT 1 FROM labels l WHERE 'docs/' || CAST(l.doc_id AS VARCHAR) || '.txt' = m.path) AS "exists"
+FROM (SELECT 'docs/' || CAST(doc_id AS VARCHAR) || '.txt' AS path FROM documents) m
+"""
+
+
+# ---------------------------------------------------------------- reshape
+
+_EVENT_LABELS = ["click", "error", "purchase", "signup", "view"]
+
+
+def _user_types(spark, sf_dir) -> DataFrame:
+    return (table(spark, sf_dir, "events").groupBy("user_id")
+            .agg(F.collect_set("event_type").alias("types")))
+
+
+def q_multi_hot(spark, sf_dir):
+    """[A3, F9] 0/1 columns per event type for each user."""
+    return multi_hot(_user_types(spark, sf_dir), "types", vocabulary=_EVENT_LABELS)
+
+
+_SQL_MULTI_HOT = "SELECT user_id, " + ", ".join(
+    f"CAST(list_contains(types, '{v}') AS INTEGER) AS {v}" for v in _EVENT_LABELS) + """
+FROM (SELECT user_id, list(DISTINCT event_type) AS types FROM events GROUP BY user_id)
+"""
+
+
+def q_array_vocabulary(spark, sf_dir):
+    """[A2, U3] distinct labels across all users' type arrays."""
+    return array_vocabulary(_user_types(spark, sf_dir), "types", "label")
+
+
+_SQL_ARRAY_VOCABULARY = "SELECT DISTINCT event_type AS label FROM events"
+
+
+def q_explode_ranked(spark, sf_dir):
+    """[A1, L1] every word of every document with its 0-based rank."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.split("text", " ", -1).alias("token"))
+    return explode_ranked(d, "token", rank="token_rank")
+
+
+_SQL_EXPLODE_RANKED = """
+SELECT doc_id, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS token_rank, unnest(w) AS token
+FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)
+"""
+
+
+def q_json_flatten(spark, sf_dir):
+    """[A4, P7] a typed field out of the JSON props of every event."""
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", "event_type", json_field(parse_doc("props"), "$.k", "int").alias("k"))
+
+
+_SQL_JSON_FLATTEN = "SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"
+
+
+def q_read_many(spark, sf_dir):
+    """[S6, S3, U1, U2] customer and supplier files read as one frame by name."""
+    return read_many(spark, [f"{sf_dir}/customer.parquet", f"{sf_dir}/supplier.parquet"])
+
+
+_SQL_READ_MANY = "SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier"
+
+
+def q_union_by_name(spark, sf_dir):
+    """[U1, U2, J2] two projections of orders with different columns."""
+    o = table(spark, sf_dir, "orders")
+    a = o.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_totalprice")
+    b = o.where("o_orderstatus <> 'F'").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return union_all_by_name([a, b])
+
+
+_SQL_UNION_BY_NAME = """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+UNION ALL BY NAME
+SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'
+"""
+
+
+def q_with_row_index(spark, sf_dir):
+    """[P10] dense 0-based index of suppliers by (nation, key)."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_name")
+    return with_row_index(s, "ColumnIndex", ["s_nationkey", "s_suppkey"])
+
+
+_SQL_WITH_ROW_INDEX = """
+SELECT s_suppkey, s_nationkey, s_name, row_number() OVER (ORDER BY s_nationkey, s_suppkey) - 1 AS ColumnIndex
+FROM supplier
+"""
+
+
+def q_zip_rows(spark, sf_dir):
+    """[J1] positional zip: suppliers ascending paired with suppliers descending."""
+    s = table(spark, sf_dir, "supplier")
+    a = s.select("s_suppkey", "s_name")
+    b = s.select(F.col("s_suppkey").alias("b_suppkey"), F.col("s_nationkey").alias("b_nationkey"))
+    return zip_rows(a, b, ["s_suppkey"], [F.col("b_suppkey").desc()])
+
+
+_SQL_ZIP_ROWS = """
+SELECT a.s_suppkey, a.s_name, b.b_suppkey, b.b_nationkey
+FROM (SELECT s_suppkey, s_name, row_number() OVER (ORDER BY s_suppkey) AS i FROM supplier) a
+JOIN (SELECT s_suppkey AS b_suppkey, s_nationkey AS b_nationkey,
+             row_number() OVER (ORDER BY s_suppkey DESC) AS i FROM supplier) b USING (i)
+"""
+
+
+# ----------------------------------------------------------------- sheets
+
+_SHEET_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+
+
+def q_sheet_to_table(spark, sf_dir):
+    """[S8, A6] customers packed into sheets of <= 1000 rows, then unpacked."""
+    c = table(spark, sf_dir, "customer")
+    sheets = pack_sheets(c, F.call_function("div", F.col("c_custkey"), F.lit(1000)), "c_custkey", _SHEET_COLUMNS)
+    return sheet_to_table(sheets, "sheet", keep=["sheet_id"])
+
+
+_SQL_SHEET_TO_TABLE = """
+SELECT c_custkey // 1000 AS sheet_id,
+       CAST(row_number() OVER (PARTITION BY c_custkey // 1000 ORDER BY c_custkey) - 1 AS INTEGER) AS row_index,
+       CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
+FROM customer
+"""
+
+
+def q_full_refresh(spark, sf_dir):
+    """[K8, O1] customer rows as text, ascending by the typed key."""
+    c = table(spark, sf_dir, "customer").select(*_SHEET_COLUMNS)
+    return prepare_full_refresh(c, "c_custkey")
+
+
+_SQL_FULL_REFRESH = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
+FROM customer ORDER BY customer.c_custkey
+"""
+
+
+# ----------------------------------------------------------------- tables
+
+_DELETE_PREDICATE = ("o_orderstatus = 'F' AND "
+                     "(CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END) > 100000")
+
+
+def q_delete_where(spark, sf_dir):
+    """[K7b, F8] rows a DELETE leaves; NULL-predicate rows are kept."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return keep_unless(o, _DELETE_PREDICATE)
+
+
+_SQL_DELETE_WHERE = f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
+WHERE NOT coalesce({_DELETE_PREDICATE}, false)
+"""
+
+_SQL_REVENUE = """
+SELECT n_name, r_name, count(*) AS n_lines,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue
+FROM customer
+JOIN orders ON c_custkey = o_custkey
+JOIN lineitem ON l_orderkey = o_orderkey
+JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey
+WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
+GROUP BY n_name, r_name
+"""
+
+
+def q_sql_query(spark, sf_dir):
+    """[S7c] SQL text over catalog views: revenue by nation and region."""
+    views = {t: table(spark, sf_dir, t) for t in ("customer", "orders", "lineitem", "nation", "region")}
+    return sql_query(spark, _SQL_REVENUE, views=views)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_encode": q_geo_encode,
     "geo_decode": q_geo_decode,
+    "parse_path": q_parse_path,
+    "path_levels": q_path_levels,
+    "crawl_size": q_crawl_size,
+    "crawl_paths": q_crawl_paths,
+    "object_stem": q_object_stem,
+    "file_format": q_file_format,
+    "check_objects": q_check_objects,
+    "multi_hot": q_multi_hot,
+    "array_vocabulary": q_array_vocabulary,
+    "explode_ranked": q_explode_ranked,
+    "json_flatten": q_json_flatten,
+    "read_many": q_read_many,
+    "union_by_name": q_union_by_name,
+    "with_row_index": q_with_row_index,
+    "zip_rows": q_zip_rows,
+    "sheet_to_table": q_sheet_to_table,
+    "full_refresh": q_full_refresh,
+    "delete_where": q_delete_where,
+    "sql_query": q_sql_query,
 }
 
 _ORACLE: dict[str, str] = {
     "geo_encode": _sql_encode(23),
     "geo_decode": _sql_decode(),
+    "parse_path": _SQL_PARSE_PATH,
+    "path_levels": _SQL_PATH_LEVELS,
+    "crawl_size": _SQL_CRAWL_SIZE,
+    "crawl_paths": _SQL_CRAWL_PATHS,
+    "object_stem": _SQL_OBJECT_STEM,
+    "file_format": _SQL_FILE_FORMAT,
+    "check_objects": _SQL_CHECK_OBJECTS,
+    "multi_hot": _SQL_MULTI_HOT,
+    "array_vocabulary": _SQL_ARRAY_VOCABULARY,
+    "explode_ranked": _SQL_EXPLODE_RANKED,
+    "json_flatten": _SQL_JSON_FLATTEN,
+    "read_many": _SQL_READ_MANY,
+    "union_by_name": _SQL_UNION_BY_NAME,
+    "with_row_index": _SQL_WITH_ROW_INDEX,
+    "zip_rows": _SQL_ZIP_ROWS,
+    "sheet_to_table": _SQL_SHEET_TO_TABLE,
+    "full_refresh": _SQL_FULL_REFRESH,
+    "delete_where": _SQL_DELETE_WHERE,
+    "sql_query": _SQL_REVENUE,
 }
 
 
