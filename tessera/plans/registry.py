@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions.geohash import ALPHABET, geo_decode, geo_encode
 from tessera.functions.nested import json_field, parse_doc
 from tessera.functions.paths import file_format, join_path, object_stem, parse_object_path, path_levels
+from tessera.operators.geojoin import places_nearby, reverse_geocode
 from tessera.operators.inventory import check_objects, crawl_size
 from tessera.operators.reshape import (array_vocabulary, explode_ranked, multi_hot, union_all_by_name,
                                        with_row_index, zip_rows)
@@ -424,6 +425,67 @@ def q_sql_query(spark, sf_dir):
     return sql_query(spark, _SQL_REVENUE, views=views)
 
 
+# ------------------------------------------------------------- geo joins
+
+def _near_points(spark, sf_dir) -> DataFrame:
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        (F.lit(40) + ((k * 7919) % 10007) * F.lit(1e-6)).alias("lat"),
+        (F.lit(-75) + ((k * 104729) % 10009) * F.lit(1e-6)).alias("long"))
+
+
+def _near_places(spark, sf_dir, name, key, lat_name, lon_name) -> DataFrame:
+    k = F.col(key)
+    return table(spark, sf_dir, name).select(
+        key,
+        (F.lit(40) + ((k * 6007) % 10007) * F.lit(1e-6)).alias(lat_name),
+        (F.lit(-75) + ((k * 9001) % 10009) * F.lit(1e-6)).alias(lon_name))
+
+
+def q_places_nearby(spark, sf_dir):
+    """[J4] parts within 25 m of each customer point."""
+    pts = _near_points(spark, sf_dir)
+    places = _near_places(spark, sf_dir, "part", "p_partkey", "places_lat", "places_long")
+    return places_nearby(pts, places, "lat", "long", 25.0).select("c_custkey", "p_partkey")
+
+
+def q_reverse_geocode(spark, sf_dir):
+    """[J3, L1] the 3 nearest suppliers within 100 m of each customer point."""
+    pts = _near_points(spark, sf_dir)
+    addr = _near_places(spark, sf_dir, "supplier", "s_suppkey", "gmaps_lat", "gmaps_long")
+    return (reverse_geocode(pts, addr, "lat", "long", "s_suppkey", k=3, max_m=100.0, point_key="c_custkey")
+            .select("c_custkey", "s_suppkey", "address_rank"))
+
+
+_SQL_NEAR_POINTS = """SELECT c_custkey, 40 + ((c_custkey * 7919) % 10007) * CAST(1e-6 AS DOUBLE) AS lat,
+       -75 + ((c_custkey * 104729) % 10009) * CAST(1e-6 AS DOUBLE) AS lon FROM customer"""
+
+
+def _sql_near_places(name, key):
+    return (f"SELECT {key}, 40 + (({key} * 6007) % 10007) * CAST(1e-6 AS DOUBLE) AS plat, "
+            f"-75 + (({key} * 9001) % 10009) * CAST(1e-6 AS DOUBLE) AS plon FROM {name}")
+
+
+_SQL_HAVERSINE = ("2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin((radians(plat) - radians(lat)) / 2), 2) + "
+                  "cos(radians(lat)) * cos(radians(plat)) * pow(sin((radians(plon) - radians(lon)) / 2), 2))))")
+
+_SQL_PLACES_NEARBY = f"""
+SELECT c_custkey, p_partkey FROM ({_SQL_NEAR_POINTS}) p, ({_sql_near_places("part", "p_partkey")}) q
+WHERE {_SQL_HAVERSINE} <= 25
+"""
+
+_SQL_REVERSE_GEOCODE = f"""
+SELECT c_custkey, s_suppkey, address_rank FROM (
+  SELECT c_custkey, s_suppkey,
+         CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY d, s_suppkey) - 1 AS INTEGER) AS address_rank
+  FROM (SELECT c_custkey, s_suppkey, {_SQL_HAVERSINE} AS d
+        FROM ({_SQL_NEAR_POINTS}) p, ({_sql_near_places("supplier", "s_suppkey")}) q)
+  WHERE d <= 100)
+WHERE address_rank < 3
+"""
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_encode": q_geo_encode,
     "geo_decode": q_geo_decode,
@@ -446,6 +508,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_refresh": q_full_refresh,
     "delete_where": q_delete_where,
     "sql_query": q_sql_query,
+    "places_nearby": q_places_nearby,
+    "reverse_geocode": q_reverse_geocode,
 }
 
 _ORACLE: dict[str, str] = {
@@ -470,6 +534,8 @@ _ORACLE: dict[str, str] = {
     "full_refresh": _SQL_FULL_REFRESH,
     "delete_where": _SQL_DELETE_WHERE,
     "sql_query": _SQL_REVENUE,
+    "places_nearby": _SQL_PLACES_NEARBY,
+    "reverse_geocode": _SQL_REVERSE_GEOCODE,
 }
 
 
