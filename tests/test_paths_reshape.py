@@ -1,0 +1,97 @@
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.functions.paths import file_format, join_path, object_stem, parse_object_path, path_levels
+from tessera.operators.inventory import check_objects, crawl_size
+from tessera.operators.reshape import (array_vocabulary, explode_ranked, multi_hot, union_all_by_name,
+                                       with_row_index, zip_rows)
+
+
+def test_parse_object_path(spark):
+    rows = [("s3://b/k",), ("b/k",), ("s3://b/k/l",), ("noslash",), ("S3://b/k",), (None,)]
+    df = spark.createDataFrame(rows, "path string")
+    out = [tuple(r[0]) if r[0] else None for r in df.select(parse_object_path("path")).collect()]
+    assert out == [("b", "k"), ("b", "k"), ("b", "k/l"), (None, None), ("S3:", "/b/k"), (None, None)]
+
+
+def test_names_and_formats(spark):
+    names = ["a.csv", "x/b.parquet", "c.pq", "d.parquet.snappy", "e.dict", "f.txt", "g.bin", "h"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    out = df.select(file_format("n"), object_stem("n")).collect()
+    assert [r[0] for r in out] == ["csv", "parquet", "parquet", "parquet", "json", "text", None, None]
+    assert [r[1] for r in out] == ["a", "x/b", "c", "d", "e", "f", "g", "h"]
+
+
+def test_levels_round_trip(spark):
+    df = spark.createDataFrame([("a/b/c",), ("a//b/",)], "p string")
+    out = df.select(F.size(path_levels("p")), join_path(path_levels("p"))).collect()
+    assert [tuple(r) for r in out] == [(3, "a/b/c"), (4, "a//b/")]
+
+
+def test_crawl_size_pads_and_keeps(spark):
+    listing = spark.createDataFrame(
+        [("pre/a/x.csv", 10), ("pre/y.csv", 5), ("pre/a/b/z.csv", 0), ("prefix2/w", 7)],
+        "path string, length long")
+    levels, paths = crawl_size(listing)
+    assert levels.columns == ["Level 0", "Level 1", "Level 2", "Level 3", "Size"]
+    got = sorted(tuple(r) for r in levels.collect())
+    assert got == [("pre", "a", "x.csv", None, 10), ("pre", "y.csv", None, None, 5),
+                   ("prefix2", "w", None, None, 7)]
+    assert paths.count() == 4  # empty object listed among all paths
+    full, _ = crawl_size(listing, only_full_depth=True, levels=3)
+    assert [tuple(r) for r in full.collect()] == [("pre", "a", "x.csv", 10)]
+
+
+def test_check_objects(spark):
+    manifest = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "path string")
+    listing = spark.createDataFrame([("a",), ("a",), ("c",)], "path string")
+    out = sorted((r[0] or "", r[1]) for r in check_objects(manifest, listing).collect())
+    assert out == [("", False), ("a", True), ("a", True), ("b", False)]
+
+
+def test_explode_and_multi_hot(spark):
+    df = spark.createDataFrame([(1, ["x", "y"]), (2, []), (3, None), (4, ["y", None])],
+                               "id int, types array<string>")
+    ex = explode_ranked(df, "types", rank="address_rank").collect()
+    assert sorted(tuple(r) for r in ex if r[2] is not None) == [(1, 0, "x"), (1, 1, "y"), (4, 0, "y")]
+    vocab = sorted(r[0] for r in array_vocabulary(df, "types").collect())
+    assert vocab == ["x", "y"]
+    mh = {r["id"]: (r["x"], r["y"]) for r in multi_hot(df, "types").collect()}
+    assert mh == {1: (1, 1), 2: (0, 0), 3: (0, 0), 4: (0, 1)}
+    try:
+        multi_hot(df.withColumn("x", F.lit(1)), "types", ["x"])
+        raise AssertionError("collision must fail")
+    except ValueError:
+        pass
+
+
+def test_union_casts_common_types(spark):
+    a = spark.createDataFrame([(1, "p")], "k int, s string")
+    b = spark.createDataFrame([("2", 3.5)], "k string, v double")
+    c = spark.createDataFrame([(4,)], "k long")
+    u = union_all_by_name([a, b, c])
+    assert dict((f.name, f.dataType) for f in u.schema.fields)["k"] == T.StringType()
+    assert sorted(r["k"] for r in u.collect()) == ["1", "2", "4"]
+
+
+def test_row_index_across_partitions(spark):
+    df = spark.range(0, 5000, numPartitions=7).select(((F.col("id") * 7919) % 5000).alias("v"),
+                                                       (F.col("id") % 3).alias("g"))
+    out = with_row_index(df, "i", ["g", "v"]).collect()
+    idx = sorted(r["i"] for r in out)
+    assert idx == list(range(5000))
+    by = sorted(out, key=lambda r: r["i"])
+    assert [(r["g"], r["v"]) for r in by] == sorted((r["g"], r["v"]) for r in out)
+
+
+def test_row_index_plan_has_no_single_partition_sort(spark):
+    df = spark.range(100).withColumn("v", F.col("id") % 7)
+    plan = with_row_index(df, "i", ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan.lower()
+
+
+def test_zip_rows_unequal(spark):
+    a = spark.createDataFrame([(i,) for i in range(5)], "a int")
+    b = spark.createDataFrame([(i * 10,) for i in range(3)], "b int")
+    out = sorted(tuple(r) for r in zip_rows(a, b, ["a"], [F.col("b").desc()]).collect())
+    assert out == [(0, 20), (1, 10), (2, 0)]
