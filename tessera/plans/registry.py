@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from tessera.functions.geohash import ALPHABET, geo_decode, geo_encode
 from tessera.functions.nested import json_field, parse_doc
 from tessera.functions.paths import file_format, join_path, object_stem, parse_object_path, path_levels
+from tessera.operators.enrich import enrich
 from tessera.operators.geojoin import places_nearby, reverse_geocode
 from tessera.operators.inventory import check_objects, crawl_size
+from tessera.operators.responses import flatten_geocode, flatten_places
 from tessera.operators.reshape import (array_vocabulary, explode_ranked, multi_hot, union_all_by_name,
                                        with_row_index, zip_rows)
 from tessera.sources.files import read_many
@@ -486,6 +488,135 @@ WHERE address_rank < 3
 """
 
 
+# -------------------------------------------------------------- responses
+
+_PLACE_LABELS = ["economy", "large", "medium", "promo", "small", "standard", "first", "other"]
+_ADDRESS_LABELS = ["premise", "route", "street_address"]
+
+
+def _point_of(k):
+    return ((F.lit(40) + ((k * 7919) % 10007) * F.lit(1e-6)).alias("lat"),
+            (F.lit(-75) + ((k * 104729) % 10009) * F.lit(1e-6)).alias("long"))
+
+
+def _location(k, i, step):
+    return F.struct(F.struct(
+        (F.lit(40) + ((k * 6007 + i * step) % 10007) * F.lit(1e-6)).alias("lat"),
+        (F.lit(-75) + ((k * 9001 + i * step) % 10009) * F.lit(1e-6)).alias("lng")).alias("location"))
+
+
+def q_flatten_places(spark, sf_dir):
+    """[G2, U2, P7, P8, A3] stored nearby-place responses (1-3 records per
+    part, some without plus code or types) flattened to one row per place."""
+    k = F.col("p_partkey")
+
+    def rec(i):
+        return F.struct(
+            F.concat(F.col("p_name"), F.lit(" #"), i.cast("string")).alias("name"),
+            _location(k, i, 1).alias("geometry"),
+            F.when((k + i) % 4 != 0, F.struct(
+                F.concat(F.lit("C"), k.cast("string"), F.lit("-"), i.cast("string")).alias("compound_code"),
+                F.concat(F.lit("G"), F.col("p_brand")).alias("global_code"))).alias("plus_code"),
+            F.when((k + i) % 5 != 0, F.array(F.lower(F.col("p_type")),
+                                             F.when(i == 0, F.lit("first")).otherwise(F.lit("other")))).alias("types"),
+            F.lit("icon.png").alias("icon"), F.lit(None).cast("string").alias("photos"),
+            F.lit(None).cast("string").alias("opening_hours"))
+
+    resp = F.transform(F.sequence(F.lit(0), (F.col("p_size") % 3).cast("int")), rec)
+    parts = table(spark, sf_dir, "part").select("p_partkey", *_point_of(k), resp.alias("response"))
+    return flatten_places(parts, "response", "lat", "long", vocabulary=_PLACE_LABELS)
+
+
+_SQL_FLATTEN_PLACES = """
+WITH x AS (SELECT *, unnest(range(0, p_size % 3 + 1)) AS i FROM part)
+SELECT p_partkey,
+  40 + ((p_partkey * 7919) % 10007) * CAST(1e-6 AS DOUBLE) AS centroid_lat,
+  -75 + ((p_partkey * 104729) % 10009) * CAST(1e-6 AS DOUBLE) AS centroid_long,
+  p_name || ' #' || CAST(i AS VARCHAR) AS name,
+  CASE WHEN (p_partkey + i) % 4 <> 0 THEN 'C' || CAST(p_partkey AS VARCHAR) || '-' || CAST(i AS VARCHAR) END AS compound_code,
+  CASE WHEN (p_partkey + i) % 4 <> 0 THEN 'G' || p_brand END AS global_code,
+  40 + ((p_partkey * 6007 + i) % 10007) * CAST(1e-6 AS DOUBLE) AS places_lat,
+  -75 + ((p_partkey * 9001 + i) % 10009) * CAST(1e-6 AS DOUBLE) AS places_long,
+""" + ",\n".join(
+    f"  CAST((p_partkey + i) % 5 <> 0 AND lower(p_type) = '{v}' AS INTEGER) AS {v}" for v in _PLACE_LABELS[:6]) + """,
+  CAST((p_partkey + i) % 5 <> 0 AND i = 0 AS INTEGER) AS first,
+  CAST((p_partkey + i) % 5 <> 0 AND i <> 0 AS INTEGER) AS other
+FROM x
+"""
+
+
+def q_flatten_geocode(spark, sf_dir):
+    """[G1, A1, L1, P7, P8, A3] stored reverse-geocode responses (1-2 ranked
+    addresses per supplier) flattened with their 0-based rank."""
+    k = F.col("s_suppkey")
+
+    def rec(i):
+        return F.struct(
+            F.concat(F.col("s_name"), F.lit(" addr "), i.cast("string")).alias("formatted_address"),
+            F.concat(F.lit("P"), k.cast("string"), F.lit("-"), i.cast("string")).alias("place_id"),
+            F.when((k + i) % 3 != 0, F.struct(
+                F.concat(F.lit("C"), k.cast("string")).alias("compound_code"),
+                F.concat(F.lit("G"), i.cast("string")).alias("global_code"))).alias("plus_code"),
+            _location(k, i, 7).alias("geometry"),
+            F.concat(F.lit('["'), F.col("s_name"), F.lit('"]')).alias("address_components"),
+            F.when((k + i) % 4 != 0, F.array(F.lit("street_address"),
+                                             F.when(i == 0, F.lit("premise")).otherwise(F.lit("route")))).alias("types"))
+
+    resp = F.transform(F.sequence(F.lit(0), (F.col("s_nationkey") % 2).cast("int")), rec)
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", *_point_of(k), resp.alias("response"))
+    return flatten_geocode(sup, "response", vocabulary=_ADDRESS_LABELS)
+
+
+_SQL_FLATTEN_GEOCODE = """
+WITH x AS (SELECT *, unnest(range(0, s_nationkey % 2 + 1)) AS i FROM supplier)
+SELECT s_suppkey,
+  40 + ((s_suppkey * 7919) % 10007) * CAST(1e-6 AS DOUBLE) AS lat,
+  -75 + ((s_suppkey * 104729) % 10009) * CAST(1e-6 AS DOUBLE) AS long,
+  CAST(i AS INTEGER) AS address_rank,
+  s_name || ' addr ' || CAST(i AS VARCHAR) AS formatted_address,
+  'P' || CAST(s_suppkey AS VARCHAR) || '-' || CAST(i AS VARCHAR) AS place_id,
+  CASE WHEN (s_suppkey + i) % 3 <> 0 THEN 'C' || CAST(s_suppkey AS VARCHAR) END AS compound_code,
+  CASE WHEN (s_suppkey + i) % 3 <> 0 THEN 'G' || CAST(i AS VARCHAR) END AS global_code,
+  40 + ((s_suppkey * 6007 + i * 7) % 10007) * CAST(1e-6 AS DOUBLE) AS gmaps_lat,
+  -75 + ((s_suppkey * 9001 + i * 7) % 10009) * CAST(1e-6 AS DOUBLE) AS gmaps_long,
+  CAST((s_suppkey + i) % 4 <> 0 AND i = 0 AS INTEGER) AS premise,
+  CAST((s_suppkey + i) % 4 <> 0 AND i <> 0 AS INTEGER) AS route,
+  CAST((s_suppkey + i) % 4 <> 0 AS INTEGER) AS street_address
+FROM x
+"""
+
+
+# ----------------------------------------------------------------- enrich
+
+def profile_service(rec: dict) -> dict:
+    """Deterministic stand-in for an outside per-key service; fails for
+    every 13th user so failures are exercised."""
+    uid = rec["user_id"]
+    if uid % 13 == 0:
+        raise LookupError(f"no profile for {uid}")
+    return {"tier": f"tier{uid % 4}", "score": (uid * 3) % 17}
+
+
+_PROFILE_SCHEMA = "tier string, score long"
+
+
+def q_enrich_lookup(spark, sf_dir):
+    """[X3, C3] events enriched by one service call per distinct user."""
+    from pyspark.sql import types as T
+    e = table(spark, sf_dir, "events").select("event_id", "user_id")
+    schema = T.StructType.fromDDL(_PROFILE_SCHEMA)
+    return enrich(e, ["user_id"], profile_service, schema)
+
+
+_SQL_ENRICH_LOOKUP = """
+SELECT event_id, user_id,
+  CASE WHEN user_id % 13 <> 0 THEN 'tier' || CAST(user_id % 4 AS VARCHAR) END AS tier,
+  CASE WHEN user_id % 13 <> 0 THEN (user_id * 3) % 17 END AS score,
+  CASE WHEN user_id % 13 = 0 THEN 'LookupError: no profile for ' || CAST(user_id AS VARCHAR) END AS error
+FROM events
+"""
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_encode": q_geo_encode,
     "geo_decode": q_geo_decode,
@@ -510,6 +641,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_query": q_sql_query,
     "places_nearby": q_places_nearby,
     "reverse_geocode": q_reverse_geocode,
+    "flatten_places": q_flatten_places,
+    "flatten_geocode": q_flatten_geocode,
+    "enrich_lookup": q_enrich_lookup,
 }
 
 _ORACLE: dict[str, str] = {
@@ -536,6 +670,9 @@ _ORACLE: dict[str, str] = {
     "sql_query": _SQL_REVENUE,
     "places_nearby": _SQL_PLACES_NEARBY,
     "reverse_geocode": _SQL_REVERSE_GEOCODE,
+    "flatten_places": _SQL_FLATTEN_PLACES,
+    "flatten_geocode": _SQL_FLATTEN_GEOCODE,
+    "enrich_lookup": _SQL_ENRICH_LOOKUP,
 }
 
 
