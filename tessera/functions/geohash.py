@@ -48,66 +48,94 @@ def _idiv(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b))
 
 
-def _axis_digit(offset: Column, span: int, bits_before: int, bits: int) -> Column:
+def _ref(c) -> str:
+    if not isinstance(c, str):
+        raise TypeError("pass column names; build a Column first with select/alias")
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _axis_digit_sql(offset: str, span: int, bits_before: int, bits: int) -> str:
     """Next ``bits`` bisection bits of ``offset / span`` after ``bits_before`` bits.
 
     The remainder after n halvings is ``offset * 2^n mod span``; taking
     ``2^n mod span`` as a constant keeps every product below 2^58, so each
     character is computed independently of the others, in BIGINT.
     """
-    rem = offset if bits_before == 0 else (offset * F.lit(pow(2, bits_before, span))) % F.lit(span)
-    return _idiv(rem * F.lit(1 << bits), span)
+    rem = offset if bits_before == 0 else f"(({offset} * {pow(2, bits_before, span)}) % {span})"
+    return f"(({rem} * {1 << bits}) div {span})"
 
 
-def _spread3(d: Column) -> Column:
-    # bits 2,1,0 of d go to positions 4,2,0
-    return F.shiftleft(d.bitwiseAND(4), 2) + F.shiftleft(d.bitwiseAND(2), 1) + d.bitwiseAND(1)
+def _spread(major: int, minor: int) -> int:
+    # 3 major bits go to positions 4,2,0 and 2 minor bits to positions 3,1
+    return (((major >> 2) & 1) << 4 | ((minor >> 1) & 1) << 3 | ((major >> 1) & 1) << 2
+            | (minor & 1) << 1 | (major & 1))
 
 
-def _spread2(d: Column) -> Column:
-    # bits 1,0 of d go to positions 3,1
-    return F.shiftleft(d.bitwiseAND(2), 2) + F.shiftleft(d.bitwiseAND(1), 1)
+# The character for a (3-bit major digit, 2-bit minor digit) pair, indexed by
+# major * 4 + minor; derived from the alphabet by the interleaving rule.
+_PAIR_ALPHABET = "".join(ALPHABET[_spread(m >> 2, m & 3)] for m in range(32))
 
 
-def geohash(lat, lon, precision: int = DEFAULT_PRECISION) -> Column:
-    """P5 as a Column: geohash text, or ``"unknown"`` when a coordinate is
-    NULL, malformed or outside [-90, 90] x [-180, 180]. The upper edges 90 and
-    180 are clamped one micro-degree inward (they would wrap to the lower edge).
-    """
-    if precision < 1:
-        raise ValueError("precision must be >= 1")
-    lat_d, lon_d = to_coord(lat), to_coord(lon)
-    valid = lat_d.between(-90, 90) & lon_d.between(-180, 180)
-    x = F.least((lat_d * _MICRO).cast("bigint") + F.lit(_LAT_SPAN // 2), F.lit(_LAT_SPAN - 1))
-    y = F.least((lon_d * _MICRO).cast("bigint") + F.lit(_LON_SPAN // 2), F.lit(_LON_SPAN - 1))
-    alphabet = F.lit(ALPHABET)
+def _chars_sql(x: str, y: str, precision: int) -> str:
     chars = []
     for i in range(precision):
         # bits alternate lon, lat, lon, ... over the whole code; a character
         # holds 3 lon + 2 lat bits when it starts on a lon bit, else 2 + 3
         lon_before, lat_before = (5 * i + 1) // 2, (5 * i) // 2
         lon_bits, lat_bits = (3, 2) if i % 2 == 0 else (2, 3)
-        d_lon = _axis_digit(y, _LON_SPAN, lon_before, lon_bits)
-        d_lat = _axis_digit(x, _LAT_SPAN, lat_before, lat_bits)
-        value = _spread3(d_lon) + _spread2(d_lat) if i % 2 == 0 else _spread3(d_lat) + _spread2(d_lon)
-        chars.append(F.substr(alphabet, value + 1, F.lit(1)))
-    return F.when(valid, F.concat(*chars)).otherwise(F.lit(UNKNOWN))
+        d_lon = _axis_digit_sql(y, _LON_SPAN, lon_before, lon_bits)
+        d_lat = _axis_digit_sql(x, _LAT_SPAN, lat_before, lat_bits)
+        major, minor = (d_lon, d_lat) if i % 2 == 0 else (d_lat, d_lon)
+        chars.append(f"substr('{_PAIR_ALPHABET}', CAST({major} * 4 + {minor} + 1 AS INT), 1)")
+    return f"concat({', '.join(chars)})"
+
+
+def _offsets_sql(lat: str, lon: str) -> tuple[str, str, str]:
+    la = f"try_cast({lat} AS DECIMAL(10,6))"
+    lo = f"try_cast({lon} AS DECIMAL(10,6))"
+    valid = f"({la} BETWEEN -90 AND 90 AND {lo} BETWEEN -180 AND 180)"
+    x = f"CASE WHEN {valid} THEN least(CAST({la} * {_MICRO} AS BIGINT) + {_LAT_SPAN // 2}, {_LAT_SPAN - 1}) END"
+    y = f"CASE WHEN {valid} THEN least(CAST({lo} * {_MICRO} AS BIGINT) + {_LON_SPAN // 2}, {_LON_SPAN - 1}) END"
+    return x, y, valid
+
+
+def geohash_sql(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> str:
+    """P5 as SQL text over two SQL expressions (see ``geohash``)."""
+    if precision < 1:
+        raise ValueError("precision must be >= 1")
+    x, y, valid = _offsets_sql(lat, lon)
+    return f"CASE WHEN {valid} THEN {_chars_sql(f'({x})', f'({y})', precision)} ELSE '{UNKNOWN}' END"
+
+
+def geohash(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> Column:
+    """P5 as a Column over two column names: geohash text, or ``"unknown"``
+    when a coordinate is NULL, malformed or outside [-90, 90] x [-180, 180].
+    The upper edges 90 and 180 are clamped one micro-degree inward (they
+    would wrap to the lower edge).
+
+    The expression is generated as SQL text and parsed once (building it
+    node by node from Python costs far more than running it). ``geo_encode``
+    additionally computes the offsets in a projection of their own, which
+    keeps the generated code small.
+    """
+    return F.expr(geohash_sql(_ref(lat), _ref(lon), precision))
 
 
 def geo_encode(df: DataFrame, lat: str, long: str, precision: int = DEFAULT_PRECISION) -> DataFrame:
     """P4 + P5: replace ``lat``/``long`` by DECIMAL(10,6) and add ``GeoHash``."""
-    out = [to_coord(c).alias(c) if c in (lat, long) else F.col(f"`{c}`") for c in df.columns]
-    return df.select(*out, geohash(lat, long, precision).alias("GeoHash"))
+    if precision < 1:
+        raise ValueError("precision must be >= 1")
+    x, y, _ = _offsets_sql(_ref(lat), _ref(long))
+    staged = df.select(*[to_coord(c).alias(c) if c in (lat, long) else F.col(f"`{c}`") for c in df.columns],
+                       F.expr(x).alias("__gh_x"), F.expr(y).alias("__gh_y"))
+    code = f"coalesce({_chars_sql('__gh_x', '__gh_y', precision)}, '{UNKNOWN}')"
+    return staged.select(*[F.col(f"`{c}`") for c in df.columns], F.expr(code).alias("GeoHash"))
 
 
-def _compact_odd_even(v: Column, odd: bool) -> Column:
+def _compact_sql(v: str, odd: bool) -> str:
     """The 30 bits at odd (or even) positions of a 60-bit value, in order."""
     start = 59 if odd else 58
-    terms = [F.shiftleft(F.shiftright(v, start - 2 * j).bitwiseAND(1), 29 - j) for j in range(30)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out.bitwiseOR(t)
-    return out
+    return " | ".join(f"shiftleft(shiftright({v}, {start - 2 * j}) & 1, {29 - j})" for j in range(30))
 
 
 def geohash_parts(code) -> dict[str, Column]:
@@ -126,12 +154,12 @@ def geohash_parts(code) -> dict[str, Column]:
     }
 
 
-def _centre(hi_bits: Column, lo_bits: Column, nbits: Column, low: float, span: float) -> Column:
+def _centre_sql(hi_bits: str, lo_bits: str, nbits: str, low: float, span: float) -> str:
     # lower cell corner from two exact 30-bit fractions, then half a cell
     two30, two60 = float(1 << 30), float(1 << 60)
-    corner = F.lit(low) + F.lit(span) * hi_bits.cast("double") / F.lit(two30)
-    corner = corner + F.lit(span) * lo_bits.cast("double") / F.lit(two60)
-    return corner + F.lit(span / 2) / F.call_function("shiftleft", F.lit(1).cast("bigint"), nbits).cast("double")
+    corner = f"(CAST({low!r} AS DOUBLE) + CAST({span!r} AS DOUBLE) * CAST({hi_bits} AS DOUBLE) / CAST({two30!r} AS DOUBLE))"
+    corner = f"({corner} + CAST({span!r} AS DOUBLE) * CAST({lo_bits} AS DOUBLE) / CAST({two60!r} AS DOUBLE))"
+    return f"({corner} + CAST({span / 2!r} AS DOUBLE) / CAST(shiftleft(CAST(1 AS BIGINT), {nbits}) AS DOUBLE))"
 
 
 def geo_decode(df: DataFrame, code: str, exact: bool = False,
@@ -145,11 +173,11 @@ def geo_decode(df: DataFrame, code: str, exact: bool = False,
     p = geohash_parts(code)
     tmp = ["__gh_hi", "__gh_lo", "__gh_n"]
     staged = df.select("*", p["hi"].alias(tmp[0]), p["lo"].alias(tmp[1]), p["n"].alias(tmp[2]))
-    hi, lo, n = (F.col(t) for t in tmp)
-    lat_bits = _idiv(n * 5, 2)
-    lon_bits = _idiv(n * 5 + 1, 2)
-    lat = _centre(_compact_odd_even(hi, False), _compact_odd_even(lo, False), lat_bits, -90.0, 180.0)
-    lon = _centre(_compact_odd_even(hi, True), _compact_odd_even(lo, True), lon_bits, -180.0, 360.0)
-    kind = "double" if exact else "float"
+    hi, lo, n = tmp
+    lat_bits, lon_bits = f"(({n} * 5) div 2)", f"(({n} * 5 + 1) div 2)"
+    lat = _centre_sql(f"({_compact_sql(hi, False)})", f"({_compact_sql(lo, False)})", lat_bits, -90.0, 180.0)
+    lon = _centre_sql(f"({_compact_sql(hi, True)})", f"({_compact_sql(lo, True)})", lon_bits, -180.0, 360.0)
+    kind = "DOUBLE" if exact else "FLOAT"
     return staged.select(*[F.col(f"`{c}`") for c in df.columns],
-                         lat.cast(kind).alias(lat_name), lon.cast(kind).alias(lon_name))
+                         F.expr(f"CAST({lat} AS {kind})").alias(lat_name),
+                         F.expr(f"CAST({lon} AS {kind})").alias(lon_name))
