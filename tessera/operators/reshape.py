@@ -3,12 +3,13 @@ row index and positional zip (A1, A2, A3, U1, U2, U3, P10, J1)."""
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import cut_lineage
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -122,10 +123,13 @@ def with_row_index(df: DataFrame, name: str = "ColumnIndex", order_by=None) -> D
     """P10: a dense 0-based row index, computed without a single-task window.
 
     With ``order_by``, rows are range-partitioned and sorted by the keys (ties
-    broken by the scan position), each partition numbers its rows locally and
-    adds the row count of all earlier partitions. The per-partition counts
-    form a table with one row per partition, so joining it back is a
-    broadcast of known size. Without ``order_by`` the scan order is used.
+    broken by the scan position), each partition numbers its rows locally,
+    and the numbered rows are checkpointed to the shared checkpoint folder:
+    the partition layout is then fixed (a recomputed range shuffle could
+    sample different bounds) and survives executor loss. The row count of
+    every earlier partition is added as an offset; the counts form a table
+    with one row per partition, so joining it back is a broadcast of known
+    size. Without ``order_by`` the scan order is used.
     """
     tie = "__ri_tie"
     pid, local = "__ri_pid", "__ri_local"
@@ -133,8 +137,8 @@ def with_row_index(df: DataFrame, name: str = "ColumnIndex", order_by=None) -> D
     if order_by is not None:
         keys = [_col(c) for c in (order_by if isinstance(order_by, (list, tuple)) else [order_by])]
         base = base.orderBy(*keys, F.col(tie))
-    numbered = (base.withColumn(pid, F.spark_partition_id())
-                .withColumn(local, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    numbered = cut_lineage(base.withColumn(pid, F.spark_partition_id())
+                           .withColumn(local, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
     counts = numbered.groupBy(pid).agg(F.count(F.lit(1)).alias("__ri_n"))
     offsets = counts.select(
         pid,
