@@ -6,7 +6,16 @@ except where a schema must be known at plan time (documented per function,
 always a bounded, aggregated result).
 """
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
 from tessera.session import checkpoint_dir, get_session
 
+# Python functions of this package that run in tasks (mapInPandas bodies,
+# service callables) travel with the task by value, so executors do not need
+# the package installed.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 __all__ = ["get_session", "checkpoint_dir"]
 __version__ = "0.1.0"
