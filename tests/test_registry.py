@@ -28,3 +28,18 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.queries()) >= set(e.oracle_sql())
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_are_pruned_and_filters_pushed(spark):
+    q = queries()
+    plan = _plan(q["sql_query"](spark, SF_SMALL))
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double>" in plan
+    plan = _plan(q["json_flatten"](spark, SF_SMALL))
+    assert "ReadSchema: struct<event_id:bigint,event_type:string,props:string>" in plan
+    plan = _plan(q["geo_encode"](spark, SF_SMALL))
+    assert "ReadSchema: struct<c_custkey:bigint>" in plan and "Python" not in plan
