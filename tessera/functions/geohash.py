@@ -44,10 +44,6 @@ def to_coord(c) -> Column:
     return _col(c).try_cast(DecimalType(10, 6))
 
 
-def _idiv(a: Column, b: int) -> Column:
-    return F.call_function("div", a, F.lit(b))
-
-
 def _ref(c) -> str:
     if not isinstance(c, str):
         raise TypeError("pass column names; build a Column first with select/alias")

@@ -46,10 +46,11 @@ GEOCODE_DROP = ("plus_code", "geometry", "address_components", "types")
 PLACES_DROP = ("geometry", "plus_code", "photos", "icon", "opening_hours", "types")
 
 
-def _records(df: DataFrame, col: str, schema: T.StructType) -> tuple[DataFrame, list[str]]:
+def _records(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
+    """Responses stored as JSON text are parsed with ``schema``."""
     dt = df.schema[col].dataType
     arr = F.from_json(F.col(col), T.ArrayType(schema)) if isinstance(dt, T.StringType) else F.col(col)
-    return df.withColumn(col, arr), []
+    return df.withColumn(col, arr)
 
 
 def _fields(df: DataFrame, rec: str) -> list[str]:
@@ -57,11 +58,11 @@ def _fields(df: DataFrame, rec: str) -> list[str]:
 
 
 def _flatten(df: DataFrame, col: str, schema: T.StructType, rank: str | None, drop: tuple[str, ...],
-             lat_name: str, lon_name: str, vocabulary, max_labels: int, carry: list) -> DataFrame:
-    df, _ = _records(df, col, schema)
+             lat_name: str, lon_name: str, vocabulary, max_labels: int) -> DataFrame:
+    df = _records(df, col, schema)
     others = [F.col(f"`{c}`") for c in df.columns if c != col]
     gen = F.posexplode(col).alias(rank, "__rec") if rank else F.explode(col).alias("__rec")
-    exploded = df.select(*others, *carry, gen)
+    exploded = df.select(*others, gen)
     fields = _fields(exploded, "__rec")
     keep = [F.col("__rec")[f].alias(f) for f in fields if f not in drop]
     has = set(fields)
@@ -87,7 +88,7 @@ def flatten_geocode(df: DataFrame, response: str, vocabulary: list[str] | None =
     response adds no row. The point's own columns are carried along.
     """
     return _flatten(df, response, GEOCODE_RESULT, "address_rank", GEOCODE_DROP,
-                    "gmaps_lat", "gmaps_long", vocabulary, max_labels, [])
+                    "gmaps_lat", "gmaps_long", vocabulary, max_labels)
 
 
 def flatten_places(df: DataFrame, response: str, lat: str, long: str,
@@ -98,4 +99,4 @@ def flatten_places(df: DataFrame, response: str, lat: str, long: str,
     """
     renamed = df.withColumnRenamed(lat, "centroid_lat").withColumnRenamed(long, "centroid_long")
     return _flatten(renamed, response, PLACES_RESULT, None, PLACES_DROP,
-                    "places_lat", "places_long", vocabulary, max_labels, [])
+                    "places_lat", "places_long", vocabulary, max_labels)
