@@ -22,7 +22,9 @@ from tessera.operators.inventory import check_objects, crawl_size
 from tessera.operators.responses import flatten_geocode, flatten_places
 from tessera.operators.reshape import (array_vocabulary, explode_ranked, multi_hot, union_all_by_name,
                                        with_row_index, zip_rows)
-from tessera.sources.files import read_many
+from tessera.session import scratch_path
+from tessera.sources.files import DEFAULT_NA, read_json_docs, read_lines, read_many
+from tessera.sources.sinks import write_csv, write_json_docs, write_parquet
 from tessera.sources.sheets import pack_sheets, prepare_full_refresh, sheet_to_table
 from tessera.sources.tables import keep_unless, sql_query
 
@@ -617,6 +619,72 @@ FROM events
 """
 
 
+# ------------------------------------------------------------- round trips
+
+def _scratch(spark) -> str:
+    return scratch_path(spark, "roundtrip") + "/"
+
+
+def q_csv_round_trip(spark, sf_dir):
+    """[K1, K4, S2, S6] whole documents (newlines, quotes) written as CSV and
+    read back by header group with NA tokens and one-pass typing."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    target = write_csv(d, _scratch(spark), "documents.v1.xlsx")
+    return read_many(spark, [target])
+
+
+_NA_SQL = "(" + ", ".join("'" + t.replace("'", "''") + "'" for t in DEFAULT_NA) + ")"
+_SQL_CSV_ROUND_TRIP = f"""
+SELECT doc_id,
+  CASE WHEN text IN {_NA_SQL} THEN NULL ELSE text END AS text,
+  CASE WHEN lang IN {_NA_SQL} THEN NULL ELSE lang END AS lang,
+  CASE WHEN source IN {_NA_SQL} THEN NULL ELSE source END AS source,
+  n_chars
+FROM documents
+"""
+
+
+def q_parquet_round_trip(spark, sf_dir):
+    """[K2, K4, S3, S6] orders written as Parquet and read back by suffix."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                              "o_orderpriority")
+    target = write_parquet(o, _scratch(spark), "orders.2024.parquet")
+    return read_many(spark, [target])
+
+
+_SQL_PARQUET_ROUND_TRIP = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+"""
+
+
+def q_json_round_trip(spark, sf_dir):
+    """[K3, A5, S4, A4] events as nested JSON documents, written and read back."""
+    e = table(spark, sf_dir, "events")
+    doc = F.struct("event_id", "user_id", "event_type", "value", F.from_json("props", "k int").alias("props"))
+    target = write_json_docs(e.select(doc.alias("doc")), _scratch(spark), "events")
+    back = read_json_docs(spark, target, one_per_file=False)
+    return back.select(json_field("doc", "$.event_id", "bigint").alias("event_id"),
+                       json_field("doc", "$.user_id", "bigint").alias("user_id"),
+                       json_field("doc", "$.event_type", "string").alias("event_type"),
+                       json_field("doc", "$.value", "double").alias("value"),
+                       json_field("doc", "$.props.k", "int").alias("k"))
+
+
+_SQL_JSON_ROUND_TRIP = """
+SELECT event_id, user_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+"""
+
+
+def q_lines_round_trip(spark, sf_dir):
+    """[S5] whole document texts stored as a .txt object, read back as lines."""
+    target = _scratch(spark) + "documents.txt"
+    table(spark, sf_dir, "documents").select("text").write.mode("overwrite").text(target)
+    return read_lines(spark, target)
+
+
+_SQL_LINES_ROUND_TRIP = "SELECT unnest(string_split(text, chr(10))) AS value FROM documents"
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_encode": q_geo_encode,
     "geo_decode": q_geo_decode,
@@ -644,6 +712,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_places": q_flatten_places,
     "flatten_geocode": q_flatten_geocode,
     "enrich_lookup": q_enrich_lookup,
+    "csv_round_trip": q_csv_round_trip,
+    "parquet_round_trip": q_parquet_round_trip,
+    "json_round_trip": q_json_round_trip,
+    "lines_round_trip": q_lines_round_trip,
 }
 
 _ORACLE: dict[str, str] = {
@@ -673,6 +745,10 @@ _ORACLE: dict[str, str] = {
     "flatten_places": _SQL_FLATTEN_PLACES,
     "flatten_geocode": _SQL_FLATTEN_GEOCODE,
     "enrich_lookup": _SQL_ENRICH_LOOKUP,
+    "csv_round_trip": _SQL_CSV_ROUND_TRIP,
+    "parquet_round_trip": _SQL_PARQUET_ROUND_TRIP,
+    "json_round_trip": _SQL_JSON_ROUND_TRIP,
+    "lines_round_trip": _SQL_LINES_ROUND_TRIP,
 }
 
 

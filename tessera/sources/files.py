@@ -164,12 +164,15 @@ def read_parquet(spark: SparkSession, paths, merge_schema: bool = False) -> Data
 
 # -------------------------------------------------------------- json / text
 
-def read_json_docs(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
+def read_json_docs(spark: SparkSession, paths, schema: T.StructType | None = None,
+                   one_per_file: bool = True) -> DataFrame:
     """One JSON document per file -> ``(path, doc)``.
 
     ``doc`` is a VARIANT (schemaless) or, with ``schema``, a typed struct.
+    ``one_per_file=False`` reads one document per line instead, the layout
+    ``write_json_docs`` produces (files split across tasks).
     """
-    raw = spark.read.option("wholetext", "true").text(_as_list(paths))
+    raw = (spark.read.option("wholetext", "true") if one_per_file else spark.read).text(_as_list(paths))
     doc = F.from_json("value", schema) if schema is not None else F.parse_json("value")
     return raw.select(F.col("_metadata.file_path").alias("path"), doc.alias("doc"))
 
@@ -199,6 +202,27 @@ def _paths_of(spark: SparkSession, paths_or_listing) -> list[str]:
     return _as_list(paths_or_listing)
 
 
+def _expand_dirs(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
+    """``(file, name deciding the format)`` pairs: a directory written by a
+    Spark sink (``x.csv/part-...``) stands for its data files, named by the
+    directory; ``_`` and ``.`` files (markers, checksums) are skipped."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if not fs.exists(hp) or not fs.getFileStatus(hp).isDirectory():
+            out.append((p, p))
+            continue
+        it = fs.listFiles(hp, True)
+        while it.hasNext():
+            f = it.next().getPath()
+            if not f.getName().startswith(("_", ".")):
+                out.append((f.toString(), p.rstrip("/")))
+    return out
+
+
 def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA) -> DataFrame:
     """Read many objects by suffix and concatenate them by column name.
 
@@ -209,8 +233,8 @@ def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA) -> Da
     """
     from tessera.operators.reshape import union_all_by_name
     paths = _paths_of(spark, paths_or_listing)
-    csvs = [p for p in paths if p.endswith(CSV_SUFFIXES)]
-    parquets = [p for p in paths if p.endswith(PARQUET_SUFFIXES)]
+    csvs = [f for f, name in _expand_dirs(spark, [p for p in paths if p.rstrip("/").endswith(CSV_SUFFIXES)])]
+    parquets = [p for p in paths if p.rstrip("/").endswith(PARQUET_SUFFIXES)]
     frames: list[DataFrame] = []
     by_header: dict[str, list[str]] = {}
     for p in csvs:

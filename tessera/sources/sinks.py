@@ -27,8 +27,10 @@ def _prep(df: DataFrame, single_file: bool) -> DataFrame:
 def write_csv(df: DataFrame, path: str, name: str, mode: str = "overwrite", single_file: bool = False) -> str:
     """K1: CSV with a header; quotes doubled inside quoted fields."""
     target = _target(path, name, ".csv")
-    (_prep(df, single_file).write.mode(mode).option("header", "true")
-     .option("escape", '"').csv(target))
+    (_prep(df, single_file).write.mode(mode).option("header", "true").option("escape", '"')
+     # Spark trims values when writing CSV unless told not to
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .csv(target))
     return target
 
 
