@@ -27,6 +27,7 @@ from tessera.sources.files import DEFAULT_NA, read_json_docs, read_lines, read_m
 from tessera.sources.sinks import write_csv, write_json_docs, write_parquet
 from tessera.sources.sheets import pack_sheets, prepare_full_refresh, sheet_to_table
 from tessera.sources.tables import keep_unless, sql_query
+from tessera.streaming.ingest import parquet_batches, stream_files, write_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -685,6 +686,26 @@ def q_lines_round_trip(spark, sf_dir):
 _SQL_LINES_ROUND_TRIP = "SELECT unnest(string_split(text, chr(10))) AS value FROM documents"
 
 
+# -------------------------------------------------------------- streaming
+
+def q_stream_geo_encode(spark, sf_dir):
+    """[S1, P5, streaming] the customer object ingested as a file stream
+    (available-now trigger), geohash-encoded per micro-batch, written by an
+    idempotent batch sink and read back."""
+    schema = table(spark, sf_dir, "customer").schema
+    stream = stream_files(spark, sf_dir, "parquet", schema, prefix="customer")
+    k = F.col("c_custkey")
+    pts = stream.select(
+        "c_custkey",
+        F.when(k % 10 != 3, ((k * 7919 * 1009) % 180000000 - 90000000) / 1e6).alias("lat"),
+        F.when(k % 10 != 3, ((k * 104729 * 313) % 360000000 - 180000000) / 1e6).alias("long"))
+    base = scratch_path(spark, "stream")
+    q = write_batches(geo_encode(pts, "lat", "long", 23), parquet_batches(base + "/out"),
+                      base + "/checkpoint", trigger_once=True)
+    q.awaitTermination()
+    return spark.read.parquet(base + "/out/batch=*")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_encode": q_geo_encode,
     "geo_decode": q_geo_decode,
@@ -716,6 +737,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_round_trip": q_parquet_round_trip,
     "json_round_trip": q_json_round_trip,
     "lines_round_trip": q_lines_round_trip,
+    "stream_geo_encode": q_stream_geo_encode,
 }
 
 _ORACLE: dict[str, str] = {
@@ -749,6 +771,7 @@ _ORACLE: dict[str, str] = {
     "parquet_round_trip": _SQL_PARQUET_ROUND_TRIP,
     "json_round_trip": _SQL_JSON_ROUND_TRIP,
     "lines_round_trip": _SQL_LINES_ROUND_TRIP,
+    "stream_geo_encode": _sql_encode(23),
 }
 
 
