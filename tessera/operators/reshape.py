@@ -45,7 +45,9 @@ def collect_vocabulary(df: DataFrame, col: str, max_labels: int = 1000) -> list[
     The result decides the output schema of ``multi_hot``, so it must be
     known at plan time; the bound keeps it a small, aggregated result.
     """
-    rows = array_vocabulary(df, col).limit(max_labels + 1).collect()
+    # sorted top-k: one job with a per-partition limit (a bare limit would
+    # run Spark's incremental take, several jobs)
+    rows = array_vocabulary(df, col).orderBy("label").limit(max_labels + 1).collect()
     if len(rows) > max_labels:
         raise ValueError(f"more than {max_labels} distinct labels in {col}; pass vocabulary=")
     return sorted(r[0] for r in rows)

@@ -152,6 +152,15 @@ def csv_header(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def _headers(spark: SparkSession, paths: list[str], threads: int = 32) -> list[str]:
+    """First lines of many files, read concurrently (one small read each)."""
+    if len(paths) <= 1:
+        return [csv_header(spark, p) for p in paths]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(threads, len(paths))) as pool:
+        return list(pool.map(lambda p: csv_header(spark, p), paths))
+
+
 # ----------------------------------------------------------------- parquet
 
 def read_parquet(spark: SparkSession, paths, merge_schema: bool = False) -> DataFrame:
@@ -237,8 +246,8 @@ def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA) -> Da
     parquets = [p for p in paths if p.rstrip("/").endswith(PARQUET_SUFFIXES)]
     frames: list[DataFrame] = []
     by_header: dict[str, list[str]] = {}
-    for p in csvs:
-        by_header.setdefault(csv_header(spark, p), []).append(p)
+    for p, header in zip(csvs, _headers(spark, csvs)):
+        by_header.setdefault(header, []).append(p)
     for group in by_header.values():
         frames.append(read_csv(spark, group, na_tokens))
     if parquets:
