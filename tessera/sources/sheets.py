@@ -25,17 +25,18 @@ def _sheet(df: DataFrame, col: str) -> Column:
 def sheet_titles(df: DataFrame, col: str, max_titles: int = 10_000) -> list[str]:
     """Column titles over all sheets, in first-seen position order.
 
-    Fails on a sheet that repeats a title. The result is aggregated per
-    title, so at most ``max_titles`` small rows reach the driver.
+    Fails on a sheet that repeats a title. One aggregation per title (with
+    the repeat flag carried along), sorted and capped, so at most
+    ``max_titles`` small rows reach the driver.
     """
     s = _sheet(df, col)
     titles = s["columns"]["title"]
-    dup = df.select((F.size(titles) != F.size(F.array_distinct(titles))).alias("d")).where("d").limit(1)
-    if dup.count():
-        raise ValueError("a sheet repeats a column title")
-    rows = (df.select(F.posexplode(titles).alias("pos", "title"))
-            .groupBy("title").agg(F.min("pos").alias("pos"))
+    repeats = F.size(titles) != F.size(F.array_distinct(titles))
+    rows = (df.select(F.posexplode(titles).alias("pos", "title"), repeats.alias("rep"))
+            .groupBy("title").agg(F.min("pos").alias("pos"), F.max("rep").alias("rep"))
             .orderBy("pos", "title").limit(max_titles + 1).collect())
+    if any(r["rep"] for r in rows):
+        raise ValueError("a sheet repeats a column title")
     if len(rows) > max_titles:
         raise ValueError(f"more than {max_titles} titles")
     return [r["title"] for r in rows]
