@@ -87,7 +87,8 @@ def prepare_full_refresh(df: DataFrame, key: str, require_unique: bool = False)
     """K8 (frame part): every column as text, rows ascending by the typed key.
 
     Sorting before the cast keeps numeric order (9 before 10); NULL keys
-    sort first. ``require_unique`` fails on a repeated key (one aggregate job).
+    sort first; rows with equal keys keep no particular order.
+    ``require_unique`` fails on a repeated key (one aggregate job).
     """
     if key not in df.columns:
         raise ValueError(f"key {key!r} not in frame")
@@ -95,7 +96,9 @@ def prepare_full_refresh(df: DataFrame, key: str, require_unique: bool = False)
         dup = df.groupBy(key).count().where("count > 1").limit(1).count()
         if dup:
             raise ValueError(f"key {key!r} is not unique")
-    ordered = df.orderBy(F.col(key).asc_nulls_first())
+    # the scan position breaks ties, so rows sharing one hot key are spread
+    # over several range partitions instead of one task
+    ordered = df.orderBy(F.col(key).asc_nulls_first(), F.monotonically_increasing_id())
     return ordered.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 

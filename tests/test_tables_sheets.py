@@ -59,3 +59,18 @@ def test_pack_and_full_refresh(spark):
     packed = pack_sheets(df.where("k IS NOT NULL"), F.lit(0), "k", ["k", "v"])
     back = sheet_to_table(packed, "sheet").collect()
     assert [(r["row_index"], r["k"]) for r in back] == [(0, "9"), (1, "10"), (2, "100")]
+
+
+def test_full_refresh_spreads_a_hot_key(spark):
+    # a third of the rows share one key: the sort still uses several tasks
+    rows = [(7, f"h{i}") for i in range(3000)] + [(i, f"o{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "k int, v string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny data would merge
+    try:
+        prep = prepare_full_refresh(df, "k")
+        sizes = prep.rdd.glom().map(len).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes) < 3000
+    keys = [int(r["k"]) for r in prep.collect()]
+    assert keys == sorted(keys)
