@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.skew import DEFAULT_HOT_ROWS, join_distinct
 from tessera.session import cut_lineage
 
 
@@ -61,17 +62,14 @@ def lookup_table(df: DataFrame, keys: list[str], fn: Callable, schema: T.StructT
 
 def enrich(df: DataFrame, keys: list[str], fn: Callable, schema: T.StructType,
            client_factory: Callable | None = None, checkpoint: bool = True,
-           observation: Observation | None = None) -> DataFrame:
+           observation: Observation | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Add the service result for each row's key (NULL keys included,
-    matched null-safely). With ``observation``, the number of failed rows
-    (C3, ``skipped``) is recorded when the result is computed."""
+    matched null-safely). A key carried by a large share of the rows is
+    split over salt buckets in the join back (``join_distinct``). With
+    ``observation``, the number of failed rows (C3, ``skipped``) is recorded
+    when the result is computed."""
     table = lookup_table(df, keys, fn, schema, client_factory, checkpoint)
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(table[k])
-        cond = c if cond is None else cond & c
-    joined = df.join(table, cond, "left").select(
-        *[df[f"`{c}`"] for c in df.columns], *[table[f.name] for f in schema.fields], table["error"])
+    joined = join_distinct(df, table, keys, "left", null_safe=True, hot_rows=hot_rows)
     if observation is not None:
         joined = joined.observe(observation, F.count(F.col("error")).alias("skipped"),
                                 F.count(F.lit(1)).alias("rows"))

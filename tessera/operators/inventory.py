@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.paths import join_path, path_levels
+from tessera.operators.skew import DEFAULT_HOT_ROWS, join_distinct
 
 
 def max_depth(listing: DataFrame, path_col: str = "path") -> int:
@@ -37,15 +38,17 @@ def crawl_size(listing: DataFrame, path_col: str = "path", size_col: str = "leng
 
 
 def check_objects(manifest: DataFrame, listing: DataFrame, path_col: str = "path",
-                  listing_path_col: str | None = None) -> DataFrame:
+                  listing_path_col: str | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Every manifest row with a boolean ``exists``.
 
     The listing is reduced to distinct paths first (map-side partial
     aggregation), then left-joined on the path, so each manifest row appears
-    exactly once however often a path is listed.
+    exactly once however often a path is listed; a path repeated by a large
+    share of the manifest is split over salt buckets (``join_distinct``).
     """
     lp = listing_path_col or path_col
-    present = listing.select(F.col(lp).alias("__present_path")).distinct().withColumn("__present", F.lit(True))
-    joined = manifest.join(present, manifest[path_col] == present["__present_path"], "left")
-    return joined.select(*[manifest[c] for c in manifest.columns],
+    present = (listing.select(F.col(lp).alias(path_col)).where(F.col(path_col).isNotNull()).distinct()
+               .withColumn("__present", F.lit(True)))
+    joined = join_distinct(manifest, present, [path_col], "left", hot_rows=hot_rows)
+    return joined.select(*[F.col(f"`{c}`") for c in manifest.columns],
                          F.coalesce(F.col("__present"), F.lit(False)).alias("exists"))

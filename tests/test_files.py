@@ -90,3 +90,15 @@ def test_sink_round_trips(spark, tmpdir_path):
     assert jd.endswith("meta.dict")
     assert spark.read.text(jd).first()[0] == '{"a":1,"b":"x"}'
     assert output_name("a.b.c", ".csv") == "a.csv"
+
+
+def test_manifest_against_real_listing(spark, tmpdir_path):
+    from tessera.operators.inventory import check_objects
+    root = f"{tmpdir_path}/store"
+    _write(f"{root}/a.txt", "x")
+    _write(f"{root}/empty.txt", "")
+    listing = list_files(spark, root)
+    manifest = spark.createDataFrame([(f"file:{root}/a.txt",), (f"file:{root}/empty.txt",),
+                                      (f"file:{root}/missing.txt",)], "path string")
+    got = {r["path"].rsplit("/", 1)[1]: r["exists"] for r in check_objects(manifest, listing).collect()}
+    assert got == {"a.txt": True, "empty.txt": True, "missing.txt": False}

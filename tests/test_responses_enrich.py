@@ -81,3 +81,21 @@ def test_small_helpers(spark):
                   to_json_text(F.struct(F.lit(1).alias("x"))).alias("t"),
                   location_text("la", "lo").alias("loc")).first()
     assert (r["b"], r["t"], r["loc"]) == (7, '{"x":1}', "1.5,-2.25")
+
+
+def test_join_distinct_splits_a_hot_key(spark):
+    from tessera.operators.skew import join_distinct
+    big = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(3000)] + [(-1, None)] * 50,
+                                "id int, k string")
+    small = spark.createDataFrame([("hot", 1), ("k0", 2), (None, 3)], "k string, v int")
+    out = join_distinct(big, small, ["k"], "left", null_safe=True, hot_rows=100)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__salt" in plan
+    rows = out.collect()
+    assert len(rows) == 3050
+    got = {}
+    for r in rows:
+        got[r["v"]] = got.get(r["v"], 0) + 1
+    assert got == {1: 2000, 2: 1, None: 999, 3: 50}
+    strict = join_distinct(big, small, ["k"], "inner", hot_rows=100).count()
+    assert strict == 2001

@@ -74,3 +74,22 @@ def test_full_refresh_spreads_a_hot_key(spark):
     assert max(sizes) < 3000
     keys = [int(r["k"]) for r in prep.collect()]
     assert keys == sorted(keys)
+
+
+def test_catalog_write_modes_present_and_absent(spark):
+    name = f"t15_{uuid.uuid4().hex[:6]}"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
+    write_table(df, name, "fail")  # absent: created
+    with pytest.raises(Exception):
+        write_table(df, name, "fail")  # present: refused
+    write_table(df, name, "append")
+    assert spark.table(name).count() == 4
+    write_table(df.limit(1), name, "replace")
+    assert spark.table(name).count() == 1
+    absent = f"t15b_{uuid.uuid4().hex[:6]}"
+    write_table(df, absent, "append")  # append to an absent table creates it
+    assert spark.table(absent).count() == 2
+    with pytest.raises(ValueError):
+        write_table(df, name, "upsert")
+    drop_table(spark, name)
+    drop_table(spark, absent)
