@@ -102,3 +102,30 @@ def test_manifest_against_real_listing(spark, tmpdir_path):
                                       (f"file:{root}/missing.txt",)], "path string")
     got = {r["path"].rsplit("/", 1)[1]: r["exists"] for r in check_objects(manifest, listing).collect()}
     assert got == {"a.txt": True, "empty.txt": True, "missing.txt": False}
+
+
+def test_read_many_conflicting_parquet_types(spark, tmpdir_path):
+    spark.createDataFrame([(1,)], "k int").coalesce(1).write.parquet(f"{tmpdir_path}/p1.parquet")
+    spark.createDataFrame([("x",)], "k string").coalesce(1).write.parquet(f"{tmpdir_path}/p2.parquet")
+    df = read_many(spark, [f"{tmpdir_path}/p1.parquet", f"{tmpdir_path}/p2.parquet"])
+    assert df.schema["k"].dataType == T.StringType()
+    assert sorted(r["k"] for r in df.collect()) == ["1", "x"]
+
+
+def test_typed_readers(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/d.dict", '{"a": 5, "b": "q", "extra": [1]}')
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType()),
+                           T.StructField("missing", T.StringType())])
+    r = read_json_docs(spark, f"{tmpdir_path}/d.dict", schema=schema).first()["doc"]
+    assert (r["a"], r["b"], r["missing"]) == (5, "q", None)
+    _write(f"{tmpdir_path}/t.csv", "a,b\n1,x\nNA,y\nz,w\n")
+    typed = read_csv(spark, f"{tmpdir_path}/t.csv",
+                     schema=T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())]))
+    assert sorted((r["a"] is None, r["b"]) for r in typed.collect()) == [(False, "x"), (True, "w"), (True, "y")]
+
+
+def test_sql_query_with_args_and_views(spark):
+    from tessera.sources.tables import sql_query
+    df = spark.range(10).withColumnRenamed("id", "k")
+    out = sql_query(spark, "SELECT count(*) AS n FROM t WHERE k >= :lo", args={"lo": 7}, views={"t": df})
+    assert out.first()["n"] == 3
