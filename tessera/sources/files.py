@@ -85,11 +85,19 @@ def list_files(spark: SparkSession, root: str, prefix: str = "", include_empty:
     glob = jvm.org.apache.hadoop.fs.Path(pattern)
     fs = glob.getFileSystem(conf)
     found = fs.globStatus(glob)
-    level = _statuses(spark, found) if found is not None else []
-    rows = []
+    files = _walk(spark, fs, _statuses(spark, found) if found is not None else [])
+    rows = [(p, size, _dt.datetime.fromtimestamp(mt / 1000, _dt.timezone.utc)) for p, size, mt in files]
+    return spark.createDataFrame(rows, LISTING_SCHEMA)
+
+
+def _walk(spark: SparkSession, fs, level: list[tuple[str, bool, int, int]]) -> list[tuple[str, int, int]]:
+    """Files under the given statuses, one directory level per round of
+    batched ``listStatus`` calls: ``(path, length, modification ms)``."""
+    jvm = spark.sparkContext._jvm
+    gateway = spark.sparkContext._gateway
+    files = []
     while level:
-        rows += [(p, size, _dt.datetime.fromtimestamp(mt / 1000, _dt.timezone.utc))
-                 for p, is_dir, size, mt in level if not is_dir]
+        files += [(p, size, mt) for p, is_dir, size, mt in level if not is_dir]
         dirs = [p for p, is_dir, _, _ in level if is_dir]
         level = []
         for start in range(0, len(dirs), _DIR_BATCH):
@@ -98,7 +106,7 @@ def list_files(spark: SparkSession, root: str, prefix: str = "", include_empty:
             for i, d in enumerate(batch):
                 arr[i] = jvm.org.apache.hadoop.fs.Path(d)
             level += _statuses(spark, fs.listStatus(arr))
-    return spark.createDataFrame(rows, LISTING_SCHEMA)
+    return files
 
 
 # --------------------------------------------------------------------- CSV
@@ -238,31 +246,35 @@ def read_lines(spark: SparkSession, paths, with_path: bool = False) -> DataFrame
 
 # ---------------------------------------------------------------- many
 
-def _paths_of(spark: SparkSession, paths_or_listing) -> list[str]:
+def _paths_of(spark: SparkSession, paths_or_listing) -> tuple[list[str], bool]:
+    """Paths, and whether they are known to be files (a listing frame)."""
     if isinstance(paths_or_listing, DataFrame):
         # file names only: the listing is metadata the file index holds anyway
-        return [r[0] for r in paths_or_listing.select("path").collect()]
-    return _as_list(paths_or_listing)
+        return [r[0] for r in paths_or_listing.select("path").collect()], True
+    return _as_list(paths_or_listing), False
 
 
-def _expand_dirs(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
-    """``(file, name deciding the format)`` pairs: a directory written by a
-    Spark sink (``x.csv/part-...``) stands for its data files, named by the
-    directory; ``_`` and ``.`` files (markers, checksums) are skipped."""
+def _expand_dirs(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Data files behind the given paths: a directory written by a Spark
+    sink (``x.csv/part-...``) stands for its files; ``_`` and ``.`` files
+    (markers, checksums) inside it are skipped."""
+    if not paths:
+        return []
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = []
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         fs = hp.getFileSystem(conf)
-        if not fs.exists(hp) or not fs.getFileStatus(hp).isDirectory():
-            out.append((p, p))
+        found = fs.globStatus(hp)
+        st = _statuses(spark, found) if found is not None else []
+        if not st or (len(st) == 1 and not st[0][1]):
+            out.append(p)  # a file, or absent: the reader reports it
             continue
-        it = fs.listFiles(hp, True)
-        while it.hasNext():
-            f = it.next().getPath()
-            if not f.getName().startswith(("_", ".")):
-                out.append((f.toString(), p.rstrip("/")))
+        for f, _, _ in _walk(spark, fs, st):
+            name = f.rsplit("/", 1)[-1]
+            if not name.startswith(("_", ".")):
+                out.append(f)
     return out
 
 
@@ -275,8 +287,9 @@ def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA) -> Da
     Other suffixes are ignored. No match gives an empty frame.
     """
     from tessera.operators.reshape import union_all_by_name
-    paths = _paths_of(spark, paths_or_listing)
-    csvs = [f for f, name in _expand_dirs(spark, [p for p in paths if p.rstrip("/").endswith(CSV_SUFFIXES)])]
+    paths, all_files = _paths_of(spark, paths_or_listing)
+    csv_paths = [p for p in paths if p.rstrip("/").endswith(CSV_SUFFIXES)]
+    csvs = csv_paths if all_files else _expand_dirs(spark, csv_paths)
     parquets = [p for p in paths if p.rstrip("/").endswith(PARQUET_SUFFIXES)]
     frames: list[DataFrame] = []
     by_header: dict[str, list[str]] = {}
