@@ -1,7 +1,7 @@
 """Side-by-side check of a registered query against its DuckDB SQL.
 
 Mirrors the external correctness gate: same row count, same column names
-(compared sorted) and the same multiset of rows. Floating values are compared
+(compared sorted), the same column types and the same multiset of rows. Floating values are compared
 after rounding to 9 significant digits; everything else exactly.
 
 Usage: python -m tessera.plans.oracle_check [sf_dir] [name ...]
@@ -27,6 +27,10 @@ def duckdb_conn(sf_dir: str):
     return con
 
 
+_CANON = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -58,14 +62,21 @@ def compare(spark, name: str, sf_dir: str, queries: dict, oracle: dict, con=None
     if name not in oracle:
         res["status"] = "rows-only"
         return res
-    cur = con.execute(oracle[name])
-    d_cols = [c[0] for c in cur.description]
-    d_rows = cur.fetchall()
+    rel = con.sql(oracle[name])
+    d_cols = list(rel.columns)
+    d_types = dict(zip(d_cols, (str(t) for t in rel.types)))
+    d_rows = rel.fetchall()
     res["duck_rows"] = len(d_rows)
     res["duck_sec"] = round(time.time() - t1, 3)
     if sorted(s_cols) != sorted(d_cols):
         res["status"] = f"COLUMNS differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"
         return res
+    s_types = {f.name: _CANON.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+               for f in sdf.schema.fields}
+    type_diff = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    if type_diff:
+        res["status"] = f"TYPES differ (spark, duck): {type_diff}"
+        return res
     order = sorted(s_cols)
     si = [s_cols.index(c) for c in order]
     di = [d_cols.index(c) for c in order]

@@ -138,7 +138,7 @@ def _page_objects(spark, sf_dir) -> DataFrame:
 _SQL_PAGE_OBJECTS = """
   SELECT page_id,
          CASE WHEN url LIKE 'https://%' THEN 's3://' || substr(url, 9) ELSE substr(url, 8) END AS object,
-         CASE WHEN page_id % 9 = 0 THEN 0 ELSE length(html) END AS length
+         CAST(CASE WHEN page_id % 9 = 0 THEN 0 ELSE length(html) END AS INTEGER) AS length
   FROM pages
 """
 
@@ -175,7 +175,7 @@ def q_path_levels(spark, sf_dir):
 
 _SQL_PATH_LEVELS = f"""
 WITH k AS ({_SQL_PARSE_PATH}), l AS (SELECT page_id, string_split(key, '/') AS lv FROM k)
-SELECT page_id, len(lv) AS n_levels, lv[1] AS first_level, lv[-1] AS last_level,
+SELECT page_id, CAST(len(lv) AS INTEGER) AS n_levels, lv[1] AS first_level, lv[-1] AS last_level,
        array_to_string(lv, '/') AS rejoined
 FROM l
 """
