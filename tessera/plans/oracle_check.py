@@ -1,8 +1,9 @@
 """Side-by-side check of a registered query against its DuckDB SQL.
 
 Mirrors the external correctness gate: same row count, same column names
-(compared sorted), the same column types and the same multiset of rows. Floating values are compared
-after rounding to 9 significant digits; everything else exactly.
+(compared sorted), the same column types and the same multiset of rows,
+compared exactly ("match") or, failing that, with floats rounded to 9
+significant digits ("match-rounded").
 
 Usage: python -m tessera.plans.oracle_check [sf_dir] [name ...]
 """
@@ -31,6 +32,20 @@ _CANON = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FL
           "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT"}
 
 
+def _exact(v):
+    if isinstance(v, float) and math.isnan(v):
+        return None
+    if isinstance(v, (list, tuple)):
+        return tuple(_exact(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(sorted((k, _exact(x)) for k, x in v.items()))
+    if hasattr(v, "asDict"):
+        return _exact(v.asDict())
+    if isinstance(v, bool):
+        return int(v)
+    return v
+
+
 def _norm(v):
     if v is None:
         return None
@@ -80,10 +95,14 @@ def compare(spark, name: str, sf_dir: str, queries: dict, oracle: dict, con=None
     order = sorted(s_cols)
     si = [s_cols.index(c) for c in order]
     di = [d_cols.index(c) for c in order]
+    exact_s = Counter(tuple(_exact(r[i]) for i in si) for r in s_rows)
+    exact_d = Counter(tuple(_exact(r[i]) for i in di) for r in d_rows)
     sc = Counter(tuple(_norm(r[i]) for i in si) for r in s_rows)
     dc = Counter(tuple(_norm(r[i]) for i in di) for r in d_rows)
-    if sc == dc:
+    if exact_s == exact_d:
         res["status"] = "match"
+    elif sc == dc:
+        res["status"] = "match-rounded"  # equal only after rounding floats
     else:
         only_s = list((sc - dc).elements())[:3]
         only_d = list((dc - sc).elements())[:3]
@@ -106,7 +125,7 @@ def main(argv):
             r = compare(spark, n, sf_dir, qs, orc, con)
         except Exception as e:  # report and continue with the next query
             r = {"name": n, "status": f"ERROR {type(e).__name__}: {str(e)[:300]}"}
-        bad += r["status"] not in ("match", "rows-only")
+        bad += r["status"] not in ("match", "match-rounded", "rows-only")
         print(r, flush=True)
     return 1 if bad else 0
 
