@@ -43,3 +43,13 @@ def test_scans_are_pruned_and_filters_pushed(spark):
     assert "ReadSchema: struct<event_id:bigint,event_type:string,props:string>" in plan
     plan = _plan(q["geo_encode"](spark, SF_SMALL))
     assert "ReadSchema: struct<c_custkey:bigint>" in plan and "Python" not in plan
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_plan_has_no_pair_enumeration_or_row_udf(spark, name):
+    plan = _plan(queries()[name](spark, SF_SMALL))
+    for op in FORBIDDEN:
+        assert op not in plan, (name, op)
