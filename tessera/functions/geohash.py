@@ -1,8 +1,9 @@
 """Geohash encode / decode as native Spark expressions.
 
-No Python UDF is involved: every character is an integer expression over
-BIGINT micro-degree offsets, so the whole encode or decode is a single
-``Project`` inside whole-stage codegen and needs no shuffle.
+No Python UDF is involved: the micro-degree offsets are divided into 30-bit
+binary chunks in BIGINT, and every character is a shift and a mask of one
+chunk, so the whole encode or decode is a few ``Project`` steps inside one
+whole-stage codegen stage and needs no shuffle.
 
 Encode is exact (rational bisection on the DECIMAL(10,6) input), so it
 agrees with any exact geohash implementation at every precision, including
@@ -33,6 +34,9 @@ _LON_SPAN = 360 * _MICRO
 # further characters change the cell centre by less than one double ulp.
 _DECODE_CHARS = 24
 _PART_CHARS = 12
+# Encode works in chunks of 12 characters = 30 bits of each axis.
+_CHARS_PER_CHUNK = 12
+_CHUNK_BITS = 30
 
 
 def _col(c) -> Column:
@@ -50,40 +54,50 @@ def _ref(c) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def _axis_digit_sql(offset: str, span: int, bits_before: int, bits: int) -> str:
-    """Next ``bits`` bisection bits of ``offset / span`` after ``bits_before`` bits.
+def _chunks_sql(offset: str, span: int, n_chunks: int) -> list[str]:
+    """Successive 30-bit chunks of the binary fraction ``offset / span``.
 
-    The remainder after n halvings is ``offset * 2^n mod span``; taking
-    ``2^n mod span`` as a constant keeps every product below 2^58, so each
-    character is computed independently of the others, in BIGINT.
+    Long division 30 bits at a time: chunk = ``(rem << 30) div span`` and
+    the remainder feeds the next chunk. ``rem < span < 2^29`` keeps every
+    shifted value below 2^59, so all of it stays in BIGINT and is exact.
     """
-    rem = offset if bits_before == 0 else f"(({offset} * {pow(2, bits_before, span)}) % {span})"
-    return f"(({rem} * {1 << bits}) div {span})"
+    out, rem = [], offset
+    for _ in range(n_chunks):
+        shifted = f"shiftleft({rem}, {_CHUNK_BITS})"
+        out.append(f"({shifted} div {span})")
+        rem = f"({shifted} % {span})"
+    return out
 
 
-def _spread(major: int, minor: int) -> int:
-    # 3 major bits go to positions 4,2,0 and 2 minor bits to positions 3,1
-    return (((major >> 2) & 1) << 4 | ((minor >> 1) & 1) << 3 | ((major >> 1) & 1) << 2
-            | (minor & 1) << 1 | (major & 1))
+# Masks that move bit k of a 30-bit value to bit 2k (a Morton spread).
+_SPREAD_STEPS = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                 (2, 0x3333333333333333), (1, 0x5555555555555555))
 
 
-# The character for a (3-bit major digit, 2-bit minor digit) pair, indexed by
-# major * 4 + minor; derived from the alphabet by the interleaving rule.
-_PAIR_ALPHABET = "".join(ALPHABET[_spread(m >> 2, m & 3)] for m in range(32))
+def _spread_sql(v: str) -> str:
+    for shift, mask in _SPREAD_STEPS:
+        v = f"((({v}) | shiftleft({v}, {shift})) & {mask})"
+    return v
 
 
-def _chars_sql(x: str, y: str, precision: int) -> str:
-    chars = []
-    for i in range(precision):
-        # bits alternate lon, lat, lon, ... over the whole code; a character
-        # holds 3 lon + 2 lat bits when it starts on a lon bit, else 2 + 3
-        lon_before, lat_before = (5 * i + 1) // 2, (5 * i) // 2
-        lon_bits, lat_bits = (3, 2) if i % 2 == 0 else (2, 3)
-        d_lon = _axis_digit_sql(y, _LON_SPAN, lon_before, lon_bits)
-        d_lat = _axis_digit_sql(x, _LAT_SPAN, lat_before, lat_bits)
-        major, minor = (d_lon, d_lat) if i % 2 == 0 else (d_lat, d_lon)
-        chars.append(f"substr('{_PAIR_ALPHABET}', CAST({major} * 4 + {minor} + 1 AS INT), 1)")
-    return f"concat({', '.join(chars)})"
+def _chars_sql(lat_chunks: list[str], lon_chunks: list[str], precision: int) -> str:
+    """Characters from the axis chunks.
+
+    Twelve characters use exactly 30 bits of each axis. Interleaving a lon
+    chunk (odd bit positions, it leads) with its lat chunk gives the 60-bit
+    value of those twelve characters; ``conv`` writes it in base 32 and
+    ``translate`` maps the plain base-32 digits onto the geohash alphabet.
+    """
+    parts = []
+    for la, lo in zip(lat_chunks, lon_chunks):
+        value = f"(shiftleft({_spread_sql(lo)}, 1) | {_spread_sql(la)})"
+        digits = f"lpad(conv(CAST({value} AS STRING), 10, 32), {_CHARS_PER_CHUNK}, '0')"
+        parts.append(f"translate({digits}, '{_CONV_DIGITS.upper()}', '{ALPHABET}')")
+    return f"substr(concat({', '.join(parts)}), 1, {precision})"
+
+
+def _n_chunks(precision: int) -> int:
+    return -(-precision // _CHARS_PER_CHUNK)
 
 
 def _offsets_sql(lat: str, lon: str) -> tuple[str, str, str]:
@@ -100,7 +114,9 @@ def geohash_sql(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> str:
     if precision < 1:
         raise ValueError("precision must be >= 1")
     x, y, valid = _offsets_sql(lat, lon)
-    return f"CASE WHEN {valid} THEN {_chars_sql(f'({x})', f'({y})', precision)} ELSE '{UNKNOWN}' END"
+    n = _n_chunks(precision)
+    chars = _chars_sql(_chunks_sql(f"({x})", _LAT_SPAN, n), _chunks_sql(f"({y})", _LON_SPAN, n), precision)
+    return f"CASE WHEN {valid} THEN {chars} ELSE '{UNKNOWN}' END"
 
 
 def geohash(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> Column:
@@ -122,16 +138,29 @@ def geo_encode(df: DataFrame, lat: str, long: str, precision: int = DEFAULT_PREC
     if precision < 1:
         raise ValueError("precision must be >= 1")
     x, y, _ = _offsets_sql(_ref(lat), _ref(long))
+    keep = [F.col(f"`{c}`") for c in df.columns]
     staged = df.select(*[to_coord(c).alias(c) if c in (lat, long) else F.col(f"`{c}`") for c in df.columns],
                        F.expr(x).alias("__gh_x"), F.expr(y).alias("__gh_y"))
-    code = f"coalesce({_chars_sql('__gh_x', '__gh_y', precision)}, '{UNKNOWN}')"
-    return staged.select(*[F.col(f"`{c}`") for c in df.columns], F.expr(code).alias("GeoHash"))
+    n = _n_chunks(precision)
+    la_names, lo_names = [f"__gh_la{c}" for c in range(n)], [f"__gh_lo{c}" for c in range(n)]
+    chunked = staged.select(*keep,
+                            *[F.expr(e).alias(a) for e, a in zip(_chunks_sql("__gh_x", _LAT_SPAN, n), la_names)],
+                            *[F.expr(e).alias(a) for e, a in zip(_chunks_sql("__gh_y", _LON_SPAN, n), lo_names)])
+    code = f"coalesce({_chars_sql(la_names, lo_names, precision)}, '{UNKNOWN}')"
+    return chunked.select(*keep, F.expr(code).alias("GeoHash"))
+
+
+# Masks that move bit 2k of a 60-bit value to bit k (inverse Morton spread).
+_COMPACT_STEPS = ((1, 0x3333333333333333), (2, 0x0F0F0F0F0F0F0F0F), (4, 0x00FF00FF00FF00FF),
+                  (8, 0x0000FFFF0000FFFF), (16, 0x00000000FFFFFFFF))
 
 
 def _compact_sql(v: str, odd: bool) -> str:
     """The 30 bits at odd (or even) positions of a 60-bit value, in order."""
-    start = 59 if odd else 58
-    return " | ".join(f"shiftleft(shiftright({v}, {start - 2 * j}) & 1, {29 - j})" for j in range(30))
+    x = f"(shiftright({v}, 1) & {0x5555555555555555})" if odd else f"({v} & {0x5555555555555555})"
+    for shift, mask in _COMPACT_STEPS:
+        x = f"(({x} | shiftright({x}, {shift})) & {mask})"
+    return x
 
 
 def geohash_parts(code) -> dict[str, Column]:
