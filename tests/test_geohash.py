@@ -76,3 +76,20 @@ def test_to_coord(spark):
     df = spark.createDataFrame([("1.23456789",), ("x",), ("12345.0",)], "v string")
     out = [r[0] for r in df.select(to_coord("v")).collect()]
     assert out == [Decimal("1.234568"), None, None]
+
+
+def _max_method_bytes(spark, df):
+    dbg = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug.package
+    it = dbg.codegenStringSeq(df._jdf.queryExecution().executedPlan()).iterator()
+    sizes = []
+    while it.hasNext():
+        sizes.append(it.next()._3().maxMethodCodeSize())
+    return max(sizes)
+
+
+def test_generated_methods_stay_jit_compilable(spark):
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a
+    # larger generated method would run in the interpreter, many times slower
+    df = spark.range(10).select((F.col("id") * 1.5).alias("lat"), (F.col("id") * -2.5).alias("lon"))
+    q = geo_decode(geo_encode(df, "lat", "lon", 23), "GeoHash")
+    assert _max_method_bytes(spark, q) < 8000
