@@ -53,3 +53,14 @@ def test_plan_has_no_pair_enumeration_or_row_udf(spark, name):
     plan = _plan(queries()[name](spark, SF_SMALL))
     for op in FORBIDDEN:
         assert op not in plan, (name, op)
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_generated_methods_stay_jit_compilable(spark, name):
+    dbg = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug.package
+    df = queries()[name](spark, SF_SMALL)
+    it = dbg.codegenStringSeq(df._jdf.queryExecution().executedPlan()).iterator()
+    sizes = [0]
+    while it.hasNext():
+        sizes.append(it.next()._3().maxMethodCodeSize())
+    assert max(sizes) < 8000, (name, max(sizes))
