@@ -16,7 +16,7 @@ def max_depth(listing: DataFrame, path_col: str = "path") -> int:
 
 
 def crawl_size(listing: DataFrame, path_col: str = "path", size_col: str = "length",
-               levels: int | None = None, only_full_depth: bool = False
+               levels: int | None = None, only_full_depth: bool = False, relative_to: str | None = None
                ) -> tuple[DataFrame, DataFrame]:
     """Size inventory by path level.
 
@@ -25,8 +25,15 @@ def crawl_size(listing: DataFrame, path_col: str = "path", size_col: str = "leng
     ``Size``, keeping every object with ``Size > 0``; ``only_full_depth``
     also drops rows with a missing level. ``paths_df`` lists every path,
     empty objects included. Both are lazy; only the depth is computed eagerly
-    when ``levels`` is not given.
+    when ``levels`` is not given. ``relative_to`` (a root such as
+    ``s3a://bucket``) is cut from the front of each path first, so levels
+    are those of the object key, as the original helper splits keys.
     """
+    if relative_to is not None:
+        root = relative_to.rstrip("/") + "/"
+        p = F.col(path_col)
+        listing = listing.withColumn(
+            path_col, F.when(p.startswith(root), F.substr(p, F.lit(len(root) + 1))).otherwise(p))
     n = levels if levels is not None else max_depth(listing, path_col)
     lv = path_levels(path_col)
     cols = [F.get(lv, i).alias(f"Level {i}") for i in range(n)]
@@ -37,6 +44,19 @@ def crawl_size(listing: DataFrame, path_col: str = "path", size_col: str = "leng
     return levels_df, paths_df
 
 
+def crawl_prefix(spark, root: str, prefix: str = "", only_full_depth: bool = False
+                 ) -> tuple[DataFrame, DataFrame]:
+    """C1 end to end: list ``root + prefix`` (S1, empty objects included) and
+    inventory the keys below ``root``."""
+    from tessera.sources.files import list_files
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    qualified = fs.makeQualified(path).toString()  # the form listings use, e.g. file:/x
+    listing = list_files(spark, root, prefix)
+    return crawl_size(listing, "path", "length", only_full_depth=only_full_depth, relative_to=qualified)
+
+
 def check_objects(manifest: DataFrame, listing: DataFrame, path_col: str = "path",
                   listing_path_col: str | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Every manifest row with a boolean ``exists``.

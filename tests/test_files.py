@@ -129,3 +129,26 @@ def test_sql_query_with_args_and_views(spark):
     df = spark.range(10).withColumnRenamed("id", "k")
     out = sql_query(spark, "SELECT count(*) AS n FROM t WHERE k >= :lo", args={"lo": 7}, views={"t": df})
     assert out.first()["n"] == 3
+
+
+def test_reference_style_workflow(spark, tmpdir_path):
+    """List a prefix, inventory it, read everything readable, write the result."""
+    from tessera.operators.inventory import crawl_prefix
+    root = f"{tmpdir_path}/bucket"
+    _write(f"{root}/exports/2024/a.csv", "id,v\n1,x\n2,y\n")
+    _write(f"{root}/exports/2024/b.csv", "id,v\n3,z\n")
+    _write(f"{root}/exports/2024/notes.txt", "skip me")
+    _write(f"{root}/exports/empty.csv", "")
+    _write(f"{root}/other/c.csv", "id,v\n9,q\n")
+    levels, paths = crawl_prefix(spark, root, "exports")
+    assert levels.columns == ["Level 0", "Level 1", "Level 2", "Size"]
+    assert sorted(tuple(r) for r in levels.collect()) == [
+        ("exports", "2024", "a.csv", len("id,v\n1,x\n2,y\n")), ("exports", "2024", "b.csv", len("id,v\n3,z\n")),
+        ("exports", "2024", "notes.txt", len("skip me"))]
+    assert sorted(r[0] for r in paths.collect()) == [
+        "exports/2024/a.csv", "exports/2024/b.csv", "exports/2024/notes.txt", "exports/empty.csv"]
+    listing = list_files(spark, root, "exports").where("length > 0")
+    combined = read_many(spark, listing)
+    assert sorted((r["id"], r["v"]) for r in combined.collect()) == [(1, "x"), (2, "y"), (3, "z")]
+    out = write_parquet(combined, f"{tmpdir_path}/out/", "combined.v2")
+    assert read_parquet(spark, out).count() == 3
