@@ -23,7 +23,7 @@ from tessera.functions.paths import (file_format, join_path, location_text, obje
                                      parse_object_path, path_levels)
 from tessera.operators.enrich import enrich  # noqa: E402
 from tessera.operators.geojoin import places_nearby, reverse_geocode, within_distance  # noqa: E402
-from tessera.operators.inventory import check_objects, crawl_size  # noqa: E402
+from tessera.operators.inventory import check_objects, crawl_prefix, crawl_size  # noqa: E402
 from tessera.operators.reshape import (array_vocabulary, explode_ranked, multi_hot,  # noqa: E402
                                        union_all_by_name, with_row_index, zip_rows)
 from tessera.operators.responses import flatten_geocode, flatten_places  # noqa: E402
@@ -39,7 +39,7 @@ __all__ = [
     "geo_encode", "geo_decode", "geohash", "to_coord",
     "json_field", "parse_doc", "to_json_text",
     "file_format", "join_path", "location_text", "object_stem", "parse_object_path", "path_levels",
-    "enrich", "places_nearby", "reverse_geocode", "within_distance", "check_objects", "crawl_size",
+    "enrich", "places_nearby", "reverse_geocode", "within_distance", "check_objects", "crawl_prefix", "crawl_size",
     "array_vocabulary", "explode_ranked", "multi_hot", "union_all_by_name", "with_row_index", "zip_rows",
     "flatten_geocode", "flatten_places",
     "list_files", "read_csv", "read_json_docs", "read_lines", "read_many", "read_parquet",
