@@ -78,18 +78,23 @@ def sql_query(spark: SparkSession, sql: str, args: dict | None = None,
 # -------------------------------------------------------------------- write
 
 def write_table(df: DataFrame, target: str, if_exists: str = "fail", jdbc: dict | None = None,
-                column_types: dict[str, str] | None = None, partition_by: list[str] | None = None) -> None:
+                column_types: dict[str, str] | None = None, partition_by: list[str] | None = None,
+                max_connections: int = 16, batch_size: int = 10_000) -> None:
     """Write with ``fail`` / ``replace`` / ``append``.
 
     ``jdbc`` given: a JDBC table (``replace`` drops and recreates, as
-    pandas does; ``column_types`` become ``createTableColumnTypes``).
-    Otherwise a catalog table (``saveAsTable``).
+    pandas does; ``column_types`` become ``createTableColumnTypes``). Each
+    partition writes over its own connection, so at most
+    ``max_connections`` partitions write at once (Spark coalesces to that
+    many), in batches of ``batch_size`` rows. Otherwise a catalog table
+    (``saveAsTable``).
     """
     if if_exists not in IF_EXISTS_MODES:
         raise ValueError(f"if_exists must be one of {sorted(IF_EXISTS_MODES)}")
     mode = IF_EXISTS_MODES[if_exists]
     if jdbc is not None:
-        w = df.write.format("jdbc").options(**jdbc).option("dbtable", _quote_ident(target)).mode(mode)
+        w = (df.write.format("jdbc").options(**jdbc).option("dbtable", _quote_ident(target)).mode(mode)
+             .option("numPartitions", str(max_connections)).option("batchsize", str(batch_size)))
         if column_types:
             w = w.option("createTableColumnTypes",
                          ", ".join(f"{_quote_ident(c)} {t}" for c, t in column_types.items()))
