@@ -109,23 +109,57 @@ def write_table(df: DataFrame, target: str, if_exists: str = "fail", jdbc: dict
 
 
 def truncate_table(spark: SparkSession, target: str, jdbc: dict | None = None) -> None:
-    """K6: remove all rows, keep the table definition."""
+    """K6: remove all rows, keep the table definition (a remote table gets a
+    ``TRUNCATE TABLE`` statement)."""
     if jdbc is not None:
-        schema = read_query(spark, jdbc, f"SELECT * FROM {_quote_ident(target)} WHERE 1 = 0").schema
-        (spark.createDataFrame([], schema).write.format("jdbc").options(**jdbc)
-         .option("dbtable", _quote_ident(target)).option("truncate", "true").mode("overwrite").save())
+        jdbc_execute(spark, jdbc, f"TRUNCATE TABLE {_quote_ident(target)}")
         return
     if spark.catalog.tableExists(target):
         spark.sql(f"TRUNCATE TABLE {_catalog_ident(target)}")
 
 
-def drop_table(spark: SparkSession, target: str) -> None:
-    """Drop a catalog table if present."""
+_CONNECTION_KEYS = {"url", "driver", "dbtable", "query"}
+
+
+def jdbc_execute(spark: SparkSession, jdbc: dict, stmt: str) -> int:
+    """Run one statement on the remote database from the driver.
+
+    Spark's JDBC source reads and writes tables but runs no DDL/DML, so
+    statements go through ``java.sql.DriverManager`` in the driver JVM; the
+    database does the work and only an update count comes back.
+    """
+    jvm = spark.sparkContext._jvm
+    if "driver" in jdbc:
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        jvm.java.lang.Class.forName(jdbc["driver"], True, loader)
+    props = jvm.java.util.Properties()
+    for k, v in jdbc.items():
+        if k not in _CONNECTION_KEYS:
+            props.setProperty(k, str(v))
+    conn = jvm.java.sql.DriverManager.getConnection(jdbc["url"], props)
+    try:
+        st = conn.createStatement()
+        try:
+            return int(st.executeUpdate(stmt))
+        finally:
+            st.close()
+    finally:
+        conn.close()
+
+
+def drop_table(spark: SparkSession, target: str, jdbc: dict | None = None) -> None:
+    """Drop a table: a catalog table if present, or a remote one."""
+    if jdbc is not None:
+        jdbc_execute(spark, jdbc, f"DROP TABLE {_quote_ident(target)}")
+        return
     spark.sql(f"DROP TABLE IF EXISTS {_catalog_ident(target)}")
 
 
-def run_statement(spark: SparkSession, stmt: str) -> DataFrame:
-    """Any other catalog statement, passed to Spark SQL."""
+def run_statement(spark: SparkSession, stmt: str, jdbc: dict | None = None):
+    """Any other statement: Spark SQL on the catalog (returns a frame),
+    or passed unchanged to the remote database (returns the update count)."""
+    if jdbc is not None:
+        return jdbc_execute(spark, jdbc, stmt)
     return spark.sql(stmt)
 
 
@@ -138,13 +172,21 @@ def keep_unless(df: DataFrame, predicate: Column | str) -> DataFrame:
     return df.filter(~F.coalesce(pred, F.lit(False)))
 
 
-def delete_where(spark: SparkSession, target: str, predicate: Column | str) -> None:
-    """Delete matching rows of a catalog table.
+def delete_where(spark: SparkSession, target: str, predicate: Column | str,
+                 jdbc: dict | None = None) -> None:
+    """Delete matching rows of a table.
 
-    Tables that support ``DELETE`` get it; plain file tables are rewritten:
-    kept rows go to ``<name>__new``, then the old table is dropped and the
-    new one renamed (not atomic; Spark cannot overwrite a table it reads).
+    Remote tables (``jdbc``, SQL text predicate) get a ``DELETE`` statement.
+    Catalog tables that support ``DELETE`` get it; plain file tables are
+    rewritten: kept rows go to ``<name>__new``, then the old table is dropped
+    and the new one renamed (not atomic; Spark cannot overwrite a table it
+    reads).
     """
+    if jdbc is not None:
+        if not isinstance(predicate, str):
+            raise ValueError("a remote delete needs the predicate as SQL text")
+        jdbc_execute(spark, jdbc, f"DELETE FROM {_quote_ident(target)} WHERE {predicate}")
+        return
     ident = _catalog_ident(target)
     if isinstance(predicate, str):
         try:

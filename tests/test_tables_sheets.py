@@ -93,3 +93,11 @@ def test_catalog_write_modes_present_and_absent(spark):
         write_table(df, name, "upsert")
     drop_table(spark, name)
     drop_table(spark, absent)
+
+
+def test_remote_statements_need_text_predicates(spark):
+    from tessera.sources.tables import delete_where as dw
+    with pytest.raises(ValueError):
+        dw(spark, "t", F.col("k") == 0, jdbc={"url": "jdbc:none:"})
+    with pytest.raises(ValueError):
+        dw(spark, "bad name;", "k = 0", jdbc={"url": "jdbc:none:"})
