@@ -93,3 +93,38 @@ def test_generated_methods_stay_jit_compilable(spark):
     df = spark.range(10).select((F.col("id") * 1.5).alias("lat"), (F.col("id") * -2.5).alias("lon"))
     q = geo_decode(geo_encode(df, "lat", "lon", 23), "GeoHash")
     assert _max_method_bytes(spark, q) < 8000
+
+
+def _exact_geohash(lat: Decimal, lon: Decimal, precision: int) -> str:
+    """Bisection on exact rationals (the published definition)."""
+    from fractions import Fraction
+    alphabet = "0123456789bcdefghjkmnpqrstuvwxyz"
+    lo_lat, hi_lat, lo_lon, hi_lon = Fraction(-90), Fraction(90), Fraction(-180), Fraction(180)
+    la, lo = Fraction(lat), Fraction(lon)
+    bits, out, even = [], [], True
+    while len(out) < precision:
+        if even:
+            mid = (lo_lon + hi_lon) / 2
+            bits.append(1 if lo >= mid else 0)
+            lo_lon, hi_lon = (mid, hi_lon) if lo >= mid else (lo_lon, mid)
+        else:
+            mid = (lo_lat + hi_lat) / 2
+            bits.append(1 if la >= mid else 0)
+            lo_lat, hi_lat = (mid, hi_lat) if la >= mid else (lo_lat, mid)
+        even = not even
+        if len(bits) == 5:
+            out.append(alphabet[int("".join(map(str, bits)), 2)])
+            bits = []
+    return "".join(out)
+
+
+def test_encode_matches_exact_bisection_at_many_precisions(spark):
+    import random
+    rng = random.Random(5)
+    pts = [(Decimal(rng.randint(-90_000_000, 89_999_999)) / 1_000_000,
+            Decimal(rng.randint(-180_000_000, 179_999_999)) / 1_000_000) for _ in range(40)]
+    pts += [(Decimal("0"), Decimal("0")), (Decimal("-90"), Decimal("-180")), (Decimal("89.999999"), Decimal("179.999999"))]
+    df = spark.createDataFrame([(str(a), str(b)) for a, b in pts], "lat string, lon string")
+    for p in (1, 11, 12, 13, 24, 25, 36):
+        got = [r["GeoHash"] for r in geo_encode(df, "lat", "lon", p).collect()]
+        assert got == [_exact_geohash(a, b, p) for a, b in pts], p
