@@ -164,15 +164,19 @@ def _apply_types(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, paths, na_tokens=DEFAULT_NA, schema: T.StructType | None = None,
-             infer: bool = True) -> DataFrame:
+             infer: bool = True, multi_line: bool = True) -> DataFrame:
     """CSV with a header row, UTF-8, quoted newlines and doubled quotes.
 
     All files given together must share one header (see ``read_many`` for
     mixed headers). Fields are read as text, NA tokens become NULL, then each
     column is typed from one aggregation pass unless ``schema`` is given.
+    Quoted newlines need ``multi_line`` parsing, which reads each file in one
+    task; for large files known to hold none, ``multi_line=False`` lets Spark
+    split every file across tasks.
     """
-    raw = (spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
-           .option("encoding", "UTF-8").option("inferSchema", "false").csv(_as_list(paths)))
+    raw = (spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
+           .option("escape", '"').option("encoding", "UTF-8").option("inferSchema", "false")
+           .csv(_as_list(paths)))
     raw = _null_tokens(raw, na_tokens)
     if schema is not None:
         return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])

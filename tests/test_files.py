@@ -152,3 +152,9 @@ def test_reference_style_workflow(spark, tmpdir_path):
     assert sorted((r["id"], r["v"]) for r in combined.collect()) == [(1, "x"), (2, "y"), (3, "z")]
     out = write_parquet(combined, f"{tmpdir_path}/out/", "combined.v2")
     assert read_parquet(spark, out).count() == 3
+
+
+def test_read_csv_split_mode(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/s.csv", "a,b\n" + "".join(f"{i},x{i}\n" for i in range(1000)))
+    df = read_csv(spark, f"{tmpdir_path}/s.csv", multi_line=False)
+    assert df.count() == 1000 and df.schema["a"].dataType == T.LongType()
