@@ -282,7 +282,7 @@ def _expand_dirs(spark: SparkSession, paths: list[str]) -> list[str]:
     return out
 
 
-def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA) -> DataFrame:
+def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi_line: bool = True) -> DataFrame:
     """Read many objects by suffix and concatenate them by column name.
 
     CSV files are grouped by header line (one scan per distinct header, so
@@ -300,7 +300,7 @@ def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA) -> Da
     for p, header in zip(csvs, _headers(spark, csvs)):
         by_header.setdefault(header, []).append(p)
     for group in by_header.values():
-        frames.append(read_csv(spark, group, na_tokens))
+        frames.append(read_csv(spark, group, na_tokens, multi_line=multi_line))
     if parquets:
         try:
             frames.append(read_parquet(spark, parquets, merge_schema=len(parquets) > 1))
