@@ -32,14 +32,19 @@ def main() -> int:
     qs = queries()
     names = only or list(qs)
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
         fn = qs[name]
         samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # first run warms up code generation and the file cache
-                samples.append(time.perf_counter() - t0)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:  # first run warms up code generation and the file cache
+                    samples.append(time.perf_counter() - t0)
+        except Exception as e:  # report and go on: one JSON line in any case
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         timings[name] = round(statistics.median(samples), 4)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
@@ -50,6 +55,7 @@ def main() -> int:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
         "runs": runs,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
     return 0
