@@ -121,7 +121,7 @@ def geohash_sql(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> str:
 
 def geohash(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> Column:
     """P5 as a Column over two column names: geohash text, or ``"unknown"``
-    when a coordinate is NULL, malformed or outside [-90, 90] x [-180, 180].
+    when a coordinate is NULL (F5), malformed or outside [-90, 90] x [-180, 180].
     The upper edges 90 and 180 are clamped one micro-degree inward (they
     would wrap to the lower edge).
 
@@ -192,7 +192,8 @@ def geo_decode(df: DataFrame, code: str, exact: bool = False,
     """Add the cell centre of ``code`` as ``Latitude``/``Longitude``.
 
     FLOAT like the reference by default, DOUBLE with ``exact=True``.
-    ``"unknown"``, NULL and codes with letters outside the alphabet give NULLs.
+    ``"unknown"`` (F6), NULL (F5) and codes with letters outside the
+    alphabet give NULLs.
     Per-row projection: no row index and no join, unlike the reference.
     """
     p = geohash_parts(code)

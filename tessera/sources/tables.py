@@ -148,7 +148,8 @@ def jdbc_execute(spark: SparkSession, jdbc: dict, stmt: str) -> int:
 
 
 def drop_table(spark: SparkSession, target: str, jdbc: dict | None = None) -> None:
-    """Drop a table: a catalog table if present, or a remote one."""
+    """Drop a table: a catalog table if present (F7, ``IF EXISTS``), or a
+    remote one."""
     if jdbc is not None:
         jdbc_execute(spark, jdbc, f"DROP TABLE {_quote_ident(target)}")
         return
