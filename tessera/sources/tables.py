@@ -79,7 +79,8 @@ def sql_query(spark: SparkSession, sql: str, args: dict | None = None,
 
 def write_table(df: DataFrame, target: str, if_exists: str = "fail", jdbc: dict | None = None,
                 column_types: dict[str, str] | None = None, partition_by: list[str] | None = None,
-                max_connections: int = 16, batch_size: int = 10_000) -> None:
+                max_connections: int = 16, batch_size: int = 10_000, index: str | None = None,
+                index_order=None) -> None:
     """Write with ``fail`` / ``replace`` / ``append``.
 
     ``jdbc`` given: a JDBC table (``replace`` drops and recreates, as
@@ -87,10 +88,15 @@ def write_table(df: DataFrame, target: str, if_exists: str = "fail", jdbc: dict
     partition writes over its own connection, so at most
     ``max_connections`` partitions write at once (Spark coalesces to that
     many), in batches of ``batch_size`` rows. Otherwise a catalog table
-    (``saveAsTable``).
+    (``saveAsTable``). ``index`` names a 0-based row-index column to add
+    first (the pandas ``index=True`` of the original), numbered in
+    ``index_order`` or scan order (P10).
     """
     if if_exists not in IF_EXISTS_MODES:
         raise ValueError(f"if_exists must be one of {sorted(IF_EXISTS_MODES)}")
+    if index is not None:
+        from tessera.operators.reshape import with_row_index
+        df = with_row_index(df, index, index_order)
     mode = IF_EXISTS_MODES[if_exists]
     if jdbc is not None:
         w = (df.write.format("jdbc").options(**jdbc).option("dbtable", _quote_ident(target)).mode(mode)

@@ -101,3 +101,11 @@ def test_remote_statements_need_text_predicates(spark):
         dw(spark, "t", F.col("k") == 0, jdbc={"url": "jdbc:none:"})
     with pytest.raises(ValueError):
         dw(spark, "bad name;", "k = 0", jdbc={"url": "jdbc:none:"})
+
+
+def test_write_table_with_index_column(spark):
+    name = f"tix_{uuid.uuid4().hex[:6]}"
+    df = spark.createDataFrame([("b",), ("a",), ("c",)], "s string")
+    write_table(df, name, "replace", index="index", index_order=["s"])
+    assert sorted((r["index"], r["s"]) for r in spark.table(name).collect()) == [(0, "a"), (1, "b"), (2, "c")]
+    drop_table(spark, name)
