@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from tessera.functions.columns import as_column as _col
 from pyspark.sql.types import DecimalType
 
 # The published geohash base-32 alphabet and the sentinel the
@@ -39,10 +41,6 @@ _CHARS_PER_CHUNK = 12
 _CHUNK_BITS = 30
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def to_coord(c) -> Column:
     """Coordinate as DECIMAL(10,6); malformed text, NaN and overflow -> NULL."""
     return _col(c).try_cast(DecimalType(10, 6))

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from tessera.functions.columns import as_column as _col
 
 
 def parse_doc(c) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import as_column as _col
+
 # The object-store scheme the reference strips, and the
 # suffixes it reads (CSV; Parquet under three names) plus the two document
 # kinds it writes and reads one by one (.dict JSON, .txt lines).
@@ -15,10 +17,6 @@ JSON_SUFFIXES = (".dict",)
 TEXT_SUFFIXES = (".txt",)
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def parse_object_path(c) -> Column:
     """``s3://bucket/key`` (or ``bucket/key``) -> struct<bucket, key>.
 

@@ -6,15 +6,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from tessera.functions.columns import as_column as _col
 from pyspark.sql import types as T
 
 from tessera.session import cut_lineage
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _keep(df: DataFrame, drop: set[str]) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns if c not in drop]
 
