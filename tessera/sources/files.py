@@ -198,8 +198,15 @@ def csv_header(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+_DISTRIBUTED_HEADERS = 5000  # below this, direct reads beat Spark's per-path file index
+
+
 def _headers(spark: SparkSession, paths: list[str], threads: int = 32) -> list[str]:
-    """First lines of many files, read concurrently (one small read each)."""
+    """First lines of many files: a few are read from the driver concurrently
+    (one small read each); beyond ``_DISTRIBUTED_HEADERS`` files one Spark
+    job reads them on the executors."""
+    if len(paths) > _DISTRIBUTED_HEADERS:
+        return _headers_distributed(spark, paths)
     if len(paths) <= 1:
         return [csv_header(spark, p) for p in paths]
     from concurrent.futures import ThreadPoolExecutor
@@ -207,6 +214,34 @@ def _headers(spark: SparkSession, paths: list[str], threads: int = 32) -> list[s
         return list(pool.map(lambda p: csv_header(spark, p), paths))
 
 
+def _path_forms(p: str) -> list[str]:
+    forms = [p]
+    if p.startswith("/"):
+        forms.append("file:" + p)
+    if p.startswith("file:///"):
+        forms.append("file:/" + p[len("file:///"):])
+    return forms
+
+
+def _headers_distributed(spark: SparkSession, paths: list[str]) -> list[str]:
+    """First line of every file in one job: the text scan marks the split
+    each row comes from, the split starting at byte 0 holds the first line,
+    and the earliest row of that split per file is kept (rows of one split
+    keep their order within the task). Files without lines get ``""``."""
+    from urllib.parse import unquote
+    first = (spark.read.text(paths)
+             .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_block_start").alias("b"),
+                     "value", F.monotonically_increasing_id().alias("o"))
+             .where(F.col("b") == 0)
+             .groupBy("p").agg(F.min_by("value", "o").alias("h")))
+    found = {unquote(r["p"]): r["h"] for r in first.collect()}
+    out = []
+    for p in paths:
+        header = next((found[f] for f in _path_forms(p) if f in found), "")
+        out.append(header)
+    return out
+
+
 # ----------------------------------------------------------------- parquet
 
 def read_parquet(spark: SparkSession, paths, merge_schema: bool = False) -> DataFrame:

@@ -158,3 +158,19 @@ def test_read_csv_split_mode(spark, tmpdir_path):
     _write(f"{tmpdir_path}/s.csv", "a,b\n" + "".join(f"{i},x{i}\n" for i in range(1000)))
     df = read_csv(spark, f"{tmpdir_path}/s.csv", multi_line=False)
     assert df.count() == 1000 and df.schema["a"].dataType == T.LongType()
+
+
+def test_distributed_header_grouping(spark, tmpdir_path, monkeypatch):
+    import tessera.sources.files as files
+    monkeypatch.setattr(files, "_DISTRIBUTED_HEADERS", 2)  # force the Spark-job path
+    _write(f"{tmpdir_path}/h/a b.csv", "id,v\n1,x\n")
+    _write(f"{tmpdir_path}/h/c%d.csv", "id,w\n2,y\n")
+    _write(f"{tmpdir_path}/h/e.csv", "id,v\n3,z\n")
+    _write(f"{tmpdir_path}/h/empty.csv", "")
+    paths = [f"{tmpdir_path}/h/{n}" for n in ("a b.csv", "c%d.csv", "e.csv", "empty.csv")]
+    assert files._headers(spark, paths) == ["id,v", "id,w", "id,v", ""]
+    listing_paths = [r[0] for r in list_files(spark, f"{tmpdir_path}/h").collect()]
+    got = dict(zip(listing_paths, files._headers(spark, listing_paths)))
+    assert sorted(got.values()) == ["", "id,v", "id,v", "id,w"]
+    df = read_many(spark, [p for p in paths if not p.endswith("empty.csv")])
+    assert sorted((r["id"], r["v"], r["w"]) for r in df.collect()) == [(1, "x", None), (2, None, "y"), (3, "z", None)]
