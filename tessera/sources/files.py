@@ -80,7 +80,6 @@ def list_files(spark: SparkSession, root: str, prefix: str = "", include_empty:
         return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
                 .select("path", "length", "modificationTime"))
     jvm = spark.sparkContext._jvm
-    gateway = spark.sparkContext._gateway
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     glob = jvm.org.apache.hadoop.fs.Path(pattern)
     fs = glob.getFileSystem(conf)
@@ -112,37 +111,41 @@ def _walk(spark: SparkSession, fs, level: list[tuple[str, bool, int, int]]) -> l
 # --------------------------------------------------------------------- CSV
 
 def _null_tokens(df: DataFrame, na_tokens) -> DataFrame:
-    toks = [t for t in na_tokens]
+    toks = list(na_tokens)
     return df.select(*[F.when(F.col(f"`{c}`").isin(toks), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c)
                        for c in df.columns])
 
 
 def infer_types(df: DataFrame) -> dict[str, T.DataType]:
     """One aggregation pass choosing BIGINT -> DOUBLE -> BOOLEAN -> STRING per
-    string column, as pandas would (an all-missing column stays STRING)."""
+    string column, as pandas would (an all-missing column stays STRING).
+
+    Each value becomes a bit mask of the types it parses as (1 integer,
+    2 double, 4 boolean); AND-ing the masks of a column keeps the types
+    every value allows, so one aggregate per column decides.
+    """
+    if not df.columns:
+        return {}
     aggs = []
-    for c in df.columns:
+    for i, c in enumerate(df.columns):
         v = F.col(f"`{c}`")
-        ok_int = v.rlike(_INT_RE) & v.try_cast("bigint").isNotNull()
-        ok_dbl = v.rlike(_FLOAT_RE) & v.try_cast("double").isNotNull()
-        ok_bool = v.rlike(_BOOL_RE)
-        aggs += [F.count(v).alias(f"n{len(aggs)}"),
-                 F.count(F.when(ok_int, 1)).alias(f"n{len(aggs) + 1}"),
-                 F.count(F.when(ok_dbl, 1)).alias(f"n{len(aggs) + 2}"),
-                 F.count(F.when(ok_bool, 1)).alias(f"n{len(aggs) + 3}")]
-    if not aggs:
-        return {}
+        is_int = v.rlike(_INT_RE) & v.try_cast("bigint").isNotNull()
+        is_dbl = v.rlike(_FLOAT_RE) & v.try_cast("double").isNotNull()
+        is_bool = v.rlike(_BOOL_RE)
+        mask = (F.when(is_int, 1).otherwise(0) + F.when(is_dbl, 2).otherwise(0)
+                + F.when(is_bool, 4).otherwise(0))
+        aggs.append(F.bit_and(F.when(v.isNotNull(), mask)).alias(f"m{i}"))
     row = df.agg(*aggs).first()
     out = {}
     for i, c in enumerate(df.columns):
-        n, ni, nd, nb = row[4 * i], row[4 * i + 1], row[4 * i + 2], row[4 * i + 3]
-        if n == 0:
+        m = row[i]
+        if m is None:
             out[c] = T.StringType()
-        elif ni == n:
+        elif m & 1:
             out[c] = T.LongType()
-        elif nd == n:
+        elif m & 2:
             out[c] = T.DoubleType()
-        elif nb == n:
+        elif m & 4:
             out[c] = T.BooleanType()
         else:
             out[c] = T.StringType()

@@ -174,3 +174,13 @@ def test_distributed_header_grouping(spark, tmpdir_path, monkeypatch):
     assert sorted(got.values()) == ["", "id,v", "id,v", "id,w"]
     df = read_many(spark, [p for p in paths if not p.endswith("empty.csv")])
     assert sorted((r["id"], r["v"], r["w"]) for r in df.collect()) == [(1, "x", None), (2, None, "y"), (3, "z", None)]
+
+
+def test_infer_types_mixed_columns(spark):
+    from tessera.sources.files import infer_types
+    df = spark.createDataFrame(
+        [("1", "1", "true", None, "x", " 7 "), ("2.5", "1e3", "1", None, "1", "8")],
+        "a string, b string, c string, d string, e string, f string")
+    t = infer_types(df)
+    assert t == {"a": T.DoubleType(), "b": T.DoubleType(), "c": T.StringType(), "d": T.StringType(),
+                 "e": T.StringType(), "f": T.LongType()}
