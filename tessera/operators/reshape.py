@@ -51,12 +51,22 @@ def collect_vocabulary(df: DataFrame, col: str, max_labels: int = 1000) -> list[
     return sorted(r[0] for r in rows)
 
 
+_MASK_BITS = 31
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def multi_hot(df: DataFrame, col: str, vocabulary: list[str] | None = None,
               max_labels: int = 1000, drop: bool = True) -> DataFrame:
-    """A3: one 0/1 INT column per label, all in a single projection.
+    """A3: one 0/1 INT column per label.
 
-    A NULL array, or a NULL element without a match, gives 0. A label equal
-    to an existing column name is rejected.
+    Each row's array is folded once into INT masks (31 labels each): an
+    element sets the bit of its label's position. Every label column is then
+    a shift and a mask, so the generated code stays small however many
+    labels there are. A NULL array, NULL elements and unknown elements set
+    no bit (0). A label equal to an existing column name is rejected.
     """
     labels = list(vocabulary) if vocabulary is not None else collect_vocabulary(df, col, max_labels)
     clash = set(labels) & (set(df.columns) - {col})
@@ -64,8 +74,21 @@ def multi_hot(df: DataFrame, col: str, vocabulary: list[str] | None = None,
         raise ValueError(f"labels collide with columns: {sorted(clash)}")
     if len(set(labels)) != len(labels):
         raise ValueError("duplicate labels")
-    flags = [F.coalesce(F.array_contains(col, F.lit(v)), F.lit(False)).cast("int").alias(v) for v in labels]
-    return df.select(*_keep(df, {col} if drop else set()), *flags)
+    keep = _keep(df, {col} if drop else set())
+    ref = "`" + col.replace("`", "``") + "`"
+    masks = []
+    for k in range(0, len(labels), _MASK_BITS):
+        chunk = "array(" + ", ".join(_sql_str(v) for v in labels[k:k + _MASK_BITS]) + ")"
+        pos = f"coalesce(CAST(array_position({chunk}, e) AS INT), 0)"
+        masks.append(F.expr(
+            f"coalesce(aggregate(coalesce({ref}, array()), 0, "
+            f"(acc, e) -> CASE WHEN {pos} > 0 THEN acc | shiftleft(1, {pos} - 1) ELSE acc END), "
+            f"0)"  # non-nullable: the flag code needs no null branches
+        ).alias(f"__mh{k // _MASK_BITS}"))
+    staged = df.select(*[F.col(f"`{c}`") for c in df.columns], *masks)
+    flags = [F.shiftright(F.col(f"__mh{i // _MASK_BITS}"), i % _MASK_BITS).bitwiseAND(1).alias(v)
+             for i, v in enumerate(labels)]
+    return staged.select(*keep, *flags)
 
 
 # ------------------------------------------------------------------ unions
