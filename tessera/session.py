@@ -16,6 +16,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8000 bytes; with this limit a
+    # stage whose generated method would be larger runs without whole-stage
+    # codegen (split, compilable methods) instead of in the interpreter
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

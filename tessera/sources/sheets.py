@@ -57,14 +57,17 @@ def sheet_to_table(df: DataFrame, col: str, titles: list[str] | None = None,
     keep = keep or []
     exploded = df.select(*keep, s["columns"]["title"].alias("__titles"),
                          F.posexplode(s["rows"]).alias("__pos", "__row"))
-    cells = F.col("__row")["cells"]
+    # one pass per row puts the values in title order; each output column is
+    # then an array element, which keeps the generated code small for wide sheets
+    wanted = F.array(*[F.lit(t) for t in titles])
+    values = F.transform(wanted, lambda t: F.get(
+        F.col("__row")["cells"], F.array_position(F.col("__titles"), t).cast("int") - 1)["value"])
+    staged = exploded.select(*[F.col(k) for k in keep], "__pos", values.alias("__vals"))
     out = [F.col(k) for k in keep]
     if row_index:
         out.append(F.col("__pos").alias(row_index))
-    for t in titles:
-        i = F.array_position(F.col("__titles"), F.lit(t)).cast("int") - 1
-        out.append(F.get(cells, i)["value"].alias(t))
-    return exploded.select(*out)
+    out += [F.get(F.col("__vals"), i).alias(t) for i, t in enumerate(titles)]
+    return staged.select(*out)
 
 
 def pack_sheets(df: DataFrame, sheet_id: Column, order_by: str, columns: list[str]) -> DataFrame:
