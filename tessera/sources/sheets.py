@@ -15,6 +15,11 @@ SHEET_SCHEMA = T.StructType([
 ])
 
 
+# Up to this many titles a per-title lookup is used (about 330 bytes of
+# generated code each, below the 8000-byte JIT limit in total).
+_DIRECT_TITLES = 20
+
+
 def _sheet(df: DataFrame, col: str) -> Column:
     dt = df.schema[col].dataType
     if isinstance(dt, T.StringType):
@@ -57,15 +62,23 @@ def sheet_to_table(df: DataFrame, col: str, titles: list[str] | None = None,
     keep = keep or []
     exploded = df.select(*keep, s["columns"]["title"].alias("__titles"),
                          F.posexplode(s["rows"]).alias("__pos", "__row"))
-    # one pass per row puts the values in title order; each output column is
-    # then an array element, which keeps the generated code small for wide sheets
-    wanted = F.array(*[F.lit(t) for t in titles])
-    values = F.transform(wanted, lambda t: F.get(
-        F.col("__row")["cells"], F.array_position(F.col("__titles"), t).cast("int") - 1)["value"])
-    staged = exploded.select(*[F.col(k) for k in keep], "__pos", values.alias("__vals"))
     out = [F.col(k) for k in keep]
     if row_index:
         out.append(F.col("__pos").alias(row_index))
+    cells = F.col("__row")["cells"]
+    if len(titles) <= _DIRECT_TITLES:
+        # a lookup per title: fastest while the generated code stays small
+        for t in titles:
+            i = F.array_position(F.col("__titles"), F.lit(t)).cast("int") - 1
+            out.append(F.get(cells, i)["value"].alias(t))
+        return exploded.select(*out)
+    # wide sheets: one pass per row puts the values in title order and each
+    # output column is an array element, so the generated code stays below
+    # the JIT limit (a lookup per title would not)
+    wanted = F.array(*[F.lit(t) for t in titles])
+    values = F.transform(wanted, lambda t: F.get(cells, F.array_position(F.col("__titles"), t).cast("int") - 1)["value"])
+    staged = exploded.select(*[F.col(k) for k in keep], "__pos", values.alias("__vals"))
+    out = [F.col(k) for k in keep] + ([F.col("__pos").alias(row_index)] if row_index else [])
     out += [F.get(F.col("__vals"), i).alias(t) for i, t in enumerate(titles)]
     return staged.select(*out)
 

@@ -109,3 +109,14 @@ def test_write_table_with_index_column(spark):
     write_table(df, name, "replace", index="index", index_order=["s"])
     assert sorted((r["index"], r["s"]) for r in spark.table(name).collect()) == [(0, "a"), (1, "b"), (2, "c")]
     drop_table(spark, name)
+
+
+def test_wide_sheet_matches_positions(spark):
+    n = 45  # above the direct-lookup threshold
+    titles = [{"title": f"T{i}"} for i in range(n)]
+    rows = [{"cells": [{"value": f"{r}-{i}"} for i in range(n - (r % 3))]} for r in range(5)]
+    df = spark.createDataFrame([(json.dumps({"columns": titles, "rows": rows}),)], "sheet string")
+    out = sorted(sheet_to_table(df, "sheet").collect(), key=lambda r: r["row_index"])
+    for r in out:
+        k = r["row_index"]
+        assert [r[f"T{i}"] for i in range(n)] == [f"{k}-{i}" if i < n - (k % 3) else None for i in range(n)]
