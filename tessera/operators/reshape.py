@@ -52,6 +52,9 @@ def collect_vocabulary(df: DataFrame, col: str, max_labels: int = 1000) -> list[
 
 
 _MASK_BITS = 31
+# Up to this many labels a membership test per label is used (about 190
+# bytes of generated code each, below the 8000-byte JIT limit in total).
+_DIRECT_LABELS = 32
 
 
 def _sql_str(v: str) -> str:
@@ -62,11 +65,12 @@ def multi_hot(df: DataFrame, col: str, vocabulary: list[str] | None = None,
               max_labels: int = 1000, drop: bool = True) -> DataFrame:
     """A3: one 0/1 INT column per label.
 
-    Each row's array is folded once into INT masks (31 labels each): an
-    element sets the bit of its label's position. Every label column is then
-    a shift and a mask, so the generated code stays small however many
-    labels there are. A NULL array, NULL elements and unknown elements set
-    no bit (0). A label equal to an existing column name is rejected.
+    Up to 32 labels, each column is a membership test. Beyond that, each
+    row's array is folded once into INT masks (31 labels each): an element
+    sets the bit of its label's position, and every label column is a shift
+    and a mask, so the generated code stays small however many labels there
+    are. A NULL array, NULL elements and unknown elements give 0. A label
+    equal to an existing column name is rejected.
     """
     labels = list(vocabulary) if vocabulary is not None else collect_vocabulary(df, col, max_labels)
     clash = set(labels) & (set(df.columns) - {col})
@@ -75,6 +79,11 @@ def multi_hot(df: DataFrame, col: str, vocabulary: list[str] | None = None,
     if len(set(labels)) != len(labels):
         raise ValueError("duplicate labels")
     keep = _keep(df, {col} if drop else set())
+    if len(labels) <= _DIRECT_LABELS:
+        # one membership test per label: fastest while the code stays small
+        flags = [F.coalesce(F.array_contains(col, F.lit(v)), F.lit(False)).cast("int").alias(v)
+                 for v in labels]
+        return df.select(*keep, *flags)
     ref = "`" + col.replace("`", "``") + "`"
     masks = []
     for k in range(0, len(labels), _MASK_BITS):
