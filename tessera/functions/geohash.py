@@ -111,10 +111,16 @@ def geohash_sql(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> str:
     """P5 as SQL text over two SQL expressions (see ``geohash``)."""
     if precision < 1:
         raise ValueError("precision must be >= 1")
-    x, y, valid = _offsets_sql(lat, lon)
+    x, y, _ = _offsets_sql(lat, lon)
     n = _n_chunks(precision)
-    chars = _chars_sql(_chunks_sql(f"({x})", _LAT_SPAN, n), _chunks_sql(f"({y})", _LON_SPAN, n), precision)
-    return f"CASE WHEN {valid} THEN {chars} ELSE '{UNKNOWN}' END"
+    # Offsets and chunks are bound as lambda variables, so each is computed
+    # once per row; inlined, the bit spreads would copy them dozens of times.
+    chunks = ", ".join([f"'la{k}', {e}" for k, e in enumerate(_chunks_sql("o.x", _LAT_SPAN, n))]
+                       + [f"'lo{k}', {e}" for k, e in enumerate(_chunks_sql("o.y", _LON_SPAN, n))])
+    chars = _chars_sql([f"c.la{k}" for k in range(n)], [f"c.lo{k}" for k in range(n)], precision)
+    inner = f"transform(array(named_struct({chunks})), c -> {chars})[0]"
+    return (f"transform(array(named_struct('x', {x}, 'y', {y})), "
+            f"o -> CASE WHEN o.x IS NULL THEN '{UNKNOWN}' ELSE {inner} END)[0]")
 
 
 def geohash(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> Column:
@@ -124,9 +130,10 @@ def geohash(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> Column:
     would wrap to the lower edge).
 
     The expression is generated as SQL text and parsed once (building it
-    node by node from Python costs far more than running it). ``geo_encode``
-    additionally computes the offsets in a projection of their own, which
-    keeps the generated code small.
+    node by node from Python costs far more than running it). Intermediate
+    values are bound as lambda variables, which Spark evaluates without
+    generated code; ``geo_encode`` stages them as projections instead and
+    stays in whole-stage codegen, so prefer it for large inputs.
     """
     return F.expr(geohash_sql(_ref(lat), _ref(lon), precision))
 

@@ -128,3 +128,11 @@ def test_encode_matches_exact_bisection_at_many_precisions(spark):
     for p in (1, 11, 12, 13, 24, 25, 36):
         got = [r["GeoHash"] for r in geo_encode(df, "lat", "lon", p).collect()]
         assert got == [_exact_geohash(a, b, p) for a, b in pts], p
+
+
+def test_column_form_binds_intermediates_once():
+    # the offsets appear a fixed number of times, not once per bit spread
+    from tessera.functions.geohash import geohash_sql
+    for p in (5, 23, 36):
+        sql = geohash_sql("`a`", "`b`", p)
+        assert sql.count("`a`") <= 4 and sql.count("`b`") <= 4, p
