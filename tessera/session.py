@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     # stage whose generated method would be larger runs without whole-stage
     # codegen (split, compilable methods) instead of in the interpreter
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # checkpoint files are removed once the frames using them are collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
