@@ -22,7 +22,19 @@ from tessera.operators.skew import DEFAULT_HOT_ROWS, join_distinct
 from tessera.session import cut_lineage
 
 
-def _lookup_fn(keys: list[str], fn: Callable, client_factory: Callable | None, out_fields: list[str]):
+def _lookup_fn(keys: list[str], fn: Callable, client_factory: Callable | None, out_fields: list[str],
+               retries: int = 0, backoff_s: float = 0.5):
+    import time
+
+    def call(client, rec):
+        for attempt in range(retries + 1):
+            try:
+                return fn(client, rec) if client_factory else fn(rec)
+            except Exception:
+                if attempt == retries:
+                    raise
+                time.sleep(backoff_s * (2 ** attempt))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory() if client_factory else None
         for pdf in batches:
@@ -30,7 +42,7 @@ def _lookup_fn(keys: list[str], fn: Callable, client_factory: Callable | None, o
             for rec in pdf.to_dict("records"):
                 out = {k: rec[k] for k in keys}
                 try:
-                    res = fn(client, rec) if client_factory else fn(rec)
+                    res = call(client, rec)
                     for f in out_fields:
                         out[f] = (res or {}).get(f)
                     out["error"] = None
@@ -45,30 +57,33 @@ def _lookup_fn(keys: list[str], fn: Callable, client_factory: Callable | None, o
 
 def lookup_table(df: DataFrame, keys: list[str], fn: Callable, schema: T.StructType,
                  client_factory: Callable | None = None, checkpoint: bool = True,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, retries: int = 0, backoff_s: float = 0.5) -> DataFrame:
     """Distinct keys -> one call each -> ``keys + schema fields + error``.
 
     Keys with a NULL part are still looked up once (the service decides).
+    A failing call is retried ``retries`` times with exponential backoff
+    before its error is recorded.
     """
     distinct = df.select(*keys).distinct()
     if partitions:
         distinct = distinct.repartition(partitions, *keys)
     key_fields = [df.schema[k] for k in keys]
     out_schema = T.StructType(key_fields + list(schema.fields) + [T.StructField("error", T.StringType())])
-    looked = distinct.mapInPandas(_lookup_fn(keys, fn, client_factory, [f.name for f in schema.fields]),
-                                  out_schema)
+    looked = distinct.mapInPandas(_lookup_fn(keys, fn, client_factory, [f.name for f in schema.fields],
+                                             retries, backoff_s), out_schema)
     return cut_lineage(looked) if checkpoint else looked
 
 
 def enrich(df: DataFrame, keys: list[str], fn: Callable, schema: T.StructType,
            client_factory: Callable | None = None, checkpoint: bool = True,
-           observation: Observation | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+           observation: Observation | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
+           retries: int = 0, backoff_s: float = 0.5) -> DataFrame:
     """Add the service result for each row's key (NULL keys included,
     matched null-safely). A key carried by a large share of the rows is
     split over salt buckets in the join back (``join_distinct``). With
     ``observation``, the number of failed rows (C3, ``skipped``) is recorded
     when the result is computed."""
-    table = lookup_table(df, keys, fn, schema, client_factory, checkpoint)
+    table = lookup_table(df, keys, fn, schema, client_factory, checkpoint, retries=retries, backoff_s=backoff_s)
     joined = join_distinct(df, table, keys, "left", null_safe=True, hot_rows=hot_rows)
     if observation is not None:
         joined = joined.observe(observation, F.count(F.col("error")).alias("skipped"),

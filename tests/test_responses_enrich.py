@@ -99,3 +99,22 @@ def test_join_distinct_splits_a_hot_key(spark):
     assert got == {1: 2000, 2: 1, None: 999, 3: 50}
     strict = join_distinct(big, small, ["k"], "inner", hot_rows=100).count()
     assert strict == 2001
+
+
+def test_enrich_retries_transient_failures(spark):
+    class Flaky:
+        def __init__(self):
+            self.seen = set()
+
+    def service(client, rec):
+        if rec["k"] not in client.seen:  # first call per key fails
+            client.seen.add(rec["k"])
+            raise TimeoutError("try again")
+        return {"v": rec["k"] * 2}
+
+    df = spark.createDataFrame([(1,), (2,), (2,)], "k int")
+    schema = T.StructType([T.StructField("v", T.IntegerType())])
+    ok = enrich(df, ["k"], service, schema, client_factory=Flaky, retries=1, backoff_s=0.01).collect()
+    assert sorted((r["k"], r["v"], r["error"]) for r in ok) == [(1, 2, None), (2, 4, None), (2, 4, None)]
+    failed = enrich(df, ["k"], service, schema, client_factory=Flaky).collect()
+    assert all(r["error"].startswith("TimeoutError") for r in failed)
