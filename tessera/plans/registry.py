@@ -463,6 +463,15 @@ def q_reverse_geocode(spark, sf_dir):
             .select("c_custkey", "s_suppkey", "address_rank"))
 
 
+def q_reverse_geocode_outward(spark, sf_dir):
+    """[J3, L1] the 2 nearest suppliers within 2 km, searched outward from 10 m."""
+    pts = _near_points(spark, sf_dir)
+    addr = _near_places(spark, sf_dir, "supplier", "s_suppkey", "gmaps_lat", "gmaps_long")
+    return (reverse_geocode(pts, addr, "lat", "long", "s_suppkey", k=2, max_m=2000.0, point_key="c_custkey",
+                            start_m=10.0)
+            .select("c_custkey", "s_suppkey", "address_rank"))
+
+
 _SQL_NEAR_POINTS = """SELECT c_custkey, 40 + ((c_custkey * 7919) % 10007) * CAST(1e-6 AS DOUBLE) AS lat,
        -75 + ((c_custkey * 104729) % 10009) * CAST(1e-6 AS DOUBLE) AS lon FROM customer"""
 
@@ -480,6 +489,16 @@ SELECT c_custkey, p_partkey FROM ({_SQL_NEAR_POINTS}) p, ({_sql_near_places("par
 WHERE {_SQL_HAVERSINE} <= 25
 """
 
+_SQL_REVERSE_GEOCODE_OUTWARD = f"""
+SELECT c_custkey, s_suppkey, address_rank FROM (
+  SELECT c_custkey, s_suppkey,
+         CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY d, s_suppkey) - 1 AS INTEGER) AS address_rank
+  FROM (SELECT c_custkey, s_suppkey, {_SQL_HAVERSINE} AS d
+        FROM ({_SQL_NEAR_POINTS}) p, ({_sql_near_places("supplier", "s_suppkey")}) q)
+  WHERE d <= 2000)
+WHERE address_rank < 2
+"""
+
 _SQL_REVERSE_GEOCODE = f"""
 SELECT c_custkey, s_suppkey, address_rank FROM (
   SELECT c_custkey, s_suppkey,
@@ -730,6 +749,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_query": q_sql_query,
     "places_nearby": q_places_nearby,
     "reverse_geocode": q_reverse_geocode,
+    "reverse_geocode_outward": q_reverse_geocode_outward,
     "flatten_places": q_flatten_places,
     "flatten_geocode": q_flatten_geocode,
     "enrich_lookup": q_enrich_lookup,
@@ -764,6 +784,7 @@ _ORACLE: dict[str, str] = {
     "sql_query": _SQL_REVENUE,
     "places_nearby": _SQL_PLACES_NEARBY,
     "reverse_geocode": _SQL_REVERSE_GEOCODE,
+    "reverse_geocode_outward": _SQL_REVERSE_GEOCODE_OUTWARD,
     "flatten_places": _SQL_FLATTEN_PLACES,
     "flatten_geocode": _SQL_FLATTEN_GEOCODE,
     "enrich_lookup": _SQL_ENRICH_LOOKUP,
