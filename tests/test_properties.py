@@ -60,3 +60,63 @@ def test_csv_round_trip_preserves_text(spark, rows):
     back = read_csv(spark, target, na_tokens=(), infer=False)
     assert sorted(tuple(r) for r in back.collect()) == sorted((a, b) for a, b in rows)
     assert os.path.isdir(target)
+
+
+_TOKENS = {
+    "int": st.integers(-10**9, 10**9).map(str),
+    "float": st.floats(-1e6, 1e6, allow_nan=False).map(lambda f: f"{f:.3f}"),
+    "bool": st.sampled_from(["True", "False", "true", "false", "TRUE", "FALSE"]),
+    "text": st.text(alphabet="abcxyz", min_size=1, max_size=5).filter(
+        lambda t: t.lower() not in ("nan", "null", "none", "true", "false", "inf")),
+}
+_NA = st.sampled_from(["", "NA", "null", "NaN", "N/A"])
+
+
+@st.composite
+def csv_tables(draw):
+    kinds = draw(st.lists(st.sampled_from(sorted(_TOKENS)), min_size=1, max_size=4))
+    n = draw(st.integers(1, 8))
+    rows = []
+    for _ in range(n):
+        rows.append([draw(st.one_of(_TOKENS[k], _NA) if draw(st.booleans()) else _TOKENS[k]) for k in kinds])
+    return kinds, rows
+
+
+@settings(max_examples=12, deadline=None)
+@given(csv_tables())
+def test_csv_typing_agrees_with_pandas(spark, table):
+    import io
+    import math
+    import tempfile
+
+    import pandas as pd
+    kinds, rows = table
+    text = ",".join(f"c{i}" for i in range(len(kinds))) + "\n" + "\n".join(",".join(r) for r in rows) + "\n"
+    path = tempfile.mkdtemp(prefix="tessera-pd-") + "/t.csv"
+    with open(path, "w") as f:
+        f.write(text)
+    ours = read_csv(spark, path)
+    theirs = pd.read_csv(io.StringIO(text))
+    for i in range(len(kinds)):
+        c = f"c{i}"
+        ptype = theirs[c].dtype
+        stype = ours.schema[c].dataType
+        if ptype.kind == "i":
+            assert stype == T.LongType(), (c, ptype, stype)
+        elif ptype.kind == "f":
+            # pandas turns integers with gaps into floats; this engine keeps BIGINT
+            assert stype in (T.DoubleType(), T.LongType()), (c, ptype, stype)
+        elif ptype.kind == "b":
+            assert stype == T.BooleanType(), (c, ptype, stype)
+        else:
+            assert stype in (T.StringType(), T.BooleanType()), (c, ptype, stype)
+    got = ours.collect()
+    for r_idx, r in enumerate(got):
+        for i in range(len(kinds)):
+            mine, want = r[f"c{i}"], theirs.iloc[r_idx, i]
+            if want is None or (isinstance(want, float) and math.isnan(want)):
+                assert mine is None
+            elif isinstance(mine, bool) or isinstance(mine, str):
+                assert str(mine).lower() == str(want).lower()
+            else:
+                assert abs(float(mine) - float(want)) <= 1e-9 * max(1.0, abs(float(want)))
