@@ -123,3 +123,37 @@ def test_csv_typing_agrees_with_pandas(spark, table):
                 assert str(mine).lower() == str(want).lower()
             else:
                 assert abs(float(mine) - float(want)) <= 1e-9 * max(1.0, abs(float(want)))
+
+
+_path_part = st.text(alphabet="ab.c_-", min_size=0, max_size=4)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["s3://", "S3://", ""]),
+                          st.lists(_path_part, min_size=1, max_size=4)), min_size=1, max_size=12))
+def test_path_rules_match_python(spark, items):
+    from pyspark.sql import functions as F
+
+    from tessera.functions.paths import file_format, object_stem, parse_object_path
+    from tessera.operators.inventory import crawl_size
+    paths = [scheme + "/".join(parts) for scheme, parts in items]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, path string")
+    got = {r["i"]: r for r in df.select("i", parse_object_path("path").alias("pp"),
+                                        object_stem("path").alias("stem"),
+                                        file_format("path").alias("fmt")).collect()}
+    for i, p in enumerate(paths):
+        rest = p[5:] if p.startswith("s3://") else p
+        want = tuple(rest.split("/", 1)) if "/" in rest else (None, None)
+        assert tuple(got[i]["pp"]) == want, p
+        assert got[i]["stem"] == p.split(".")[0], p
+        fmt = ("csv" if p.endswith(".csv") else "parquet" if p.endswith((".parquet", ".pq", ".parquet.snappy"))
+               else "json" if p.endswith(".dict") else "text" if p.endswith(".txt") else None)
+        assert got[i]["fmt"] == fmt, p
+    sizes = spark.createDataFrame([(p, i % 3) for i, p in enumerate(paths)], "path string, length long")
+    levels, all_paths = crawl_size(sizes)
+    depth = max(len(p.split("/")) for p in paths)
+    want_rows = [tuple((p.split("/") + [None] * depth)[:depth]) + (i % 3,)
+                 for i, p in enumerate(paths) if i % 3 > 0]
+    key = lambda t: tuple("" if v is None else str(v) for v in t)
+    assert sorted((tuple(r) for r in levels.collect()), key=key) == sorted(want_rows, key=key)
+    assert sorted(r[0] for r in all_paths.collect()) == sorted(paths)
