@@ -136,3 +136,19 @@ def test_column_form_binds_intermediates_once():
     for p in (5, 23, 36):
         sql = geohash_sql("`a`", "`b`", p)
         assert sql.count("`a`") <= 4 and sql.count("`b`") <= 4, p
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.integers(1, 24), st.lists(coords, min_size=20, max_size=20))
+def test_decode_within_half_cell_and_reencodes(spark, precision, pts):
+    rows = [(a / 1e6, b / 1e6) for a, b in pts]
+    df = spark.createDataFrame(rows, "lat double, lon double")
+    enc = df.select("lat", "lon", geohash("lat", "lon", precision).alias("g"))
+    dec = geo_decode(enc, "g", exact=True, lat_name="clat", lon_name="clon")
+    back = dec.select("*", geohash("clat", "clon", precision).alias("g2")).collect()
+    lat_bits, lon_bits = (5 * precision) // 2, (5 * precision + 1) // 2
+    half_lat, half_lon = 90.0 / 2 ** lat_bits, 180.0 / 2 ** lon_bits
+    for r in back:
+        assert abs(r["clat"] - r["lat"]) <= half_lat + 1e-9 and abs(r["clon"] - r["lon"]) <= half_lon + 1e-9
+        if precision <= 11:  # the centre is representable at 6 decimals only for coarse cells
+            assert r["g2"] == r["g"]
