@@ -34,6 +34,15 @@ def _as_list(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def _source_path():
+    """The file a row came from, in the same (decoded) form as ``list_files``.
+
+    Spark's ``_metadata.file_path`` is URL-encoded; a literal ``+`` is kept
+    by escaping it before decoding.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 # ------------------------------------------------------------------ listing
 
 _STATUS_RE = re.compile(
@@ -267,7 +276,7 @@ def read_json_docs(spark: SparkSession, paths, schema: T.StructType | None = Non
     """
     raw = (spark.read.option("wholetext", "true") if one_per_file else spark.read).text(_as_list(paths))
     doc = F.from_json("value", schema) if schema is not None else F.parse_json("value")
-    return raw.select(F.col("_metadata.file_path").alias("path"), doc.alias("doc"))
+    return raw.select(_source_path().alias("path"), doc.alias("doc"))
 
 
 def read_lines(spark: SparkSession, paths, with_path: bool = False) -> DataFrame:
@@ -282,7 +291,7 @@ def read_lines(spark: SparkSession, paths, with_path: bool = False) -> DataFrame
         raise ValueError(f"Must be .txt file: {bad[0]}")
     df = spark.read.text(ps)
     if with_path:
-        return df.select(F.col("_metadata.file_path").alias("path"), "value")
+        return df.select(_source_path().alias("path"), "value")
     return df
 
 

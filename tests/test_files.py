@@ -184,3 +184,12 @@ def test_infer_types_mixed_columns(spark):
     t = infer_types(df)
     assert t == {"a": T.DoubleType(), "b": T.DoubleType(), "c": T.StringType(), "d": T.StringType(),
                  "e": T.StringType(), "f": T.LongType()}
+
+
+def test_source_paths_match_listing(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/p/a b+c.dict", '{"x": 1}')
+    _write(f"{tmpdir_path}/p/l 1.txt", "one\ntwo\n")
+    listed = {r["path"] for r in list_files(spark, f"{tmpdir_path}/p").collect()}
+    doc_paths = {r["path"] for r in read_json_docs(spark, f"{tmpdir_path}/p/a b+c.dict").collect()}
+    line_paths = {r["path"] for r in read_lines(spark, f"{tmpdir_path}/p/l 1.txt", with_path=True).collect()}
+    assert doc_paths <= listed and line_paths <= listed
