@@ -57,18 +57,29 @@ def crawl_prefix(spark, root: str, prefix: str = "", only_full_depth: bool = Fal
     return crawl_size(listing, "path", "length", only_full_depth=only_full_depth, relative_to=qualified)
 
 
+_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*:)?/*"
+
+
 def check_objects(manifest: DataFrame, listing: DataFrame, path_col: str = "path",
-                  listing_path_col: str | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                  listing_path_col: str | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
+                  ignore_scheme: bool = False) -> DataFrame:
     """Every manifest row with a boolean ``exists``.
 
     The listing is reduced to distinct paths first (map-side partial
     aggregation), then left-joined on the path, so each manifest row appears
     exactly once however often a path is listed; a path repeated by a large
     share of the manifest is split over salt buckets (``join_distinct``).
+    ``ignore_scheme`` compares paths without scheme and leading slashes, so
+    ``s3://b/k``, ``s3a://b/k`` and ``b/k`` match (and ``/x`` ``file:/x``).
     """
     lp = listing_path_col or path_col
-    present = (listing.select(F.col(lp).alias(path_col)).where(F.col(path_col).isNotNull()).distinct()
+
+    def key(c):
+        return F.regexp_replace(F.col(c), _SCHEME, "") if ignore_scheme else F.col(c)
+
+    present = (listing.select(key(lp).alias("__k")).where(F.col("__k").isNotNull()).distinct()
                .withColumn("__present", F.lit(True)))
-    joined = join_distinct(manifest, present, [path_col], "left", hot_rows=hot_rows)
+    keyed = manifest.withColumn("__k", key(path_col))
+    joined = join_distinct(keyed, present, ["__k"], "left", hot_rows=hot_rows)
     return joined.select(*[F.col(f"`{c}`") for c in manifest.columns],
                          F.coalesce(F.col("__present"), F.lit(False)).alias("exists"))

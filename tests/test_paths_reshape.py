@@ -113,3 +113,12 @@ def test_multi_hot_many_labels_is_exact_and_compact(spark):
         while it.hasNext():
             sizes.append(it.next()._3().maxMethodCodeSize())
         assert max(sizes) < 8000, (n, max(sizes))
+
+
+def test_check_objects_ignoring_schemes(spark):
+    manifest = spark.createDataFrame([("s3://b/k1",), ("b/k2",), ("/tmp/x",), ("s3://b/none",)], "path string")
+    listing = spark.createDataFrame([("s3a://b/k1",), ("s3a://b/k2",), ("file:/tmp/x",)], "path string")
+    got = {r["path"]: r["exists"] for r in check_objects(manifest, listing, ignore_scheme=True).collect()}
+    assert got == {"s3://b/k1": True, "b/k2": True, "/tmp/x": True, "s3://b/none": False}
+    strict = {r["path"]: r["exists"] for r in check_objects(manifest, listing).collect()}
+    assert not any(strict.values())
