@@ -255,6 +255,21 @@ def q_check_objects(spark, sf_dir):
     return check_objects(manifest, listing)
 
 
+def q_check_objects_schemes(spark, sf_dir):
+    """[J5, P1] existence across schemes: s3:// manifest paths against an
+    s3a:// listing."""
+    manifest = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("s3://corpus/docs/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"))
+    listing = table(spark, sf_dir, "labels").select(
+        F.concat(F.lit("s3a://corpus/docs/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"))
+    return check_objects(manifest, listing, ignore_scheme=True)
+
+
+_SQL_CHECK_OBJECTS_SCHEMES = """
+SELECT m.path, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = m.doc_id) AS "exists"
+FROM (SELECT doc_id, 's3://corpus/docs/' || CAST(doc_id AS VARCHAR) || '.txt' AS path FROM documents) m
+"""
+
 _SQL_CHECK_OBJECTS = """
 SELECT m.path, EXISTS (SELECT 1 FROM labels l WHERE 'docs/' || CAST(l.doc_id AS VARCHAR) || '.txt' = m.path) AS "exists"
 FROM (SELECT 'docs/' || CAST(doc_id AS VARCHAR) || '.txt' AS path FROM documents) m
@@ -735,6 +750,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "object_stem": q_object_stem,
     "file_format": q_file_format,
     "check_objects": q_check_objects,
+    "check_objects_schemes": q_check_objects_schemes,
     "multi_hot": q_multi_hot,
     "array_vocabulary": q_array_vocabulary,
     "explode_ranked": q_explode_ranked,
@@ -770,6 +786,7 @@ _ORACLE: dict[str, str] = {
     "object_stem": _SQL_OBJECT_STEM,
     "file_format": _SQL_FILE_FORMAT,
     "check_objects": _SQL_CHECK_OBJECTS,
+    "check_objects_schemes": _SQL_CHECK_OBJECTS_SCHEMES,
     "multi_hot": _SQL_MULTI_HOT,
     "array_vocabulary": _SQL_ARRAY_VOCABULARY,
     "explode_ranked": _SQL_EXPLODE_RANKED,
