@@ -152,3 +152,8 @@ def test_decode_within_half_cell_and_reencodes(spark, precision, pts):
         assert abs(r["clat"] - r["lat"]) <= half_lat + 1e-9 and abs(r["clon"] - r["lon"]) <= half_lon + 1e-9
         if precision <= 11:  # the centre is representable at 6 decimals only for coarse cells
             assert r["g2"] == r["g"]
+
+
+def test_encode_infinities_are_unknown(spark):
+    df = spark.createDataFrame([(float("inf"), 1.0), (1.0, float("-inf")), (float("nan"), 1.0)], "lat double, lon double")
+    assert [r["GeoHash"] for r in geo_encode(df, "lat", "lon").collect()] == ["unknown"] * 3
