@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import language_id, quality, toxicity
+from tessera.llm import byte_bpe, chat_format, language_id, quality, token_counts, toxicity, url_filter
 from tessera.llm.blocks import fold
 
 
@@ -15,12 +15,38 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file (not part of this repository)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", fixed), (-7, 1, "assistant", fixed)], turns.schema)
+    return chat_format.digests(chat_format.segments(turns.unionByName(extra)))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), learn=fold("doc_id", 5) != 0)
     return toxicity.score(docs, model)
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"),
+                                     token_counts.load_pieces(tokenizer_file("piece_bpe_32k.model")))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.fit(docs, _table(spark, sf_dir, "labels"), learn=fold("doc_id", 4) != 2)
@@ -37,7 +63,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_byte_bpe": op2_byte_bpe,
+        "op3_chat_format": op3_chat_format,
         "op4_toxicity": op4_toxicity,
+        "op5_url_filter": op5_url_filter,
+        "op6_token_counts": op6_token_counts,
         "op8_quality": op8_quality,
         "op10_language_id": op10_language_id,
     }
