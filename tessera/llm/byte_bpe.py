@@ -254,25 +254,26 @@ class Encoder:
 
 
 class Shown(dict):
-    """Piece -> (number of ids, the ids as text, the bytes the ids decode to)."""
+    """Piece -> (the ids as 32-bit numbers, the ids as text, the bytes the ids decode to)."""
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
 
-    def __missing__(self, piece: str) -> tuple[int, bytes, bytes]:
+    def __missing__(self, piece: str) -> tuple[bytes, bytes, bytes]:
         ids = merge(piece.encode("utf-8", "surrogatepass"), self.encoder.ranks)
         if len(self) >= CACHE_PIECES:
             self.clear()
-        out = self[piece] = len(ids), ",".join(map(str, ids)).encode(), self.encoder.decode(ids)
+        packed = np.array(ids, dtype=np.int32).tobytes()
+        out = self[piece] = packed, ",".join(map(str, ids)).encode(), self.encoder.decode(ids)
         return out
 
 
-def _parts(encoder: Encoder, texts: list[str]) -> Iterator[tuple[int, bytes, bytes]]:
-    """Number of ids, the ids as text, and the bytes they decode to."""
+def _parts(encoder: Encoder, texts: list[str]) -> Iterator[tuple[bytes, bytes, bytes]]:
+    """The ids of each text as 32-bit numbers and as text, and the bytes they decode to."""
     shown = encoder.__dict__.setdefault("shown", Shown(encoder))
     for own in encoder.pieces(texts):
-        n, ids, data = zip(*[shown[p] for p in own]) if own else ((), (), ())
-        yield sum(n), b",".join(ids), b"".join(data)
+        packed, ids, data = zip(*[shown[p] for p in own]) if own else ((), (), ())
+        yield b"".join(packed), b",".join(ids), b"".join(data)
 
 
 def _bounded(column: pa.Array, max_bytes: int = 1 << 22) -> Iterator[list[str]]:
@@ -322,20 +323,31 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataF
     return encoded.select(F.col(id_col), data(F.col("ids")).alias("data"))
 
 
-def digests(docs: DataFrame, ranks_path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``id, n_tokens, ids_sha256, decoded_sha256``: encode, decode the ids, and keep digests of both."""
+def _lists(packed: list[bytes]) -> pa.Array:
+    """Arrays of ids from 32-bit numbers."""
+    offsets = np.zeros(len(packed) + 1, dtype=np.int32)
+    np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
+
+
+def digests(docs: DataFrame, ranks_path: str, text_col: str = "text", id_col: str = "doc_id", keep_ids: bool = False) -> DataFrame:
+    """``id, n_tokens, ids_sha256, decoded_sha256``: encode, decode the ids, and digest both; ``ids`` too on request."""
     small_batches(docs.sparkSession)
     shared = _setup(docs.sparkSession, ranks_path)
 
-    @F.arrow_udf("struct<n: bigint, ids: string, decoded: string>")
+    @F.arrow_udf("struct<n: bigint, text: string, decoded: string, ids: array<int>>")
     def both(texts: pa.Array) -> pa.Array:
         encoder = _encoder(shared)
-        out = [(n, hashlib.sha256(a).hexdigest(), hashlib.sha256(b).hexdigest())
-               for part in _bounded(texts) for n, a, b in _parts(encoder, part)]
-        n, a, b = zip(*out) if out else ((), (), ())
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
-                                          names=["n", "ids", "decoded"])
+        n, shown, decoded, kept = [], [], [], []
+        for part in _bounded(texts):
+            for packed, a, b in _parts(encoder, part):
+                n.append(len(packed) // 4)
+                shown.append(hashlib.sha256(a).hexdigest())
+                decoded.append(hashlib.sha256(b).hexdigest())
+                kept.append(packed if keep_ids else b"")
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(shown, pa.string()), pa.array(decoded, pa.string()),
+                                           _lists(kept)], names=["n", "text", "decoded", "ids"])
 
     found = docs.select(F.col(id_col), both(F.col(text_col)).alias("r"))
-    return found.select(F.col(id_col), F.col("r.n").alias("n_tokens"), F.col("r.ids").alias("ids_sha256"),
-                        F.col("r.decoded").alias("decoded_sha256"))
+    return found.select(F.col(id_col), F.col("r.n").alias("n_tokens"), F.col("r.text").alias("ids_sha256"),
+                        F.col("r.decoded").alias("decoded_sha256"), *([F.col("r.ids").alias("ids")] if keep_ids else []))

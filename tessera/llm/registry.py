@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, chat_format, language_id, quality, token_counts, toxicity, url_filter
+from tessera.llm import (byte_bpe, chat_format, decontaminate, embedding_dup, language_id, near_dup, quality, token_counts,
+                         toxicity, url_filter)
 from tessera.llm.blocks import fold
 
 
@@ -21,6 +22,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
 
@@ -47,12 +52,21 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      token_counts.load_pieces(tokenizer_file("piece_bpe_32k.model")))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = decontaminate.phrase_blocks(_table(spark, sf_dir, "benchmark"))
+    return decontaminate.report(decontaminate.find(_table(spark, sf_dir, "documents"), blocks))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.fit(docs, _table(spark, sf_dir, "labels"), learn=fold("doc_id", 4) != 2)
     return quality.score(docs, model)
 
 
+def op9_embedding_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_id.fit(docs, learn=fold("doc_id", 4) != 2)
@@ -63,12 +77,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_dup": op1_near_dup,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_chat_format": op3_chat_format,
         "op4_toxicity": op4_toxicity,
         "op5_url_filter": op5_url_filter,
         "op6_token_counts": op6_token_counts,
+        "op7_decontaminate": op7_decontaminate,
         "op8_quality": op8_quality,
+        "op9_embedding_dup": op9_embedding_dup,
         "op10_language_id": op10_language_id,
     }
 
