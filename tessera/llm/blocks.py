@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 22
@@ -29,6 +29,15 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def by_size(keys: DataFrame, n: int, max_rows: int = 200_000) -> DataFrame:
+    """Hint how to join a written table of ``n`` narrow keys with whole texts.
+
+    At most ``max_rows`` are broadcast, so that the texts need no shuffle;
+    more are left to a shuffled join. The result is the same.
+    """
+    return F.broadcast(keys) if n <= max_rows else keys
+
+
 def text_blocks(column: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield ``(first_row, last_row, bytes, offsets)`` with about ``max_bytes`` each.
 

@@ -1,12 +1,30 @@
-"""Connected components of a link table, wholly in joins and aggregates."""
+"""Written intermediate tables of known size, and connected components of a link table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage
 
+ROWS_PER_TASK = 100_000
+
+
+def tasks_for(n: int, rows: int = ROWS_PER_TASK) -> int:
+    return max(1, -(-n // rows))
+
+
+def written(df: DataFrame, rows: int = ROWS_PER_TASK) -> tuple[DataFrame, int]:
+    """Checkpoint of ``df`` and its number of rows, counted while it is written.
+
+    Read back in about one task for ``rows`` rows (never more tasks than it
+    was written by), so small tables do not start hundreds of tasks.
+    """
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    n = seen.get["n"]
+    return out.coalesce(tasks_for(n, rows)), n
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """``(id, component)`` for every id in ``links``; component is the smallest id reachable.
@@ -19,24 +37,28 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     The number of rounds grows with the logarithm of the longest chain.
     Links with a null end and loops are ignored; no links give no rows.
     """
-    edges = (links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-             .where((F.col(a) != F.col(b)) & F.col(a).isNotNull() & F.col(b).isNotNull()).distinct())
-    edges = cut_lineage(edges)
+    edges, n = written(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+                       .where((F.col(a) != F.col(b)) & F.col(a).isNotNull() & F.col(b).isNotNull()).distinct())
+    mark = None
     for _ in range(max_rounds):
+        width = tasks_for(n)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("low", "u").alias("low"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+                 .coalesce(width).repartition("u"))
+        # each node has few links now; the aggregate and the join share the partitioning
         floor = large.groupBy("u").agg(F.min("v").alias("low"))
-        joined = large.join(floor, "u")
-        small = (joined.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-                 .unionByName(floor.select("u", F.col("low").alias("v"))).where("u <> v").distinct())
-        small = cut_lineage(small)
-        stars = small.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() == 0
-        centres = stars and small.join(small.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count() == 0
-        edges = small
-        if centres:
+        small = (large.join(floor, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+                 .unionByName(floor.select("u", F.col("low").alias("v"))).where("u <> v").coalesce(2 * width).distinct())
+        # a fingerprint of the whole table shows whether the round changed it
+        seen = Observation()
+        edges = cut_lineage(small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(
+            F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))).coalesce(width)
+        state = seen.get
+        n = state["n"]
+        if mark == (n, state["h"]):
             break
+        mark = n, state["h"]
     else:
         raise RuntimeError("components did not settle")
     return (edges.select(F.col("u").alias("id"), F.col("v").alias("component"))

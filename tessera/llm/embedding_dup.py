@@ -30,8 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.components import components
-from tessera.session import cut_lineage
+from tessera.llm.components import components, written
 
 SAMPLE = 8192  # vectors the codebooks are fitted on
 BLOCK = 512
@@ -221,13 +220,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, recall: float =
                           F.when(F.coalesce(fine, F.lit(False)), F.transform(v, lambda x: x + 0.0)).alias("v"))
     classes = (rows.where("v is not null").groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("size"))
                .withColumn("k", F.monotonically_increasing_id()))
-    classes = cut_lineage(classes)  # written once, so the numbers stay
-    shape = classes.agg(F.max(F.size("v")).alias("width"), F.count("*").alias("n")).first()
-    width, n = shape["width"] or 2, shape["n"]
+    classes, n = written(classes, 20_000)  # written once, so the numbers stay
+    width = classes.agg(F.max(F.size("v")).alias("width")).first()["width"] or 2
     width += width % 2
     words = 2 ** min(8, max(2, round(math.log2(max(math.sqrt(n / 128), 1)))))
-    indexed = cut_lineage(index(classes, width, words, threshold, recall))
-    links = cut_lineage(verify(candidates(indexed, width, threshold), classes, width, threshold))
+    indexed, _ = written(index(classes, width, words, threshold, recall), 20_000)
+    links, _ = written(verify(candidates(indexed, width, threshold), classes, width, threshold))
     found = components(links).select(F.col("id").alias("k"), F.col("component").alias("comp"))
     lowest = classes.join(found, "k").groupBy("comp").agg(F.min("id").alias("low"))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

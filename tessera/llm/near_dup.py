@@ -5,17 +5,19 @@ whole sequence). Equal sets are one class first, so copies cost one row.
 Each class gets ``TOKENS`` minwise tokens. Every tree starts with all classes
 at its root; a node's hash chooses one or two token positions, and a class
 goes to the child named by its token there. Nodes of at most ``SMALL``
-classes stop; larger ones branch on, down to ``DEPTH`` levels. ``TREES``
+classes stop, and so do those in which most members resemble the smallest
+one; others branch on, down to ``DEPTH`` levels. ``TREES``
 independent trees run side by side; with 12 trees a pair at similarity 0.75
-is missed with probability below 1e-3 even at the last level.
+is missed with probability below 1e-4 even at the last level.
 
-Links are found in two steps, so that a group of m near copies costs about m
-comparisons, not m * m. First every class is compared with the smallest
-class of its nodes, best estimate first. Then nodes whose members are still
-in different components are compared exhaustively across components: small
-nodes in one piece, large last-level nodes as blocks of bounded size. Token
-estimates only choose what to compare; every link used is confirmed on the
-full shingle sets. Components of the confirmed links give the result.
+Links are found in three steps, so that a group of m near copies does not
+give m * m pairs. First every class is confirmed against the most similar of
+the smallest classes of its nodes. Then, in nodes whose members are still in
+different components, every class against its best candidate in another
+one. What remains mixed is compared exhaustively across components: small
+nodes in one piece, large ones as blocks of bounded size with a finer
+estimate. Estimates only choose what to confirm; every link used is
+confirmed on the full shingle sets. Components of these links are the result.
 
 Defined cases: rows of null id take no part (component null, kept); null,
 empty and wordless texts have an empty set and are linked with nothing; rows
@@ -30,23 +32,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.blocks import SPACE_WORDS, Words, mix, small_batches, text_blocks, word_table
-from tessera.llm.components import components
+from tessera.llm.blocks import SPACE_WORDS, Words, by_size, mix, small_batches, text_blocks, word_table
+from tessera.llm.components import components, tasks_for, written
 from tessera.session import cut_lineage
 
 SHINGLE = 5
 TOKENS = 128
 TREES = 12
-DEPTH = 6
+TREE_BITS = 15
+WIDE_TREES = 6  # trees whose large nodes are compared across components: a pair at 0.75 is missed by all with chance < 1e-4
+FINE = 1024  # tokens of the finer estimate used inside large nodes
+FINE_MAYBE = 0.69  # 4.4 standard errors below the threshold
+DEPTH = 4
 SMALL = 32
 SECOND = 0.43  # chance that a node chooses two positions: 1.43 branches, 1.07 shared at similarity 0.75
 MAYBE = 0.58  # estimates below this are no candidates: 4.4 standard errors below the threshold
+OUTLIERS = 3
 BLOCK = 512
+SEEN = 500_000
 _RNG = np.random.default_rng(7)
 _COEF = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FINE_MUL = (np.random.default_rng(8).integers(0, 1 << 31, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
 _MUL = (_RNG.integers(0, 1 << 31, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
 _ADD = _RNG.integers(0, 1 << 32, TOKENS, dtype=np.uint64).astype(np.uint32)
 
@@ -69,12 +77,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) ->
             yield np.zeros(0, dtype=np.uint64)
 
 
-def minwise(s: np.ndarray) -> np.ndarray:
+def minwise(s: np.ndarray, mul: np.ndarray = _MUL, add: np.ndarray | int = _ADD) -> np.ndarray:
     """Minwise tokens of a set."""
     x = (s >> np.uint64(32)).astype(np.uint32)
-    out = np.full(TOKENS, 0xFFFFFFFF, dtype=np.uint32)
-    for i in range(0, len(x), 2048):
-        out = np.minimum(out, (x[i:i + 2048, None] * _MUL[None, :] + _ADD[None, :]).min(axis=0))
+    out = np.full(len(mul), 0xFFFFFFFF, dtype=np.uint32)
+    for i in range(0, len(x), 1024):
+        out = np.minimum(out, (x[i:i + 1024, None] * mul[None, :] + add).min(axis=0))
     return out
 
 
@@ -99,14 +107,16 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def children(path: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Child nodes of (node, class) rows: row numbers and child paths."""
-    one = (path % np.uint64(TOKENS)).astype(np.int64)
-    step = ((path >> np.uint64(8)) % np.uint64(TOKENS - 1)).astype(np.int64) + 1
+    one = ((path >> np.uint64(8)) % np.uint64(TOKENS)).astype(np.int64)
+    step = ((path >> np.uint64(20)) % np.uint64(TOKENS - 1)).astype(np.int64) + 1
     two = (one + step) % TOKENS
-    second = np.flatnonzero(((path >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.int64) < int(SECOND * 65536))
+    second = np.flatnonzero(((path >> np.uint64(40)) & np.uint64(0xFFFF)).astype(np.int64) < int(SECOND * 65536))
     row = np.concatenate([np.arange(len(path)), second])
     position = np.concatenate([one, two[second]])
     token = tokens[row, position].astype(np.uint64) + (position.astype(np.uint64) << np.uint64(32))
-    return row, mix(path[row] * np.uint64(0x9E3779B97F4A7C15) + mix(token + np.uint64(1)))
+    child = mix(path[row] * np.uint64(0x9E3779B97F4A7C15) + mix(token + np.uint64(1)))
+    # the lowest bits keep the number of the tree
+    return row, (child & ~np.uint64(TREE_BITS)) | (path[row] & np.uint64(TREE_BITS))
 
 
 def _tokens(column: pa.Array) -> np.ndarray:
@@ -125,7 +135,8 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (k, sig) to the first level of every tree."""
-    roots = mix(np.arange(1, TREES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    tree = np.arange(TREES, dtype=np.uint64)
+    roots = (mix((tree + np.uint64(1)) * np.uint64(0xD1B54A32D192ED03)) & ~np.uint64(TREE_BITS)) | tree
     for batch in batches:
         if batch.num_rows:
             tokens = _tokens(batch.column("sig"))
@@ -135,27 +146,60 @@ def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(k[row])], names=["path", "k"])
 
 
+def _distant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (path, x, y) to (path, far): 1 where the estimate is below a candidate's."""
+    for batch in batches:
+        if batch.num_rows:
+            far = (_bytes(batch.column("x")) == _bytes(batch.column("y"))).mean(axis=1) < MAYBE
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(far.astype(np.int32))], names=["path", "far"])
+
+
+def settled(large: DataFrame, crowd: DataFrame) -> DataFrame:
+    """Paths of nodes in which at most one member in ``OUTLIERS`` is unlike the smallest one.
+
+    Branching such a node on would keep its members together, so it stops
+    here; its outliers are compared with all of it in the second step.
+    """
+    marks = crowd.select("k", "sig").mapInArrow(_mark, "k long, mark binary")
+    pairs = (large.join(marks.withColumnRenamed("mark", "x"), "k")
+             .join(marks.select(F.col("k").alias("centre"), F.col("mark").alias("y")), "centre").select("path", "x", "y"))
+    return (pairs.mapInArrow(_distant, "path long, far int").groupBy("path").agg(F.sum("far").alias("far"), F.count("*").alias("n"))
+            .where(F.col("far") * OUTLIERS <= F.col("n")).select("path"))
+
+
 def grow(classes: DataFrame) -> DataFrame:
     """``path, k, n, centre`` of all nodes where branching stopped with two or more classes."""
     rows = classes.select("k", "sig").mapInArrow(_plant, "path long, k long")
-    done = None
+    done = crowd = None
     for level in range(1, DEPTH + 1):
         sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("k").alias("centre")).where("n > 1")
-        rows = cut_lineage(rows.join(sizes, "path"))
+        rows, _ = written(rows.join(sizes, "path"))
         stop = rows if level == DEPTH else rows.where(F.col("n") <= SMALL)
         done = stop if done is None else done.unionByName(stop)
-        large = rows.where(F.col("n") > SMALL).select("path", "k")
-        if level == DEPTH or large.limit(1).count() == 0:
+        if level == DEPTH:
             break
-        rows = large.join(classes.select("k", "sig"), "k").mapInArrow(_branch, "path long, k long")
+        large = rows.where(F.col("n") > SMALL)
+        if crowd is None:  # whoever branches on later is among those that branch now
+            crowd, n = written(classes.select("k", "sig").join(large.select("k").distinct(), "k", "left_semi"))
+            if not n:
+                break
+        still, _ = written(settled(large, crowd))
+        done = done.unionByName(large.join(still, "path", "left_semi").select(done.columns))
+        large, n = written(large.join(still, "path", "left_anti").select("path", "k"))
+        if not n:
+            break
+        rows = large.join(crowd, "k").mapInArrow(_branch, "path long, k long").coalesce(tasks_for(2 * n))
     return done
 
 
+def _bytes(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, TOKENS)
+
+
 def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, TOKENS) for c in ("x", "y"))
-            e = (x == y).mean(axis=1)
+            e = (_bytes(batch.column("x")) == _bytes(batch.column("y"))).mean(axis=1)
             keep = np.flatnonzero(e >= MAYBE)
             yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep), pa.array(e[keep])],
                                              names=["a", "b", "e"])
@@ -171,71 +215,147 @@ def star_pairs(nodes: DataFrame, marks: DataFrame) -> DataFrame:
     return best.select((-F.col("m.a")).alias("a"), "b")
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (g, k, comp, mark, side), those of a group one after another, to pairs across components.
-
-    A group is bounded: a small node, or one block against one block.
-    """
-    def pairs(part):
-        comp, k, side = part["comp"], part["k"], part["side"]
-        left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
-        if not len(left) or not len(right) or comp.min() == comp.max():
-            return
-        marks = np.frombuffer(b"".join(part["mark"]), dtype=np.uint8).reshape(-1, TOKENS)
-        found = []
-        for i in left:
-            j = right[comp[right] != comp[i]]
-            if len(j):
-                j = j[(marks[j] == marks[i]).mean(axis=1) >= MAYBE]
-                found += [(min(k[i], y), max(k[i], y)) for y in k[j]]
+def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[dict]:
+    """Whole groups (rows of one ``g`` stand one after another) as arrays."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+        if held is not None:
+            part = {c: np.concatenate([held[c], part[c]]) for c in part}
+        edges = [0, *(np.flatnonzero(part["g"][1:] != part["g"][:-1]) + 1).tolist()]
+        for a, b in zip(edges, edges[1:]):
+            yield {c: v[a:b] for c, v in part.items()}
+        held = {c: v[edges[-1]:] for c, v in part.items()}
+    if held is not None:
+        yield held
+
+
+def _near(part: dict, fine: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each visitor of a group the members of other components that may be linked, with estimates."""
+    comp, side = part["comp"], part["side"]
+    left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+    if not len(left) or not len(right) or comp.min() == comp.max():
+        return
+    marks = np.frombuffer(b"".join(part["mark"]), dtype=np.uint8).reshape(-1, TOKENS)
+    more = None
+    for j in right:
+        i = left[comp[left] != comp[j]]
+        if not len(i):
+            continue
+        e = (marks[i] == marks[j]).mean(axis=1)
+        i, e = i[e >= MAYBE], e[e >= MAYBE]
+        if fine and len(i):
+            if more is None:
+                more = [np.frombuffer(m, dtype=np.uint8) for m in part["fine"]]
+            if len(more[j]):
+                e = np.array([(more[x] == more[j]).mean() if len(more[x]) else 1.0 for x in i])
+                i, e = i[e >= FINE_MAYBE], e[e >= FINE_MAYBE]
+        if len(i):
+            yield j, i, e
+
+
+def _best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each visitor its most similar member of another component: (b, a, e). Groups are bounded."""
+    known: dict = {}
+    for part in _groups(batches, ("g", "k", "comp", "mark", "side")):
+        k = part["k"]
+        out = []
+        for j, i, e in _near(part, False):
+            at = e.argmax()
+            # nodes of one family stand in one task: only what improves on the last answer is given
+            if e[at] > known.get(k[j], 0.0):
+                if len(known) > SEEN:
+                    known.clear()
+                known[k[j]] = e[at]
+                out.append((k[j], k[i[at]], e[at]))
+        if out:
+            b, a, e = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(a, pa.int64()), pa.array(e, pa.float64())],
+                                             names=["b", "a", "e"])
+
+
+def _all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs across components that may be linked. Groups are bounded."""
+    seen: set = set()
+    for part in _groups(batches, ("g", "k", "comp", "mark", "fine", "side")):
+        k = part["k"]
+        found = {(min(k[j], x), max(k[j], x)) for j, i, _ in _near(part, True) for x in k[i].tolist()} - seen
         if found:
-            a, b = zip(*set(found))
+            if len(seen) > SEEN:
+                seen.clear()
+            seen.update(found)
+            a, b = zip(*found)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    def whole():
-        held = None
-        for batch in batches:
-            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("g", "k", "comp", "mark", "side")}
-            if not batch.num_rows:
-                continue
-            if held is not None:
-                part = {c: np.concatenate([held[c], part[c]]) for c in part}
-            cuts = np.flatnonzero(part["g"][1:] != part["g"][:-1]) + 1
-            edges = [0, *cuts.tolist()]
-            for a, b in zip(edges, edges[1:]):
-                yield {c: v[a:b] for c, v in part.items()}
-            held = {c: v[edges[-1]:] for c, v in part.items()}
-        if held is not None:
-            yield held
 
-    for part in whole():
-        yield from pairs(part)
+def _blocks(n: str):
+    """Number of blocks for n members: a power of two, so that nodes of like size cut their members alike."""
+    return F.pow(F.lit(2), F.ceil(F.log2(F.ceil(F.col(n) / BLOCK)))).cast("long")
 
 
-def cross_pairs(nodes: DataFrame, found: DataFrame, marks: DataFrame) -> DataFrame:
-    """Candidate pairs between components inside nodes not yet in one component."""
+def mixed_nodes(nodes: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
+    """``path, k, n, centre, comp`` of nodes whose members are in more than one component."""
     known = found.select(F.col("id").alias("k"), F.col("component").alias("comp"))
     rows = nodes.join(known, "k", "left").withColumn("comp", F.coalesce("comp", "k"))
     mixed = rows.groupBy("path").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("path")
-    rows = cut_lineage(rows.join(mixed, "path", "left_semi"))
+    return written(rows.join(mixed, "path", "left_semi"))
+
+
+def groups(rows: DataFrame) -> DataFrame:
+    """Comparisons of mixed nodes: ``path, centre, i, j, k, comp, side`` (1: stands, 2: visits, 3: both).
+
+    A small node is one group. In a large one everything outside its largest
+    component visits the whole node, block by block.
+    """
+    zero = F.lit(0).cast("long")
     small = rows.where(F.col("n") <= SMALL).select(
-        F.xxhash64("path").alias("g"), "k", "comp", F.lit(3).alias("side"))
-    # large nodes: everything outside the node's largest component against the whole node, block by block
-    large = rows.where(F.col("n") > SMALL)
+        "path", "centre", "k", "comp", zero.alias("i"), zero.alias("j"), F.lit(3).alias("side"))
+    large = rows.where((F.col("n") > SMALL) & (F.col("path").bitwiseAND(F.lit(TREE_BITS).cast("long")) < WIDE_TREES))
     main = (large.groupBy("path", "comp").agg(F.count("*").alias("c")).groupBy("path")
             .agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("all"))
             .select("path", F.col("m.comp").alias("main"), (F.col("all") - F.col("m.c")).alias("rest")))
-    large = large.join(main, "path").withColumn("nb", F.ceil(F.col("n") / BLOCK)).withColumn("nr", F.ceil(F.col("rest") / BLOCK))
+    large = large.join(main, "path").withColumn("nb", _blocks("n")).withColumn("nr", _blocks("rest"))
     part = lambda n, salt: F.pmod(F.xxhash64("k", F.lit(salt)), n)
-    left = large.select("path", "k", "comp", part(F.col("nb"), 1).alias("i"),
-                        F.explode(F.sequence(F.lit(0).cast("long"), F.col("nr") - 1)).alias("j"), F.lit(1).alias("side"))
+    left = large.select("path", "centre", "k", "comp", part(F.col("nb"), 1).alias("i"),
+                        F.explode(F.sequence(zero, F.col("nr") - 1)).alias("j"), F.lit(1).alias("side"))
     right = large.where("comp <> main").select(
-        "path", "k", "comp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("i"),
+        "path", "centre", "k", "comp", F.explode(F.sequence(zero, F.col("nb") - 1)).alias("i"),
         part(F.col("nr"), 2).alias("j"), F.lit(2).alias("side"))
-    blocks = left.unionByName(right).select(F.xxhash64("path", "i", "j").alias("g"), "k", "comp", "side")
-    work = small.unionByName(blocks).join(marks, "k")
-    ordered = work.repartition("g").sortWithinPartitions("g").select("g", "k", "comp", "mark", "side")
-    return ordered.mapInArrow(_compare, "a long, b long").distinct()
+    return small.unionByName(left).unionByName(right)
+
+
+def _in_order(work: DataFrame, n: int, *columns: str) -> DataFrame:
+    """Groups whole and one after another; those of one family and block in one task."""
+    return (work.coalesce(tasks_for(n)).repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j", "path")
+            .select(F.xxhash64("path", "i", "j").alias("g"), *columns))
+
+
+def attach(nodes: DataFrame, found: DataFrame, marks: DataFrame) -> DataFrame:
+    """For every class in a mixed node its best candidate in another component, as pairs (a, b), a < b."""
+    rows, n = mixed_nodes(nodes, found)
+    work = _in_order(groups(rows).join(marks, "k"), n, "k", "comp", "mark", "side")
+    best = work.mapInArrow(_best, "b long, a long, e double").groupBy("b").agg(F.max(F.struct("e", "a")).alias("m"))
+    return best.select(F.least("b", "m.a").alias("a"), F.greatest("b", "m.a").alias("b")).distinct()
+
+
+def cross_pairs(nodes: DataFrame, found: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
+    """All candidate pairs across components in nodes that are still mixed."""
+    rows, n = mixed_nodes(nodes, found)
+    crowd = rows.where(F.col("n") > SMALL).select("k").distinct()
+    fine, _ = written(sets.join(crowd, "k", "left_semi").mapInArrow(_fine, "k long, fine binary"), 10_000)
+    work = groups(rows).join(marks, "k").join(fine, "k", "left").withColumn(
+        "fine", F.when((F.col("side") != 3) & F.col("fine").isNotNull(), F.col("fine")).otherwise(F.lit(b"")))
+    return _in_order(work, n, "k", "comp", "mark", "fine", "side").mapInArrow(_all, "a long, b long").distinct()
+
+
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One byte of each of many more tokens, from full sets."""
+    for batch in batches:
+        marks = [(minwise(np.frombuffer(s.as_buffer(), np.uint64), _FINE_MUL, np.uint32(0)) >> np.uint32(8)).astype(np.uint8).tobytes()
+                 for s in batch.column("shingles")]
+        yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(marks, pa.binary())], names=["k", "fine"])
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -289,22 +409,22 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     rows = cut_lineage(sketches(slim))
     classes = (rows.where("id is not null and n > 0").groupBy("digest").agg(F.min("id").alias("id"), F.first("sig").alias("sig"))
                .withColumn("k", F.monotonically_increasing_id()))
-    classes = cut_lineage(classes)  # written once, so the numbers stay
-    nodes = cut_lineage(grow(classes))
+    classes, _ = written(classes, 20_000)  # written once, so the numbers stay
+    nodes, _ = written(grow(classes))
     marks = classes.select("k", "sig").mapInArrow(_mark, "k long, mark binary")
-    # only classes that meet another in some node can be in a pair
-    met = nodes.select("k").distinct()
-    first = cut_lineage(star_pairs(nodes, marks))
-    wanted = classes.join(met, "k", "left_semi").select("k", "id", "digest")
-    in_first = first.select(F.col("a").alias("k")).unionByName(first.select(F.col("b").alias("k"))).distinct()
-    sets = cut_lineage(full_sets(slim, wanted.join(in_first, "k", "left_semi")))
-    links = cut_lineage(confirm(first, sets, percent))
-    second = cut_lineage(cross_pairs(nodes, components(links), marks))
-    in_second = second.select(F.col("a").alias("k")).unionByName(second.select(F.col("b").alias("k"))).distinct()
-    missing = wanted.join(in_second, "k", "left_semi").join(in_first, "k", "left_anti")
-    if missing.limit(1).count():
-        sets = sets.unionByName(full_sets(slim, missing))
-    links = links.unionByName(confirm(second, sets, percent))
+    keys = classes.select("k", "id", "digest")
+    sets = links = None
+    for step in (lambda: star_pairs(nodes, marks), lambda: attach(nodes, components(links), marks),
+                 lambda: cross_pairs(nodes, components(links), marks, sets)):
+        pairs, _ = written(step())
+        ends = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
+        missing = keys.join(ends, "k", "left_semi")
+        if sets is not None:
+            missing = missing.join(sets.select("k"), "k", "left_anti")
+        more, _ = written(full_sets(slim, by_size(*written(missing))), 5_000)
+        sets = more if sets is None else sets.unionByName(more)
+        confirmed, _ = written(confirm(pairs, sets, percent))
+        links = confirmed if links is None else links.unionByName(confirmed)
     found = components(links).select(F.col("id").alias("k"), F.col("component").alias("comp"))
     lowest = classes.join(found, "k").groupBy("comp").agg(F.min("id").alias("low"))
     of_class = (classes.select("k", "digest", "id").join(found.join(lowest, "comp").select("k", "low"), "k", "left")
@@ -322,4 +442,5 @@ def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     """
     gone = (near_duplicates(docs, text_col, id_col, percent).where("not kept")
             .select(F.col(id_col).alias("_gone_id"), F.col("text_hash").alias("_gone_text")).distinct())
+    gone = by_size(*written(gone))
     return docs.join(gone, (docs[id_col] == gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_text"]), "left_anti")
