@@ -23,6 +23,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.components import written
+
 DEPTH = 4
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
          ("block", "net/fr/")]
@@ -61,6 +63,7 @@ def template_tree(shapes: DataFrame, fanout: int) -> DataFrame:
     """Add ``template`` to ``(host, shape, n, blocked)``: rare children of wide nodes become ``*``, level by level."""
     tree = shapes.withColumn("prefix", F.lit(""))
     for k in range(DEPTH):
+        tree, _ = written(tree)  # each level reads the last one twice
         part = F.try_element_at(F.col("shape"), F.lit(k + 1))
         tree = tree.withColumn("part", part)
         child = (tree.where("part is not null and part not in ('*', '**')").groupBy("host", "prefix", "part")
@@ -82,6 +85,7 @@ def judge_templates(tree: DataFrame, z: float, purity: float, weight: float) ->
     sibling = F.regexp_replace("template", r"/[^/*]+((?:/\*+)*)$", "/{}$1")
     one = tree.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")) \
         .withColumn("family", sibling)
+    one, _ = written(one)
     pooled = one.groupBy("host", "family").agg(F.sum("n").alias("fn"), F.sum("blocked").alias("fb"))
     share = F.col("fb") / F.col("fn")
     error = F.sqrt(share * (1 - share) / F.col("n"))
@@ -110,7 +114,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] | None = None, url_col:
     rows = rows.withColumn("found", best_rule(F.col("host"), F.col("path"), rules)).withColumn("shape", shaped(F.col("path")))
     shapes = rows.groupBy("host", "shape").agg(
         F.count("*").alias("n"), F.sum(F.when(F.col("found.verdict") == "block", 1).otherwise(0)).alias("blocked"))
-    tree = template_tree(shapes, fanout)
+    tree, _ = written(template_tree(shapes, fanout))
     verdicts = tree.select("host", "shape", "template").join(
         judge_templates(tree, z, purity, weight), ["host", "template"])
     return rows.join(verdicts, ["host", "shape"], "left").select(
