@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 HASH_SPAN = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MASK64 = (1 << 64) - 1

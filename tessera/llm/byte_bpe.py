@@ -42,8 +42,8 @@ LETTER, NUMBER, OTHER, SPACE, LEAD, SHORT, LONG, BREAK = range(8)
 FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHER, IN_SPACE, AFTER_LEAD, ONE_MORE, TWO_MORE = range(8)
 WHITE_SPACE = [(0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
                (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
-CACHE_PIECES = 400_000
-CHARS = 1 << 20
+CACHE_PIECES = 300_000  # of each of two generations
+CHARS = 1 << 19
 
 
 def class_table() -> np.ndarray:
@@ -253,30 +253,39 @@ class Encoder:
         return b"".join([tokens[i] for i in ids])
 
 
-class Shown(dict):
-    """Piece -> (the ids as 32-bit numbers, the ids as text, the bytes the ids decode to)."""
+class Packed(dict):
+    """Piece -> its ids as 32-bit numbers.
+
+    Two generations: a full one becomes the old one, and what is met again moves on.
+    """
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
+        self.old: dict = {}
+        self.packed = {i: i.to_bytes(4, "little") for i in encoder.tokens}
 
-    def __missing__(self, piece: str) -> tuple[bytes, bytes, bytes]:
-        ids = merge(piece.encode("utf-8", "surrogatepass"), self.encoder.ranks)
+    def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_PIECES:
+            self.old = dict(self)
             self.clear()
-        packed = np.array(ids, dtype=np.int32).tobytes()
-        out = self[piece] = packed, ",".join(map(str, ids)).encode(), self.encoder.decode(ids)
+        out = self.old.get(piece)
+        if out is None:
+            out = b"".join([self.packed[i] for i in merge(piece.encode("utf-8", "surrogatepass"), self.encoder.ranks)])
+        self[piece] = out
         return out
 
 
 def _parts(encoder: Encoder, texts: list[str]) -> Iterator[tuple[bytes, bytes, bytes]]:
     """The ids of each text as 32-bit numbers and as text, and the bytes they decode to."""
-    shown = encoder.__dict__.setdefault("shown", Shown(encoder))
+    known = encoder.__dict__.setdefault("known", Packed(encoder))
+    shown = encoder.__dict__.setdefault("shown", {i: str(i).encode() for i in encoder.tokens})
     for own in encoder.pieces(texts):
-        packed, ids, data = zip(*[shown[p] for p in own]) if own else ((), (), ())
-        yield b"".join(packed), b",".join(ids), b"".join(data)
+        packed = b"".join([known[p] for p in own])
+        ids = np.frombuffer(packed, dtype="<i4").tolist()
+        yield packed, b",".join([shown[i] for i in ids]), encoder.decode(ids)
 
 
-def _bounded(column: pa.Array, max_bytes: int = 1 << 22) -> Iterator[list[str]]:
+def _bounded(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[list[str]]:
     for _, _, data, offsets in text_blocks(column, max_bytes):
         raw = data.tobytes()
         yield [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])]
@@ -327,7 +336,7 @@ def _lists(packed: list[bytes]) -> pa.Array:
     """Arrays of ids from 32-bit numbers."""
     offsets = np.zeros(len(packed) + 1, dtype=np.int32)
     np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype="<i4")))
 
 
 def digests(docs: DataFrame, ranks_path: str, text_col: str = "text", id_col: str = "doc_id", keep_ids: bool = False) -> DataFrame:

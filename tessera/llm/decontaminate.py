@@ -36,6 +36,7 @@ from tessera.llm.blocks import PLAIN_WORDS, Words, small_batches, text_blocks, w
 
 WINDOW = 13
 SAMPLE = 8
+SHARD_BYTES = 1 << 21  # text indexed at once
 BLOCK_WORDS = 1_000_000  # item words in one block of phrases
 
 
@@ -258,7 +259,7 @@ def _spans_column(phrases):
     def find(texts: pa.Array) -> pa.Array:
         counts, spans, items = [], [], []
         block = phrases.value
-        for _, _, data, offsets in text_blocks(texts):
+        for _, _, data, offsets in text_blocks(texts, SHARD_BYTES):
             words = Words(data, offsets, word_table(PLAIN_WORDS))
             n = len(offsets) - 1
             a, b, doc, item = find_spans(words, block)

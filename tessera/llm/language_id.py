@@ -75,10 +75,12 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
     """Fit on rows where ``learn`` holds: at most ``per_language`` of each language."""
     families = FAMILIES if families is None else families
     spark = docs.sparkSession
-    rows = (docs.where(learn).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = (docs.where(learn).where(F.col(lang_col).isNotNull())
             .select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
                     F.xxhash64(F.col(id_col).cast("string")).alias("h")))
+    # reads the languages only, not the texts
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.where(F.col("text").isNotNull())
     if not counts:
         return {"langs": [], "dims": dims}
     # keep a hash range of about twice the rows needed, so that the sort below is bounded
@@ -97,6 +99,8 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
     small_batches(spark)
     picked = near.mapInArrow(featurise, "lang string, h long, x binary").toPandas()
     picked = picked.sort_values(["lang", "h"]).groupby("lang").head(per_language)
+    if not len(picked):
+        return {"langs": [], "dims": dims}
     x = np.frombuffer(b"".join(picked["x"]), dtype=np.float16).reshape(-1, dims).astype(np.float32)
     lang = picked["lang"].to_numpy()
     langs = sorted(set(lang))

@@ -93,10 +93,8 @@ def judge_templates(tree: DataFrame, z: float, purity: float, weight: float) ->
     one = one.join(pooled, ["host", "family"]).withColumn(
         "branch", F.when(alike, F.col("family")).otherwise(F.col("template")))
     branch = one.groupBy("host", "branch").agg(F.sum("n").alias("bn"), F.sum("blocked").alias("bb"))
-    everywhere = one.agg((F.sum("blocked") / F.sum("n")).alias("base"))
-    # one row: the share over all pages
-    branch = branch.crossJoin(F.broadcast(everywhere)).withColumn(
-        "purity", (F.col("bb") + weight * F.col("base")) / (F.col("bn") + weight))
+    base = one.agg(F.coalesce(F.sum("blocked") / F.sum("n"), F.lit(0.0)).alias("base")).first()["base"]  # one number
+    branch = branch.withColumn("purity", (F.col("bb") + weight * F.lit(base)) / (F.col("bn") + weight))
     return (one.join(branch, ["host", "branch"])
             .select("host", "template", "branch", "purity", (F.col("purity") >= purity).alias("rejected")))
 
