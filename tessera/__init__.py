@@ -1,9 +1,10 @@
 """tessera: a PySpark-native toolkit for everyday ETL and geo enrichment.
 
-Every public function is lazy: it takes and returns DataFrames (or Columns)
-and leaves planning to Catalyst. Nothing here collects data to the driver
-except where a schema must be known at plan time (documented per function,
-always a bounded, aggregated result).
+Public functions take and return DataFrames (or Columns) and leave planning
+to Catalyst. Some run a job when called: where types or vocabularies must be
+known at plan time, where a hot-key list or a lookup table is written once,
+and for row numbers. File listings and CSV header lines are held by the
+driver, in proportion to the number of files; other results are bounded.
 """
 
 import sys as _sys

@@ -1,4 +1,4 @@
-"""Small helpers shared by the column-level functions."""
+"""Small functions shared by the column-level functions."""
 
 from __future__ import annotations
 

@@ -138,8 +138,14 @@ def geohash(lat: str, lon: str, precision: int = DEFAULT_PRECISION) -> Column:
     return F.expr(geohash_sql(_ref(lat), _ref(lon), precision))
 
 
+def _others(df: DataFrame, replaced: list[str]) -> list[Column]:
+    """Columns of ``df`` but for those about to be replaced (names as Spark resolves them)."""
+    gone = {n.lower() for n in replaced}
+    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in gone]
+
+
 def geo_encode(df: DataFrame, lat: str, long: str, precision: int = DEFAULT_PRECISION) -> DataFrame:
-    """P4 + P5: replace ``lat``/``long`` by DECIMAL(10,6) and add ``GeoHash``."""
+    """P4 + P5: replace ``lat``/``long`` by DECIMAL(10,6) and set ``GeoHash`` (a column of that name is replaced)."""
     if precision < 1:
         raise ValueError("precision must be >= 1")
     x, y, _ = _offsets_sql(_ref(lat), _ref(long))
@@ -152,7 +158,7 @@ def geo_encode(df: DataFrame, lat: str, long: str, precision: int = DEFAULT_PREC
                             *[F.expr(e).alias(a) for e, a in zip(_chunks_sql("__gh_x", _LAT_SPAN, n), la_names)],
                             *[F.expr(e).alias(a) for e, a in zip(_chunks_sql("__gh_y", _LON_SPAN, n), lo_names)])
     code = f"coalesce({_chars_sql(la_names, lo_names, precision)}, '{UNKNOWN}')"
-    return chunked.select(*keep, F.expr(code).alias("GeoHash"))
+    return chunked.select(*_others(df, ["GeoHash"]), F.expr(code).alias("GeoHash"))
 
 
 # Masks that move bit 2k of a 60-bit value to bit k (inverse Morton spread).
@@ -194,7 +200,7 @@ def _centre_sql(hi_bits: str, lo_bits: str, nbits: str, low: float, span: float)
 
 def geo_decode(df: DataFrame, code: str, exact: bool = False,
                lat_name: str = "Latitude", lon_name: str = "Longitude") -> DataFrame:
-    """Add the cell centre of ``code`` as ``Latitude``/``Longitude``.
+    """Set the cell centre of ``code`` as ``Latitude``/``Longitude`` (columns of these names are replaced).
 
     FLOAT like the reference by default, DOUBLE with ``exact=True``.
     ``"unknown"`` (F6), NULL (F5) and codes with letters outside the
@@ -209,6 +215,6 @@ def geo_decode(df: DataFrame, code: str, exact: bool = False,
     lat = _centre_sql(f"({_compact_sql(hi, False)})", f"({_compact_sql(lo, False)})", lat_bits, -90.0, 180.0)
     lon = _centre_sql(f"({_compact_sql(hi, True)})", f"({_compact_sql(lo, True)})", lon_bits, -180.0, 360.0)
     kind = "DOUBLE" if exact else "FLOAT"
-    return staged.select(*[F.col(f"`{c}`") for c in df.columns],
+    return staged.select(*_others(df, [lat_name, lon_name]),
                          F.expr(f"CAST({lat} AS {kind})").alias(lat_name),
                          F.expr(f"CAST({lon} AS {kind})").alias(lon_name))

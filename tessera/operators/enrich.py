@@ -3,7 +3,7 @@ counting (C3).
 
 The reference calls a web service once per row, sequentially, and hides
 failures. Here the keys are made distinct first (so repeated keys cost one
-call), the calls run in ``mapInPandas`` tasks with one client per task, a
+call), the calls run in ``mapInArrow`` tasks with one client per task, a
 failure becomes a row with an ``error`` text, and the lookup table is
 checkpointed to the shared checkpoint folder so a retried or replayed stage
 does not call the service again. Results are joined back on the keys.
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +22,7 @@ from tessera.operators.skew import DEFAULT_HOT_ROWS, join_distinct
 from tessera.session import cut_lineage
 
 
-def _lookup_fn(keys: list[str], fn: Callable, client_factory: Callable | None, out_fields: list[str],
+def _lookup_fn(keys: list[str], fn: Callable, client_factory: Callable | None, out_schema: pa.Schema,
                retries: int = 0, backoff_s: float = 0.5):
     import time
 
@@ -35,23 +35,24 @@ def _lookup_fn(keys: list[str], fn: Callable, client_factory: Callable | None, o
                     raise
                 time.sleep(backoff_s * (2 ** attempt))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    added = [f for f in out_schema if f.name not in keys and f.name != "error"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = client_factory() if client_factory else None
-        for pdf in batches:
-            rows = []
-            for rec in pdf.to_dict("records"):
-                out = {k: rec[k] for k in keys}
+        for batch in batches:
+            results, errors = [], []
+            for rec in batch.to_pylist():
                 try:
-                    res = call(client, rec)
-                    for f in out_fields:
-                        out[f] = (res or {}).get(f)
-                    out["error"] = None
+                    results.append(call(client, rec) or {})
+                    errors.append(None)
                 except Exception as e:  # kept as a row, counted by C3
-                    for f in out_fields:
-                        out[f] = None
-                    out["error"] = f"{type(e).__name__}: {e}"[:500]
-                rows.append(out)
-            yield pd.DataFrame(rows, columns=keys + out_fields + ["error"])
+                    results.append({})
+                    errors.append(f"{type(e).__name__}: {e}")
+            # keys pass through untouched, results are converted by their own type
+            columns = [batch.column(k) for k in keys]
+            columns += [pa.array([r.get(f.name) for r in results], f.type) for f in added]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(errors, pa.string())],
+                                             names=[*keys, *[f.name for f in added], "error"])
     return run
 
 
@@ -62,28 +63,30 @@ def lookup_table(df: DataFrame, keys: list[str], fn: Callable, schema: T.StructT
 
     Keys with a NULL part are still looked up once (the service decides).
     A failing call is retried ``retries`` times with exponential backoff
-    before its error is recorded.
+    before its error is recorded. The calls run in ``partitions`` tasks (as
+    many as the cluster runs at once by default): a fixed number, because
+    Spark would merge partitions of few bytes into one however long a call
+    takes.
     """
-    distinct = df.select(*keys).distinct()
-    if partitions:
-        distinct = distinct.repartition(partitions, *keys)
+    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
+    distinct = df.select(*keys).distinct().repartition(partitions, *keys)
     key_fields = [df.schema[k] for k in keys]
     out_schema = T.StructType(key_fields + list(schema.fields) + [T.StructField("error", T.StringType())])
-    looked = distinct.mapInPandas(_lookup_fn(keys, fn, client_factory, [f.name for f in schema.fields],
-                                             retries, backoff_s), out_schema)
+    arrow = df.sparkSession.createDataFrame([], out_schema).toArrow().schema
+    looked = distinct.mapInArrow(_lookup_fn(keys, fn, client_factory, arrow, retries, backoff_s), out_schema)
     return cut_lineage(looked) if checkpoint else looked
 
 
 def enrich(df: DataFrame, keys: list[str], fn: Callable, schema: T.StructType,
            client_factory: Callable | None = None, checkpoint: bool = True,
            observation: Observation | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
-           retries: int = 0, backoff_s: float = 0.5) -> DataFrame:
+           retries: int = 0, backoff_s: float = 0.5, partitions: int | None = None) -> DataFrame:
     """Add the service result for each row's key (NULL keys included,
     matched null-safely). A key carried by a large share of the rows is
     split over salt buckets in the join back (``join_distinct``). With
     ``observation``, the number of failed rows (C3, ``skipped``) is recorded
     when the result is computed."""
-    table = lookup_table(df, keys, fn, schema, client_factory, checkpoint, retries=retries, backoff_s=backoff_s)
+    table = lookup_table(df, keys, fn, schema, client_factory, checkpoint, partitions, retries, backoff_s)
     joined = join_distinct(df, table, keys, "left", null_safe=True, hot_rows=hot_rows)
     if observation is not None:
         joined = joined.observe(observation, F.count(F.col("error")).alias("skipped"),

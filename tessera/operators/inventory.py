@@ -27,7 +27,7 @@ def crawl_size(listing: DataFrame, path_col: str = "path", size_col: str = "leng
     empty objects included. Both are lazy; only the depth is computed eagerly
     when ``levels`` is not given. ``relative_to`` (a root such as
     ``s3a://bucket``) is cut from the front of each path first, so levels
-    are those of the object key, as the original helper splits keys.
+    are those of the object key, as the original code splits keys.
     """
     if relative_to is not None:
         root = relative_to.rstrip("/") + "/"

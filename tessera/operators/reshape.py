@@ -106,39 +106,70 @@ _NUMERIC_RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4,
                  T.FloatType: 6, T.DoubleType: 7}
 
 
+def _nullable(t: T.DataType) -> T.DataType:
+    """The type with every element and field nullable."""
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_nullable(t.elementType), True)
+    if isinstance(t, T.MapType):
+        return T.MapType(_nullable(t.keyType), _nullable(t.valueType), True)
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in t.fields])
+    return t
+
+
+# digits an integer type needs as a decimal
+_INTEGER_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+
+
 def _common_type(types: list[T.DataType]) -> T.DataType:
+    types = [_nullable(t) for t in types if not isinstance(t, T.NullType)]
+    if not types:
+        return T.NullType()
     first = types[0]
     if all(t == first for t in types):
         return first
     if all(type(t) in _NUMERIC_RANK or isinstance(t, T.DecimalType) for t in types):
-        if any(isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)) for t in types):
+        decimals = [t for t in types if isinstance(t, T.DecimalType)]
+        if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in types):
             return T.DoubleType()
+        if decimals:
+            scale = max(t.scale for t in decimals)
+            whole = max([t.precision - t.scale for t in decimals]
+                        + [_INTEGER_DIGITS[type(t)] for t in types if not isinstance(t, T.DecimalType)])
+            # beyond 38 digits no decimal holds every value: text does
+            return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
         return max(types, key=lambda t: _NUMERIC_RANK[type(t)])
-    if all(isinstance(t, T.NullType) or t == first for t in types):
-        return first
     return T.StringType()
 
 
 def union_all_by_name(frames: list[DataFrame]) -> DataFrame:
     """Multiset union by column name; missing columns are NULL.
 
-    Columns whose types differ are cast to one common type first (numbers
-    widen, anything else becomes STRING) so no implicit cast can raise.
+    Columns whose types differ are cast to one common type first (integers
+    and decimals widen exactly, a float makes DOUBLE, anything else becomes
+    STRING) so no implicit cast can raise. Names that differ in case only are
+    one column unless ``spark.sql.caseSensitive`` is set; the first spelling
+    stays.
     The unions are combined as a balanced tree to keep analysis cheap when
     there are many inputs.
     """
     if not frames:
         raise ValueError("no frames to union")
+    exact = frames[0].sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    key = (lambda n: n) if exact else str.lower
     seen: dict[str, list[T.DataType]] = {}
+    spelled: dict[str, str] = {}
     for f in frames:
         for fld in f.schema.fields:
-            seen.setdefault(fld.name, []).append(fld.dataType)
+            spelled.setdefault(key(fld.name), fld.name)
+            seen.setdefault(key(fld.name), []).append(fld.dataType)
     target = {n: _common_type(ts) for n, ts in seen.items()}
     aligned = []
     for f in frames:
-        cols = [F.col(f"`{fld.name}`").cast(target[fld.name]).alias(fld.name)
-                if fld.dataType != target[fld.name] else F.col(f"`{fld.name}`")
-                for fld in f.schema.fields]
+        cols = []
+        for fld in f.schema.fields:
+            c, t = F.col(f"`{fld.name}`"), target[key(fld.name)]
+            cols.append((c if _nullable(fld.dataType) == t else c.cast(t)).alias(spelled[key(fld.name)]))
         aligned.append(f.select(*cols))
     while len(aligned) > 1:
         nxt = [a.unionByName(b, allowMissingColumns=True)

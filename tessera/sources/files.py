@@ -6,6 +6,7 @@ filters reach the scan and every file is split across tasks.
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
 import re
 
@@ -34,6 +35,11 @@ def _as_list(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def literal_path(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _source_path():
     """The file a row came from, in the same (decoded) form as ``list_files``.
 
@@ -74,7 +80,8 @@ def _statuses(spark: SparkSession, arr) -> list[tuple[str, bool, int, int]]:
 
 def list_files(spark: SparkSession, root: str, prefix: str = "", include_empty: bool = True) -> DataFrame:
     """Objects whose key starts with ``root + prefix`` (a string prefix,
-    not a directory: ``pre`` matches ``pre/a`` and ``prefix2/b``).
+    not a directory: ``pre`` matches ``pre/a`` and ``prefix2/b``). Glob
+    characters in ``prefix`` stand for themselves.
 
     ``include_empty=True`` lists through the Hadoop file system, which also
     returns zero-length objects and names starting with ``_`` or ``.``; it
@@ -84,7 +91,7 @@ def list_files(spark: SparkSession, root: str, prefix: str = "", include_empty:
     listing runs as a distributed job for many directories; it skips those
     objects and, with only path and length selected, reads no content).
     """
-    pattern = root.rstrip("/") + "/" + prefix + "*" if prefix or not root.endswith("*") else root
+    pattern = root.rstrip("/") + "/" + literal_path(prefix) + "*" if prefix or not root.endswith("*") else root
     if not include_empty:
         return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
                 .select("path", "length", "modificationTime"))
@@ -176,27 +183,50 @@ def _apply_types(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, paths, na_tokens=DEFAULT_NA, schema: T.StructType | None = None,
-             infer: bool = True, multi_line: bool = True) -> DataFrame:
+             infer: bool = True, multi_line: bool = True, strict: bool = False,
+             columns: list[str] | None = None) -> DataFrame:
     """CSV with a header row, UTF-8, quoted newlines and doubled quotes.
 
     All files given together must share one header (see ``read_many`` for
     mixed headers). Fields are read as text, NA tokens become NULL, then each
-    column is typed from one aggregation pass unless ``schema`` is given.
+    column is typed from one aggregation pass unless ``schema`` is given; a
+    value that does not fit the schema is NULL, or an error with
+    ``strict=True``.
     Quoted newlines need ``multi_line`` parsing, which reads each file in one
     task; for large files known to hold none, ``multi_line=False`` lets Spark
-    split every file across tasks.
+    split every file across tasks. ``columns`` gives header names already
+    known, which saves reading them again.
     """
-    raw = (spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
-           .option("escape", '"').option("encoding", "UTF-8").option("inferSchema", "false")
-           .csv(_as_list(paths)))
+    reader = (spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
+              .option("escape", '"').option("encoding", "UTF-8").option("inferSchema", "false"))
+    if columns:
+        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    raw = reader.csv(_as_list(paths))
     raw = _null_tokens(raw, na_tokens)
     if schema is not None:
-        return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+        return raw.select(*[_typed(f, strict) for f in schema.fields])
     if not infer:
         return raw
     return _apply_types(raw, infer_types(raw))
 
 
+def _header_names(header: str) -> list[str] | None:
+    """Column names of a header line, or None where Spark should find them (quoted line feeds, odd names)."""
+    if header.count('"') % 2 or header.startswith("\ufeff"):
+        return None
+    names = next(csv.reader([header]), [])
+    return names if all(n.strip() == n and n for n in names) and len({n.lower() for n in names}) == len(names) else None
+
+
+def _typed(field: T.StructField, strict: bool):
+    value = F.col(f"`{field.name}`")
+    out = value.try_cast(field.dataType)
+    if strict:
+        said = F.concat(F.lit(f"column {field.name} does not hold a {field.dataType.simpleString()}: "), value)
+        out = F.when(value.isNotNull() & out.isNull(), F.raise_error(said).cast(field.dataType)).otherwise(out)
+    return out.alias(field.name)
+
+
 def csv_header(spark: SparkSession, path: str) -> str:
     """The first line of one file, read through the Hadoop file system."""
     jvm = spark.sparkContext._jvm
@@ -210,15 +240,12 @@ def csv_header(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-_DISTRIBUTED_HEADERS = 5000  # below this, direct reads beat Spark's per-path file index
-
-
 def _headers(spark: SparkSession, paths: list[str], threads: int = 32) -> list[str]:
-    """First lines of many files: a few are read from the driver concurrently
-    (one small read each); beyond ``_DISTRIBUTED_HEADERS`` files one Spark
-    job reads them on the executors."""
-    if len(paths) > _DISTRIBUTED_HEADERS:
-        return _headers_distributed(spark, paths)
+    """First lines of files: one small read of each, ``threads`` at a time.
+
+    Only the first block of a file is touched, whatever its size; the driver
+    holds one line for each file.
+    """
     if len(paths) <= 1:
         return [csv_header(spark, p) for p in paths]
     from concurrent.futures import ThreadPoolExecutor
@@ -226,34 +253,6 @@ def _headers(spark: SparkSession, paths: list[str], threads: int = 32) -> list[s
         return list(pool.map(lambda p: csv_header(spark, p), paths))
 
 
-def _path_forms(p: str) -> list[str]:
-    forms = [p]
-    if p.startswith("/"):
-        forms.append("file:" + p)
-    if p.startswith("file:///"):
-        forms.append("file:/" + p[len("file:///"):])
-    return forms
-
-
-def _headers_distributed(spark: SparkSession, paths: list[str]) -> list[str]:
-    """First line of every file in one job: the text scan marks the split
-    each row comes from, the split starting at byte 0 holds the first line,
-    and the earliest row of that split per file is kept (rows of one split
-    keep their order within the task). Files without lines get ``""``."""
-    from urllib.parse import unquote
-    first = (spark.read.text(paths)
-             .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_block_start").alias("b"),
-                     "value", F.monotonically_increasing_id().alias("o"))
-             .where(F.col("b") == 0)
-             .groupBy("p").agg(F.min_by("value", "o").alias("h")))
-    found = {unquote(r["p"]): r["h"] for r in first.collect()}
-    out = []
-    for p in paths:
-        header = next((found[f] for f in _path_forms(p) if f in found), "")
-        out.append(header)
-    return out
-
-
 # ----------------------------------------------------------------- parquet
 
 def read_parquet(spark: SparkSession, paths, merge_schema: bool = False) -> DataFrame:
@@ -274,7 +273,7 @@ def read_json_docs(spark: SparkSession, paths, schema: T.StructType | None = Non
     ``one_per_file=False`` reads one document per line instead, the layout
     ``write_json_docs`` produces (files split across tasks).
     """
-    raw = (spark.read.option("wholetext", "true") if one_per_file else spark.read).text(_as_list(paths))
+    raw = spark.read.text(_as_list(paths), wholetext=one_per_file)
     doc = F.from_json("value", schema) if schema is not None else F.parse_json("value")
     return raw.select(_source_path().alias("path"), doc.alias("doc"))
 
@@ -288,7 +287,7 @@ def read_lines(spark: SparkSession, paths, with_path: bool = False) -> DataFrame
     ps = _as_list(paths)
     bad = [p for p in ps if not p.endswith(TEXT_SUFFIXES)]
     if bad:
-        raise ValueError(f"Must be .txt file: {bad[0]}")
+        raise ValueError(f"not a text object (expected {' or '.join(TEXT_SUFFIXES)}): {bad[0]}")
     df = spark.read.text(ps)
     if with_path:
         return df.select(_source_path().alias("path"), "value")
@@ -319,9 +318,8 @@ def _expand_dirs(spark: SparkSession, paths: list[str]) -> list[str]:
         fs = hp.getFileSystem(conf)
         found = fs.globStatus(hp)
         st = _statuses(spark, found) if found is not None else []
-        if not st or (len(st) == 1 and not st[0][1]):
-            out.append(p)  # a file, or absent: the reader reports it
-            continue
+        if not st:
+            raise FileNotFoundError(p)
         for f, _, _ in _walk(spark, fs, st):
             name = f.rsplit("/", 1)[-1]
             if not name.startswith(("_", ".")):
@@ -329,16 +327,25 @@ def _expand_dirs(spark: SparkSession, paths: list[str]) -> list[str]:
     return out
 
 
-def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi_line: bool = True) -> DataFrame:
+def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi_line: bool = True,
+              infer: bool = True) -> DataFrame:
     """Read many objects by suffix and concatenate them by column name.
 
     CSV files are grouped by header line (one scan per distinct header, so
     differing headers never misalign); Parquet files are read in one scan
     with schema merging, or one scan per file when their types conflict.
-    Other suffixes are ignored. No match gives an empty frame.
+    Other suffixes are ignored. No match gives an empty frame. A listed
+    object whose name starts with ``_`` or ``.`` is an error, since Spark's
+    readers would skip it. ``infer=False`` leaves CSV columns as text and
+    saves the typing pass.
     """
     from tessera.operators.reshape import union_all_by_name
     paths, all_files = _paths_of(spark, paths_or_listing)
+    if all_files:
+        hidden = [p for p in paths if p.rsplit("/", 1)[-1].startswith(("_", "."))
+                  and p.endswith((*CSV_SUFFIXES, *PARQUET_SUFFIXES))]
+        if hidden:
+            raise ValueError(f"readers skip names starting with _ or .: {hidden[0]}")
     csv_paths = [p for p in paths if p.rstrip("/").endswith(CSV_SUFFIXES)]
     csvs = csv_paths if all_files else _expand_dirs(spark, csv_paths)
     parquets = [p for p in paths if p.rstrip("/").endswith(PARQUET_SUFFIXES)]
@@ -346,11 +353,14 @@ def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi
     by_header: dict[str, list[str]] = {}
     for p, header in zip(csvs, _headers(spark, csvs)):
         by_header.setdefault(header, []).append(p)
-    for group in by_header.values():
-        frames.append(read_csv(spark, group, na_tokens, multi_line=multi_line))
+    for header, group in by_header.items():
+        frames.append(read_csv(spark, [literal_path(p) for p in group], na_tokens, infer=infer, multi_line=multi_line,
+                               columns=_header_names(header)))
     if parquets:
+        # one path may be a glob or a directory of several schemas, so they are always merged
+        parquets = [literal_path(p) for p in parquets] if all_files else parquets
         try:
-            frames.append(read_parquet(spark, parquets, merge_schema=len(parquets) > 1))
+            frames.append(read_parquet(spark, parquets, merge_schema=True))
         except Exception as e:  # conflicting column types: read file by file
             if "CANNOT_MERGE" not in str(e) and "Failed to merge" not in str(e):
                 raise

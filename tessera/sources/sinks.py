@@ -47,8 +47,8 @@ def write_parquet(df: DataFrame, path: str, name: str, mode: str = "overwrite",
 
 def write_json_docs(df: DataFrame, path: str, name: str, doc: str | Column = "doc",
                     mode: str = "overwrite", single_file: bool = False) -> str:
-    """K3: one JSON document per row as text lines under ``{stem}.dict``."""
+    """K3: one JSON document per row as text lines under ``{stem}.dict``; null fields are written as nulls."""
     target = _target(path, name, ".dict")
     c = F.col(doc) if isinstance(doc, str) else doc
-    _prep(df.select(F.to_json(c).alias("value")), single_file).write.mode(mode).text(target)
+    _prep(df.select(F.to_json(c, {"ignoreNullFields": "false"}).alias("value")), single_file).write.mode(mode).text(target)
     return target

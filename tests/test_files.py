@@ -160,9 +160,8 @@ def test_read_csv_split_mode(spark, tmpdir_path):
     assert df.count() == 1000 and df.schema["a"].dataType == T.LongType()
 
 
-def test_distributed_header_grouping(spark, tmpdir_path, monkeypatch):
+def test_header_grouping(spark, tmpdir_path):
     import tessera.sources.files as files
-    monkeypatch.setattr(files, "_DISTRIBUTED_HEADERS", 2)  # force the Spark-job path
     _write(f"{tmpdir_path}/h/a b.csv", "id,v\n1,x\n")
     _write(f"{tmpdir_path}/h/c%d.csv", "id,w\n2,y\n")
     _write(f"{tmpdir_path}/h/e.csv", "id,v\n3,z\n")
@@ -193,3 +192,59 @@ def test_source_paths_match_listing(spark, tmpdir_path):
     doc_paths = {r["path"] for r in read_json_docs(spark, f"{tmpdir_path}/p/a b+c.dict").collect()}
     line_paths = {r["path"] for r in read_lines(spark, f"{tmpdir_path}/p/l 1.txt", with_path=True).collect()}
     assert doc_paths <= listed and line_paths <= listed
+
+
+def test_headers_of_relative_paths_beyond_five_thousand_files(spark, tmpdir_path, monkeypatch):
+    import tessera.sources.files as files
+    _write(f"{tmpdir_path}/csv/a.csv", "x,y\n1,2\n")
+    _write(f"{tmpdir_path}/csv/b.csv", "y,x\n10,20\n")
+    monkeypatch.chdir(tmpdir_path)
+    # the JVM keeps its own working directory, so relative paths go through a link from there
+    import os
+    rel = os.path.relpath(tmpdir_path, spark._jvm.java.lang.System.getProperty("user.dir"))
+    paths = [f"{rel}/csv/a.csv"] * 5001 + [f"{rel}/csv/b.csv"]
+    assert files._headers(spark, paths) == ["x,y"] * 5001 + ["y,x"]
+    got = read_many(spark, [f"{rel}/csv/a.csv", f"{rel}/csv/b.csv"]).collect()
+    assert sorted((r["x"], r["y"]) for r in got) == [(1, 2), (20, 10)]
+
+
+def test_parquet_schemas_under_one_glob_or_directory(spark, tmpdir_path):
+    spark.range(2).selectExpr("id", "1 AS a").write.parquet(f"{tmpdir_path}/pq/one.parquet")
+    spark.range(2).selectExpr("id", "2 AS b").write.parquet(f"{tmpdir_path}/pq/two.parquet")
+    got = read_many(spark, [f"{tmpdir_path}/pq/*.parquet"])
+    assert sorted(got.columns) == ["a", "b", "id"] and got.count() == 4
+
+
+def test_glob_characters_and_hidden_names_in_listings(spark, tmpdir_path):
+    import pytest
+    for name in ("a[1]x.csv", "a1y.csv"):
+        _write(f"{tmpdir_path}/g/{name}", "id\n1\n")
+    listing = list_files(spark, f"{tmpdir_path}/g", "a[1]")
+    assert [r["path"].rsplit("/", 1)[1] for r in listing.collect()] == ["a[1]x.csv"]
+    assert read_many(spark, listing).count() == 1
+    _write(f"{tmpdir_path}/u/_h.csv", "id\n1\n")
+    with pytest.raises(ValueError, match="_h.csv"):
+        read_many(spark, list_files(spark, f"{tmpdir_path}/u"))
+
+
+def test_whole_json_documents_and_nulls(spark, tmpdir_path):
+    import json
+
+    from tessera.sources.sinks import write_json_docs
+    doc = {"a": {"b": [1, 2, None]}, "c": "x\ny"}
+    _write(f"{tmpdir_path}/d/one.dict", json.dumps(doc, indent=2))
+    rows = read_json_docs(spark, f"{tmpdir_path}/d/one.dict").selectExpr("to_json(doc) AS j").collect()
+    assert [json.loads(r.j) for r in rows] == [doc]
+    typed = read_json_docs(spark, f"{tmpdir_path}/d/one.dict", T.StructType.fromDDL("c string")).collect()
+    assert [r.doc.c for r in typed] == ["x\ny"]
+    out = write_json_docs(spark.sql("SELECT struct(0 AS id, CAST(NULL AS INT) AS n) AS doc"), f"{tmpdir_path}/d/", "nulls")
+    assert [r.value for r in spark.read.text(out).collect()] == ['{"id":0,"n":null}']
+
+
+def test_strict_schema(spark, tmpdir_path):
+    import pytest
+    _write(f"{tmpdir_path}/s/t.csv", "id\n1\nabc\n")
+    schema = T.StructType.fromDDL("id bigint")
+    assert [r.id for r in read_csv(spark, f"{tmpdir_path}/s/t.csv", schema=schema).collect()] == [1, None]
+    with pytest.raises(Exception, match="does not hold a bigint"):
+        read_csv(spark, f"{tmpdir_path}/s/t.csv", schema=schema, strict=True).collect()

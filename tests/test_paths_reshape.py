@@ -122,3 +122,34 @@ def test_check_objects_ignoring_schemes(spark):
     assert got == {"s3://b/k1": True, "b/k2": True, "/tmp/x": True, "s3://b/none": False}
     strict = {r["path"]: r["exists"] for r in check_objects(manifest, listing).collect()}
     assert not any(strict.values())
+
+
+def test_union_types_lose_nothing(spark):
+    from decimal import Decimal
+
+    from tessera.functions.geohash import geo_decode, geo_encode
+    from tessera.operators.reshape import union_all_by_name
+    a = spark.sql("SELECT array('p', 'q') AS arr, NULL AS n, CAST('12345678901234567.89' AS DECIMAL(19,2)) AS d, 1L AS ID")
+    b = spark.sql("SELECT array('r', NULL) AS arr, 7L AS n, CAST('1.50' AS DECIMAL(20,2)) AS d, 'x' AS id")
+    out = union_all_by_name([a, b])
+    rows = sorted(out.collect(), key=lambda r: r.ID)
+    assert out.columns == ["arr", "n", "d", "ID"]
+    assert [(r.arr, r.n, r.d, r.ID) for r in rows] == [
+        (["p", "q"], None, Decimal("12345678901234567.89"), "1"), (["r", None], 7, Decimal("1.50"), "x")]
+    # columns that the geohash functions set are replaced, not doubled
+    twice = geo_encode(geo_encode(spark.sql("SELECT 1.5D AS la, 2.5D AS lo, 'old' AS geohash"), "la", "lo"), "la", "lo")
+    assert sorted(twice.columns) == ["GeoHash", "la", "lo"]
+    assert geo_decode(geo_decode(twice, "GeoHash"), "GeoHash").columns.count("Latitude") == 1
+
+
+def test_hot_keys_survive_unstable_row_order(spark):
+    from tessera.operators.skew import join_distinct
+    old = spark.conf.get("spark.sql.exchange.reuse", "true")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        for _ in range(4):
+            big = spark.range(120_000).repartition(7).selectExpr("IF(id % 3 = 0, 0, id % 50) AS k").repartition(5)
+            small = spark.range(50).selectExpr("id AS k", "id AS v")
+            assert join_distinct(big, small, ["k"], hot_rows=2500).where("v IS NULL").count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)

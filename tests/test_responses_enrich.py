@@ -75,7 +75,7 @@ def test_enrich_one_call_per_key_and_failures(spark):
     assert acc.value == 4
 
 
-def test_small_helpers(spark):
+def test_small_functions(spark):
     df = spark.createDataFrame([('{"a": {"b": 7}, "c": [1, 2]}', 1.5, -2.25)], "j string, la double, lo double")
     r = df.select(json_field(parse_doc("j"), "$.a.b", "int").alias("b"),
                   to_json_text(F.struct(F.lit(1).alias("x"))).alias("t"),
@@ -118,3 +118,21 @@ def test_enrich_retries_transient_failures(spark):
     assert sorted((r["k"], r["v"], r["error"]) for r in ok) == [(1, 2, None), (2, 4, None), (2, 4, None)]
     failed = enrich(df, ["k"], service, schema, client_factory=Flaky).collect()
     assert all(r["error"].startswith("TimeoutError") for r in failed)
+
+
+def test_enrich_is_exact_and_parallel(spark):
+    big = 9007199254740993
+    long_text = "x" * 2000
+
+    def service(rec):
+        from pyspark import TaskContext
+        if rec["k"] == 5:
+            raise ValueError(long_text)
+        return {"v": None if rec["k"] is None else rec["k"], "t": str(rec["k"]), "p": TaskContext.get().partitionId()}
+
+    keys = [big, 7, None, 5, *range(100, 400)]
+    frame = spark.createDataFrame([(k,) for k in keys], "k long").repartition(4)
+    got = {r.k: r for r in enrich(frame, ["k"], service, T.StructType.fromDDL("v long, t string, p int"), partitions=6).collect()}
+    assert (got[big].v, got[big].t) == (big, str(big)) and got[7].t == "7" and got[None].t == "None"
+    assert got[5].v is None and got[5].error == f"ValueError: {long_text}"
+    assert len({r.p for r in got.values() if r.p is not None}) > 1
