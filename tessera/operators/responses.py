@@ -19,8 +19,8 @@ _LOCATION = T.StructType([T.StructField("location", T.StructType([
 _PLUS_CODE = T.StructType([T.StructField("compound_code", T.StringType()),
                            T.StructField("global_code", T.StringType())])
 
-# Schemas for responses stored as JSON text (fields the flattening reads,
-# plus the common pass-through ones).
+# Types of the fields that the flattening reads or drops, and of common ones;
+# other fields of stored responses are found in the data.
 GEOCODE_RESULT = T.StructType([
     T.StructField("formatted_address", T.StringType()),
     T.StructField("place_id", T.StringType()),
@@ -46,11 +46,46 @@ GEOCODE_DROP = ("plus_code", "geometry", "address_components", "types")
 PLACES_DROP = ("geometry", "plus_code", "photos", "icon", "opening_hours", "types")
 
 
+def _readable(t: T.DataType) -> T.DataType:
+    """An inferred type as columns use it: numbers with fractions as DOUBLE, what is always null as STRING."""
+    if isinstance(t, T.DecimalType):
+        return T.DoubleType()
+    if isinstance(t, T.NullType):
+        return T.StringType()
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_readable(t.elementType))
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _readable(f.dataType)) for f in t.fields])
+    return t
+
+
 def _records(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
-    """Responses stored as JSON text are parsed with ``schema``."""
+    """Responses stored as JSON text or VARIANT become arrays of records.
+
+    One aggregate over all rows finds every field the records have; fields in
+    ``schema`` are read by its types. Text that is no JSON becomes NULL
+    (``malformed_responses`` counts it).
+    """
     dt = df.schema[col].dataType
-    arr = F.from_json(F.col(col), T.ArrayType(schema)) if isinstance(dt, T.StringType) else F.col(col)
-    return df.withColumn(col, arr)
+    if isinstance(dt, T.StringType):
+        value = F.try_parse_json(F.col(f"`{col}`"))
+    elif isinstance(dt, T.VariantType):
+        value = F.col(f"`{col}`")
+    else:
+        return df
+    spark = df.sparkSession
+    found = df.agg(F.schema_of_variant_agg(value).alias("s")).first()["s"]
+    fields = list(schema.fields)
+    if found and found.startswith("ARRAY<OBJECT<"):
+        t = spark.sql(f"SELECT CAST(NULL AS {found.replace('OBJECT<', 'STRUCT<')}) AS x").schema["x"].dataType
+        fields += [T.StructField(f.name, _readable(f.dataType)) for f in t.elementType.fields if f.name not in schema.names]
+    return df.withColumn(col, F.try_variant_get(value, "$", T.ArrayType(T.StructType(fields)).simpleString()))
+
+
+def malformed_responses(df: DataFrame, response: str) -> int:
+    """Number of response texts that are no JSON."""
+    bad = F.col(f"`{response}`").isNotNull() & F.try_parse_json(F.col(f"`{response}`")).isNull()
+    return df.where(bad).count()
 
 
 def _fields(df: DataFrame, rec: str) -> list[str]:

@@ -15,18 +15,18 @@ from pyspark.sql import functions as F
 
 from tessera.functions.geohash import ALPHABET, geo_decode, geo_encode
 from tessera.functions.nested import json_field, parse_doc
-from tessera.functions.paths import file_format, join_path, object_stem, parse_object_path, path_levels
+from tessera.functions.paths import file_format, join_path, location_text, object_stem, parse_object_path, path_levels
 from tessera.operators.enrich import enrich
 from tessera.operators.geojoin import places_nearby, reverse_geocode
 from tessera.operators.inventory import check_objects, crawl_size
 from tessera.operators.responses import flatten_geocode, flatten_places
 from tessera.operators.reshape import (array_vocabulary, explode_ranked, multi_hot, union_all_by_name,
                                        with_row_index, zip_rows)
-from tessera.session import scratch_path
-from tessera.sources.files import DEFAULT_NA, read_json_docs, read_lines, read_many
+from tessera.session import cut_lineage, scratch_path
+from tessera.sources.files import DEFAULT_NA, list_files, read_json_docs, read_lines, read_many
 from tessera.sources.sinks import write_csv, write_json_docs, write_parquet
-from tessera.sources.sheets import pack_sheets, prepare_full_refresh, sheet_to_table
-from tessera.sources.tables import keep_unless, sql_query
+from tessera.sources.sheets import full_refresh, pack_sheets, prepare_full_refresh, sheet_to_table
+from tessera.sources.tables import delete_where, drop_table, keep_unless, run_statement, sql_query, truncate_table, write_table
 from tessera.streaming.ingest import parquet_batches, stream_files, write_batches
 
 
@@ -740,6 +740,236 @@ def q_stream_geo_encode(spark, sf_dir):
     return spark.read.parquet(base + "/out/batch=*")
 
 
+# ------------------------------------------- readers of several files, types
+
+def q_read_many_csv_headers(spark, sf_dir):
+    """[S6, S2] files of three headers, two of them the same columns in another order."""
+    o, base = table(spark, sf_dir, "orders"), _scratch(spark)
+    paths = [write_csv(o.where("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey"), base, "even"),
+             write_csv(o.where("o_orderkey % 2 = 1").select("o_custkey", "o_orderkey"), base, "odd"),
+             write_csv(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), base, "customer")]
+    return read_many(spark, paths)
+
+
+_SQL_READ_MANY_CSV_HEADERS = """
+SELECT o_orderkey, o_custkey, NULL AS c_custkey, NULL AS c_mktsegment FROM orders
+UNION ALL SELECT NULL, NULL, c_custkey, c_mktsegment FROM customer
+"""
+
+
+def q_read_many_parquet_glob(spark, sf_dir):
+    """[S6, S3] two schemas under one glob."""
+    o, base = table(spark, sf_dir, "orders"), _scratch(spark)
+    write_parquet(o.where("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey"), base, "even")
+    write_parquet(o.where("o_orderkey % 2 = 1").select("o_orderkey", "o_orderpriority"), base, "odd")
+    return read_many(spark, [base + "*.parquet"])
+
+
+_SQL_READ_MANY_PARQUET_GLOB = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS o_custkey,
+  CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority
+FROM orders
+"""
+
+
+def q_json_documents(spark, sf_dir):
+    """[S4, A4] one document of several lines in each file."""
+    target = _scratch(spark) + "nation.dict"
+    doc = F.to_json(F.struct("n_nationkey", F.struct("n_name", "n_regionkey").alias("n")), {"pretty": "true"})
+    table(spark, sf_dir, "nation").select(doc.alias("value")).write.option("maxRecordsPerFile", 1).text(target)
+    docs = read_json_docs(spark, target)
+    return docs.select(json_field("doc", "$.n_nationkey", "int").alias("n_nationkey"),
+                       json_field("doc", "$.n.n_name", "string").alias("n_name"),
+                       json_field("doc", "$.n.n_regionkey", "int").alias("n_regionkey"))
+
+
+_SQL_JSON_DOCUMENTS = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
+
+
+def q_union_types(spark, sf_dir):
+    """[U1, U2, J2] decimals of two widths, arrays, a column of nulls, names of another case."""
+    o = table(spark, sf_dir, "orders")
+    a = o.where("o_orderkey % 2 = 0").selectExpr("o_orderkey AS ID", "CAST(o_totalprice AS DECIMAL(19,2)) AS price", "NULL AS cust",
+                                                 "array(o_orderstatus, 'x') AS tags")
+    b = o.where("o_orderkey % 2 = 1").selectExpr("o_orderkey AS id", "CAST(o_totalprice AS DECIMAL(20,2)) AS price", "o_custkey AS cust",
+                                                 "array(o_orderstatus, CAST(NULL AS STRING)) AS tags")
+    return union_all_by_name([a, b]).select("ID", F.col("price").cast("string").alias("price"), "cust",
+                                            F.array_join("tags", "+", "-").alias("tags"))
+
+
+_SQL_UNION_TYPES = """
+SELECT o_orderkey AS ID, CAST(CAST(o_totalprice AS DECIMAL(20,2)) AS VARCHAR) AS price,
+  CASE WHEN o_orderkey % 2 = 1 THEN o_custkey END AS cust,
+  o_orderstatus || CASE WHEN o_orderkey % 2 = 0 THEN '+x' ELSE '+-' END AS tags
+FROM orders
+"""
+
+
+def q_list_prefix(spark, sf_dir):
+    """[S1] objects by a string prefix of their key."""
+    base = _scratch(spark)
+    table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority").write.partitionBy(
+        "o_orderpriority", "o_orderstatus").parquet(base + "orders")
+    listed = list_files(spark, base + "orders", "o_orderpriority=1").where("path LIKE '%.parquet'")
+    return (listed.select(F.regexp_extract(F.url_decode("path"), "(o_orderpriority=[^/]+)/", 1).alias("priority"),
+                          F.regexp_extract("path", "(o_orderstatus=[^/]+)/", 1).alias("status")).distinct())
+
+
+_SQL_LIST_PREFIX = """
+SELECT DISTINCT 'o_orderpriority=' || o_orderpriority AS priority, 'o_orderstatus=' || o_orderstatus AS status
+FROM orders WHERE o_orderpriority LIKE '1%'
+"""
+
+
+def q_location_text(spark, sf_dir):
+    """[P13] keys as they are sent to a location service."""
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", location_text(F.col("c_custkey") % 90, F.col("c_nationkey")).alias("location"))
+
+
+_SQL_LOCATION_TEXT = """
+SELECT c_custkey, CAST(c_custkey % 90 AS VARCHAR) || ',' || CAST(c_nationkey AS VARCHAR) AS location FROM customer
+"""
+
+
+def q_enrich_failures(spark, sf_dir):
+    """[C3, X3] rows and failed rows, counted while the enriched rows are computed."""
+    from pyspark.sql import Observation
+    from pyspark.sql import types as T
+    seen = Observation()
+    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("user_id"))
+
+    def service(rec):
+        return {} if rec["user_id"] is None else profile_service(rec)
+
+    cut_lineage(enrich(e, ["user_id"], service, T.StructType.fromDDL(_PROFILE_SCHEMA), observation=seen))
+    got = seen.get
+    return spark.createDataFrame([(got["rows"], got["skipped"])], "all_rows long, failed long")
+
+
+_SQL_ENRICH_FAILURES = """
+SELECT count(*) AS all_rows, count(*) FILTER (WHERE event_id % 7 <> 0 AND user_id % 13 = 0) AS failed FROM events
+"""
+
+
+# ------------------------------------------------------------ catalog tables
+
+def _new_table(spark) -> str:
+    return scratch_path(spark, "tessera_t").rsplit("/", 1)[1].replace("-", "_")
+
+
+def _taken(spark, name: str) -> DataFrame:
+    """The table's rows; the table itself goes."""
+    rows = cut_lineage(spark.table(name))
+    drop_table(spark, name)
+    return rows
+
+
+def q_write_table(spark, sf_dir):
+    """[K5a, K5b, K5c, F4] replaced, appended to, and a refused second creation."""
+    o, name = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), _new_table(spark)
+    write_table(o.limit(5), name)
+    refused = 0
+    try:
+        write_table(o, name, "fail")
+    except Exception as e:
+        if "ALREADY_EXISTS" not in str(e):
+            raise
+        refused = 1
+    write_table(o.where("o_orderstatus = 'F'"), name, "replace", partition_by=["o_orderstatus"])
+    write_table(o.where("o_orderstatus <> 'F'").dropna(), name, "append", partition_by=["o_orderstatus"])
+    return _taken(spark, name).withColumn("refused", F.lit(refused))
+
+
+_SQL_WRITE_TABLE = """
+SELECT o_orderkey, o_custkey, o_orderstatus, 1 AS refused FROM orders
+WHERE o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND o_orderstatus IS NOT NULL
+"""
+
+
+def q_truncate_table(spark, sf_dir):
+    """[K6, K7a, F7, K7c] a truncated table keeps its definition; statements run on the catalog; a dropped table is gone."""
+    o, name = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), _new_table(spark)
+    write_table(o, name)
+    truncate_table(spark, name)
+    left = spark.table(name).count()
+    write_table(o, name, "append")
+    run_statement(spark, f"INSERT INTO {name} SELECT o_orderkey + 1000000000, o_custkey FROM {name}")
+    rows = _taken(spark, name)
+    drop_table(spark, name)  # absent by now: no error
+    return rows.select("o_orderkey", "o_custkey", F.lit(left).alias("left_rows"),
+                       F.lit(spark.catalog.tableExists(name)).alias("still_there"))
+
+
+_SQL_TRUNCATE_TABLE = """
+SELECT o_orderkey, o_custkey, 0 AS left_rows, false AS still_there FROM orders
+UNION ALL SELECT o_orderkey + 1000000000, o_custkey, 0, false FROM orders
+"""
+
+
+def q_delete_where_table(spark, sf_dir):
+    """[K7b, F8] rows deleted from a partitioned table; rows whose predicate is null stay."""
+    o, name = table(spark, sf_dir, "orders"), _new_table(spark)
+    cust = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")).alias("cust")
+    write_table(o.select("o_orderkey", cust, "o_orderstatus"), name, partition_by=["o_orderstatus"])
+    delete_where(spark, name, "cust % 3 = 0")
+    return _taken(spark, name)
+
+
+_SQL_DELETE_WHERE_TABLE = """
+SELECT * FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS cust, o_orderstatus FROM orders)
+WHERE cust IS NULL OR cust % 3 <> 0
+"""
+
+
+def q_full_refresh_table(spark, sf_dir):
+    """[K8, O1] a table dropped and written anew, all columns text."""
+    c, name = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"), _new_table(spark)
+    write_table(c.limit(3), name)
+    full_refresh(c, name, "c_custkey")
+    return _taken(spark, name)
+
+
+_SQL_FULL_REFRESH_TABLE = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer
+"""
+
+
+def q_flatten_places_json(spark, sf_dir):
+    """[G2] responses stored as JSON text: every field of the records stays."""
+    k = F.col("s_suppkey")
+    place = F.struct(F.concat(F.lit("p"), k).alias("name"), (k % 50 / 10).alias("rating"), k.alias("user_ratings_total"),
+                     F.struct(F.struct((k % 90).cast("double").alias("lat"), (k % 180).cast("double").alias("lng")).alias("location"))
+                     .alias("geometry"), F.array(F.lit("cafe")).alias("types"))
+    pts = table(spark, sf_dir, "supplier").select("s_suppkey", (k % 10).alias("la"), (k % 20).alias("lo"),
+                                                  F.to_json(F.array(place)).alias("response"))
+    out = flatten_places(pts, "response", "la", "lo")
+    return out.select("s_suppkey", "centroid_lat", "centroid_long", "name", "rating", "user_ratings_total", "places_lat",
+                      "places_long", "cafe")
+
+
+_SQL_FLATTEN_PLACES_JSON = """
+SELECT s_suppkey, s_suppkey % 10 AS centroid_lat, s_suppkey % 20 AS centroid_long, 'p' || CAST(s_suppkey AS VARCHAR) AS name,
+  (s_suppkey % 50) / 10 AS rating, s_suppkey AS user_ratings_total, CAST(s_suppkey % 90 AS DOUBLE) AS places_lat,
+  CAST(s_suppkey % 180 AS DOUBLE) AS places_long, 1 AS cafe
+FROM supplier
+"""
+
+_LATER = {
+    "read_many_csv_headers": (q_read_many_csv_headers, _SQL_READ_MANY_CSV_HEADERS),
+    "read_many_parquet_glob": (q_read_many_parquet_glob, _SQL_READ_MANY_PARQUET_GLOB),
+    "json_documents": (q_json_documents, _SQL_JSON_DOCUMENTS),
+    "union_types": (q_union_types, _SQL_UNION_TYPES),
+    "list_prefix": (q_list_prefix, _SQL_LIST_PREFIX),
+    "location_text": (q_location_text, _SQL_LOCATION_TEXT),
+    "enrich_failures": (q_enrich_failures, _SQL_ENRICH_FAILURES),
+    "write_table": (q_write_table, _SQL_WRITE_TABLE),
+    "truncate_table": (q_truncate_table, _SQL_TRUNCATE_TABLE),
+    "delete_where_table": (q_delete_where_table, _SQL_DELETE_WHERE_TABLE),
+    "full_refresh_table": (q_full_refresh_table, _SQL_FULL_REFRESH_TABLE),
+    "flatten_places_json": (q_flatten_places_json, _SQL_FLATTEN_PLACES_JSON),
+}
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_encode": q_geo_encode,
     "geo_decode": q_geo_decode,
@@ -814,8 +1044,8 @@ _ORACLE: dict[str, str] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | {name: q for name, (q, _) in _LATER.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return _ORACLE | {name: sql for name, (_, sql) in _LATER.items()}

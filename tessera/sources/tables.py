@@ -185,9 +185,8 @@ def delete_where(spark: SparkSession, target: str, predicate: Column | str,
 
     Remote tables (``jdbc``, SQL text predicate) get a ``DELETE`` statement.
     Catalog tables that support ``DELETE`` get it; plain file tables are
-    rewritten: kept rows go to ``<name>__new``, then the old table is dropped
-    and the new one renamed (not atomic; Spark cannot overwrite a table it
-    reads).
+    rewritten in place: kept rows go to ``<name>__kept`` first (Spark cannot
+    overwrite a table it reads) and stay there if the rewrite fails.
     """
     if jdbc is not None:
         if not isinstance(predicate, str):
@@ -202,7 +201,10 @@ def delete_where(spark: SparkSession, target: str, predicate: Column | str,
         except Exception as e:  # plain parquet tables do not support DELETE
             if "UNSUPPORTED" not in str(e) and "not support" not in str(e).lower():
                 raise
-    staging = f"{target}__new"
-    keep_unless(spark.table(target), predicate).write.mode("overwrite").saveAsTable(staging)
-    spark.sql(f"DROP TABLE {ident}")
-    spark.sql(f"ALTER TABLE {_catalog_ident(staging)} RENAME TO {ident}")
+    staging = f"{target}__kept"
+    if spark.catalog.tableExists(staging):
+        raise ValueError(f"{staging} exists (rows kept by an earlier delete?); move it away first")
+    keep_unless(spark.table(target), predicate).write.saveAsTable(staging)
+    # the table itself stays, with its format, partitioning, properties and place; static: partitions left empty go too
+    (spark.table(staging).write.option("partitionOverwriteMode", "static").insertInto(target, overwrite=True))
+    spark.sql(f"DROP TABLE {_catalog_ident(staging)}")

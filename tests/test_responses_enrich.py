@@ -136,3 +136,15 @@ def test_enrich_is_exact_and_parallel(spark):
     assert (got[big].v, got[big].t) == (big, str(big)) and got[7].t == "7" and got[None].t == "None"
     assert got[5].v is None and got[5].error == f"ValueError: {long_text}"
     assert len({r.p for r in got.values() if r.p is not None}) > 1
+
+
+def test_json_responses_keep_every_field(spark):
+    from tessera.operators.responses import malformed_responses
+    places = [dict(PLACES[0], rating=4.5, user_ratings_total=7, business_status="OPEN"), dict(PLACES[1], rating=3)]
+    df = spark.createDataFrame([(1.0, 2.0, json.dumps(places)), (1.0, 2.0, "{broken")], "la double, lo double, response string")
+    for frame in (df, df.selectExpr("la", "lo", "try_parse_json(response) AS response")):
+        rows = sorted(flatten_places(frame, "response", "la", "lo").collect(), key=lambda r: r["name"])
+        assert [(r["name"], r["rating"], r["user_ratings_total"], r["business_status"]) for r in rows] == [
+            ("Cafe", 4.5, 7, "OPEN"), ("Park", 3.0, None, None)]
+        assert rows[0]["places_lat"] == 3.0 and rows[0]["global_code"] == "G1"
+    assert malformed_responses(df, "response") == 1

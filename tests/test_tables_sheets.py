@@ -120,3 +120,21 @@ def test_wide_sheet_matches_positions(spark):
     for r in out:
         k = r["row_index"]
         assert [r[f"T{i}"] for i in range(n)] == [f"{k}-{i}" if i < n - (k % 3) else None for i in range(n)]
+
+
+def test_delete_keeps_the_layout(spark):
+    import pytest
+
+    from tessera.sources.tables import delete_where
+    spark.sql("DROP TABLE IF EXISTS del_layout")
+    spark.sql("CREATE TABLE del_layout (id INT, p STRING) USING ORC PARTITIONED BY (p) TBLPROPERTIES ('mine'='kept')")
+    spark.sql("INSERT INTO del_layout VALUES (1,'a'),(2,'a'),(3,'b'),(NULL,'c')")
+    delete_where(spark, "del_layout", "id >= 2")
+    assert sorted(((r.id, r.p) for r in spark.table("del_layout").collect()), key=str) == [(1, "a"), (None, "c")]
+    made = spark.sql("SHOW CREATE TABLE del_layout").first()[0]
+    assert "USING ORC" in made and "PARTITIONED BY (p)" in made and "'mine' = 'kept'" in made
+    spark.sql("CREATE TABLE del_layout__kept (x INT) USING PARQUET")
+    with pytest.raises(ValueError, match="__kept"):
+        delete_where(spark, "del_layout", "id = 1")
+    spark.sql("DROP TABLE del_layout__kept")
+    spark.sql("DROP TABLE del_layout")
