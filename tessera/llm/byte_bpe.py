@@ -42,7 +42,7 @@ LETTER, NUMBER, OTHER, SPACE, LEAD, SHORT, LONG, BREAK = range(8)
 FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHER, IN_SPACE, AFTER_LEAD, ONE_MORE, TWO_MORE = range(8)
 WHITE_SPACE = [(0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
                (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
-CACHE_PIECES = 300_000  # of each of two generations
+CACHE_PIECES = 150_000  # of each of two generations
 CHARS = 1 << 19
 
 

@@ -56,17 +56,18 @@ def has_letter(text: bytes) -> bool:
 def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 20.0, steps: int = 200) -> tuple[np.ndarray, float]:
     """Linear SVM (squared hinge, balanced classes) for labels -1 / +1 by accelerated gradient steps."""
     n, d = x.shape
-    weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
+    weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
+    y = y.astype(np.float32)
     xb = np.concatenate([x, np.ones((n, 1), np.float32)], axis=1)
-    w = np.zeros(d + 1)
-    z, t, rate = w.copy(), 1.0, 1.0 / (1.0 + 4.0 * c)
+    w = np.zeros(d + 1, dtype=np.float32)
+    z, t, rate = w.copy(), 1.0, np.float32(1.0 / (1.0 + 4.0 * c))
     for _ in range(steps):
         slack = np.maximum(0, 1 - y * (xb @ z))
         grad = z - 2 * c * ((weight * y * slack) @ xb)
         new = z - rate * grad
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
         z = new + (t - 1) / t2 * (new - w)
-        w, t = new, t2
+        z, w, t = z.astype(np.float32), new, t2
     return w[:-1].astype(np.float32), float(w[-1])
 
 
@@ -97,12 +98,16 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
                     names=["lang", "h", "x"])
 
     small_batches(spark)
-    picked = near.mapInArrow(featurise, "lang string, h long, x binary").toPandas()
-    picked = picked.sort_values(["lang", "h"]).groupby("lang").head(per_language)
-    if not len(picked):
+    picked = near.mapInArrow(featurise, "lang string, h long, x binary").toArrow()
+    lang = np.array(picked.column("lang").to_pylist(), dtype=object)
+    # the smallest hashes of each language
+    order = np.lexsort((picked.column("h").to_numpy(), lang.astype(str)))
+    keep = np.concatenate([own[:per_language] for own in np.split(order, np.flatnonzero(lang[order][1:] != lang[order][:-1]) + 1)])
+    if not len(keep):
         return {"langs": [], "dims": dims}
-    x = np.frombuffer(b"".join(picked["x"]), dtype=np.float16).reshape(-1, dims).astype(np.float32)
-    lang = picked["lang"].to_numpy()
+    rows = picked.column("x").take(pa.array(keep)).to_pylist()
+    x, lang = np.frombuffer(b"".join(rows), dtype=np.float16).reshape(-1, dims).astype(np.float32), lang[keep]
+    del picked, rows
     langs = sorted(set(lang))
     family = {k: families.get(k, k) for k in langs}
     names = sorted(set(family.values()))

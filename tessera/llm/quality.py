@@ -89,11 +89,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, text_co
                     [batch.column("h")[a:b], batch.column("p")[a:b], pa.array(list(features(data, offsets)), pa.list_(pa.float64()))],
                     names=["h", "p", "x"])
 
-    got = rows.mapInArrow(featurise, "h long, p int, x array<double>").toPandas().sort_values(["p", "h"], kind="stable")
-    p = got["p"].to_numpy(dtype=int) if len(got) else np.zeros(0, int)
+    got = rows.mapInArrow(featurise, "h long, p int, x array<double>").toArrow().sort_by([("p", "ascending"), ("h", "ascending")])
+    p = got.column("p").to_numpy().astype(int)
     if not p.any() or p.all():
         return {"prior": prior}
-    x = np.stack(got["x"].to_numpy())
+    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(len(p), -1)
     edges = [np.unique(np.quantile(x[p == 0, j], np.linspace(0, 1, BINS + 1)[1:-1]).tolist()
                        + np.quantile(x[p == 0, j], [0.01, 0.02, 0.04, 0.96, 0.98, 0.99]).tolist()) for j in range(x.shape[1])]
     coded = steps(x, edges)

@@ -210,12 +210,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, text_co
                 yield pa.RecordBatch.from_arrays([batch.column("h")[a:b], batch.column("y")[a:b],
                                                   pa.array(list(x), pa.list_(pa.float64()))], names=["h", "y", "x"])
 
-    got = rows.mapInArrow(featurise, "h long, y double, x array<double>").toPandas().sort_values("h", kind="stable")
-    y = got["y"].to_numpy(dtype=float) if len(got) else np.zeros(0)
+    got = rows.mapInArrow(featurise, "h long, y double, x array<double>").toArrow().sort_by("h")
+    y = got.column("y").to_numpy().astype(float)
     share = (y.sum() + 1) / (len(y) + 2)
     if not len(y) or y.min() == y.max():
         return {"share": float(share), "lexicon": lexicon}
-    x = np.stack(got["x"].to_numpy())
+    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(len(y), -1)
     part = np.arange(len(y)) % folds
     margin = np.zeros(len(y))
     for k in range(folds):
