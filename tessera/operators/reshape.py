@@ -37,15 +37,18 @@ def array_vocabulary(df: DataFrame, col: str, name: str = "label") -> DataFrame:
             .distinct())
 
 
-def collect_vocabulary(df: DataFrame, col: str, max_labels: int = 1000) -> list[str]:
-    """Distinct labels to the driver, sorted; fails beyond ``max_labels``.
+def collect_vocabulary(df: DataFrame, col: str, max_labels: int | None = None) -> list[str]:
+    """Distinct labels to the driver, sorted; fails beyond ``max_labels`` if given.
 
     The result decides the output schema of ``multi_hot``, so it must be
-    known at plan time; the bound keeps it a small, aggregated result.
+    known at plan time; it is as small as a list of columns has to be.
     """
+    found = array_vocabulary(df, col)
+    if max_labels is None:
+        return sorted(r[0] for r in found.collect())
     # sorted top-k: one job with a per-partition limit (a bare limit would
     # run Spark's incremental take, several jobs)
-    rows = array_vocabulary(df, col).orderBy("label").limit(max_labels + 1).collect()
+    rows = found.orderBy("label").limit(max_labels + 1).collect()
     if len(rows) > max_labels:
         raise ValueError(f"more than {max_labels} distinct labels in {col}; pass vocabulary=")
     return sorted(r[0] for r in rows)
@@ -61,8 +64,15 @@ def _sql_str(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def multi_hot(df: DataFrame, col: str, vocabulary: list[str] | None = None,
-              max_labels: int = 1000, drop: bool = True) -> DataFrame:
+def _as_text(df: DataFrame, col: str, labels: list, element: T.DataType) -> list[str]:
+    """Labels as Spark writes their type as text."""
+    rows = df.sparkSession.createDataFrame([(i, v) for i, v in enumerate(labels)],
+                                           T.StructType([T.StructField("i", T.IntegerType()), T.StructField("v", element)]))
+    return [r["v"] for r in rows.select("i", F.col("v").cast("string").alias("v")).orderBy("i").collect()]
+
+
+def multi_hot(df: DataFrame, col: str, vocabulary: list | None = None,
+              max_labels: int | None = None, drop: bool = True) -> DataFrame:
     """A3: one 0/1 INT column per label.
 
     Up to 32 labels, each column is a membership test. Beyond that, each
@@ -70,8 +80,15 @@ def multi_hot(df: DataFrame, col: str, vocabulary: list[str] | None = None,
     sets the bit of its label's position, and every label column is a shift
     and a mask, so the generated code stays small however many labels there
     are. A NULL array, NULL elements and unknown elements give 0. A label
-    equal to an existing column name is rejected.
+    equal to an existing column name is rejected. Labels that are no text
+    (numbers, dates) are compared and named as Spark casts them to text; with
+    ``drop=False`` the array column then stays as text.
     """
+    element = df.schema[col].dataType.elementType
+    if not isinstance(element, T.StringType):
+        if vocabulary is not None:
+            vocabulary = _as_text(df, col, list(vocabulary), element)
+        df = df.withColumn(col, F.col(f"`{col}`").cast("array<string>"))
     labels = list(vocabulary) if vocabulary is not None else collect_vocabulary(df, col, max_labels)
     clash = set(labels) & (set(df.columns) - {col})
     if clash:

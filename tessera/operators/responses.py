@@ -93,7 +93,7 @@ def _fields(df: DataFrame, rec: str) -> list[str]:
 
 
 def _flatten(df: DataFrame, col: str, schema: T.StructType, rank: str | None, drop: tuple[str, ...],
-             lat_name: str, lon_name: str, vocabulary, max_labels: int) -> DataFrame:
+             lat_name: str, lon_name: str, vocabulary, max_labels: int | None) -> DataFrame:
     df = _records(df, col, schema)
     others = [F.col(f"`{c}`") for c in df.columns if c != col]
     gen = F.posexplode(col).alias(rank, "__rec") if rank else F.explode(col).alias("__rec")
@@ -116,7 +116,7 @@ def _flatten(df: DataFrame, col: str, schema: T.StructType, rank: str | None, dr
 
 
 def flatten_geocode(df: DataFrame, response: str, vocabulary: list[str] | None = None,
-                    max_labels: int = 1000) -> DataFrame:
+                    max_labels: int | None = None) -> DataFrame:
     """G1: one row per address result with ``address_rank`` (0-based),
     ``compound_code``, ``global_code``, ``gmaps_lat``, ``gmaps_long`` and a 0/1
     column per type. A NULL ``plus_code`` gives NULL codes; an empty or NULL
@@ -127,7 +127,7 @@ def flatten_geocode(df: DataFrame, response: str, vocabulary: list[str] | None =
 
 
 def flatten_places(df: DataFrame, response: str, lat: str, long: str,
-                   vocabulary: list[str] | None = None, max_labels: int = 1000) -> DataFrame:
+                   vocabulary: list[str] | None = None, max_labels: int | None = None) -> DataFrame:
     """One row per nearby place with the point as ``centroid_lat`` /
     ``centroid_long``, ``places_lat`` / ``places_long``, the plus codes and a
     0/1 column per type. Records may differ in fields (missing ones are NULL).

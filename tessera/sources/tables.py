@@ -27,11 +27,9 @@ class JdbcPartition:
 
 
 def _quote_ident(name: str) -> str:
-    parts = name.split(".")
-    for p in parts:
-        if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_$]*", p):
-            raise ValueError(f"not a plain identifier: {name!r}")
-    return ".".join(parts)
+    """Plain names as they are (databases fold their case); others in double quotes."""
+    return ".".join(p if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_$]*", p) else '"' + p.replace('"', '""') + '"'
+                    for p in name.split("."))
 
 
 def _catalog_ident(name: str) -> str:
@@ -69,10 +67,25 @@ def read_query(spark: SparkSession, jdbc: dict, sql: str,
 
 def sql_query(spark: SparkSession, sql: str, args: dict | None = None,
               views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """S7c on catalog data: register ``views`` as temp views and run ``sql``."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=args) if args else spark.sql(sql)
+    """S7c on catalog data: run ``sql`` with ``views`` as temp views.
+
+    The views last for the analysis of ``sql`` only: the returned frame holds
+    their plans, and session views of the same names are as before.
+    """
+    before = {}
+    for name in views or {}:
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary:
+            before[name] = spark.table(name)
+    try:
+        for name, df in (views or {}).items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(sql, args=args) if args else spark.sql(sql)
+    finally:
+        for name in views or {}:
+            if name in before:
+                before[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
 
 
 # -------------------------------------------------------------------- write
@@ -88,7 +101,7 @@ def write_table(df: DataFrame, target: str, if_exists: str = "fail", jdbc: dict
     partition writes over its own connection, so at most
     ``max_connections`` partitions write at once (Spark coalesces to that
     many), in batches of ``batch_size`` rows. Otherwise a catalog table
-    (``saveAsTable``). ``index`` names a 0-based row-index column to add
+    (``saveAsTable``), its columns cast to ``column_types``. ``index`` names a 0-based row-index column to add
     first (the pandas ``index=True`` of the original), numbered in
     ``index_order`` or scan order (P10).
     """
@@ -108,6 +121,11 @@ def write_table(df: DataFrame, target: str, if_exists: str = "fail", jdbc: dict
             w = w.option("truncate", "false")
         w.save()
         return
+    if column_types:
+        unknown = set(column_types) - set(df.columns)
+        if unknown:
+            raise ValueError(f"column_types names no column: {sorted(unknown)}")
+        df = df.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in column_types.items()})
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

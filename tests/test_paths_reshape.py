@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,3 +154,24 @@ def test_hot_keys_survive_unstable_row_order(spark):
             assert join_distinct(big, small, ["k"], hot_rows=2500).where("v IS NULL").count() == 0
     finally:
         spark.conf.set("spark.sql.exchange.reuse", old)
+
+
+def test_multi_hot_of_labels_that_are_no_text(spark):
+    from tessera.operators.reshape import multi_hot
+    df = spark.createDataFrame([(1, [3, 20]), (2, None), (3, [3, None])], "k int, v array<int>")
+    assert sorted(map(tuple, multi_hot(df, "v").collect())) == [(1, 1, 1), (2, 0, 0), (3, 0, 1)]
+    assert multi_hot(df, "v").columns == ["k", "20", "3"]
+    assert multi_hot(df, "v", [3, 99]).columns == ["k", "3", "99"]
+    many = multi_hot(df, "v", list(range(40)))
+    assert sorted((r["k"], r["3"], r["20"], r["39"]) for r in many.collect()) == [(1, 1, 1, 0), (2, 0, 0, 0), (3, 1, 0, 0)]
+    flags = spark.createDataFrame([(1, [True])], "k int, v array<boolean>")
+    assert multi_hot(flags, "v", [True, False]).columns == ["k", "true", "false"]
+
+
+def test_vocabulary_has_no_default_cap(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators.reshape import collect_vocabulary
+    df = spark.range(1500).select(F.array(F.concat(F.lit("v"), F.col("id").cast("string"))).alias("v"))
+    assert len(collect_vocabulary(df, "v")) == 1500
+    with pytest.raises(ValueError):
+        collect_vocabulary(df, "v", max_labels=1000)

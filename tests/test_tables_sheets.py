@@ -95,12 +95,15 @@ def test_catalog_write_modes_present_and_absent(spark):
     drop_table(spark, absent)
 
 
-def test_remote_statements_need_text_predicates(spark):
-    from tessera.sources.tables import delete_where as dw
+def test_remote_statements_need_text_predicates(spark, monkeypatch):
+    from tessera.sources import tables
+    sent = []
+    monkeypatch.setattr(tables, "jdbc_execute", lambda spark, jdbc, stmt: sent.append(stmt))
     with pytest.raises(ValueError):
-        dw(spark, "t", F.col("k") == 0, jdbc={"url": "jdbc:none:"})
-    with pytest.raises(ValueError):
-        dw(spark, "bad name;", "k = 0", jdbc={"url": "jdbc:none:"})
+        tables.delete_where(spark, "t", F.col("k") == 0, jdbc={"url": "jdbc:none:"})
+    # a name that is not plain is quoted, so it cannot end the statement
+    tables.delete_where(spark, "bad name;", "k = 0", jdbc={"url": "jdbc:none:"})
+    assert sent == ['DELETE FROM "bad name;" WHERE k = 0']
 
 
 def test_write_table_with_index_column(spark):
@@ -138,3 +141,32 @@ def test_delete_keeps_the_layout(spark):
         delete_where(spark, "del_layout", "id = 1")
     spark.sql("DROP TABLE del_layout__kept")
     spark.sql("DROP TABLE del_layout")
+
+
+def test_column_types_hold_for_catalog_tables(spark):
+    name = f"t3_{uuid.uuid4().hex[:6]}"
+    df = spark.createDataFrame([(1, "2.50")], "k long, v string")
+    write_table(df, name, "replace", column_types={"v": "decimal(10,2)", "k": "int"})
+    assert [t for _, t in spark.table(name).dtypes] == ["int", "decimal(10,2)"]
+    with pytest.raises(ValueError):
+        write_table(df, name, "replace", column_types={"other": "int"})
+    drop_table(spark, name)
+
+
+def test_remote_names_that_are_not_plain_are_quoted():
+    from tessera.sources.tables import _quote_ident
+    assert _quote_ident("dbo.Orders") == "dbo.Orders"
+    assert _quote_ident('dbo.my "table') == 'dbo."my ""table"'
+
+
+def test_sql_query_leaves_session_views_alone(spark):
+    from tessera.sources.tables import sql_query
+    spark.range(3).createOrReplaceTempView("mine")
+    out = sql_query(spark, "SELECT count(*) AS n FROM mine JOIN other USING (id)",
+                    views={"mine": spark.range(10), "other": spark.range(7)})
+    assert spark.table("mine").count() == 3 and not spark.catalog.tableExists("other")
+    assert out.first()["n"] == 7
+    with pytest.raises(Exception):
+        sql_query(spark, "SELECT nothing FROM mine", views={"mine": spark.range(10)})
+    assert spark.table("mine").count() == 3
+    spark.catalog.dropTempView("mine")
