@@ -7,7 +7,10 @@ rest) and how many pieces are finished on the way; so counting never looks
 back and never builds a piece. Counts of words met before are cached.
 
 A word is a run of characters between white space (as ``str.split`` takes
-it). A word that the vocabulary cannot spell counts as one unknown token.
+it). The bare mark of a word's start, where it is a piece, is matched like
+any other: a word that no longer first piece begins is the mark and then
+continuing pieces. A word that the vocabulary cannot spell counts as one
+unknown token; byte pieces are left out, so they spell nothing.
 
 Defined cases: null and empty texts have no words and no tokens; repeated
 rows are counted alike; with an empty vocabulary every word is unknown.
@@ -46,8 +49,8 @@ class Automaton:
         ends = [False, False]
         for piece in pieces:
             node, rest = (0, piece[len(begin):]) if piece.startswith(begin) else (1, piece)
-            if not rest or begin in rest:
-                continue
+            if begin in rest:
+                continue  # words hold no white space, so no mark follows their first character
             for ch in rest:
                 nxt = self.edges[node].get(ch)
                 if nxt is None:
@@ -59,6 +62,8 @@ class Automaton:
         n = len(self.edges)
         self.fail = [-1] * n
         self.popped = [0] * n
+        if ends[0]:
+            self.fail[0], self.popped[0] = 1, 1  # the bare mark is finished before any character is read
         queue = deque([0, 1])
         while queue:
             u = queue.popleft()

@@ -99,3 +99,33 @@ def test_counts_on_documents(spark):
             assert r.n_unknown == sum(c < 0 for c in counts)
     none = token_counts.count_tokens(docs.where("doc_id is null"), []).first()
     assert (none.n_words, none.n_tokens, none.n_unknown) == (2, 2, 2)
+
+
+def greedy_marked(word, pieces):
+    """Greedy longest match over the marked word, bare mark included."""
+    word, n, at = "▁" + word, 0, 0
+    while at < len(word):
+        size = next((k for k in range(len(word) - at, 0, -1) if word[at:at + k] in pieces), 0)
+        if not size:
+            return -1
+        n, at = n + 1, at + size
+    return n
+
+
+def test_bare_mark_is_a_piece(spark):
+    rnd = random.Random(6)
+    for _ in range(300):
+        pieces = {("▁" if rnd.random() < 0.5 else "") + "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 5)))
+                  for _ in range(rnd.randint(0, 12))} | {"▁"}
+        automaton = token_counts.Automaton(pieces)
+        for _ in range(30):
+            word = "".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 12)))
+            assert automaton.count(word) == greedy_marked(word, pieces), (pieces, word)
+    pieces = token_counts.load_pieces(registry.tokenizer_file("piece_bpe_32k.model"))
+    words = ["2024", "1", "9" * 500, "été", "Ångström", "the", ""]
+    known = set(pieces)
+    want = [greedy_marked(w, known) for w in words]
+    assert want[0] == 5 and want[-1] == -1 and min(want[:-1]) > 0
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_tokens, r.n_unknown) for r in token_counts.count_tokens(docs, pieces).collect()}
+    assert got == {i: (1, max(n, 1), int(n < 0)) for i, n in enumerate(want)}
