@@ -88,6 +88,44 @@ def test_near_duplicates_defined_cases(spark):
     assert near_dup.near_duplicates(docs.where("false")).count() == 0
 
 
+def test_large_nodes_are_compared_in_every_tree(spark):
+    """One pair of equal sets in a large node of each tree, every class a component of its own."""
+    rng = np.random.default_rng(9)
+    size, nodes, marks, sets = near_dup.SMALL + 8, [], [], []
+    for tree in range(near_dup.TREES):
+        for i in range(size):
+            k = 1000 * tree + i
+            own = np.unique(rng.integers(0, 1 << 63, 80, dtype=np.uint64))
+            if i == 1:
+                own, mark = np.frombuffer(sets[-1][1], np.uint64), marks[-1][1]
+            else:
+                mark = rng.integers(0, 256, near_dup.TOKENS, dtype=np.uint8).tobytes()
+            nodes.append(((tree + 1) * 4096 + tree, k, size, 1000 * tree))
+            marks.append((k, mark))
+            sets.append((k, own.tobytes()))
+    nodes = spark.createDataFrame(nodes, "path long, k long, n long, centre long")
+    marks = spark.createDataFrame(marks, "k long, mark binary")
+    sets = spark.createDataFrame(sets, "k long, shingles binary")
+    none = spark.createDataFrame([], "id long, component long")
+    want = {(1000 * tree, 1000 * tree + 1) for tree in range(near_dup.TREES)}
+    assert {(r.a, r.b) for r in near_dup.cross_pairs(nodes, none, marks, sets).collect()} == want
+    assert {(r.a, r.b) for r in near_dup.attach(nodes, none, marks).collect()} == want
+
+
+def test_chance_to_miss_a_pair_at_the_last_level():
+    """All trees draw on the same tokens, m of which agree with the chance of a binomial law."""
+    def apart(same):
+        miss = 0.0
+        for _ in range(near_dup.DEPTH):
+            one = 1 - same + same * miss
+            miss = (1 - near_dup.SECOND) * one + near_dup.SECOND * one * one
+        return miss
+
+    n = near_dup.TOKENS
+    miss = sum(math.comb(n, m) * 0.75 ** m * 0.25 ** (n - m) * apart(m / n) ** near_dup.TREES for m in range(n + 1))
+    assert miss < 1e-4 and near_dup.TREES <= near_dup.TREE_BITS + 1
+
+
 def test_embeddings_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(30, 16))
