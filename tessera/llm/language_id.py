@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,10 +84,12 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
     rows = rows.where(F.col("text").isNotNull())
     if not counts:
         return {"langs": [], "dims": dims}
-    # keep a hash range of about twice the rows needed, so that the sort below is bounded
-    share = F.create_map(*itertools.chain.from_iterable(
-        (F.lit(k), F.lit(min(1.0, 2.0 * per_language / n + 1e-4))) for k, n in counts.items()))
-    near = rows.where(F.pmod(F.col("h"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    # keep a hash range of about twice the rows needed, so that the sort is bounded, then the smallest hashes of each language
+    bound = F.create_map(*itertools.chain.from_iterable(
+        (F.lit(k), F.lit(min(2 ** 63 - 1, (2 ** 65 * per_language) // n - 2 ** 63)).cast("long")) for k, n in counts.items()))
+    first = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
+    near = (rows.where(F.col("h") <= bound[F.col("lang")]).withColumn("at", F.row_number().over(first))
+            .where(F.col("at") <= per_language).select("lang", "h", "text"))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,13 +102,11 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
     small_batches(spark)
     picked = near.mapInArrow(featurise, "lang string, h long, x binary").toArrow()
     lang = np.array(picked.column("lang").to_pylist(), dtype=object)
-    # the smallest hashes of each language
-    order = np.lexsort((picked.column("h").to_numpy(), lang.astype(str)))
-    keep = np.concatenate([own[:per_language] for own in np.split(order, np.flatnonzero(lang[order][1:] != lang[order][:-1]) + 1)])
-    if not len(keep):
+    if not len(lang):
         return {"langs": [], "dims": dims}
-    rows = picked.column("x").take(pa.array(keep)).to_pylist()
-    x, lang = np.frombuffer(b"".join(rows), dtype=np.float16).reshape(-1, dims).astype(np.float32), lang[keep]
+    order = np.lexsort((picked.column("h").to_numpy(), lang.astype(str)))
+    rows = picked.column("x").take(pa.array(order)).to_pylist()
+    x, lang = np.frombuffer(b"".join(rows), dtype=np.float16).reshape(-1, dims).astype(np.float32), lang[order]
     del picked, rows
     langs = sorted(set(lang))
     family = {k: families.get(k, k) for k in langs}

@@ -35,6 +35,23 @@ def test_language_defined_cases(spark, odd):
     assert language_id.identify(empty, model).count() == 0
 
 
+def test_language_sample_is_cut_before_the_driver(spark, monkeypatch):
+    """At most per_language rows of a language are collected, of however many and whatever their ids."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('the word ', id) AS text", "'en' AS lang")
+    docs = docs.unionByName(spark.range(30).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('das Wort ', id) AS text", "'de' AS lang"))
+    taken, collect = [], type(docs).toArrow
+
+    def counted(frame):
+        taken.append(collect(frame))
+        return taken[-1]
+
+    monkeypatch.setattr(type(docs), "toArrow", counted)
+    model = language_id.fit(docs, learn=F.lit(True), per_language=20)
+    assert model["langs"] == ["de", "en"]
+    langs = taken[0].column("lang").to_pylist()
+    assert (langs.count("en"), langs.count("de"), len(taken)) == (20, 20, 1)
+
+
 def test_toxicity_held_out(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     rows = registry.op4_toxicity(spark, "/root/testdata/sf0.1").join(labels, "doc_id").where("held_out").collect()
