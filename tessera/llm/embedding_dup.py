@@ -5,11 +5,11 @@ product of the codebooks is a grid of cells. Every vector is stored in its
 cell. Its search visits cells in the order of the squared distance to them,
 summed over both halves (the distance of a half to another codeword's region
 is at least its distance to the plane between the two codewords), and stops
-at the bound that reaches the target recall: a linked vector lies within a
-known radius, so beyond the bound fewer than ``1 - recall`` of the links
-remain. What the visit finds is compared by one byte for each component, and
-every pair that may reach the threshold is verified by cosine in double
-precision.
+at the radius in which all linked vectors lie, or, with ``recall`` below 1,
+earlier: where offsets point in random directions, fewer than ``1 - recall``
+of the links remain. What the visit finds is compared by one byte for each
+component, with the lengths of the rounding errors as bound, and every pair
+that may reach the threshold is verified by cosine in double precision.
 
 Equal vectors of one label are one class first. Cells are cut into blocks and
 their visitors into chunks, so no task holds a whole hot cell.
@@ -35,7 +35,7 @@ from tessera.llm.components import components, written
 SAMPLE = 8192  # vectors the codebooks are fitted on
 BLOCK = 512
 CHUNK = 4096
-SLACK = 0.01  # what the byte comparison may be off by
+SLACK = 1.0  # for sums in single precision, in units of 1 / 127 ** 2
 
 
 def lloyd(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -103,9 +103,26 @@ def codes(x: np.ndarray) -> list[bytes]:
     return [r.tobytes() for r in np.clip(np.rint(x * 127), -127, 127).astype(np.int8)]
 
 
+def rounding(x: np.ndarray) -> np.ndarray:
+    """Length of what the byte codes of each row leave out."""
+    x = x * 127
+    return np.sqrt(((x - np.rint(x)) ** 2).sum(axis=1))
+
+
+def _sides(code: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose products, of a left and a right one, are never below the vectors' own product.
+
+    With codes c, d and rests r, s: (c + r)(d + s) <= cd + |c||s| + |r||d| + |r||s|.
+    """
+    code = code.astype(np.float32)
+    size = np.sqrt((code * code).sum(axis=1))
+    off = off.astype(np.float32)
+    return np.column_stack([code, size, off, off]), np.column_stack([code, off, size, off])
+
+
 def _match(threshold: float, width: int):
-    """Rows (g, home, k, code), homes of a group first, to candidate pairs. Memory: one block of homes."""
-    floor = (threshold - SLACK) * 127 * 127
+    """Rows (g, home, k, code, off), homes of a group first, to candidate pairs. Memory: one block of homes."""
+    floor = threshold * 127 * 127 - SLACK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, keys, rows = None, [], []
@@ -117,6 +134,7 @@ def _match(threshold: float, width: int):
             home = batch.column("home").to_numpy(zero_copy_only=False).astype(bool)
             k = batch.column("k").to_numpy(zero_copy_only=False)
             code = np.frombuffer(b"".join(batch.column("code").to_pylist()), dtype=np.int8).reshape(len(g), width)
+            left, right = _sides(code, batch.column("off").to_numpy(zero_copy_only=False))
             cuts = [0, *(np.flatnonzero(g[1:] != g[:-1]) + 1).tolist(), len(g)]
             found_a, found_b = [], []
             for s, e in zip(cuts, cuts[1:]):
@@ -125,13 +143,13 @@ def _match(threshold: float, width: int):
                 h = home[s:e]
                 if h.any():
                     keys.append(k[s:e][h])
-                    rows.append(code[s:e][h].astype(np.float32))
+                    rows.append(right[s:e][h])
                     block = None
                 if not h.all() and keys:
                     if block is None:
                         block = np.concatenate(keys), np.concatenate(rows)
                     hk, hx = block
-                    vk, vx = k[s:e][~h], code[s:e][~h].astype(np.float32)
+                    vk, vx = k[s:e][~h], left[s:e][~h]
                     i, j = np.nonzero(vx @ hx.T >= floor)
                     a, b = vk[i], hk[j]
                     keep = a != b
@@ -145,15 +163,18 @@ def _match(threshold: float, width: int):
 
 
 def index(classes: DataFrame, width: int, words: int, threshold: float, recall: float) -> DataFrame:
-    """``k, group, cell, code, visits``: every vector in its cell, with the cells it visits."""
+    """``k, group, cell, code, off, visits``: every vector in its cell, with the cells it visits."""
     spark = classes.sparkSession
     picked = classes.orderBy(F.xxhash64("k")).limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
     x = unit(_matrix(picked, width)) if len(picked) else np.ones((1, width))
     half = width // 2
     books = spark.sparkContext.broadcast((lloyd(x[:, :half], words), lloyd(x[:, half:], words)))  # words x width numbers
-    # a link's offset has length sqrt(2 - 2t); along the two directions that matter its squares sum to more than
-    # the bound for a share of exp(-bound * width / (2 * length^2)) of links
-    bound = -2 * (2 - 2 * threshold) / width * math.log(1 - recall)
+    # a link's offset has length sqrt(2 - 2t), so no linked vector lies in a cell farther away
+    bound = 2 - 2 * threshold + 1e-9
+    if recall < 1:
+        # where offsets point in random directions, their squares along the two that matter sum to more than this
+        # for a share of 1 - recall of links
+        bound = min(bound, -2 * (2 - 2 * threshold) / width * math.log(1 - recall))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,17 +186,17 @@ def index(classes: DataFrame, width: int, words: int, threshold: float, recall:
                     visits.append(others)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("k"), batch.column("group"), pa.array(cells, pa.int64()),
-                     pa.array(codes(x), pa.binary()), pa.array(visits, pa.list_(pa.int64()))],
-                    names=["k", "group", "cell", "code", "visits"])
+                     pa.array(codes(x), pa.binary()), pa.array(rounding(x)), pa.array(visits, pa.list_(pa.int64()))],
+                    names=["k", "group", "cell", "code", "off", "visits"])
 
     return classes.select("k", F.xxhash64("label", F.size("v")).alias("group"), "v").mapInArrow(
-        run, "k long, group long, cell long, code binary, visits array<long>")
+        run, "k long, group long, cell long, code binary, off double, visits array<long>")
 
 
 def candidates(indexed: DataFrame, width: int, threshold: float) -> DataFrame:
     """Pairs (a, b), a < b, whose byte codes may reach the threshold."""
-    homes = indexed.select("group", "cell", "k", "code")
-    visitors = indexed.select("group", F.explode(F.concat(F.array("cell"), "visits")).alias("cell"), "k", "code")
+    homes = indexed.select("group", "cell", "k", "code", "off")
+    visitors = indexed.select("group", F.explode(F.concat(F.array("cell"), "visits")).alias("cell"), "k", "code", "off")
     filled = homes.groupBy("group", "cell").agg(F.count("*").alias("homes"))
     visitors = visitors.join(filled, ["group", "cell"])  # empty cells go
     size = (visitors.groupBy("group", "cell").agg(F.count("*").alias("visits"), F.max("homes").alias("homes"))
@@ -186,10 +207,10 @@ def candidates(indexed: DataFrame, width: int, threshold: float) -> DataFrame:
             .withColumn("home", F.lit(1)))
     right = (visitors.drop("homes").join(size, ["group", "cell"]).withColumn("j", pick(F.col("nc"), 2))
              .withColumn("i", upto(F.col("nb"))).withColumn("home", F.lit(0)))
-    rows = left.unionByName(right).select("group", "cell", "i", "j", "home", "k", "code")
+    rows = left.unionByName(right).select("group", "cell", "i", "j", "home", "k", "code", "off")
     # a group is known by its whole key, so that no two share one
     ordered = (rows.repartition("group", "cell", "i", "j").sortWithinPartitions("group", "cell", "i", "j", F.desc("home"))
-               .select(F.xxhash64("group", "cell", "i", "j").alias("g"), "home", "k", "code"))
+               .select(F.xxhash64("group", "cell", "i", "j").alias("g"), "home", "k", "code", "off"))
     return ordered.mapInArrow(_match(threshold, width), "a long, b long").distinct()
 
 
@@ -208,7 +229,7 @@ def verify(pairs: DataFrame, classes: DataFrame, width: int, threshold: float) -
             .where((F.col("lx") == F.col("ly")) & (F.size("x") == F.size("y"))).select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.98, recall: float = 0.9999, id_col: str = "vec_id",
+def near_duplicates(vectors: DataFrame, threshold: float = 0.98, recall: float = 1.0, id_col: str = "vec_id",
                     vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """``id, n_links, component_id, kept`` for every row of ``vectors``."""
     v = F.col(vector_col).cast("array<double>")

@@ -151,3 +151,18 @@ def test_embeddings_equal_brute_force(spark):
     wrong = [i for i in degree if (got[i].n_links, got[i].component_id) != (degree[i], want[i])]
     assert not wrong and len(links) > 500
     assert embedding_dup.near_duplicates(frame.where("false")).count() == 0
+
+
+def test_embeddings_of_few_directions_and_bad_rounding(spark):
+    """Links whose whole offset cuts across the cells, and codes that round all components down."""
+    angles = np.random.default_rng(3).uniform(0, 2 * math.pi, 300)
+    rows = [(i, [math.cos(a), math.sin(a)] + [0.0] * 62, 0) for i, a in enumerate(angles.tolist())]
+    down = [15.49 / 127] * 32
+    rest = [math.sqrt((1 - sum(x * x for x in down)) / 32)] * 32
+    rows += [(1000, down + rest, 1), (1001, [down[0] - 1e-4] + down[1:] + rest, 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_dup.near_duplicates(frame).collect()}
+    near = np.cos(angles[:, None] - angles[None, :]) >= 0.98
+    want = {i: int(n) - 1 for i, n in enumerate(near.sum(axis=1))} | {1000: 1, 1001: 1}
+    wrong = {i for i in want if got[i] != want[i]}
+    assert not wrong and sum(want.values()) > 2000
