@@ -116,3 +116,46 @@ def test_pipeline_against_its_operators(spark):
     back = {r.doc_id: bytes(r.data).decode() for r in byte_bpe.decode(last, ranks).collect()}
     assert back == {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
     assert len(P.STAGES) == 5
+
+
+def test_pipeline_stages_against_plain_python(spark):
+    """Kept ids of each stage on its own input, with planted copies, passages, and texts without a letter."""
+    import corpus_pipeline as P
+    from test_decontaminate import brute
+    from test_dedup import closure, shingles
+
+    from tessera.llm import toxicity
+    from tessera.llm.blocks import fold
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    texts = [r.text for r in docs.where("text is not null").orderBy("doc_id").collect()]
+    odd = [None, "", "123 !!", "é"]
+    for t in texts[:12]:
+        words = t.split()
+        odd += [t, " ".join(words[:-1] + ["new"]), " ".join(["new"] + words[: len(words) * 4 // 5])]
+    odd += [t + " " + b for t, (_, b) in zip(texts[20:40], items)]
+    extra = spark.createDataFrame([(10 ** 9 + i, t) for i, t in enumerate(odd)], "doc_id long, text string")
+    docs = docs.unionByName(extra, allowMissingColumns=True).checkpoint()
+    gone = {}
+    for name, stage in P.STAGES[:-1]:
+        rows = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+        out = stage(spark, docs, sf).checkpoint()
+        got = {r.doc_id for r in out.select("doc_id").collect()}
+        if name == "language_id":
+            want = {i for i, t in rows.items() if any(c.isalpha() for c in t or "")}
+        elif name == "toxicity":
+            model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"), learn=fold("doc_id", 5) != 0)
+            want = {r.doc_id for r in docs.select("doc_id", toxicity.scorer(model)(F.col("text")).alias("s")).collect() if r.s < 0.5}
+        elif name == "near_dup":
+            sets = {i: shingles(t) for i, t in rows.items()}
+            links = [(a, b) for a in sets for b in sets if a < b and sets[a]
+                     and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+            want = {i for i, low in closure(sets, links).items() if i == low}
+        else:
+            ids = list(rows)
+            want = {i for i, (n, hit, _) in zip(ids, brute([rows[i] for i in ids], items, 13)) if not hit or 20 * hit < n}
+        assert got == want, name
+        gone[name] = len(rows) - len(got)
+        docs = out
+    assert gone["language_id"] >= 3 and gone["near_dup"] >= 10 and gone["decontamination"] >= 3, gone
