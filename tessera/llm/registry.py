@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (byte_bpe, chat_format, decontaminate, embedding_dup, language_id, near_dup, quality, token_counts,
-                         toxicity, url_filter)
+                         toxicity, url_filter, whitening)
 from tessera.llm.blocks import fold
 
 
@@ -75,6 +75,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``embeddings``, whitened to 32 components (cases: see ``whitening``)."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return whitening.components_of(vectors, whitening.fit(vectors, components=32))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dup": op1_near_dup,
@@ -87,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_embedding_dup": op9_embedding_dup,
         "op10_language_id": op10_language_id,
+        "op13_whitening": op13_whitening,
     }
 
 
