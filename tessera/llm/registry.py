@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (byte_bpe, chat_format, decontaminate, embedding_dup, language_id, near_dup, quality, token_counts,
-                         toxicity, url_filter, whitening)
+from tessera.llm import (byte_bpe, chat_format, decontaminate, embedding_dup, language_id, near_dup, quality,
+                         source_audit, token_counts, toxicity, url_filter, whitening)
 from tessera.llm.blocks import fold
 
 
@@ -75,6 +75,45 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``: sources compared within each language (cases: see ``source_audit``)."""
+    return source_audit.audit(_table(spark, sf_dir, "documents"))
+
+
+_SQL_OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+said AS (SELECT rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS docs FROM said GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::HUGEINT AS lang_n FROM counts GROUP BY ALL HAVING sum(docs) >= 10),
+sizes AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY ALL),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+grid AS (
+  SELECT s.lang, s.source, k.term, k.lang_n, coalesce(c.n, 0)::HUGEINT AS n
+  FROM sources s JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM grid GROUP BY ALL),
+level AS (
+  SELECT g.lang, g.source, g.term, g.n, 1 + 1000000000 * (g.n + 2) // (t.total + 2 * z.v) AS p,
+    1 + 1000000000 * (g.lang_n + 2) // (z.lang_total + 2 * z.v) AS q
+  FROM grid g JOIN totals t USING (lang, source) JOIN sizes z USING (lang)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM level a JOIN level b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM level WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``embeddings``, whitened to 32 components (cases: see ``whitening``)."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -93,9 +132,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_embedding_dup": op9_embedding_dup,
         "op10_language_id": op10_language_id,
+        "op11_source_audit": op11_source_audit,
         "op13_whitening": op13_whitening,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_source_audit": _SQL_OP11}
