@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (byte_bpe, chat_format, decontaminate, embedding_dup, language_id, near_dup, quality,
+from tessera.llm import (byte_bpe, chat_format, decontaminate, embedding_dup, fingerprints, language_id, near_dup, quality,
                          source_audit, token_counts, toxicity, url_filter, whitening)
 from tessera.llm.blocks import fold
 
@@ -114,6 +114,11 @@ WHERE part = 'pair' OR rank <= 10
 """
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents`` with fingerprints and near copies (cases: see ``fingerprints``)."""
+    return fingerprints.report(_table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``embeddings``, whitened to 32 components (cases: see ``whitening``)."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -133,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_embedding_dup": op9_embedding_dup,
         "op10_language_id": op10_language_id,
         "op11_source_audit": op11_source_audit,
+        "op12_fingerprints": op12_fingerprints,
         "op13_whitening": op13_whitening,
     }
 
