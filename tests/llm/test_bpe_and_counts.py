@@ -87,12 +87,12 @@ def test_automaton_equals_greedy_matching():
 
 def test_counts_on_documents(spark):
     pieces = token_counts.load_pieces(registry.tokenizer_file("piece_bpe_32k.model"))
-    first, rest = {p[1:] for p in pieces if p[0] == "▁"} - {""}, {p for p in pieces if "▁" not in p}
+    known = set(pieces)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(30).select("doc_id", "text")
     docs = docs.unionByName(spark.createDataFrame([(-1, None), (-2, ""), (None, "a b"), (-3, "ab" * 50_000)], docs.schema))
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in token_counts.count_tokens(docs, pieces).collect():
-        counts = [greedy(w, first, rest) if len(w) < 1000 else None for w in (texts[r.doc_id] or "").split()]
+        counts = [greedy_marked(w, known) if len(w) < 1000 else None for w in (texts[r.doc_id] or "").split()]
         assert r.n_words == len(counts)
         if None not in counts:
             assert r.n_tokens == sum(c if c >= 0 else 1 for c in counts)
