@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.paths import CSV_SUFFIXES, PARQUET_SUFFIXES, TEXT_SUFFIXES, file_format
+from tessera.sources.quoted_csv import read_quoted
 
 # The tokens pandas' CSV reader treats as missing by default.
 DEFAULT_NA = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -184,7 +185,7 @@ def _apply_types(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
 
 def read_csv(spark: SparkSession, paths, na_tokens=DEFAULT_NA, schema: T.StructType | None = None,
              infer: bool = True, multi_line: bool = True, strict: bool = False,
-             columns: list[str] | None = None) -> DataFrame:
+             columns: list[str] | None = None, split_quoted: bool = False) -> DataFrame:
     """CSV with a header row, UTF-8, quoted newlines and doubled quotes.
 
     All files given together must share one header (see ``read_many`` for
@@ -194,7 +195,9 @@ def read_csv(spark: SparkSession, paths, na_tokens=DEFAULT_NA, schema: T.StructT
     ``strict=True``.
     Quoted newlines need ``multi_line`` parsing, which reads each file in one
     task; for large files known to hold none, ``multi_line=False`` lets Spark
-    split every file across tasks. ``columns`` gives header names already
+    split every file across tasks, and ``split_quoted=True`` does so with
+    quoted newlines too (one more pass over the lines finds where records
+    begin; lines end with a line feed). ``columns`` gives header names already
     known, which saves reading them again.
     """
     reader = (spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
@@ -202,6 +205,8 @@ def read_csv(spark: SparkSession, paths, na_tokens=DEFAULT_NA, schema: T.StructT
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     raw = reader.csv(_as_list(paths))
+    if split_quoted:
+        raw = read_quoted(spark, _as_list(paths), raw.columns)
     raw = _null_tokens(raw, na_tokens)
     if schema is not None:
         return raw.select(*[_typed(f, strict) for f in schema.fields])
@@ -328,7 +333,7 @@ def _expand_dirs(spark: SparkSession, paths: list[str]) -> list[str]:
 
 
 def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi_line: bool = True,
-              infer: bool = True) -> DataFrame:
+              infer: bool = True, split_quoted: bool = False) -> DataFrame:
     """Read many objects by suffix and concatenate them by column name.
 
     CSV files are grouped by header line (one scan per distinct header, so
@@ -337,7 +342,8 @@ def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi
     Other suffixes are ignored. No match gives an empty frame. A listed
     object whose name starts with ``_`` or ``.`` is an error, since Spark's
     readers would skip it. ``infer=False`` leaves CSV columns as text and
-    saves the typing pass.
+    saves the typing pass; ``multi_line`` and ``split_quoted`` are those of
+    ``read_csv``.
     """
     from tessera.operators.reshape import union_all_by_name
     paths, all_files = _paths_of(spark, paths_or_listing)
@@ -355,7 +361,7 @@ def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi
         by_header.setdefault(header, []).append(p)
     for header, group in by_header.items():
         frames.append(read_csv(spark, [literal_path(p) for p in group], na_tokens, infer=infer, multi_line=multi_line,
-                               columns=_header_names(header)))
+                               columns=_header_names(header), split_quoted=split_quoted))
     if parquets:
         # one path may be a glob or a directory of several schemas, so they are always merged
         parquets = [literal_path(p) for p in parquets] if all_files else parquets
