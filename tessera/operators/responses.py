@@ -59,33 +59,51 @@ def _readable(t: T.DataType) -> T.DataType:
     return t
 
 
+def _variant(df: DataFrame, col: str):
+    """The column as VARIANT (text that is no JSON is NULL), or None where it holds arrays already."""
+    dt = df.schema[col].dataType
+    if isinstance(dt, T.StringType):
+        return F.try_parse_json(F.col(f"`{col}`"))
+    return F.col(f"`{col}`") if isinstance(dt, T.VariantType) else None
+
+
+def _is_record(value):
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+
+
 def _records(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
     """Responses stored as JSON text or VARIANT become arrays of records.
 
-    One aggregate over all rows finds every field the records have; fields in
-    ``schema`` are read by its types. Text that is no JSON becomes NULL
-    (``malformed_responses`` counts it).
+    One aggregate over the records of all rows finds every field they have;
+    fields in ``schema`` are read by its types. What is no array of records
+    (an error object, a number, text that is no JSON) becomes NULL and changes
+    nothing for other rows; an element that is no record is NULL in its place.
+    ``malformed_responses`` counts the rows of either kind.
     """
-    dt = df.schema[col].dataType
-    if isinstance(dt, T.StringType):
-        value = F.try_parse_json(F.col(f"`{col}`"))
-    elif isinstance(dt, T.VariantType):
-        value = F.col(f"`{col}`")
-    else:
+    value = _variant(df, col)
+    if value is None:
         return df
     spark = df.sparkSession
-    found = df.agg(F.schema_of_variant_agg(value).alias("s")).first()["s"]
+    elements = F.try_variant_get(value, "$", "array<variant>")
+    each = df.select(F.explode(elements).alias("e")).where(_is_record(F.col("e")))
+    found = each.agg(F.schema_of_variant_agg("e").alias("s")).first()["s"]
     fields = list(schema.fields)
-    if found and found.startswith("ARRAY<OBJECT<"):
+    if found and found.startswith("OBJECT<"):
         t = spark.sql(f"SELECT CAST(NULL AS {found.replace('OBJECT<', 'STRUCT<')}) AS x").schema["x"].dataType
-        fields += [T.StructField(f.name, _readable(f.dataType)) for f in t.elementType.fields if f.name not in schema.names]
-    return df.withColumn(col, F.try_variant_get(value, "$", T.ArrayType(T.StructType(fields)).simpleString()))
+        fields += [T.StructField(f.name, _readable(f.dataType)) for f in t.fields if f.name not in schema.names]
+    record = T.StructType(fields).simpleString()
+    read = F.transform(elements, lambda e: F.when(_is_record(e), F.try_variant_get(e, "$", record)))
+    return df.withColumn(col, read)
 
 
 def malformed_responses(df: DataFrame, response: str) -> int:
-    """Number of response texts that are no JSON."""
-    bad = F.col(f"`{response}`").isNotNull() & F.try_parse_json(F.col(f"`{response}`")).isNull()
-    return df.where(bad).count()
+    """Number of responses that are no JSON, no array, or hold an element that is no record (0 for typed arrays)."""
+    value = _variant(df, response)
+    if value is None:
+        return 0
+    elements = F.try_variant_get(value, "$", "array<variant>")
+    good = elements.isNotNull() & F.forall(elements, _is_record)
+    return df.where(F.col(f"`{response}`").isNotNull() & ~F.coalesce(good, F.lit(False))).count()
 
 
 def _fields(df: DataFrame, rec: str) -> list[str]:
@@ -97,7 +115,7 @@ def _flatten(df: DataFrame, col: str, schema: T.StructType, rank: str | None, dr
     df = _records(df, col, schema)
     others = [F.col(f"`{c}`") for c in df.columns if c != col]
     gen = F.posexplode(col).alias(rank, "__rec") if rank else F.explode(col).alias("__rec")
-    exploded = df.select(*others, gen)
+    exploded = df.select(*others, gen).where(F.col("__rec").isNotNull())
     fields = _fields(exploded, "__rec")
     keep = [F.col("__rec")[f].alias(f) for f in fields if f not in drop]
     has = set(fields)

@@ -71,6 +71,20 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def error_condition(e: Exception) -> str | None:
+    """The error class of an exception that Spark raised (from Python or the JVM), if it has one."""
+    for source in (e, getattr(e, "java_exception", None)):
+        while source is not None:
+            try:
+                found = source.getCondition()
+            except Exception:
+                found = None
+            if found:
+                return str(found)
+            source = source.getCause() if hasattr(source, "getCause") and source is not e else None
+    return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.paths import CSV_SUFFIXES, PARQUET_SUFFIXES, TEXT_SUFFIXES, file_format
+from tessera.session import error_condition
 from tessera.sources.quoted_csv import read_quoted
 
 # The tokens pandas' CSV reader treats as missing by default.
@@ -41,7 +42,7 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def _source_path():
+def source_path():
     """The file a row came from, in the same (decoded) form as ``list_files``.
 
     Spark's ``_metadata.file_path`` is URL-encoded; a literal ``+`` is kept
@@ -58,7 +59,7 @@ _DIR_BATCH = 1000
 _STATUS_CHUNK = 20000
 
 
-def _statuses(spark: SparkSession, arr) -> list[tuple[str, bool, int, int]]:
+def statuses(spark: SparkSession, arr) -> list[tuple[str, bool, int, int]]:
     """Parse a Java ``FileStatus[]`` in a few calls: the JVM renders chunks of
     it as text (one round trip per chunk instead of several per object)."""
     jvm = spark.sparkContext._jvm
@@ -101,12 +102,12 @@ def list_files(spark: SparkSession, root: str, prefix: str = "", include_empty:
     glob = jvm.org.apache.hadoop.fs.Path(pattern)
     fs = glob.getFileSystem(conf)
     found = fs.globStatus(glob)
-    files = _walk(spark, fs, _statuses(spark, found) if found is not None else [])
+    files = walk(spark, fs, statuses(spark, found) if found is not None else [])
     rows = [(p, size, _dt.datetime.fromtimestamp(mt / 1000, _dt.timezone.utc)) for p, size, mt in files]
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
-def _walk(spark: SparkSession, fs, level: list[tuple[str, bool, int, int]]) -> list[tuple[str, int, int]]:
+def walk(spark: SparkSession, fs, level: list[tuple[str, bool, int, int]]) -> list[tuple[str, int, int]]:
     """Files under the given statuses, one directory level per round of
     batched ``listStatus`` calls: ``(path, length, modification ms)``."""
     jvm = spark.sparkContext._jvm
@@ -121,7 +122,7 @@ def _walk(spark: SparkSession, fs, level: list[tuple[str, bool, int, int]]) -> l
             arr = gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(batch))
             for i, d in enumerate(batch):
                 arr[i] = jvm.org.apache.hadoop.fs.Path(d)
-            level += _statuses(spark, fs.listStatus(arr))
+            level += statuses(spark, fs.listStatus(arr))
     return files
 
 
@@ -280,7 +281,7 @@ def read_json_docs(spark: SparkSession, paths, schema: T.StructType | None = Non
     """
     raw = spark.read.text(_as_list(paths), wholetext=one_per_file)
     doc = F.from_json("value", schema) if schema is not None else F.parse_json("value")
-    return raw.select(_source_path().alias("path"), doc.alias("doc"))
+    return raw.select(source_path().alias("path"), doc.alias("doc"))
 
 
 def read_lines(spark: SparkSession, paths, with_path: bool = False) -> DataFrame:
@@ -295,7 +296,7 @@ def read_lines(spark: SparkSession, paths, with_path: bool = False) -> DataFrame
         raise ValueError(f"not a text object (expected {' or '.join(TEXT_SUFFIXES)}): {bad[0]}")
     df = spark.read.text(ps)
     if with_path:
-        return df.select(_source_path().alias("path"), "value")
+        return df.select(source_path().alias("path"), "value")
     return df
 
 
@@ -322,23 +323,36 @@ def _expand_dirs(spark: SparkSession, paths: list[str]) -> list[str]:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         fs = hp.getFileSystem(conf)
         found = fs.globStatus(hp)
-        st = _statuses(spark, found) if found is not None else []
+        st = statuses(spark, found) if found is not None else []
         if not st:
             raise FileNotFoundError(p)
-        for f, _, _ in _walk(spark, fs, st):
+        for f, _, _ in walk(spark, fs, st):
             name = f.rsplit("/", 1)[-1]
             if not name.startswith(("_", ".")):
                 out.append(f)
     return out
 
 
+def _by_schema(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """Parquet files whose column types conflict: one scan for each distinct schema, whether a path names a file, a
+    directory or a glob."""
+    from concurrent.futures import ThreadPoolExecutor
+    files = _expand_dirs(spark, paths)
+    with ThreadPoolExecutor(max_workers=min(32, max(len(files), 1))) as pool:  # footers only
+        schemas = list(pool.map(lambda f: spark.read.parquet(literal_path(f)).schema, files))
+    groups: dict[str, list[int]] = {}
+    for i, schema in enumerate(schemas):
+        groups.setdefault(schema.json(), []).append(i)
+    return [spark.read.schema(schemas[own[0]]).parquet(*[literal_path(files[i]) for i in own]) for own in groups.values()]
+
+
 def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi_line: bool = True,
               infer: bool = True, split_quoted: bool = False) -> DataFrame:
     """Read many objects by suffix and concatenate them by column name.
 
     CSV files are grouped by header line (one scan per distinct header, so
     differing headers never misalign); Parquet files are read in one scan
-    with schema merging, or one scan per file when their types conflict.
+    with schema merging, or one scan per distinct schema when types conflict.
     Other suffixes are ignored. No match gives an empty frame. A listed
     object whose name starts with ``_`` or ``.`` is an error, since Spark's
     readers would skip it. ``infer=False`` leaves CSV columns as text and
@@ -367,10 +381,10 @@ def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi
         parquets = [literal_path(p) for p in parquets] if all_files else parquets
         try:
             frames.append(read_parquet(spark, parquets, merge_schema=True))
-        except Exception as e:  # conflicting column types: read file by file
-            if "CANNOT_MERGE" not in str(e) and "Failed to merge" not in str(e):
+        except Exception as e:
+            if not (error_condition(e) or "").startswith("CANNOT_MERGE"):
                 raise
-            frames.extend(read_parquet(spark, [p]) for p in parquets)
+            frames.extend(_by_schema(spark, parquets))
     if not frames:
         return spark.createDataFrame([], T.StructType([]))
     return union_all_by_name(frames)

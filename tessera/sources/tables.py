@@ -8,12 +8,18 @@ reads wrap the SQL as a subquery so the read is split into
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import error_condition
+from tessera.sources.files import literal_path, source_path
+from tessera.sources.store import list_tree, move_files, qualified_path, read_text, remove_files, write_text
+
 IF_EXISTS_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
 
 
@@ -202,9 +208,12 @@ def delete_where(spark: SparkSession, target: str, predicate: Column | str,
     """Delete matching rows of a table.
 
     Remote tables (``jdbc``, SQL text predicate) get a ``DELETE`` statement.
-    Catalog tables that support ``DELETE`` get it; plain file tables are
-    rewritten in place: kept rows go to ``<name>__kept`` first (Spark cannot
-    overwrite a table it reads) and stay there if the rewrite fails.
+    Of Parquet and ORC tables only the files that hold a matching row are
+    rewritten; the others keep their names. The predicate must be
+    deterministic, and readers that run during the swap may see rows of old
+    and new files. Other catalog tables that support ``DELETE`` get it; the
+    rest are rewritten in place: kept rows go to ``<name>__kept`` first (Spark
+    cannot overwrite a table it reads) and stay there if the rewrite fails.
     """
     if jdbc is not None:
         if not isinstance(predicate, str):
@@ -212,12 +221,16 @@ def delete_where(spark: SparkSession, target: str, predicate: Column | str,
         jdbc_execute(spark, jdbc, f"DELETE FROM {_quote_ident(target)} WHERE {predicate}")
         return
     ident = _catalog_ident(target)
+    place = _file_table(spark, target)
+    if place is not None:
+        _delete_in_files(spark, target, predicate, *place)
+        return
     if isinstance(predicate, str):
         try:
             spark.sql(f"DELETE FROM {ident} WHERE {predicate}")
             return
-        except Exception as e:  # plain parquet tables do not support DELETE
-            if "UNSUPPORTED" not in str(e) and "not support" not in str(e).lower():
+        except Exception as e:  # sources without deletes
+            if not (error_condition(e) or "").startswith("UNSUPPORTED_FEATURE"):
                 raise
     staging = f"{target}__kept"
     if spark.catalog.tableExists(staging):
@@ -226,3 +239,71 @@ def delete_where(spark: SparkSession, target: str, predicate: Column | str,
     # the table itself stays, with its format, partitioning, properties and place; static: partitions left empty go too
     (spark.table(staging).write.option("partitionOverwriteMode", "static").insertInto(target, overwrite=True))
     spark.sql(f"DROP TABLE {_catalog_ident(staging)}")
+
+
+_SELF_DESCRIBING = {"parquet", "orc"}
+_DELETE_DIR = "_delete_"
+
+
+def _file_table(spark: SparkSession, target: str) -> tuple[str, str, list[str]] | None:
+    """Format, location and partition columns of a plain Parquet or ORC table; None for every other one."""
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_catalog_ident(target)}").collect()}
+    columns = spark.catalog.listColumns(target)
+    if (facts.get("Provider") or "").lower() not in _SELF_DESCRIBING or facts.get("Type") not in ("MANAGED", "EXTERNAL"):
+        return None
+    if any(c.isBucket for c in columns) or not facts.get("Location"):
+        return None
+    return facts["Provider"].lower(), facts["Location"], [c.name for c in columns if c.isPartition]
+
+
+def _delete_in_files(spark: SparkSession, target: str, predicate: Column | str, kind: str, location: str, parts: list[str]) -> None:
+    """Rewrite only the files that hold a matching row.
+
+    Files are found by ``_metadata.file_path`` of the matching rows (filters
+    reach the footers' statistics, so most are not read). What their rows
+    leave is written to a folder inside the table that readers skip, together
+    with a manifest of files to add and to remove; then the new files are
+    moved in and the old ones removed. ``finish_delete`` carries out a
+    manifest that a lost driver left behind.
+    """
+    finish_delete(spark, target)
+    rows = spark.table(target)
+    match = F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
+    touched = sorted(r[0] for r in rows.where(match).select(source_path().alias("f")).distinct().collect())
+    if not touched:
+        return
+    root = qualified_path(spark, location)
+    if not all(f.startswith(root.rstrip("/") + "/") for f in touched):
+        raise ValueError(f"{target} has partitions outside {root}; delete by rewriting the partition")
+    staging = f"{root.rstrip('/')}/{_DELETE_DIR}{uuid.uuid4().hex}"
+    old = (spark.read.format(kind).schema(rows.schema).option("basePath", root).load([literal_path(f) for f in touched]))
+    w = keep_unless(old.select(rows.columns), predicate).write.format(kind)
+    (w.partitionBy(*parts) if parts else w).save(f"{staging}/rows")
+    added = [f for f, _, _ in list_tree(spark, f"{staging}/rows") if not f.rsplit("/", 1)[-1].startswith(("_", "."))]
+    write_text(spark, f"{staging}/manifest", json.dumps({"remove": touched, "rows": f"{staging}/rows", "add": added}))
+    _carry_out(spark, staging)
+    spark.catalog.refreshTable(target)
+
+
+def _carry_out(spark: SparkSession, staging: str) -> None:
+    """Move a manifest's files in and remove the old ones; repeating it changes nothing."""
+    todo = json.loads(read_text(spark, f"{staging}/manifest"))
+    root, rows = staging.rsplit("/", 1)[0], todo["rows"]
+    move_files(spark, [(f, root + f[len(rows):]) for f in todo["add"]])
+    remove_files(spark, todo["remove"])
+    remove_files(spark, [staging])
+
+
+def finish_delete(spark: SparkSession, target: str) -> int:
+    """Carry out deletes of a file table that were written but not finished; gives their number."""
+    place = _file_table(spark, target)
+    if place is None:
+        return 0
+    root, done = qualified_path(spark, place[1]).rstrip("/"), 0
+    for f, _, _ in list_tree(spark, root, only=_DELETE_DIR):
+        if f.endswith("/manifest") and f.count("/") == root.count("/") + 2:
+            _carry_out(spark, f.rsplit("/", 1)[0])
+            done += 1
+    if done:
+        spark.catalog.refreshTable(target)
+    return done

@@ -136,6 +136,14 @@ def test_delete_keeps_the_layout(spark):
     assert sorted(((r.id, r.p) for r in spark.table("del_layout").collect()), key=str) == [(1, "a"), (None, "c")]
     made = spark.sql("SHOW CREATE TABLE del_layout").first()[0]
     assert "USING ORC" in made and "PARTITIONED BY (p)" in made and "'mine' = 'kept'" in made
+    spark.sql("DROP TABLE del_layout")
+    # formats whose files do not describe themselves are rewritten whole, by way of <name>__kept
+    spark.sql("CREATE TABLE del_layout (id INT, p STRING) USING JSON PARTITIONED BY (p) TBLPROPERTIES ('mine'='kept')")
+    spark.sql("INSERT INTO del_layout VALUES (1,'a'),(2,'a'),(3,'b'),(NULL,'c')")
+    delete_where(spark, "del_layout", "id >= 2")
+    assert sorted(((r.id, r.p) for r in spark.table("del_layout").collect()), key=str) == [(1, "a"), (None, "c")]
+    made = spark.sql("SHOW CREATE TABLE del_layout").first()[0]
+    assert "USING JSON" in made and "PARTITIONED BY (p)" in made and "'mine' = 'kept'" in made
     spark.sql("CREATE TABLE del_layout__kept (x INT) USING PARQUET")
     with pytest.raises(ValueError, match="__kept"):
         delete_where(spark, "del_layout", "id = 1")
