@@ -209,8 +209,13 @@ def with_row_index(df: DataFrame, name: str = "ColumnIndex", order_by=None) -> D
     sample different bounds) and survives executor loss. The row count of
     every earlier partition is added as an offset; the counts form a table
     with one row per partition, so joining it back is a broadcast of known
-    size. Without ``order_by`` the scan order is used.
+    size. Without ``order_by`` the scan order is used; a frame that only
+    projects a Parquet scan is then numbered by file path and position in the
+    file, from the files' row counts (footers), with no sort, no write and no
+    shuffle of its rows.
     """
+    if order_by is None and _projects_parquet(df):
+        return _scan_index(df, name)
     tie = "__ri_tie"
     pid, local = "__ri_pid", "__ri_local"
     base = df.withColumn(tie, F.monotonically_increasing_id())
@@ -229,6 +234,37 @@ def with_row_index(df: DataFrame, name: str = "ColumnIndex", order_by=None) -> D
     return out.select(*[F.col(f"`{c}`") for c in df.columns], idx)
 
 
+MAX_BROADCAST_FILES = 500_000
+
+
+def _projects_parquet(df: DataFrame) -> bool:
+    """Whether every row of the frame is one row of a Parquet scan, in a place that ``_metadata`` tells."""
+    if "_metadata" in (c.lower() for c in df.columns):
+        return False
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "SubqueryAlias", "View"):
+        node = node.children().apply(0)
+    if node.nodeName() != "LogicalRelation":
+        return False
+    relation = node.relation()
+    return (relation.getClass().getSimpleName() == "HadoopFsRelation"
+            and relation.fileFormat().getClass().getSimpleName() == "ParquetFileFormat")
+
+
+def _scan_index(df: DataFrame, name: str) -> DataFrame:
+    """Position in the file plus the rows of all files before it; both come with the scan."""
+    at, file = "__ri_at", "__ri_file"
+    placed = df.select("*", F.col("_metadata.row_index").alias(at), F.col("_metadata.file_path").alias(file))
+    # reads no column, so the counts come from the footers; one row for each file
+    counts = placed.groupBy(file).agg(F.count(F.lit(1)).alias("__ri_n"))
+    before = F.sum("__ri_n").over(Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(file, F.coalesce(before, F.lit(0)).alias("__ri_off"))
+    if len(df.inputFiles()) <= MAX_BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
+    return placed.join(offsets, file, "inner").select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("__ri_off") + F.col(at)).alias(name))
+
+
 def zip_rows(a: DataFrame, b: DataFrame, order_a=None, order_b=None,
              index: str = "ColumnIndex", keep_index: bool = False) -> DataFrame:
     """Positional inner join of two frames (surplus rows are dropped).
