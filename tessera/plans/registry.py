@@ -774,16 +774,16 @@ FROM orders
 
 def q_json_documents(spark, sf_dir):
     """[S4, A4] one document of several lines in each file."""
-    target = _scratch(spark) + "nation.dict"
-    doc = F.to_json(F.struct("n_nationkey", F.struct("n_name", "n_regionkey").alias("n")), {"pretty": "true"})
-    table(spark, sf_dir, "nation").select(doc.alias("value")).write.option("maxRecordsPerFile", 1).text(target)
+    target = _scratch(spark) + "supplier.dict"
+    doc = F.to_json(F.struct("s_suppkey", F.struct("s_name", "s_nationkey").alias("s")), {"pretty": "true"})
+    table(spark, sf_dir, "supplier").select(doc.alias("value")).write.option("maxRecordsPerFile", 1).text(target)
     docs = read_json_docs(spark, target)
-    return docs.select(json_field("doc", "$.n_nationkey", "int").alias("n_nationkey"),
-                       json_field("doc", "$.n.n_name", "string").alias("n_name"),
-                       json_field("doc", "$.n.n_regionkey", "int").alias("n_regionkey"))
+    return docs.select(json_field("doc", "$.s_suppkey", "bigint").alias("s_suppkey"),
+                       json_field("doc", "$.s.s_name", "string").alias("s_name"),
+                       json_field("doc", "$.s.s_nationkey", "int").alias("s_nationkey"))
 
 
-_SQL_JSON_DOCUMENTS = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
+_SQL_JSON_DOCUMENTS = "SELECT s_suppkey, s_name, s_nationkey FROM supplier"
 
 
 def q_union_types(spark, sf_dir):
@@ -1044,8 +1044,10 @@ _ORACLE: dict[str, str] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _QUERIES | {name: q for name, (q, _) in _LATER.items()}
+    from tessera.plans.registry_io import LATEST
+    return _QUERIES | {name: q for name, (q, _) in (_LATER | LATEST).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return _ORACLE | {name: sql for name, (_, sql) in _LATER.items()}
+    from tessera.plans.registry_io import LATEST
+    return _ORACLE | {name: sql for name, (_, sql) in (_LATER | LATEST).items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
@@ -86,9 +87,27 @@ def error_condition(e: Exception) -> str | None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
+    """A path under the shared checkpoint folder for intermediate tables; removed when the driver's Python ends."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
+    path = f"{base}/{name}-{os.getpid()}-{next(_counter)}"
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    _scratch.append(path)
+    return path
+
+
+_scratch: list[str] = []
+
+
+def _remove_scratch() -> None:
+    from pyspark import SparkContext
+    jvm = SparkContext._jvm
+    for path in _scratch if jvm is not None else []:
+        try:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(p, True)
+        except Exception:  # the JVM has gone: nothing to be done from here
+            return
 
 
 def _count():

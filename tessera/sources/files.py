@@ -9,14 +9,15 @@ from __future__ import annotations
 import csv
 import datetime as _dt
 import re
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.paths import CSV_SUFFIXES, PARQUET_SUFFIXES, TEXT_SUFFIXES, file_format
-from tessera.session import error_condition
-from tessera.sources.quoted_csv import read_quoted
+from tessera.session import cut_lineage, error_condition
+from tessera.sources.quoted_csv import read_by_header, read_quoted, still_quoted
 
 # The tokens pandas' CSV reader treats as missing by default.
 DEFAULT_NA = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -126,6 +127,72 @@ def walk(spark: SparkSession, fs, level: list[tuple[str, bool, int, int]]) -> li
     return files
 
 
+def arrow_lister(folder: str) -> Iterator[tuple[str, bool, int, float | None]]:
+    """``(path, is a folder, length, modification seconds)`` of what a folder holds, through Arrow's file systems (local
+    and shared folders, S3, GCS, ABFS, HDFS); paths are written as the folder's."""
+    from pyarrow import fs
+
+    if folder.startswith("file:"):
+        system, inside = fs.LocalFileSystem(), "/" + folder[5:].lstrip("/")
+    elif re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", folder):
+        system, inside = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", folder))
+    else:
+        system, inside = fs.LocalFileSystem(), folder
+    for info in system.get_file_info(fs.FileSelector(inside, recursive=False, allow_not_found=True)):
+        yield (f"{folder.rstrip('/')}/{info.base_name}", info.type == fs.FileType.Directory, int(info.size or 0),
+               info.mtime.timestamp() if info.mtime else None)
+
+
+def walk_files(spark: SparkSession, root: str, prefix: str = "", lister: Callable | None = None, tasks: int | None = None) -> DataFrame:
+    """S1 without a listing on the driver: the rows of ``list_files``, found by tasks.
+
+    The folders to be listed are a table, a work queue: each round deals them
+    out to ``tasks`` tasks (as many as the cluster runs at once by default),
+    writes what they hold to the shared checkpoint folder, and the folders
+    among that are the next round's. Objects of any length and name are kept.
+    The driver holds the number of folders left. ``lister`` lists one folder
+    in a task, lazily (``arrow_lister`` by default); a folder's rows leave the
+    task in batches, so one with very many objects fills no memory unless the
+    lister does.
+    """
+    import pyarrow as pa
+
+    lister = lister or arrow_lister
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    base, _, stem = prefix.rpartition("/")
+    top = f"{root.rstrip('/')}/{base}".rstrip("/") or "/"
+    start = f"{top.rstrip('/')}/{stem}"
+
+    def listed(batches):
+        names = ["path", "folder", "length", "modified"]
+        types = [pa.string(), pa.bool_(), pa.int64(), pa.float64()]
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                held = []
+                for entry in lister(folder):
+                    if entry[0].startswith(start):
+                        held.append(entry)
+                    if len(held) == 10_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
+                        held = []
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
+
+    queue, rounds = spark.createDataFrame([(top,)], "path string"), []
+    while True:
+        seen = Observation()
+        found = queue.repartition(tasks).mapInArrow(listed, "path string, folder boolean, length long, modified double")
+        found = cut_lineage(found.observe(seen, F.count(F.when(F.col("folder"), 1)).alias("folders")))
+        rounds.append(found.where("NOT folder").select(
+            "path", "length", F.timestamp_micros((F.col("modified") * 1_000_000).cast("long")).alias("modificationTime")))
+        if not seen.get["folders"]:
+            break
+        queue = found.where("folder").select("path")
+    while len(rounds) > 1:
+        rounds = [a.unionAll(b) for a, b in zip(rounds[::2], rounds[1::2])] + rounds[len(rounds) // 2 * 2:]
+    return rounds[0]
+
+
 # --------------------------------------------------------------------- CSV
 
 def _null_tokens(df: DataFrame, na_tokens) -> DataFrame:
@@ -234,14 +301,19 @@ def _typed(field: T.StructField, strict: bool):
 
 
 def csv_header(spark: SparkSession, path: str) -> str:
-    """The first line of one file, read through the Hadoop file system."""
+    """The first record of one file (a line, or more if line feeds are quoted), read through the Hadoop file system."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     stream = p.getFileSystem(conf).open(p)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine() or ""
+        line = reader.readLine() or ""
+        lines, quoted = [line], still_quoted(line, False)
+        while quoted and (line := reader.readLine()) is not None:
+            lines.append(line)
+            quoted = still_quoted(line, True)
+        return "\n".join(lines)
     finally:
         stream.close()
 
@@ -347,7 +419,7 @@ def _by_schema(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
 
 
 def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi_line: bool = True,
-              infer: bool = True, split_quoted: bool = False) -> DataFrame:
+              infer: bool = True, split_quoted: bool = False, one_scan: bool = False) -> DataFrame:
     """Read many objects by suffix and concatenate them by column name.
 
     CSV files are grouped by header line (one scan per distinct header, so
@@ -358,6 +430,12 @@ def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi
     readers would skip it. ``infer=False`` leaves CSV columns as text and
     saves the typing pass; ``multi_line`` and ``split_quoted`` are those of
     ``read_csv``.
+
+    ``one_scan=True`` reads CSV files of all headers together, in a plan that
+    does not grow with their number: records are found as with
+    ``split_quoted``, parsed by position, named by their file's header, and
+    all columns are typed in one aggregate (a column that is not numbers in
+    every file keeps its text as written).
     """
     from tessera.operators.reshape import union_all_by_name
     paths, all_files = _paths_of(spark, paths_or_listing)
@@ -371,6 +449,10 @@ def read_many(spark: SparkSession, paths_or_listing, na_tokens=DEFAULT_NA, multi
     parquets = [p for p in paths if p.rstrip("/").endswith(PARQUET_SUFFIXES)]
     frames: list[DataFrame] = []
     by_header: dict[str, list[str]] = {}
+    if one_scan and csvs:
+        text = _null_tokens(read_by_header(spark, [literal_path(p) for p in csvs]), na_tokens)
+        frames.append(_apply_types(text, infer_types(text)) if infer else text)
+        csvs = []
     for p, header in zip(csvs, _headers(spark, csvs)):
         by_header.setdefault(header, []).append(p)
     for header, group in by_header.items():

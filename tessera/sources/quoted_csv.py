@@ -14,6 +14,9 @@ assembled and parsed range by range.
 
 from __future__ import annotations
 
+import csv
+import io
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -98,17 +101,19 @@ def _assemble(sep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, head, quoted = [], False, False
         for batch in batches:
-            records, firsts = [], []
-            for line, first in zip(batch.column("value").to_pylist(), batch.column("first").to_pylist()):
+            records, firsts, files = [], [], []
+            for line, first, file in zip(*(batch.column(c).to_pylist() for c in ("value", "first", "file"))):
                 head = first if not held else head
                 held.append(line)
                 quoted = still_quoted(line, quoted, sep) if '"' in line else quoted
                 if not quoted:
                     records.append(held[0] if len(held) == 1 else "\n".join(held))
                     firsts.append(head)
+                    files.append(file)
                     held = []
             if records:
-                yield pa.RecordBatch.from_arrays([pa.array(firsts), pa.array(records, pa.string())], names=["first", "record"])
+                yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(firsts), pa.array(records, pa.string())],
+                                                 names=["file", "first", "record"])
         if held:
             raise ValueError("a range of whole records ends inside quotes: the file changed while it was read")
 
@@ -137,7 +142,7 @@ def ranges(lines: DataFrame, sep: str = ",") -> DataFrame:
 
 
 def records(spark: SparkSession, paths: list[str], sep: str = ",") -> DataFrame:
-    """``(first, record)``: the text of every record; ``first`` marks each file's first one."""
+    """``(file, first, record)``: the text of every record without its line end; ``first`` marks each file's first one."""
     raw = spark.read.option("lineSep", "\n").text(paths)
     # positions are those of the scan, the same in every pass over the same files
     lines = raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
@@ -149,12 +154,13 @@ def records(spark: SparkSession, paths: list[str], sep: str = ",") -> DataFrame:
     whole = placed.where(~tail & ~head)
     if near is marks:  # a shuffled join loses the order of the scan
         whole = whole.repartition("file", "start").sortWithinPartitions("file", "start", "rid")
-    inner = whole.select("value", "first").mapInArrow(_assemble(sep), "first boolean, record string")
+    inner = whole.select("value", "first", "file").mapInArrow(_assemble(sep), "file string, first boolean, record string")
     # at most two records of a range: the one that crosses its begin and the one that crosses its end
     order = Window.partitionBy("file").orderBy("start", "rid")
     crossing = (placed.where(tail | head).withColumn("no", F.sum((F.col("rid") == F.col("head_from")).cast("int")).over(order))
                 .groupBy("file", "no").agg(F.max("first").alias("first"), F.array_sort(F.collect_list(F.struct("start", "rid", "value"))).alias("l")))
-    return inner.unionByName(crossing.select("first", F.array_join(F.col("l.value"), "\n").alias("record")))
+    found = inner.unionByName(crossing.select("file", "first", F.array_join(F.col("l.value"), "\n").alias("record")))
+    return found.withColumn("record", F.regexp_replace("record", "\r$", ""))
 
 
 def read_quoted(spark: SparkSession, paths: list[str], names: list[str], sep: str = ",") -> DataFrame:
@@ -162,7 +168,43 @@ def read_quoted(spark: SparkSession, paths: list[str], names: list[str], sep: st
 
     Lines end with ``\\n`` or ``\\r\\n``. Empty lines are no records.
     """
-    body = F.regexp_replace("record", "\r$", "")
-    rows = records(spark, paths, sep).where(~F.col("first")).select(body.alias("record")).where("record <> ''")
+    rows = records(spark, paths, sep).where(~F.col("first")).where("record <> ''")
     ddl = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in names)
     return rows.select(F.from_csv("record", ddl, _OPTIONS).alias("r")).select(*[F.col("r").getField(c).alias(c) for c in names])
+
+
+def _names(header: str, exact: bool) -> list[str]:
+    """Column names of a header record: empty ones by their place, repeated ones with their place added."""
+    names = [n if n else f"_c{i}" for i, n in enumerate(next(csv.reader(io.StringIO(header.removeprefix("\ufeff"), newline="")), []))]
+    key = (lambda n: n) if exact else str.lower
+    seen = Counter(map(key, names))
+    return [n if seen[key(n)] == 1 else f"{n}{i}" for i, n in enumerate(names)]
+
+
+def read_by_header(spark: SparkSession, paths: list[str], sep: str = ",") -> DataFrame:
+    """Records of files with any number of headers as text columns, by name, in one plan whatever the number of headers.
+
+    Every file's first record is its header. A record is parsed once, by
+    position, and its fields find their columns through its header's names,
+    one array for each file. Names that differ in case only are one column
+    unless ``spark.sql.caseSensitive`` is set. The driver holds the distinct
+    headers.
+    """
+    exact = spark.conf.get("spark.sql.caseSensitive", "false") == "true"
+    key = (lambda n: n) if exact else str.lower
+    found = records(spark, paths, sep)
+    heads = cut_lineage(found.where("first").select("file", F.col("record").alias("head")))
+    headers = sorted(r[0] for r in heads.select("head").distinct().collect())
+    spelled: dict[str, str] = {}
+    named = [(h, [spelled.setdefault(key(n), n) for n in _names(h, exact)]) for h in headers]
+    if not spelled:
+        return spark.createDataFrame([], "struct<>")
+    width = max(len(n) for _, n in named)
+    by_file = heads.join(F.broadcast(spark.createDataFrame(named, "head string, names array<string>")), "head").select("file", "names")
+    by_file = F.broadcast(by_file) if len(paths) <= MAX_BROADCAST_RANGES else by_file
+    ddl = ", ".join(f"c{i} STRING" for i in range(width))
+    fields = F.from_csv("record", ddl, _OPTIONS | {"columnNameOfCorruptRecord": "_none"})
+    rows = (found.where(~F.col("first")).where("record <> ''").join(by_file, "file").select("names", fields.alias("r"))
+            .select("names", F.array(*[F.col(f"r.c{i}") for i in range(width)]).alias("v"))
+            .select(F.map_from_arrays("names", F.slice("v", F.lit(1), F.size("names"))).alias("m")))
+    return rows.select(*[F.try_element_at("m", F.lit(c)).alias(c) for c in spelled.values()])
