@@ -52,6 +52,7 @@ SECOND = 0.43  # chance that a node chooses two positions: 1.43 branches, 1.07 s
 MAYBE = 0.58  # estimates below this are no candidates: 4.4 standard errors below the threshold
 OUTLIERS = 3
 BLOCK = 512
+WHOLE = 4096  # shingles of the largest sets that are confirmed inside a group: 16 MB a block
 SEEN = 500_000
 _RNG = np.random.default_rng(7)
 _COEF = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -277,18 +278,52 @@ def _best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["b", "a", "e"])
 
 
-def _all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs across components that may be linked. Groups are bounded."""
-    seen: set = set()
-    for part in _groups(batches, ("g", "k", "comp", "mark", "fine", "side")):
-        k = part["k"]
-        found = {(min(k[j], x), max(k[j], x)) for j, i, _ in _near(part, True) for x in k[i].tolist()} - seen
-        if found:
-            if len(seen) > SEEN:
-                seen.clear()
-            seen.update(found)
-            a, b = zip(*found)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether sorted distinct hashes of two sets have ``100 * intersection >= percent * union``."""
+    if len(x) > len(y):
+        x, y = y, x
+    if 100 * len(x) < percent * len(y):
+        return False
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(x) else 0
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _all(percent: int):
+    """Links across components, one between any two of them in a task, and pairs that may be links but must be
+    confirmed on sets that no group holds. Every candidate is confirmed, here or later. Groups are bounded."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        joined: set = set()
+        for part in _groups(batches, ("g", "k", "comp", "mark", "fine", "whole", "side")):
+            k, comp, whole = part["k"].tolist(), part["comp"].tolist(), part["whole"]
+            sets: dict = {}
+            out = []
+            for j, i, e in _near(part, True):
+                for x in i[np.argsort(-e, kind="stable")].tolist():
+                    pair = (min(k[j], k[x]), max(k[j], k[x]))
+                    ends = (min(comp[j], comp[x]), max(comp[j], comp[x]))
+                    if pair in seen or ends in joined:
+                        continue
+                    if len(seen) > SEEN:
+                        seen.clear()
+                    seen.add(pair)
+                    known = bool(len(whole[j]) and len(whole[x]))
+                    if known:
+                        for m in (j, x):
+                            if m not in sets:
+                                sets[m] = np.frombuffer(whole[m], np.uint64)
+                        if not alike(sets[j], sets[x], percent):
+                            continue
+                        if len(joined) > SEEN:
+                            joined.clear()
+                        joined.add(ends)
+                    out.append((*pair, known))
+            if out:
+                a, b, sure = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sure)], names=["a", "b", "sure"])
+
+    return run
 
 
 def _blocks(n: str):
@@ -341,14 +376,21 @@ def attach(nodes: DataFrame, found: DataFrame, marks: DataFrame) -> DataFrame:
     return best.select(F.least("b", "m.a").alias("a"), F.greatest("b", "m.a").alias("b")).distinct()
 
 
-def cross_pairs(nodes: DataFrame, found: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
-    """All candidate pairs across components in nodes that are still mixed."""
+def cross_pairs(nodes: DataFrame, found: DataFrame, marks: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
+    """Links (``sure``) and remaining candidate pairs across components in nodes that are still mixed.
+
+    In large nodes the sets of at most ``WHOLE`` shingles stand in the groups, so
+    that pairs of them are confirmed where they are found.
+    """
     rows, n = mixed_nodes(nodes, found)
     crowd = rows.where(F.col("n") > SMALL).select("k").distinct()
-    fine, _ = written(sets.join(crowd, "k", "left_semi").mapInArrow(_fine, "k long, fine binary"), 10_000)
-    work = groups(rows).join(marks, "k").join(fine, "k", "left").withColumn(
-        "fine", F.when((F.col("side") != 3) & F.col("fine").isNotNull(), F.col("fine")).otherwise(F.lit(b"")))
-    return _in_order(work, n, "k", "comp", "mark", "fine", "side").mapInArrow(_all, "a long, b long").distinct()
+    mine = sets.join(crowd, "k", "left_semi")
+    fine = mine.mapInArrow(_fine, "k long, fine binary")
+    held, _ = written(fine.join(mine.where(F.length("shingles") <= 8 * WHOLE).select("k", F.col("shingles").alias("whole")), "k", "left"), 5_000)
+    inside = lambda c: F.coalesce(F.when(F.col("side") != 3, F.col(c)), F.lit(b"")).alias(c)
+    work = groups(rows).join(marks, "k").join(held, "k", "left").select(
+        "path", "centre", "i", "j", "k", "comp", "side", "mark", inside("fine"), inside("whole"))
+    return _in_order(work, n, "k", "comp", "mark", "fine", "whole", "side").mapInArrow(_all(percent), "a long, b long, sure boolean").distinct()
 
 
 def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -416,8 +458,11 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     keys = classes.select("k", "id", "digest")
     sets = links = None
     for step in (lambda: star_pairs(nodes, marks), lambda: attach(nodes, components(links), marks),
-                 lambda: cross_pairs(nodes, components(links), marks, sets)):
+                 lambda: cross_pairs(nodes, components(links), marks, sets, percent)):
         pairs, _ = written(step())
+        if "sure" in pairs.columns:
+            links = links.unionByName(pairs.where("sure").select("a", "b"))
+            pairs = pairs.where("NOT sure").select("a", "b")
         ends = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
         missing = keys.join(ends, "k", "left_semi")
         if sets is not None:

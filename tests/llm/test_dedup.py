@@ -166,3 +166,16 @@ def test_embeddings_of_few_directions_and_bad_rounding(spark):
     want = {i: int(n) - 1 for i, n in enumerate(near.sum(axis=1))} | {1000: 1, 1001: 1}
     wrong = {i for i in want if got[i] != want[i]}
     assert not wrong and sum(want.values()) > 2000
+
+
+def test_sets_are_confirmed_inside_groups():
+    import random
+
+    import numpy as np
+    from tessera.llm import near_dup
+    rnd = random.Random(2)
+    for _ in range(500):
+        x = set(rnd.sample(range(40), rnd.randint(0, 20)))
+        y = set(rnd.sample(range(40), rnd.randint(0, 20))) if rnd.random() < .5 else x | set(rnd.sample(range(40), rnd.randint(0, 6)))
+        want = len(x & y) > 0 and 100 * len(x & y) >= 75 * len(x | y)
+        assert near_dup.alike(np.array(sorted(x), np.uint64), np.array(sorted(y), np.uint64), 75) == want
