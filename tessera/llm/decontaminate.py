@@ -249,8 +249,8 @@ def find_spans(words: Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray,
 
 
 RESULT = pa.struct([("words", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
-                    ("items", pa.list_(pa.int64()))])
-RESULT_SQL = "struct<words: bigint, spans: array<struct<a: bigint, b: bigint>>, items: array<bigint>>"
+                    ("items", pa.list_(pa.string()))])
+RESULT_SQL = "struct<words: bigint, spans: array<struct<a: bigint, b: bigint>>, items: array<string>>"
 
 
 def _spans_column(phrases):
@@ -289,7 +289,7 @@ def phrase_blocks(benchmark: DataFrame, text_col: str = "text", id_col: str = "i
     """
     sc = benchmark.sparkSession.sparkContext
     out, held, size = [], [], 0
-    rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("t is not null").distinct()
+    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("t is not null").distinct()
     for r in rows.toLocalIterator():
         held.append((r["i"], r["t"]))
         size += len(r["t"]) // 4 + 1
@@ -312,25 +312,35 @@ def merged_spans(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<a: bigint, b: bigint>>"), add)
 
 
-def located(docs: DataFrame, blocks: list, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``located`` (words, spans, items); replaces a column of that name.
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have and that begins none of its names."""
+    taken = [c.lower() for c in docs.columns]
+    while any(c.startswith(name) for c in taken):
+        name = "_" + name
+    return name
+
+
+def located(docs: DataFrame, blocks: list, text_col: str = "text", name: str = "located") -> DataFrame:
+    """``docs`` with a struct column ``name`` (words, spans, items); replaces a column of that name only.
 
     One column function for each block of phrases, so no shuffle however many there are.
     """
     small_batches(docs.sparkSession)
     text = F.col(text_col)
     if len(blocks) == 1:
-        return docs.withColumn("located", _spans_column(blocks[0])(text))
-    each = [f"_located_{i}" for i in range(len(blocks))]
+        return docs.withColumn(name, _spans_column(blocks[0])(text))
+    inner = _free(docs, "_block")
+    each = [f"{inner}{i}" for i in range(len(blocks))]
     found = docs.withColumns({c: _spans_column(block)(text) for c, block in zip(each, blocks)})
     spans = merged_spans(F.concat(*[F.col(c)["spans"] for c in each]))
     items = F.array_sort(F.array_distinct(F.concat(*[F.col(c)["items"] for c in each])))
-    return found.withColumn("located", F.struct(F.col(each[0])["words"].alias("words"), spans.alias("spans"),
+    return found.withColumn(name, F.struct(F.col(each[0])["words"].alias("words"), spans.alias("spans"),
                                                 items.alias("items"))).drop(*each)
 
 
 def find(docs: DataFrame, blocks: list, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``id, n_words, spans, items`` for every row of ``docs``; spans are disjoint and ordered."""
+    """``id, n_words, spans, items`` for every row of ``docs``; spans are disjoint and ordered, items are ids as text
+    (of any type; an item of null id is in no list)."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return located(slim, blocks).select(F.col("id").alias(id_col), F.col("located.words").alias("n_words"), "located.spans",
                                         "located.items")
@@ -347,13 +357,14 @@ def contaminated(hit: Column, words: Column) -> Column:
 
 def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``id, n_words, n_hit, n_items, items_sha256, contaminated`` from ``find``."""
-    listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    listed = F.array_join(F.array_sort("items"), ",")
     return found.select(F.col(id_col), "n_words", n_hit(F.col("spans")).alias("n_hit"),
                         F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256")).withColumn(
         "contaminated", contaminated(F.col("n_hit"), F.col("n_words")))
 
 
 def clean(docs: DataFrame, blocks: list, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, unchanged."""
-    found = located(docs, blocks, text_col)
-    return found.where(~contaminated(n_hit(F.col("located.spans")), F.col("located.words"))).drop("located")
+    """The rows of ``docs`` that are not contaminated, unchanged, whatever their columns are called."""
+    name = _free(docs, "located")
+    found = located(docs, blocks, text_col, name)
+    return found.where(~contaminated(n_hit(F.col(f"{name}.spans")), F.col(f"{name}.words"))).drop(name)

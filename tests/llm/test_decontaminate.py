@@ -78,8 +78,14 @@ def test_report_with_one_and_many_blocks(spark):
             assert (r.n_words, r.n_hit, r.n_items) == (n, hit, len(found))
             assert r.items_sha256 == hashlib.sha256(listed.encode()).hexdigest()
             assert r.contaminated == (hit > 0 and 20 * hit >= n)
-    clean = D.clean(frame.drop("located"), D.phrase_blocks(bench))
-    assert sorted(r.doc_id for r in clean.collect()) == [i for i, (n, h, _) in enumerate(want) if not (h and 20 * h >= n)]
+    odd = frame.selectExpr("*", "doc_id AS _block0", "text AS _located")
+    for size in (10, 1_000_000):
+        clean = D.clean(odd, D.phrase_blocks(bench, block_words=size))
+        assert clean.columns == odd.columns and all(r.located == "clash" and r._block0 == r.doc_id for r in clean.collect())
+    named = D.phrase_blocks(bench.selectExpr("IF(item_id IS NULL, NULL, concat('q', item_id)) AS item_id", "text"))
+    for r in D.find(frame, named).collect():
+        assert sorted(r["items"]) == sorted(f"q{i}" for i in want[r.doc_id][2])
+    assert sorted(r.doc_id for r in D.clean(frame, D.phrase_blocks(bench)).collect()) == [i for i, (n, h, _) in enumerate(want) if not (h and 20 * h >= n)]
     none = D.phrase_blocks(bench.where("false"))
     assert D.report(D.find(frame, none)).where("n_hit > 0 or contaminated").count() == 0
     assert D.find(frame.where("false"), none).count() == 0
