@@ -4,13 +4,16 @@ A document's set holds its distinct shingles of five words (fewer words: the
 whole sequence). Equal sets are one class first, so copies cost one row.
 Each class gets ``TOKENS`` minwise tokens. Every tree starts with all classes
 at its root; a node's hash chooses one or two token positions, and a class
-goes to the child named by its token there. Nodes of at most ``SMALL``
-classes stop, and so do those in which most members resemble the smallest
-one; others branch on, down to ``DEPTH`` levels. ``TREES``
-independent trees run side by side, and nodes of every tree are compared,
-whatever their size. A pair at similarity 0.75 whose nodes all stay large
-down to the last level shares none of 13 trees' nodes with probability 5.4e-5
-(the trees draw on the same tokens, which is counted in; 12 trees: 1.04e-4).
+goes to the child named by its token there; no path chooses a position twice.
+Nodes of at most ``SMALL`` classes stop, and so do those in which most
+members resemble the smallest one; others branch on, however deep. So
+documents that share one long passage, and little else, part: the passage's
+token is the least of all in some of them only. ``TREES`` independent trees
+run side by side, and nodes of every tree are compared, whatever their size.
+A pair at similarity 0.75 whose nodes all stay large for four levels shares
+none of 16 trees' nodes with probability 8.6e-6, for eight levels 1.3e-4, for
+any number 8.3e-4 (the trees draw on the same tokens, which is counted in);
+deep levels choose a second position more often (``DEEP``) for this.
 
 Links are found in three steps, so that a group of m near copies does not
 give m * m pairs. First every class is confirmed against the most similar of
@@ -42,13 +45,15 @@ from tessera.session import cut_lineage
 
 SHINGLE = 5
 TOKENS = 128
-TREES = 13
+TREES = 16
 TREE_BITS = 15
+LOW_BITS = np.uint64(2047)  # of a path: four bits of the tree, seven of the position chosen last
 FINE = 1024  # tokens of the finer estimate used inside large nodes
 FINE_MAYBE = 0.69  # 4.4 standard errors below the threshold
-DEPTH = 4
 SMALL = 32
 SECOND = 0.43  # chance that a node chooses two positions: 1.43 branches, 1.07 shared at similarity 0.75
+EARLY = 4
+DEEP = 0.7  # the same chance below level EARLY
 MAYBE = 0.58  # estimates below this are no candidates: 4.4 standard errors below the threshold
 OUTLIERS = 3
 BLOCK = 512
@@ -107,32 +112,54 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, text_hash long, n long, digest binary, sig binary")
 
 
-def children(path: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Child nodes of (node, class) rows: row numbers and child paths."""
-    one = ((path >> np.uint64(8)) % np.uint64(TOKENS)).astype(np.int64)
-    step = ((path >> np.uint64(20)) % np.uint64(TOKENS - 1)).astype(np.int64) + 1
-    two = (one + step) % TOKENS
-    second = np.flatnonzero(((path >> np.uint64(40)) & np.uint64(0xFFFF)).astype(np.int64) < int(SECOND * 65536))
-    row = np.concatenate([np.arange(len(path)), second])
-    position = np.concatenate([one, two[second]])
+def _free(taken: np.ndarray, start: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """The first position from ``start`` on, by odd steps, that is not taken."""
+    at = start.copy()
+    while True:
+        held = np.flatnonzero(taken[np.arange(len(at)), at])
+        if not len(held):
+            return at
+        at[held] = (at[held] + step[held]) % TOKENS
+
+
+def children(path: np.ndarray, tokens: np.ndarray, used: np.ndarray, second: float = SECOND) -> tuple[np.ndarray, np.ndarray]:
+    """Child nodes of (node, class) rows: row numbers and child paths. ``used``: bits of positions, two words a row."""
+    taken = np.unpackbits(np.ascontiguousarray(used).view(np.uint8), axis=1, bitorder="little").astype(bool)
+    step = 2 * ((path >> np.uint64(18)) % np.uint64(TOKENS // 2)).astype(np.int64) + 1
+    one = _free(taken, ((path >> np.uint64(11)) % np.uint64(TOKENS)).astype(np.int64), step)
+    taken[np.arange(len(path)), one] = True
+    chosen = np.flatnonzero(((path >> np.uint64(40)) & np.uint64(0xFFFF)).astype(np.int64) < int(second * 65536))
+    two = _free(taken[chosen], one[chosen], step[chosen])
+    row = np.concatenate([np.arange(len(path)), chosen])
+    position = np.concatenate([one, two])
     token = tokens[row, position].astype(np.uint64) + (position.astype(np.uint64) << np.uint64(32))
     child = mix(path[row] * np.uint64(0x9E3779B97F4A7C15) + mix(token + np.uint64(1)))
-    # the lowest bits keep the number of the tree
-    return row, (child & ~np.uint64(TREE_BITS)) | (path[row] & np.uint64(TREE_BITS))
+    return row, (child & ~LOW_BITS) | (path[row] & np.uint64(TREE_BITS)) | (position.astype(np.uint64) << np.uint64(4))
 
 
 def _tokens(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, TOKENS)
 
 
-def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (path, k, sig) to their children (path, k)."""
-    for batch in batches:
-        if batch.num_rows:
-            path = batch.column("path").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            row, child = children(path, _tokens(batch.column("sig")))
-            k = batch.column("k").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(k[row])], names=["path", "k"])
+def _branch(second: float):
+    """Rows (path, k, sig) and, below the first level, the positions used above (lo, hi) to their children (path, k, lo, hi)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = lambda batch, c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        for batch in batches:
+            if batch.num_rows:
+                path = longs(batch, "path")
+                used = np.zeros((len(path), 2), dtype=np.uint64)
+                if "lo" in batch.schema.names:
+                    used[:, 0], used[:, 1] = longs(batch, "lo"), longs(batch, "hi")
+                last = (path >> np.uint64(4)) & np.uint64(TOKENS - 1)
+                used[np.arange(len(path)), (last >> np.uint64(6)).astype(np.int64)] |= np.uint64(1) << (last & np.uint64(63))
+                row, child = children(path, _tokens(batch.column("sig")), used, second)
+                k = batch.column("k").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(child.view(np.int64)), pa.array(k[row]), *(pa.array(used[row, i].view(np.int64)) for i in (0, 1))],
+                    names=["path", "k", "lo", "hi"])
+
+    return run
 
 
 def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +171,7 @@ def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = _tokens(batch.column("sig"))
             k = batch.column("k").to_numpy(zero_copy_only=False)
             for root in roots:
-                row, child = children(np.full(len(k), root), tokens)
+                row, child = children(np.full(len(k), root), tokens, np.zeros((len(k), 2), dtype=np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(k[row])], names=["path", "k"])
 
 
@@ -173,12 +200,13 @@ def grow(classes: DataFrame) -> DataFrame:
     """``path, k, n, centre`` of all nodes where branching stopped with two or more classes."""
     rows = classes.select("k", "sig").mapInArrow(_plant, "path long, k long")
     done = crowd = None
-    for level in range(1, DEPTH + 1):
+    for level in range(1, TOKENS):
         sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("k").alias("centre")).where("n > 1")
         rows, _ = written(rows.join(sizes, "path"))
-        stop = rows if level == DEPTH else rows.where(F.col("n") <= SMALL)
+        # with one position left there is nothing to choose from; equal tokens are settled long before
+        stop = (rows if level == TOKENS - 1 else rows.where(F.col("n") <= SMALL)).select("path", "k", "n", "centre")
         done = stop if done is None else done.unionByName(stop)
-        if level == DEPTH:
+        if level == TOKENS - 1:
             break
         large = rows.where(F.col("n") > SMALL)
         if crowd is None:  # whoever branches on later is among those that branch now
@@ -187,10 +215,11 @@ def grow(classes: DataFrame) -> DataFrame:
                 break
         still, _ = written(settled(large, crowd))
         done = done.unionByName(large.join(still, "path", "left_semi").select(done.columns))
-        large, n = written(large.join(still, "path", "left_anti").select("path", "k"))
+        large, n = written(large.join(still, "path", "left_anti").drop("n", "centre"))
         if not n:
             break
-        rows = large.join(crowd, "k").mapInArrow(_branch, "path long, k long").coalesce(tasks_for(2 * n))
+        rows = (large.join(crowd, "k").mapInArrow(_branch(SECOND if level < EARLY else DEEP), "path long, k long, lo long, hi long")
+                .coalesce(tasks_for(2 * n)))
     return done
 
 

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import embedding_dup, near_dup
 from tessera.llm.components import components
@@ -112,18 +113,62 @@ def test_large_nodes_are_compared_in_every_tree(spark):
     assert {(r.a, r.b) for r in near_dup.attach(nodes, none, marks).collect()} == want
 
 
-def test_chance_to_miss_a_pair_at_the_last_level():
+def test_chance_to_miss_a_pair_by_depth():
     """All trees draw on the same tokens, m of which agree with the chance of a binomial law."""
-    def apart(same):
+    def apart(same, depth):
         miss = 0.0
-        for _ in range(near_dup.DEPTH):
+        for level in range(depth, 0, -1):
             one = 1 - same + same * miss
-            miss = (1 - near_dup.SECOND) * one + near_dup.SECOND * one * one
+            second = near_dup.SECOND if level <= near_dup.EARLY else near_dup.DEEP
+            miss = (1 - second) * one + second * one * one
         return miss
 
     n = near_dup.TOKENS
-    miss = sum(math.comb(n, m) * 0.75 ** m * 0.25 ** (n - m) * apart(m / n) ** near_dup.TREES for m in range(n + 1))
-    assert miss < 1e-4 and near_dup.TREES <= near_dup.TREE_BITS + 1
+    law = [math.comb(n, m) * 0.75 ** m * 0.25 ** (n - m) for m in range(n + 1)]
+    for depth, most in ((4, 1e-5), (8, 1.4e-4), (n, 8.3e-4)):
+        assert sum(p * apart(m / n, depth) ** near_dup.TREES for m, p in enumerate(law)) < most
+    assert near_dup.TREES <= near_dup.TREE_BITS + 1
+
+
+def test_paths_choose_no_position_twice():
+    rng = np.random.default_rng(4)
+    tokens = rng.integers(0, 9, (50, near_dup.TOKENS), dtype=np.uint32)
+    path, used = rng.integers(0, 1 << 63, 50, dtype=np.uint64), np.zeros((50, 2), np.uint64)
+    rows, seen = np.arange(50), [set() for _ in range(50)]
+    for _ in range(near_dup.TOKENS - 1):
+        row, child = near_dup.children(path, tokens[rows], used, 0.0)
+        position = ((child >> np.uint64(4)) & np.uint64(127)).astype(int)
+        assert (row == rows).all() and ((child & np.uint64(15)) == (path & np.uint64(15))).all()
+        for s, x in zip(seen, position):
+            assert x not in s
+            s.add(x)
+        path = child
+        used[rows, position >> 6] |= np.uint64(1) << (position & 63).astype(np.uint64)
+    row, _ = near_dup.children(path[:9], tokens[:9], np.zeros((9, 2), np.uint64), 1.0)
+    assert sorted(row) == sorted([*range(9)] * 2)
+
+
+def boilerplate(n, rnd):
+    passage = [f"p{i}" for i in range(100)]
+    return [" ".join(passage + [f"w{rnd.randrange(10 ** 9)}" for _ in range(45)]) for _ in range(n)]
+
+
+def test_documents_of_one_passage_do_not_meet_all_others(spark):
+    """Similarity 0.5, no link: compared pairs grow about with the documents, and two planted copies are found."""
+    rnd, pairs = random.Random(3), {}
+    for n in (1000, 4000):
+        texts = boilerplate(n, rnd)
+        texts.append(texts[7] + " end")
+        docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+        rows = near_dup.sketches(docs.selectExpr("id", "0L AS text_hash", "text"))
+        nodes = near_dup.grow(rows.select(F.col("id").alias("k"), "sig").checkpoint()).checkpoint()
+        sizes = nodes.groupBy("path").agg(F.count("*").alias("c")).agg(F.max("c").alias("top"), F.sum(F.col("c") * F.col("c")).alias("pairs")).first()
+        assert sizes["top"] <= 3 * near_dup.SMALL  # more than SMALL only where members resemble the smallest one
+        pairs[n] = sizes["pairs"]
+        both = nodes.where(F.col("k").isin(7, n)).groupBy("path").count().where("count = 2")
+        assert both.count() > 0
+    print(pairs)
+    assert pairs[4000] < 6.5 * pairs[1000], pairs
 
 
 def test_embeddings_equal_brute_force(spark):
