@@ -175,15 +175,22 @@ def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(k[row])], names=["path", "k"])
 
 
-def _distant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (path, x, y) to (path, far): 1 where the estimate is below a candidate's."""
-    for batch in batches:
-        if batch.num_rows:
-            far = (_bytes(batch.column("x")) == _bytes(batch.column("y"))).mean(axis=1) < MAYBE
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(far.astype(np.int32))], names=["path", "far"])
+def _distant(level: int):
+    """Rows (path, x, y) to (path, far): 1 where the estimate is below a candidate's.
+
+    Members agree at the ``level`` positions of their path by construction, so these say nothing and are left out.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                same = (_bytes(batch.column("x")) == _bytes(batch.column("y"))).sum(axis=1)
+                far = (same - level) / (TOKENS - level) < MAYBE
+                yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(far.astype(np.int32))], names=["path", "far"])
+
+    return run
 
 
-def settled(large: DataFrame, crowd: DataFrame) -> DataFrame:
+def settled(large: DataFrame, crowd: DataFrame, level: int) -> DataFrame:
     """Paths of nodes in which at most one member in ``OUTLIERS`` is unlike the smallest one.
 
     Branching such a node on would keep its members together, so it stops
@@ -192,7 +199,7 @@ def settled(large: DataFrame, crowd: DataFrame) -> DataFrame:
     marks = crowd.select("k", "sig").mapInArrow(_mark, "k long, mark binary")
     pairs = (large.join(marks.withColumnRenamed("mark", "x"), "k")
              .join(marks.select(F.col("k").alias("centre"), F.col("mark").alias("y")), "centre").select("path", "x", "y"))
-    return (pairs.mapInArrow(_distant, "path long, far int").groupBy("path").agg(F.sum("far").alias("far"), F.count("*").alias("n"))
+    return (pairs.mapInArrow(_distant(level), "path long, far int").groupBy("path").agg(F.sum("far").alias("far"), F.count("*").alias("n"))
             .where(F.col("far") * OUTLIERS <= F.col("n")).select("path"))
 
 
@@ -213,7 +220,7 @@ def grow(classes: DataFrame) -> DataFrame:
             crowd, n = written(classes.select("k", "sig").join(large.select("k").distinct(), "k", "left_semi"))
             if not n:
                 break
-        still, _ = written(settled(large, crowd))
+        still, _ = written(settled(large, crowd, level))
         done = done.unionByName(large.join(still, "path", "left_semi").select(done.columns))
         large, n = written(large.join(still, "path", "left_anti").drop("n", "centre"))
         if not n:
