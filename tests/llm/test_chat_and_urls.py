@@ -97,6 +97,106 @@ def test_template_rejected_by_its_neighbours(spark):
     assert got["http://h.org/taa/z"].template == "/*/z"
 
 
+def plain_tree(urls, rules, fanout, z, purity, weight):
+    """Verdict and purity of every url by the tree's definition, host by host in plain Python."""
+    rows = [plain(u, rules) for u in urls]
+    shape = [tuple("" if re.search("[0-9]", s) else s for s in path.split("/") if s) for _, path, _, _ in rows]
+    labelled = [r[3] for r in rows if r[3]]
+    base = labelled.count("block") / max(len(labelled), 1)
+    out = [None] * len(urls)
+    for host in {r[0] for r in rows}:
+        mine = [i for i, r in enumerate(rows) if r[0] == host]
+        at = {shape[i]: list(shape[i]) for i in mine}
+        for k in range(max(map(len, at))):
+            nodes = {}
+            for s in at:
+                if len(s) > k:
+                    nodes.setdefault(tuple(at[s][:k]), []).append(s)
+            for below in nodes.values():
+                count = {}
+                for i in mine:
+                    if shape[i] in below and shape[i][k]:
+                        count[shape[i][k]] = count.get(shape[i][k], 0) + 1
+                if len(count) > fanout:
+                    for s in below:
+                        if s[k] and count[s[k]] * fanout < sum(count.values()):
+                            at[s][k] = ""
+        template = {i: tuple(at[shape[i]]) for i in mine}
+        m, b = {}, {}
+        for i in mine:
+            if rows[i][3]:
+                m[template[i]] = m.get(template[i], 0) + 1
+                b[template[i]] = b.get(template[i], 0) + (rows[i][3] == "block")
+        branch, again = {t: t for t in m}, True
+        while again:
+            again = False
+            for k in reversed(range(max(map(len, branch), default=0))):
+                bm, bb, groups = {}, {}, {}
+                for t, g in branch.items():
+                    bm[g], bb[g] = bm.get(g, 0) + m[t], bb.get(g, 0) + b[t]
+                for g in bm:
+                    if len(g) > k and g[k]:
+                        groups.setdefault((g[:k], g[k + 1:]), []).append(g)
+                for (head, tail), members in groups.items():
+                    pm, pb = sum(bm[g] for g in members), sum(bb[g] for g in members)
+                    share = pb / pm
+                    alike = [g for g in members if len(members) > 1 and (bb[g] / bm[g] - (pb - bb[g]) / (pm - bm[g])) ** 2
+                             <= z * z * (share * (1 - share) * (1 / bm[g] + 1 / (pm - bm[g])))]
+                    if len(alike) > 1:
+                        again = True
+                        name = "/" + min(g[k].lstrip("/") for g in alike)
+                        branch = {t: head + (name,) + tail if g in alike else g for t, g in branch.items()}
+        for i in mine:
+            own = [t for t in branch if branch[t] == branch.get(template[i])]
+            mm, bb = sum(m[t] for t in own), sum(b[t] for t in own)
+            pure = (bb + weight * base) / (mm + weight) if mm else None
+            bad = bool(mm) and pure >= purity and bb / mm >= purity
+            out[i] = (rows[i][3] or ("block" if bad else "allow"), pure)
+    return out
+
+
+def test_tree_equals_plain_python(spark):
+    """Random urls of up to ten segments, wide nodes, labelled and unlabelled pages, repeats, long paths and odd segments."""
+    rnd = random.Random(5)
+    words = ["a", "b", "ads", "{x}", "*", "é", "", "7", "x9"]
+    urls, rules = [], [("block", "h.org/ads/"), ("block", "h.org/a/b/"), ("allow", "h.org/a/"), ("allow", "h.org/b/"), ("block", "g.net/a/a/a/")]
+    for _ in range(700):
+        host = rnd.choice(["h.org", "h.org", "g.net"])
+        urls.append(f"http://{host}/" + "/".join(rnd.choice(words) for _ in range(rnd.randint(0, 10))))
+    urls += [f"http://h.org/w/{w}/{rnd.choice('pq')}" for w in [chr(97 + i // 8) + chr(97 + i % 8) for i in range(60)] + ["big"] * 40]
+    for i in range(400):
+        kind = rnd.choice("abcdef")
+        urls.append(f"http://s.com/{kind}/{rnd.choice('uvw')}/end/{i}")
+        if i < 70:  # the rules are literals of the plan
+            bad = rnd.random() < (0.9 if kind in "abc" else 0.2)
+            rules.append(("block" if bad else "allow", urls[-1].split("//")[1]))
+    urls += urls[:20] + [None, "", "http://h.org/" + "a/" * 400, "http://h.org/" + "z" * 20_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").selectExpr("*", "1 AS branch", "2 AS m").checkpoint()
+    want = plain_tree(urls, rules, 12, 2.0, 0.5, 2.0)
+    assert {w[0] for w in want} == {"allow", "block"}
+    merged = 0
+    for r in U.judge(pages, rules=rules, fanout=12).collect():
+        verdict, pure = want[r.page_id]
+        assert r.verdict == verdict and (r.purity is None) == (pure is None), (urls[r.page_id], r, pure)
+        assert pure is None or abs(r.purity - pure) < 1e-12
+        merged += "{" in r.template and not r.path.startswith("/{")
+    assert merged > 100
+
+
+def test_deep_and_lone_pages(spark):
+    """Branches that part below the fourth segment are judged apart; no blocked page, no rejection."""
+    urls = [f"http://h.org/a/b/c/d/bad/{i}" for i in range(9)] + [f"http://h.org/a/b/c/d/good/{i}" for i in range(3)]
+    urls += ["http://h.org/shop/bad2/0", "http://h.org/a/b/c/d/bad/99"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = [("block", f"h.org/a/b/c/d/bad/{i}") for i in range(9)]
+    rules = [r for r in rules if not r[1].endswith("bad/9")]
+    got = {urls[r.page_id]: r for r in U.judge(pages, rules=rules).collect()}
+    assert {got[u].verdict for u in urls[9:13]} == {"allow"} and got[urls[12]].purity is None
+    wide = spark.createDataFrame([(0, "http://h.org/a/b/c/d/bad/x77")], "page_id long, url string")
+    both = {r.page_id: r for r in U.judge(pages.unionByName(wide.selectExpr("page_id + 100 AS page_id", "url")), rules=rules).collect()}
+    assert both[100].rule is None and both[100].verdict == "block"
+
+
 def test_pipeline_against_its_operators(spark):
     import corpus_pipeline as P
     from tessera.llm import byte_bpe, near_dup
