@@ -34,7 +34,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     fixed = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", fixed), (-7, 1, "assistant", fixed)], turns.schema)
-    return chat_format.digests(chat_format.segments(turns.unionByName(extra)))
+    return chat_format.digests(chat_format.output(chat_format.segments(turns.unionByName(extra))))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import chat_format as C
@@ -27,7 +28,7 @@ def test_digests_and_expansion(spark):
     rows = [(c, i, r, t) for c, turns in convs.items() for i, (r, t) in enumerate(turns)]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS seq", "2 AS c")
     rendered = C.segments(frame)
-    got = {r.conv_id: r for r in C.digests(rendered).collect()}
+    got = {r.conv_id: r for r in C.digests(C.output(rendered)).collect()}
     assert len(got) == len(convs)
     for c, turns in convs.items():
         r = got[c]
@@ -42,7 +43,41 @@ def test_digests_and_expansion(spark):
         assert C.unescape(r.text[r.loss_start:r.loss_end]) == ((turns[-1][1] or "") if is_target else "")
     for c in convs:
         assert got[c].formatted_chars == sum(len(r.text) for r in full if r.conv_id == c)
-    assert C.digests(C.segments(frame.where("false"))).count() == 0
+    assert C.digests(C.output(C.segments(frame.where("false")))).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "string", "double"])
+def test_ranges_of_turns_carry_numbers_and_lengths(spark, kind):
+    """A conversation of many ranges, with null, equal, negative numbers and repeated rows, is numbered as a whole."""
+    rnd = random.Random(5)
+    turns = [(c, None if rnd.random() < 0.05 else rnd.randint(-40, 40), rnd.choice(["user", "assistant"]), rnd.choice(ODD))
+             for c in [1] * 300 + [2] * 4 + [None] * 30]
+    turns += turns[:25] + [(3, 7, "user", "x")] * 9
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    frame = frame.withColumn("turn", F.col("turn").cast(kind)).withColumn("range", F.lit("clash")).repartition(5)
+    rendered = C.segments(frame, span=3)
+    got = {r.conv_id: r for r in C.digests(C.output(rendered)).collect()}
+    full = C.expand(rendered).collect()
+    assert set(got) == {1, 2, 3, None}
+
+    def number(t):
+        return (t is not None, "" if t is None else str(t) if kind == "string" else t)
+    for c in got:
+        own = [(number(t), r, t2 or "") for k, t, r, t2 in turns if k == c]
+        shown = {t: e for t, e in spark.createDataFrame([(t,) for t in {x[2] for x in own}], "t string")
+                 .select("t", C.escape(F.col("t"))).collect()}
+        own.sort(key=lambda x: (x[0], x[1], f"{shown[x[2]]}{C.CLOSE}".encode()))
+        assert (got[c].n_turns, got[c].turns_sha256, got[c].loss_chars, got[c].loss_sha256) == expected([x[1:] for x in own])
+        assert got[c].formatted_chars == sum(len(r.text) for r in full if r.conv_id == c)
+        wanted = sum(1 for x in own if x[1] == "assistant") + (own[-1][1] != "assistant")
+        assert len([r for r in full if r.conv_id == c]) == wanted
+
+
+def test_example_that_does_not_fit_is_an_error(spark):
+    frame = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], "conv_id long, turn long, role string, text string")
+    wrong = C.output(C.segments(frame)).withColumn("text_chars", F.col("text_chars") + 1)
+    with pytest.raises(Exception, match="does not fit its turns"):
+        C.digests(wrong).collect()
 
 
 def test_escape_is_reversible_and_hides_controls(spark):
