@@ -6,11 +6,15 @@ obfuscated words. The lexicon is a short seed list plus the words and stems
 whose document frequency in the training rows speaks most clearly for the
 label. Trees are fitted with numpy on at most ``sample`` labelled rows (the
 smallest hashes of the id); the calibration curve comes from out-of-fold
-scores. Scoring reads every whole text once, without a shuffle.
-
-Defined cases: null text scores as empty text. Without labelled rows, or with
-one class only, every text gets the smoothed share of the label. Rows
-repeated in the labels count once for each copy; a label of null is ignored.
+scores: each fold is scored by trees and a lexicon that have not seen its
+labels. Scoring reads every whole text once, without a shuffle.
+
+Defined cases: null text scores as empty text; a text of any length is read
+whole, as a block of its own. Without labelled rows, or with one class only,
+every text gets the smoothed share of the label. An empty table of documents
+gives no rows. Rows repeated in the labels count once for each copy; a label
+of null is ignored. Labelled rows of one hash are told apart by id, and equal
+rows are alike. Other columns of the tables, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.blocks import fold, small_batches, sums, text_blocks
@@ -35,8 +40,6 @@ SEED_WORDS = [
 SECOND_PERSON = ["you", "your", "yours", "yourself", "u", "ur", "tu", "te", "toi", "vous", "votre", "du", "dich", "dir",
                  "dein", "ihr", "euch", "usted", "ustedes", "ti", "tú", "vosotros"]
 NEAR = 6
-MIN_DOCS = 5
-MAX_ENTRIES = 2000
 
 
 def pieces(words) -> tuple[np.ndarray, np.ndarray]:
@@ -48,16 +51,18 @@ def pieces(words) -> tuple[np.ndarray, np.ndarray]:
     return h[keep], at[keep]
 
 
-def learn_lexicon(rows: DataFrame) -> np.ndarray:
-    """Sorted hashes of words and stems that speak for the label.
+def learn_lexicons(rows: DataFrame, folds: int, min_docs: int, max_entries: int) -> list[np.ndarray]:
+    """Sorted hashes of words and stems that speak for the label: without fold 0, without fold 1, ..., from all rows.
 
-    Document frequencies are summed per task, then by one aggregate; only
-    entries in at least ``MIN_DOCS`` toxic rows reach the driver, the
-    ``MAX_ENTRIES`` clearest of them.
+    Document frequencies are summed per task and fold, then by one aggregate;
+    what a fold holds is taken off the sum. Only entries in at least
+    ``min_docs`` toxic rows reach the driver, the ``max_entries`` clearest of
+    each lexicon.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            y = batch.column("y").to_numpy(zero_copy_only=False)
+            y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.int64)
+            part = batch.column("part").to_numpy(zero_copy_only=False).astype(np.int64)
             for a, b, data, offsets in text_blocks(batch.column("text")):
                 words = plain_words(data, offsets)
                 h, at = pieces(words)
@@ -66,46 +71,68 @@ def learn_lexicon(rows: DataFrame) -> np.ndarray:
                 h, doc = h[order], doc[order]
                 first = np.ones(len(h), dtype=bool)
                 first[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                h, label = h[first], y[a:b][doc[first]]
+                h, doc = h[first], doc[first]
                 value, inverse = np.unique(h, return_inverse=True)
-                pos = np.bincount(inverse, weights=label, minlength=len(value))
-                all_ = np.bincount(inverse, minlength=len(value))
+                cell, inverse = np.unique(inverse * folds + part[a:b][doc], return_inverse=True)
+                pos = np.bincount(inverse, weights=y[a:b][doc], minlength=len(cell))
+                all_ = np.bincount(inverse, minlength=len(cell))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value.view(np.int64)), pa.array(pos.astype(np.int64)), pa.array(all_.astype(np.int64))],
-                    names=["h", "pos", "n"])
-
-    totals = rows.agg(F.sum("y").alias("pos"), F.count("*").alias("n")).first()
-    n1 = float(totals["pos"] or 0)
-    n0 = float(totals["n"]) - n1
-    if not n1 or not n0:
-        return np.zeros(0, dtype=np.uint64)
-    odds = F.log((F.col("pos") + 0.5) / F.lit(n1 + 1)) - F.log((F.col("n") - F.col("pos") + 0.5) / F.lit(n0 + 1))
-    best = (rows.mapInArrow(count, "h long, pos long, n long").groupBy("h").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
-            .where(F.col("pos") >= MIN_DOCS).withColumn("odds", odds).where("odds > 2.5")
-            .orderBy(F.desc(F.col("odds") * F.log1p("pos")), "h").limit(MAX_ENTRIES).select("h").collect())
-    return np.sort(np.array([r["h"] for r in best], dtype=np.int64).view(np.uint64))
+                    [pa.array(value[cell // folds].view(np.int64)), pa.array(cell % folds), pa.array(pos.astype(np.int64)),
+                     pa.array(all_.astype(np.int64))], names=["h", "part", "pos", "n"])
+
+    sizes = {r["part"]: (float(r["pos"]), float(r["n"]))
+             for r in rows.groupBy("part").agg(F.sum("y").alias("pos"), F.count("*").alias("n")).collect()}
+    ways = []
+    for left_out in [*range(folds), None]:
+        n1 = sum(p for k, (p, _) in sizes.items() if k != left_out)
+        n0 = sum(n - p for k, (p, n) in sizes.items() if k != left_out)
+        if n1 and n0:
+            used = F.lit(True) if left_out is None else F.col("part") != left_out
+            ways.append((folds if left_out is None else left_out, n1, n0, used))
+    lexicons = [np.zeros(0, dtype=np.uint64) for _ in range(folds + 1)]
+    if not ways:
+        return lexicons
+    sums_of = [F.sum(F.when(used, F.col(c)).otherwise(0)).alias(f"{c}{k}") for k, _, _, used in ways for c in ("pos", "n")]
+    totals = rows.mapInArrow(count, "h long, part long, pos long, n long").groupBy("h").agg(*sums_of)
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("way"), F.lit(n1).alias("n1"), F.lit(n0).alias("n0"),
+                                        F.col(f"pos{k}").alias("pos"), F.col(f"n{k}").alias("n")) for k, n1, n0, _ in ways]))
+    odds = (F.log((F.col("pos") + 0.5) / (F.col("n1") + 1)) - F.log((F.col("n") - F.col("pos") + 0.5) / (F.col("n0") + 1)))
+    rank = F.row_number().over(W.partitionBy("way").orderBy(F.desc(F.col("odds") * F.log1p("pos")), "h"))
+    best = (totals.select("h", each.alias("e")).select("h", "e.*").where(F.col("pos") >= min_docs)
+            .withColumn("odds", odds).where("odds > 2.5").withColumn("rank", rank).where(F.col("rank") <= max_entries)
+            .select("way", "h").collect())
+    for k, *_ in ways:
+        lexicons[k] = np.sort(np.array([r["h"] for r in best if r["way"] == k], dtype=np.int64).view(np.uint64))
+    return lexicons
 
 
 def features(data: np.ndarray, offsets: np.ndarray, lexicon: np.ndarray) -> np.ndarray:
+    return next(features_by(data, offsets, [lexicon]))
+
+
+def features_by(data: np.ndarray, offsets: np.ndarray, lexicons: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """The features under each lexicon; a text is cut into words once."""
     words = plain_words(data, offsets)
     n = np.maximum(words.counts(), 1)
     seed = member(words.hash, np.sort(hash_words(SEED_WORDS)))
     person = member(words.hash, np.sort(hash_words(SECOND_PERSON)))
     h, at = pieces(words)
-    learnt = np.zeros(len(words.hash), dtype=bool)
-    learnt[at[member(h, lexicon)]] = True
-    hit = seed | learnt
     run = np.zeros(len(person) + 1, dtype=np.int64)
     np.cumsum(person, out=run[1:])
     doc = np.searchsorted(words.bounds, np.arange(len(person)), side="right") - 1
     i = np.arange(len(person))
     lo = np.maximum(i - NEAR, words.bounds[doc]) if len(i) else i
     hi = np.minimum(i + NEAR + 1, words.bounds[doc + 1]) if len(i) else i
-    near = hit & ((run[hi] - run[lo]) > 0)
+    by_person = (run[hi] - run[lo]) > 0
+    shape = shape_features(data, offsets, words)
     by = lambda flag: sums(flag, words.bounds)
-    own = np.stack([by(seed) / n, by(learnt) / n, by(hit) / n, np.log1p(by(seed)), np.log1p(by(learnt)),
-                    by(near) / n, by(person) / n], axis=1)
-    return np.concatenate([own, shape_features(data, offsets, words)], axis=1)
+    for lexicon in lexicons:
+        learnt = np.zeros(len(words.hash), dtype=bool)
+        learnt[at[member(h, lexicon)]] = True
+        hit = seed | learnt
+        own = np.stack([by(seed) / n, by(learnt) / n, by(hit) / n, np.log1p(by(seed)), np.log1p(by(learnt)),
+                        by(hit & by_person) / n, by(person) / n], axis=1)
+        yield np.concatenate([own, shape], axis=1)
 
 
 # --- trees -------------------------------------------------------------------
@@ -190,8 +217,12 @@ def calibrated(curve: tuple[np.ndarray, np.ndarray], margin: np.ndarray) -> np.n
 # --- fit and score -----------------------------------------------------------
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, text_col: str = "text", id_col: str = "doc_id",
-        label_col: str = "toxic", sample: int = 12_000, folds: int = 4) -> dict:
-    """Fit on labelled rows where ``learn`` (over the label table's id) holds; ``sample`` bounds their number."""
+        label_col: str = "toxic", sample: int = 12_000, folds: int = 4, min_docs: int = 5, max_entries: int = 2000) -> dict:
+    """Fit on labelled rows where ``learn`` (over the label table's id) holds; ``sample`` bounds their number.
+
+    A learnt lexicon has at most ``max_entries`` words and stems, each in at
+    least ``min_docs`` toxic rows. Copies of an id fall into one fold.
+    """
     small_batches(docs.sparkSession)
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     if learn is not None:
@@ -200,27 +231,28 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, text_co
                             F.xxhash64(F.col(id_col).cast("string")).alias("h")).orderBy("h", "id").limit(sample))
     # at most `sample` narrow rows: bounded, so it can be sent to every task
     rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .join(F.broadcast(chosen), "id").select("text", "y", "h"))
-    lexicon = learn_lexicon(rows)
+            .join(F.broadcast(chosen), "id").select("text", "y", "h", F.pmod("h", F.lit(folds)).alias("part")))
+    lexicons = learn_lexicons(rows, folds, min_docs, max_entries)
+    lexicon = lexicons[folds]
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in text_blocks(batch.column("text")):
-                x = features(data, offsets, lexicon)
-                yield pa.RecordBatch.from_arrays([batch.column("h")[a:b], batch.column("y")[a:b],
-                                                  pa.array(list(x), pa.list_(pa.float64()))], names=["h", "y", "x"])
+                x = np.concatenate(list(features_by(data, offsets, lexicons)), axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("h")[a:b], batch.column("part")[a:b], batch.column("y")[a:b],
+                                                  pa.array(list(x), pa.list_(pa.float64()))], names=["h", "part", "y", "x"])
 
-    got = rows.mapInArrow(featurise, "h long, y double, x array<double>").toArrow().sort_by("h")
-    y = got.column("y").to_numpy().astype(float)
+    got = rows.mapInArrow(featurise, "h long, part long, y double, x array<double>").toArrow().sort_by("h")
+    y, part = got.column("y").to_numpy().astype(float), got.column("part").to_numpy()
     share = (y.sum() + 1) / (len(y) + 2)
     if not len(y) or y.min() == y.max():
         return {"share": float(share), "lexicon": lexicon}
-    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(len(y), -1)
-    part = np.arange(len(y)) % folds
+    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(len(y), folds + 1, -1)
     margin = np.zeros(len(y))
     for k in range(folds):
-        margin[part == k] = tree_margin(fit_trees(x[part != k], y[part != k]), x[part == k])
-    return {"lexicon": lexicon, "trees": fit_trees(x, y), "curve": isotonic(margin, y)}
+        if (part == k).any() and (part != k).any():
+            margin[part == k] = tree_margin(fit_trees(x[part != k, k], y[part != k]), x[part == k, k])
+    return {"lexicon": lexicon, "trees": fit_trees(x[:, folds], y), "curve": isotonic(margin, y)}
 
 
 def scorer(model: dict):

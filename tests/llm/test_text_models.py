@@ -59,12 +59,48 @@ def test_toxicity_held_out(spark):
     assert p[y == 1].mean() > 0.85 and p[y == 0].mean() < 0.01
 
 
+def words_and_stems(text):
+    words = toxicity.plain_words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    return set(toxicity.pieces(words)[0].tolist())
+
+
+def test_toxicity_lexicon_of_a_fold_has_not_seen_it(spark):
+    """Each lexicon equals one counted in plain Python without its fold."""
+    rng = np.random.default_rng(3)
+    only = ["aspen", "birch", "cedar"]  # toxic rows of one fold alone say it
+    rows = []
+    for i in range(160):
+        y = int(i % 4 == 0)
+        own = [f"w{k}" for k in rng.integers(0, 30, 12)] + [f"bad{k}" for k in rng.integers(0, 6, 3 * y)]
+        rows.append((" ".join(own + ([only[i % 3]] if y else [])), float(y), i, i % 3))
+    frame = spark.createDataFrame(rows, "text string, y double, h long, part long").repartition(4)
+    got = toxicity.learn_lexicons(frame, 3, min_docs=2, max_entries=9)
+    for left_out in range(4):
+        used = [(words_and_stems(t), y) for t, y, _, part in rows if part != left_out]
+        n1 = sum(y for _, y in used)
+        n0 = len(used) - n1
+        best = []
+        for h in set().union(*[s for s, _ in used]):
+            n, pos = sum(h in s for s, _ in used), sum(y for s, y in used if h in s)
+            odds = np.log((pos + 0.5) / (n1 + 1)) - np.log((n - pos + 0.5) / (n0 + 1))
+            if pos >= 2 and odds > 2.5:
+                best.append((-odds * np.log1p(pos), int(np.uint64(h).view(np.int64)), h))
+        assert got[left_out].tolist() == sorted(h for _, _, h in sorted(best)[:9]) and best
+    whole = toxicity.learn_lexicons(frame, 3, min_docs=2, max_entries=1000)
+    assert [bool(set(x.tolist()) & words_and_stems("birch")) for x in whole] == [True, False, True, True]
+    one_class = toxicity.learn_lexicons(frame.where("y = 0"), 3, 2, 9)
+    assert [len(x) for x in one_class] == [0] * 4
+
+
 def test_toxicity_defined_cases(spark, odd):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels.unionByName(labels.limit(1).withColumn("toxic", F.lit(None).cast("int"))))
     got = toxicity.score(odd, model).collect()
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
     assert {r.held_out for r in got if r.doc_id is None} == {False}
+    assert toxicity.score(odd.where("false"), model).count() == 0
+    few = labels.where("doc_id is not null").orderBy("doc_id").limit(3).withColumn("toxic", F.col("doc_id").cast("int") % 2)
+    assert all(0 <= r.score <= 1 for r in toxicity.score(odd, toxicity.fit(docs, few)).collect())
     bare = toxicity.fit(docs, labels.where("false"))
     assert {r.score for r in toxicity.score(odd, bare).collect()} == {0.5}
 
