@@ -8,20 +8,25 @@ finite monoid, so states come from an associative scan: functions are
 composed by one table look-up each, for many chunks of the text side by side,
 then the chunks' totals are composed, then every state follows.
 
-Pieces go through rank-ordered pair merging once each and are cached. The
-piece offsets stay available, so ids decode to the bytes of each piece.
+Pieces go through rank-ordered pair merging once each and are cached. With
+``offsets=True`` ``encode`` returns where each piece begins in the text and
+where its ids end; ``decode`` then restores piece by piece and tests that each
+falls where it should, and ``decode_span`` restores any span of the text from
+the ids of the pieces that overlap it. (``digests`` decodes ids alone.)
 
 The pieces are those of the pattern ``'s|'t|'re|'ve|'m|'ll|'d| ?L+| ?N+|
 ?[^\\sLN]+|\\s+(?!\\S)|\\s+`` with L letters and N numbers.
 
 Defined cases: null text encodes as empty text: no ids, decoded to no bytes.
-Special-token strings in a text are ordinary text. Repeated rows are encoded
-alike.
+Special-token strings in a text are ordinary text. Texts of any length are
+encoded whole. Repeated rows are encoded alike; an empty table gives no rows;
+other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import heapq
 import sys
@@ -31,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.blocks import small_batches, text_blocks
@@ -248,6 +253,29 @@ class Encoder:
                 out += self.cache.get(p) or self.ids_of(p)
             yield out
 
+    def encode_pieces(self, texts: list[str]) -> Iterator[tuple[list[int], list[int], list[int]]]:
+        """Ids of each text, the code point where each piece begins, and the number of ids up to its end."""
+        for own in self.pieces(texts):
+            ids, starts, ends, at = [], [], [], 0
+            for p in own:
+                starts.append(at)
+                at += len(p)
+                ids += self.cache.get(p) or self.ids_of(p)
+                ends.append(len(ids))
+            yield ids, starts, ends
+
+    def decode_pieces(self, ids: list[int], starts: list[int], ends: list[int]) -> Iterator[str]:
+        """Text of each piece (a piece is whole code points); offsets that do not fit are an error."""
+        at, done = starts[0] if starts else 0, 0
+        for start, end in zip(starts, ends, strict=True):
+            piece = self.decode(ids[done:end]).decode()
+            if start != at or not piece:
+                raise ValueError(f"a piece said to begin at {start} begins at {at}")
+            yield piece
+            at, done = at + len(piece), end
+        if done != len(ids):
+            raise ValueError(f"{len(ids) - done} ids belong to no piece")
+
     def decode(self, ids: list[int]) -> bytes:
         tokens = self.tokens
         return b"".join([tokens[i] for i in ids])
@@ -306,21 +334,41 @@ def _encoder(shared) -> Encoder:
     return kept["encoder"]
 
 
-def encode(docs: DataFrame, ranks_path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``id, ids array<int>``: the token ids of every whole text."""
+def encode(docs: DataFrame, ranks_path: str, text_col: str = "text", id_col: str = "doc_id", offsets: bool = False) -> DataFrame:
+    """``id, ids array<int>``: the token ids of every whole text.
+
+    With ``offsets``, also ``starts array<int>``, the code point of the text
+    where each piece begins, and ``ends array<int>``, how many ids there are
+    up to the end of each piece.
+    """
     small_batches(docs.sparkSession)
     shared = _setup(docs.sparkSession, ranks_path)
+    ints = pa.list_(pa.int32())
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         encoder = _encoder(shared)
-        return pa.array([x for part in _bounded(texts) for x in encoder.encode(part)], pa.list_(pa.int32()))
+        return pa.array([x for part in _bounded(texts) for x in encoder.encode(part)], ints)
+
+    @F.arrow_udf("struct<ids: array<int>, starts: array<int>, ends: array<int>>")
+    def pieces(texts: pa.Array) -> pa.Array:
+        encoder = _encoder(shared)
+        # each block of texts goes over to Arrow before the next is encoded
+        parts = [[pa.array(c, ints) for c in zip(*encoder.encode_pieces(part))] for part in _bounded(texts)]
+        columns = [pa.concat_arrays(c) for c in zip(*parts)] or [pa.array([], ints)] * 3
+        return pa.StructArray.from_arrays(columns, names=["ids", "starts", "ends"])
+
+    if not offsets:
+        return docs.select(F.col(id_col), ids(F.col(text_col)).alias("ids"))
+    return docs.select(F.col(id_col), pieces(F.col(text_col)).alias("r")).select(F.col(id_col), "r.ids", "r.starts", "r.ends")
 
-    return docs.select(F.col(id_col), ids(F.col(text_col)).alias("ids"))
 
+def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", offsets: bool = False) -> DataFrame:
+    """``id, data binary``: the bytes that ids stand for; an unknown id is an error.
 
-def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataFrame:
-    """``id, data binary``: the bytes that ids stand for; an unknown id is an error."""
+    With ``offsets``, restored piece by piece by ``starts`` and ``ends``;
+    offsets that do not fit the ids are an error.
+    """
     small_batches(encoded.sparkSession)
     shared = _setup(encoded.sparkSession, ranks_path)
 
@@ -329,7 +377,46 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataF
         encoder = _encoder(shared)
         return pa.array([encoder.decode(x or []) for x in ids.to_pylist()], pa.binary())
 
-    return encoded.select(F.col(id_col), data(F.col("ids")).alias("data"))
+    @F.arrow_udf("binary")
+    def by_piece(ids: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
+        encoder = _encoder(shared)
+        rows = zip(ids, starts, ends)
+        return pa.array(["".join(encoder.decode_pieces(*[c.as_py() or [] for c in r])).encode() for r in rows], pa.binary())
+
+    found = by_piece(F.col("ids"), F.col("starts"), F.col("ends")) if offsets else data(F.col("ids"))
+    return encoded.select(F.col(id_col), found.alias("data"))
+
+
+def decode_span(encoded: DataFrame, ranks_path: str, first: Column, last: Column, id_col: str = "doc_id") -> DataFrame:
+    """``id, span``: code points ``first`` up to ``last`` of each text, from the ids of the overlapping pieces only.
+
+    Bounds beyond the text are cut to it; a null bound gives null.
+    """
+    small_batches(encoded.sparkSession)
+    shared = _setup(encoded.sparkSession, ranks_path)
+
+    @F.arrow_udf("string")
+    def span(ids: pa.Array, starts: pa.Array, ends: pa.Array, first: pa.Array, last: pa.Array) -> pa.Array:
+        encoder = _encoder(shared)
+        out = []
+        for i, s, e, a, b in zip(ids, starts, ends, first.to_pylist(), last.to_pylist()):
+            s, e = s.as_py() or [], e.as_py() or []
+            if a is None or b is None:
+                out.append(None)
+                continue
+            a = max(a, 0)
+            x, y = max(bisect.bisect_right(s, a) - 1, 0), bisect.bisect_left(s, b)
+            if y <= x:
+                out.append("")
+                continue
+            before = e[x - 1] if x else 0
+            own = i.values[before:e[y - 1]].to_pylist()
+            text = "".join(encoder.decode_pieces(own, s[x:y], [k - before for k in e[x:y]]))
+            out.append(text[a - s[x]:b - s[x]])
+        return pa.array(out, pa.string())
+
+    columns = [F.col("ids"), F.col("starts"), F.col("ends"), first.cast("long"), last.cast("long")]
+    return encoded.select(F.col(id_col), span(*columns).alias("span"))
 
 
 def _lists(packed: list[bytes]) -> pa.Array:

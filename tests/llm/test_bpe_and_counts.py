@@ -5,7 +5,9 @@ import random
 
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
+from pyspark.sql import functions as F
 
 from tessera.llm import byte_bpe, registry, token_counts
 
@@ -61,6 +63,31 @@ def test_query_on_odd_rows(spark, reference):
     assert byte_bpe.digests(docs.where("false"), RANKS).count() == 0
 
 
+def test_offsets_of_pieces_restore_texts_and_spans(spark):
+    rnd = random.Random(8)
+    texts = odd_texts(120) + [None, "", "don't  stop\n\n x" * 4000]
+    rows = [(i, t, rnd.randint(-3, 40), rnd.randint(-3, 60)) for i, t in enumerate(texts)]
+    rows += [(len(texts) - 1, texts[-1], 31_007, 31_050), (len(texts) - 1, texts[-1], 59_990, 10 ** 9), (0, texts[0], None, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, a long, b long").selectExpr("*", "'x' AS ids", "'y' AS starts")
+    encoded = byte_bpe.encode(docs, RANKS, offsets=True)
+    plain = {r.doc_id: r.ids for r in byte_bpe.encode(docs, RANKS).collect()}
+    for r in encoded.collect():
+        cut = [m.group() for m in regex.finditer(public_tokenizers.PATTERN, texts[r.doc_id] or "")]
+        assert r.starts == [sum(map(len, cut[:k])) for k in range(len(cut))] if len(cut) < 200 else len(r.starts) == len(cut)
+        assert r.ids == plain[r.doc_id] and len(r.ends) == len(cut) and (r.ends or [0])[-1] == len(r.ids)
+    back = byte_bpe.decode(encoded, RANKS, offsets=True).collect()
+    assert len(back) == len(rows) and all(bytes(r.data).decode() == (texts[r.doc_id] or "") for r in back)
+    both = byte_bpe.encode(docs.select("doc_id", "text"), RANKS, offsets=True).dropDuplicates(["doc_id"])
+    wanted = both.join(docs.select("doc_id", "a", "b"), "doc_id").selectExpr("struct(doc_id, a, b) AS k", "ids", "starts", "ends")
+    spans = byte_bpe.decode_span(wanted, RANKS, F.col("k.a"), F.col("k.b"), id_col="k").collect()
+    assert len(spans) == len(rows)
+    for (i, a, b), got in spans:
+        assert got == (None if a is None else (texts[i] or "")[max(a, 0):max(b, 0)])
+    wrong = encoded.withColumn("starts", F.transform("starts", lambda x: x + F.when(x > 3, 1).otherwise(0)))
+    with pytest.raises(Exception, match="said to begin"):
+        byte_bpe.decode(wrong, RANKS, offsets=True).collect()
+
+
 def greedy(word, first, rest):
     n, at = 0, 0
     while at < len(word):
