@@ -20,7 +20,9 @@ several blocks find in a document are merged within its row. No shuffle.
 Defined cases: null text has no words; an item without words has no phrase;
 rows repeated in either table change nothing (an item counts once by its id;
 every document row is judged by itself); a null item id is left out of the
-list of items, but its words count as hit.
+list of items, but its words count as hit. Texts of any length are searched
+whole; an empty table of documents gives no rows, and without phrases nothing
+is hit.
 """
 
 from __future__ import annotations

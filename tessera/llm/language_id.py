@@ -9,7 +9,8 @@ reads every whole text once, without a shuffle.
 
 Defined cases: a null text, and one without a letter, gets ``und`` and score
 0; so does every text if there is nothing to learn from. A language missing
-from ``families`` is a family of its own. Repeated rows are scored alike.
+from ``families`` is a family of its own. Repeated rows are scored alike. Texts of any length are
+read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,6 +11,8 @@ id); scoring reads every whole text once, without a shuffle.
 
 Defined cases: null text scores as empty text. Without positives or without
 unlabelled rows every text gets the class prior. Null labels are ignored.
+Texts of any length are read whole; an empty table gives no rows; repeated rows
+are scored alike; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -23,14 +23,17 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``: near duplicates and the classes they form (cases: see ``near_dup``)."""
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``: token ids and what they decode to, as digests (cases: see ``byte_bpe``)."""
     return byte_bpe.digests(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``conversations`` and conversation -7, formatted and read back (cases: see ``chat_format``)."""
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     fixed = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", fixed), (-7, 1, "assistant", fixed)], turns.schema)
@@ -38,36 +41,43 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``: scored by a model of the labelled rows of folds 1 to 4 (cases: see ``toxicity``)."""
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), learn=fold("doc_id", 5) != 0)
     return toxicity.score(docs, model)
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``pages``: judged by the rules and by the template tree (cases: see ``url_filter``)."""
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``: words and word pieces counted (cases: see ``token_counts``)."""
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"),
                                      token_counts.load_pieces(tokenizer_file("piece_bpe_32k.model")))
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``: words inside phrases of ``benchmark`` (cases: see ``decontaminate``)."""
     blocks = decontaminate.phrase_blocks(_table(spark, sf_dir, "benchmark"))
     return decontaminate.report(decontaminate.find(_table(spark, sf_dir, "documents"), blocks))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``: scored by a model of the labelled rows of folds 0, 1 and 3 (cases: see ``quality``)."""
     docs = _table(spark, sf_dir, "documents")
     model = quality.fit(docs, _table(spark, sf_dir, "labels"), learn=fold("doc_id", 4) != 2)
     return quality.score(docs, model)
 
 
 def op9_embedding_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``embeddings``: links within a label and the classes they form (cases: see ``embedding_dup``)."""
     return embedding_dup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``documents``: language of each text by a model of folds 0, 1 and 3 (cases: see ``language_id``)."""
     docs = _table(spark, sf_dir, "documents")
     model = language_id.fit(docs, learn=fold("doc_id", 4) != 2)
     found = language_id.identify(docs.select("doc_id", "text"), model)

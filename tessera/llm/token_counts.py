@@ -13,7 +13,9 @@ continuing pieces. A word that the vocabulary cannot spell counts as one
 unknown token; byte pieces are left out, so they spell nothing.
 
 Defined cases: null and empty texts have no words and no tokens; repeated
-rows are counted alike; with an empty vocabulary every word is unknown.
+rows are counted alike; with an empty vocabulary every word is unknown. Texts
+and words of any length are read whole; an empty table gives no rows; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
