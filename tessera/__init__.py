@@ -30,6 +30,7 @@ from tessera.operators.reshape import (array_vocabulary, explode_ranked, multi_h
 from tessera.operators.responses import flatten_geocode, flatten_places  # noqa: E402
 from tessera.sources.files import (list_files, read_csv, read_json_docs, read_lines,  # noqa: E402
                                    read_many, read_parquet)
+from tessera.sources.one_object import write_one_csv, write_one_json_docs  # noqa: E402
 from tessera.sources.sheets import full_refresh, prepare_full_refresh, sheet_to_table  # noqa: E402
 from tessera.sources.sinks import write_csv, write_json_docs, write_parquet  # noqa: E402
 from tessera.sources.tables import (delete_where, drop_table, keep_unless, read_query,  # noqa: E402
@@ -45,7 +46,7 @@ __all__ = [
     "flatten_geocode", "flatten_places",
     "list_files", "read_csv", "read_json_docs", "read_lines", "read_many", "read_parquet",
     "full_refresh", "prepare_full_refresh", "sheet_to_table",
-    "write_csv", "write_json_docs", "write_parquet",
+    "write_csv", "write_json_docs", "write_one_csv", "write_one_json_docs", "write_parquet",
     "delete_where", "drop_table", "keep_unless", "read_query", "run_statement", "sql_query",
     "truncate_table", "write_table",
 ]

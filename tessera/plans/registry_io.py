@@ -11,6 +11,7 @@ from tessera.operators.reshape import with_row_index, zip_rows
 from tessera.operators.responses import flatten_places, malformed_responses
 from tessera.plans.registry import (_NA_SQL, _SQL_READ_MANY_CSV_HEADERS, _new_table, _scratch, _taken, profile_service, table)
 from tessera.sources.files import read_many, walk_files
+from tessera.sources.one_object import write_one_csv, write_one_json_docs
 from tessera.sources.sinks import write_csv, write_parquet
 from tessera.sources.tables import delete_where, write_table
 
@@ -29,6 +30,23 @@ FROM documents
 """
 
 
+def q_csv_one_object(spark, sf_dir):
+    """[K1, K4, S2] whole documents, written by many tasks as one CSV object and read back from it."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return read_many(spark, [write_one_csv(d.repartition(8, "doc_id"), _scratch(spark), "documents.v1.csv")], split_quoted=True)
+
+
+def q_json_one_object(spark, sf_dir):
+    """[K3, K4] orders, a JSON document each, written by many tasks as one object and read back from it."""
+    o = table(spark, sf_dir, "orders").select(F.struct("o_orderkey", "o_orderstatus", "o_orderpriority").alias("doc"))
+    target = write_one_json_docs(o.repartition(8, "doc"), _scratch(spark), "orders.v1.dict")
+    return (spark.read.text(target).select(F.from_json("value", "o_orderkey long, o_orderstatus string, o_orderpriority string").alias("d"))
+            .select("d.*"))
+
+
+_SQL_JSON_ONE_OBJECT = "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders"
+
+
 def q_read_many_one_scan(spark, sf_dir):
     """[S6, S2] files of three headers, two of them the same columns in another order, in one plan."""
     o, base = table(spark, sf_dir, "orders"), _scratch(spark)
@@ -183,6 +201,8 @@ FROM events
 
 LATEST = {
     "csv_split_quoted": (q_csv_split_quoted, _SQL_CSV_SPLIT_QUOTED),
+    "csv_one_object": (q_csv_one_object, _SQL_CSV_SPLIT_QUOTED),
+    "json_one_object": (q_json_one_object, _SQL_JSON_ONE_OBJECT),
     "read_many_one_scan": (q_read_many_one_scan, _SQL_READ_MANY_CSV_HEADERS),
     "read_many_conflicts": (q_read_many_conflicts, _SQL_READ_MANY_CONFLICTS),
     "list_objects": (q_list_objects, _SQL_LIST_OBJECTS),

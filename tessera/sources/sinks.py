@@ -2,7 +2,8 @@
 
 One call writes one logical object, ``{path}{stem}{suffix}``, as a
 directory of part files (one per task), so writes scale with the data;
-``single_file=True`` coalesces to one part when a consumer needs that.
+``single_file=True`` coalesces to one part when a consumer needs that;
+``one_object`` writes one real object from many tasks.
 """
 
 from __future__ import annotations
@@ -45,10 +46,15 @@ def write_parquet(df: DataFrame, path: str, name: str, mode: str = "overwrite",
     return target
 
 
+def json_lines(df: DataFrame, doc: str | Column = "doc") -> DataFrame:
+    """A JSON document a row, as text."""
+    c = F.col(doc) if isinstance(doc, str) else doc
+    return df.select(F.to_json(c, {"ignoreNullFields": "false"}).alias("value"))
+
+
 def write_json_docs(df: DataFrame, path: str, name: str, doc: str | Column = "doc",
                     mode: str = "overwrite", single_file: bool = False) -> str:
     """K3: one JSON document per row as text lines under ``{stem}.dict``; null fields are written as nulls."""
     target = _target(path, name, ".dict")
-    c = F.col(doc) if isinstance(doc, str) else doc
-    _prep(df.select(F.to_json(c, {"ignoreNullFields": "false"}).alias("value")), single_file).write.mode(mode).text(target)
+    _prep(json_lines(df, doc), single_file).write.mode(mode).text(target)
     return target
