@@ -6,10 +6,11 @@ line feed, the text and ``</s>``. Control strings inside roles and texts get
 a backslash behind their first character, strings that already look so get
 one more, so the text can be restored exactly.
 
-The rendered turns are stored once. An example is a row that refers to them:
-how many turns its text has, how long it is, and which of its code points are
-trainable. So n turns take space in proportion to n however many examples
-share a prefix; ``expand`` writes the texts of the examples out in full.
+``segments`` holds the rendered turns once, and ``examples`` refers to them:
+how many turns an example's text has, how long it is, and which of its code
+points are trainable. ``output`` writes the examples with their whole texts,
+prefix by prefix, behind one shuffle of the turns by conversation; long texts
+take several rows. ``expand`` does so by a join, without an order of rows.
 
 Turns are numbered and summed by ranges of ``span`` turn numbers; what stood
 before a range is carried in by one row a range, so a conversation that holds
@@ -35,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import IntegralType
 
 OPEN, CLOSE = "<s>", "</s>"
@@ -42,6 +44,7 @@ _CONTROL = r"(/?s>|/?INST\]|</?SYS>>|\|\w+\|>)"
 _PLAIN = r"([<\[])(\\*)" + _CONTROL
 _MARKED = r"([<\[])\\(\\*)" + _CONTROL
 SPAN = 4096
+PIECE_CHARS = 1 << 20
 
 
 def escape(text: Column) -> Column:
@@ -121,13 +124,51 @@ def _reference() -> list[Column]:
             (before + F.col("loss_end")).alias("loss_end")]
 
 
-def output(rendered: DataFrame) -> DataFrame:
-    """Rendered turns (``kind`` 0) and, after each target turn, its example (``kind`` 1) without a text of its own."""
-    kinds = F.when(F.col("trainable") | F.col("last"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = rendered.select("conv_id", "seq", F.explode(kinds).alias("kind"), "segment", *_reference())
-    return rows.withColumns({"segment": F.when(F.col("kind") == 0, F.col("segment")),
-                             **{c: F.when(F.col("kind") == 1, F.col(c))
-                                for c in ("context_chars", "text_chars", "loss_start", "loss_end")}})
+def _texts(kind: pa.DataType, piece_chars: int):
+    """Rows (conv_id, seq, segment, is_example, reference), conversations together and in order, to whole examples."""
+    names = ["conv_id", "seq", "piece", "text", "context_chars", "text_chars", "loss_start", "loss_end"]
+    types = [kind, pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 4]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+        key, started, prefix, rows, size = None, False, [], [], 0
+        for batch in batches:
+            for conv, seq, segment, is_example, *reference in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns)]):
+                if not started or key != conv:
+                    key, started, prefix = conv, True, []
+                prefix.append(segment)
+                if not is_example:
+                    continue
+                text = "".join(prefix)
+                prefix = [text]
+                for i, at in enumerate(range(0, len(text), piece_chars)):
+                    rows.append((conv, seq, i, text[at:at + piece_chars], *reference))
+                    size += len(rows[-1][3])
+                    if size >= piece_chars or len(rows) >= 1000:
+                        yield out(rows)
+                        rows, size = [], 0
+        if rows:
+            yield out(rows)
+
+    return run
+
+
+def output(rendered: DataFrame, piece_chars: int = PIECE_CHARS) -> DataFrame:
+    """The examples, each with its whole text: ``conv_id, seq, piece, text, context_chars, text_chars, loss_start, loss_end``.
+
+    A text of more than ``piece_chars`` code points takes several rows,
+    ``piece`` 0, 1, ...; the rows of a conversation follow one another in a
+    partition, in order. The turns are shuffled once, by conversation, and
+    the prefixes are repeated behind that shuffle, so what is written to disk
+    grows with the turns.
+    """
+    key = rendered.schema["conv_id"].dataType
+    ordered = (rendered.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
+               .select("conv_id", "seq", "segment", F.col("trainable") | F.col("last"), *_reference()))
+    return ordered.mapInArrow(_texts(to_arrow_type(key), piece_chars), f"conv_id {key.simpleString()}, seq long, piece long, text string, "
+                              "context_chars long, text_chars long, loss_start long, loss_end long")
 
 
 def expand(rendered: DataFrame) -> DataFrame:
@@ -152,28 +193,39 @@ def read_segment(segment: str) -> tuple[str, str]:
     return unescape_role(role), unescape(text)
 
 
+def read_turns(text: str) -> Iterator[tuple[str, str]]:
+    """Roles and texts of the turns of an example (or of its end); ``OPEN`` and ``CLOSE`` stand nowhere else."""
+    if not (text.startswith(OPEN) and text.endswith(CLOSE)):
+        raise ValueError("not a text of rendered turns")
+    for segment in text[len(OPEN):-len(CLOSE)].split(CLOSE + OPEN):
+        yield read_segment(f"{OPEN}{segment}{CLOSE}")
+
+
 class _Digest:
-    """Reads a conversation's turns and examples in order; lengths are those of the texts read."""
+    """Reads a conversation's examples in order, each from its whole text.
+
+    An example has to begin with the text of the one before it; the turns
+    behind that, and the text under the loss mask, are read from it.
+    """
 
     def __init__(self, key):
         self.key, self.n, self.loss_chars, self.chars = key, 0, 0, 0
-        self.upto, self.segment = 0, ""
+        self.before = ""
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def turn(self, segment: str) -> None:
-        role, text = read_segment(segment)
-        self.n += 1
-        self.upto += len(segment)
-        self.segment = segment
-        self.turns.update(f"{role}\n{text}\n".encode())
-
-    def example(self, seq: int, context: int, size: int, a: int, b: int) -> None:
-        if (seq, context, size) != (self.n, self.upto - len(self.segment), self.upto) or not context <= a <= b <= size:
+    def example(self, seq: int, text: str, context: int, size: int, a: int, b: int) -> None:
+        fits = size == len(text) and 0 <= context <= a <= b <= size and len(self.before) <= context and text.startswith(self.before)
+        if fits:
+            for role, turn in read_turns(text[len(self.before):]):
+                self.n += 1
+                self.turns.update(f"{role}\n{turn}\n".encode())
+        if not fits or seq != self.n:
             raise ValueError(f"example {seq} of conversation {self.key} does not fit its turns")
-        self.chars += self.upto
-        loss = unescape(self.segment[a - context:b - context])
+        self.chars += len(text)
+        loss = unescape(text[a:b])
         self.loss_chars += len(loss)
         self.loss.update(loss.encode())
+        self.before = text
 
     def row(self):
         return self.key, self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
@@ -182,43 +234,50 @@ class _Digest:
 def digests(formatted: DataFrame) -> DataFrame:
     """What ``output`` says, read back: one row for each conversation.
 
-    Roles and texts are read from the turns; trainable texts and
-    ``formatted_chars``, the length of all examples, from the example rows and
-    the turns they refer to. An example that does not fit them is an error.
-    Rows of a conversation follow one another in a partition and are read as
-    a stream: memory does not grow with a conversation. (A digest of a whole
-    conversation is sequential, so one conversation is read by one task.)
+    Roles, texts, trainable texts and ``formatted_chars``, the length of all
+    examples, are read from the whole texts of the examples. One that does
+    not continue the one before it, or whose offsets do not fit, is an error.
+    Rows are read as ``output`` leaves them, as a stream; a task holds two
+    texts of a conversation. (A digest of a whole conversation is sequential,
+    so one conversation is read by one task.)
     """
     key = formatted.schema["conv_id"].dataType
-    ordered = (formatted.repartition("conv_id").sortWithinPartitions("conv_id", "seq", "kind")
-               .select("conv_id", "kind", "segment", "seq", "context_chars", "text_chars", "loss_start", "loss_end"))
+    ordered = formatted.select("conv_id", "seq", "piece", "text", "context_chars", "text_chars", "loss_start", "loss_end")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = None
 
         def out(done):
-            columns = list(zip(*[d.row() for d in done]))
+            columns = list(zip(*done))
             types = [kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-        current, done = None, []
+        current, done, whole = None, [], None
+
+        def close():
+            if whole is not None:
+                seq, pieces, reference = whole
+                current.example(seq, "".join(pieces), *reference)
+
         for batch in batches:
             kind = batch.schema.field("conv_id").type
-            for conv, kind_of, segment, *reference in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns)]):
+            for conv, seq, piece, text, *reference in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns)]):
+                if piece:
+                    whole[1].append(text)
+                    continue
+                close()
                 if current is None or current.key != conv:
                     if current is not None:
-                        done.append(current)
+                        done.append(current.row())
                     current = _Digest(conv)
-                if kind_of:
-                    current.example(*reference)
-                else:
-                    current.turn(segment)
+                whole = seq, [text], reference
             if len(done) >= 1000:
                 yield out(done)
                 done = []
+        close()
         if current is not None:
-            yield out([*done, current])
+            yield out([*done, current.row()])
 
     return ordered.mapInArrow(read, f"conv_id {key.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, "
                                     "loss_sha256 string, formatted_chars long")

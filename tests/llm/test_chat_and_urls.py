@@ -80,6 +80,23 @@ def test_example_that_does_not_fit_is_an_error(spark):
         C.digests(wrong).collect()
 
 
+def test_output_holds_the_whole_texts_of_the_examples(spark):
+    turns = [(c, i, "assistant" if i % 2 else "user", ODD[(c + i) % len(ODD)]) for c in range(12) for i in range(c)] + [(None, 0, "user", "x")]
+    rendered = C.segments(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    full = {(r.conv_id, r.seq): (r.text, r.loss_start, r.loss_end) for r in C.expand(rendered).collect()}
+    digests = {tuple(r) for r in C.digests(C.output(rendered)).collect()}
+    for piece_chars in (7, C.PIECE_CHARS):
+        got, spans = {}, {}
+        for r in sorted(C.output(rendered, piece_chars).collect(), key=lambda r: (r.conv_id is None, r.conv_id, r.seq, r.piece)):
+            assert len(r.text) <= piece_chars
+            got[r.conv_id, r.seq] = got.get((r.conv_id, r.seq), "") + r.text
+            spans[r.conv_id, r.seq] = r.loss_start, r.loss_end
+        assert {k: (t, *spans[k]) for k, t in got.items()} == full
+        assert {tuple(r) for r in C.digests(C.output(rendered, piece_chars)).collect()} == digests
+    changed = C.output(rendered).withColumn("text", F.regexp_replace("text", "^<s>user", "<s>uses"))
+    assert {r.turns_sha256 for r in C.digests(changed).collect()}.isdisjoint(d[2] for d in digests)  # read from the examples
+
+
 def test_escape_is_reversible_and_hides_controls(spark):
     texts = [t for t in ODD if t] + ["<" + "\\" * k + "s>" for k in range(5)] + ["[" + "\\" * k + "/INST]" for k in range(5)]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.escape(F.col("t")).alias("e")).collect()
