@@ -57,3 +57,13 @@ def test_parts_are_ordered_by_number():
     assert sorted(names, key=one_object._number) == ["part-00002-u.txt", "part-99999-u-c000.csv", "part-99999-u-c001.csv", "part-100000-u-c000.csv"]
     with pytest.raises(ValueError, match="not a part"):
         one_object._number("part-00001-u-c000.csv.gz")
+
+
+def test_documents_of_one_partition_are_written_by_many_tasks(spark, tmpdir_path):
+    from tessera.sources.files import read_json_docs
+    from tessera.sources.sinks import write_docs_apart
+    target = write_docs_apart(spark.range(0, 40, 1, 1).selectExpr("concat('{\n\"k\": ', id, '}') AS value"), f"{tmpdir_path}/apart.dict")
+    names = [n for n in os.listdir(target) if n.startswith("part-")]
+    assert len(names) == 40 and len({n.split("-")[1] for n in names}) > 1 and "_SUCCESS" in os.listdir(target)
+    got = read_json_docs(spark, target).selectExpr("variant_get(doc, '$.k', 'int') AS k").collect()
+    assert sorted(r.k for r in got) == list(range(40))
