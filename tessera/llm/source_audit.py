@@ -44,7 +44,7 @@ from tessera.session import cut_lineage
 MIN_DOCS = 10
 TOP = 10
 SCALE = 1_000_000_000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 19  # what a worker holds beside the JVM while it counts follows this
 TILE = 2048  # levels compared at once
 TERM_GAPS = [(0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F)]
 

@@ -115,3 +115,16 @@ def test_query_equals_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
     found = compare(spark, "op11_source_audit", SF_SMALL, registry.queries(), registry.oracle_sql(), con)
     assert found["status"] == "match", found
+
+
+def test_counting_holds_small_blocks():
+    """What a worker holds while it counts does not follow the size of its batches."""
+    import tracemalloc
+    rnd = random.Random(3)
+    texts = [" ".join(f"w{rnd.randrange(5000)}" for _ in range(300)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["l"] * 2000), pa.array(["s"] * 2000), pa.array(texts)], names=["lang", "source", "text"])
+    tracemalloc.start()
+    found = sum(b.num_rows for b in source_audit._count(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found and peak < 20 << 20
