@@ -14,9 +14,9 @@ last row of a partition waits for the first row of the next one: texts are
 shuffled once, compressed one by one.
 
 ``near_copies`` cuts fingerprints into bands, joins equal bands in Spark and
-verifies: each document is held against the smallest id in each of its bands'
-groups, a bounded number of candidates however large a group is, by exact
-Jaccard similarity of the whole texts' sets.
+verifies by exact Jaccard similarity of the whole texts' sets: each document
+is held against the smallest id in each of its bands' groups, and, where that
+is no near copy, against all earlier members of the group.
 
 Defined cases: a null text is empty; texts without words have no shingle,
 equal fingerprints among themselves, likeness 0 to other texts and no near
@@ -47,8 +47,9 @@ from tessera.session import cut_lineage
 
 WORDS = 5
 PERMUTATIONS = 96
-ROWS = 6  # positions of a band: 16 bands miss a pair of similarity 0.75 with chance 0.04, one of 0.85 with 4e-4
+ROWS = 4  # positions of a band: 24 bands miss a pair of similarity 0.75 with chance 1.1e-4, one of 0.85 with 2e-8
 THRESHOLD = 0.75
+MARGIN = 0.25  # 5.7 standard errors of a likeness at the threshold
 BLOCK_BYTES = 1 << 18
 _IS_WORD = word_table(SPACE_WORDS)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -257,29 +258,71 @@ def band_keys(mark: Column, rows: int = ROWS, permutations: int = PERMUTATIONS)
     return F.array(*[F.xxhash64(F.lit(i), F.substring(mark, 1 + 2 * rows * i, 2 * rows)) for i in range(permutations // rows)])
 
 
+def confirmed(texts: DataFrame, pairs: DataFrame, n: int, threshold: float) -> DataFrame:
+    """``(id, low, j)``: the pairs with the exact similarity of their whole texts; ``near`` tells whether it is enough."""
+    members = texts.join(by_size(pairs, n), "id").select("id", "low", "z", "size")
+    heads, m = written(pairs.select("low").distinct())
+    # rows that share an id are represented by one, so that a repeated id multiplies nothing
+    theirs = (texts.join(by_size(heads.withColumnRenamed("low", "id"), m), "id").groupBy(F.col("id").alias("low"))
+              .agg(F.min(F.struct("h", "z", "size")).alias("head")))
+    likeness_of = F.arrow_udf(lambda a, x, b, y: pa.array(jaccard(a, x, b, y), pa.float64()), "double")
+    alike = members.join(theirs, "low").select("id", "low", likeness_of("z", "size", "head.z", "head.size").alias("j"))
+    return alike.select("id", "low", (F.col("j") >= threshold).alias("near"))
+
+
+def _estimate(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Share of equal positions of fingerprints as bytes."""
+    x, y = (np.frombuffer(b"".join(v.to_pylist()), dtype=np.uint16).reshape(len(v), -1) for v in (a, b))
+    return pa.array((x == y).mean(axis=1) if len(a) else np.zeros(0), pa.float64())
+
+
 def near_copies(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 threshold: float = THRESHOLD) -> tuple[DataFrame, int]:
     """``(id, near_copy_of)`` and its number of rows: documents with an earlier near or equal copy.
 
-    ``near_copy_of`` is the smallest id that is the smallest of one of the
-    document's bands' groups, is smaller than the document's own, and has a
-    Jaccard similarity of at least ``threshold``, taken on the whole sets.
+    ``near_copy_of`` is the smallest id, smaller than the document's own, that
+    shares a band with it and has a Jaccard similarity of at least
+    ``threshold``, taken on the whole sets. The smallest id of each of its
+    bands' groups is tried first: where that is a near copy, no other of the
+    group can be a smaller one. Where it is not, all earlier members of the
+    group are candidates, one for each text; those of at least
+    ``threshold - MARGIN`` equal positions are verified.
     """
     bands = (marks.where(F.col("has_words") & F.col("id").isNotNull())
              .select("id", F.explode(band_keys(F.col("mark"))).alias("band")))
     # of most bands one document only; the rest are few beside the documents' bands
     low, n_low = written(bands.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high"))
                          .where("low < high").select("band", "low"))
-    pairs, n = written(bands.join(by_size(low, n_low), "band").where(F.col("low") < F.col("id")).select("id", "low").distinct())
+    grouped, _ = written(bands.join(by_size(low, n_low), "band").select("id", "band", "low").distinct())
+    pairs, n = written(grouped.where(F.col("low") < F.col("id")).select("id", "low").distinct())
     texts = packed(docs, id_col, text_col)
-    members = texts.join(by_size(pairs, n), "id").select("id", "low", "z", "size")
-    heads, m = written(pairs.select("low").distinct())
-    # rows that share an id are represented by one, so that a repeated id multiplies nothing
-    theirs = (texts.join(by_size(heads.withColumnRenamed("low", "id"), m), "id").groupBy(F.col("id").alias("low"))
-              .agg(F.min(F.struct("h", "z", "size")).alias("head")))
-    likeness_of = F.arrow_udf(lambda a, x, b, y: pa.array(jaccard(a, x, b, y), pa.float64()), "double")
-    alike = members.join(theirs, "low").select("id", "low", likeness_of("z", "size", "head.z", "head.size").alias("j"))
-    return written(alike.where(F.col("j") >= threshold).groupBy("id").agg(F.min("low").alias("near_copy_of")))
+    tried = cut_lineage(confirmed(texts, pairs, n, threshold).groupBy("id", "low").agg(F.max("near").alias("near")))
+    found = tried.where("near").select("id", "low")
+
+    # copies of a text need not be compared with each other, nor each with the rest: the first one stands for them
+    body = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    hashes = (docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(body).alias("h"), body.rlike(r"[^\x20\x09-\x0D]").alias("said"))
+              .where("id IS NOT NULL AND said").drop("said")
+              .join(pairs.select("id").distinct(), "id", "left_semi"))
+    first = hashes.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("final")).where("first < final")
+    copies = cut_lineage(hashes.join(first, "h").where(F.col("first") < F.col("id")).select("id", "first").distinct())
+    only = copies.join(hashes.groupBy("id").agg(F.count_distinct("h").alias("k")).where("k = 1"), "id", "left_semi").select("id")
+    members = grouped.join(only, "id", "left_anti")
+    unsettled = (members.where(F.col("low") < F.col("id")).join(tried.where("NOT near").select("id", "low"), ["id", "low"], "left_semi")
+                 .select("id", "band", F.col("low").alias("least")))
+    more = (unsettled.join(members.select(F.col("id").alias("low"), "band"), "band")
+            .where((F.col("low") < F.col("id")) & (F.col("low") > F.col("least"))).select("id", "low").distinct()
+            .join(tried.select("id", "low"), ["id", "low"], "left_anti"))
+    estimate = F.arrow_udf(_estimate, "double")
+    own = marks.where("has_words").select("id", "mark")
+    likely = (more.join(own, "id").join(own.select(F.col("id").alias("low"), F.col("mark").alias("other")), "low")
+              .where(estimate("mark", "other") >= threshold - MARGIN).select("id", "low").distinct())
+    further, n_further = written(likely)
+    rest = confirmed(texts, further, n_further, threshold).where("near").select("id", "low")
+    known = cut_lineage(found.unionByName(rest).groupBy("id").agg(F.min("low").alias("low")))
+    through = copies.join(known.select(F.col("id").alias("first"), "low"), "first").select("id", "low")
+    every = known.unionByName(through).unionByName(copies.select("id", F.col("first").alias("low")))
+    return written(every.groupBy("id").agg(F.min("low").alias("near_copy_of")))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

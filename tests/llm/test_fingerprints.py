@@ -120,3 +120,24 @@ def test_estimates_are_unbiased():
             mark, has = fingerprints.signatures(*fingerprints._joined([a.encode(), b.encode()]))
             errors.append(fingerprints.likeness(mark[:1], mark[1:], has[:1], has[1:])[0] - jaccard(a, b))
         assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.07
+
+
+def test_a_near_copy_behind_an_unlike_smallest_member_is_found(spark):
+    """Groups whose smallest member is like none of the rest: all earlier members are candidates."""
+    rnd = random.Random(77)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    texts = {}
+    for family in range(12):
+        base = [word() for _ in range(200)]
+        far = base[:110] + [word() for _ in range(90)]  # shares about 0.36 of its shingles with the rest
+        texts[family * 10] = " ".join(far)
+        for k in range(1, 4):
+            near = list(base)
+            near[rnd.randrange(200)] = word()
+            texts[family * 10 + k] = " ".join(near)
+        texts[family * 10 + 5] = texts[family * 10 + 2]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.near_copy_of for r in fingerprints.report(df).collect()}
+    for key, text in texts.items():
+        like = [k for k in texts if k < key and jaccard(text, texts[k]) >= 0.75]
+        assert got[key] == min(like, default=None), key
