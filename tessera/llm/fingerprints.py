@@ -16,7 +16,9 @@ shuffled once, compressed one by one.
 ``near_copies`` cuts fingerprints into bands, joins equal bands in Spark and
 verifies by exact Jaccard similarity of the whole texts' sets: each document
 is held against the smallest id in each of its bands' groups, and, where that
-is no near copy, against all earlier members of the group.
+is no near copy, against all earlier members of the groups with that smallest
+id. These comparisons take place in blocks of bounded size, which give no
+row a pair but the smallest near copy of each visitor.
 
 Defined cases: a null text is empty; texts without words have no shingle,
 equal fingerprints among themselves, likeness 0 to other texts and no near
@@ -41,8 +43,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.llm.blocks import SPACE_WORDS, Words, by_size, mix, small_batches, word_table
+from tessera.llm.blocks import SPACE_WORDS, Words, by_size, mix, small_batches, text_blocks, word_table
 from tessera.llm.components import written
+from tessera.llm.near_dup import _groups
 from tessera.session import cut_lineage
 
 WORDS = 5
@@ -51,6 +54,9 @@ ROWS = 4  # positions of a band: 24 bands miss a pair of similarity 0.75 with ch
 THRESHOLD = 0.75
 MARGIN = 0.25  # 5.7 standard errors of a likeness at the threshold
 BLOCK_BYTES = 1 << 18
+BLOCK_ROWS = 512  # standing and visiting documents of a block of comparisons
+WHOLE = 2048  # shingles; of larger sets those of the smallest hashes stand in the blocks, at least half as many
+FINE_MARGIN = 0.08  # 5.9 standard errors of a likeness of such parts at the threshold
 _IS_WORD = word_table(SPACE_WORDS)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -270,10 +276,89 @@ def confirmed(texts: DataFrame, pairs: DataFrame, n: int, threshold: float) -> D
     return alike.select("id", "low", (F.col("j") >= threshold).alias("near"))
 
 
-def _estimate(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Share of equal positions of fingerprints as bytes."""
-    x, y = (np.frombuffer(b"".join(v.to_pylist()), dtype=np.uint16).reshape(len(v), -1) for v in (a, b))
-    return pa.array((x == y).mean(axis=1) if len(a) else np.zeros(0), pa.float64())
+def _part(found: np.ndarray) -> tuple[int, np.ndarray]:
+    """The sorted hashes of a set below ``2 ** (64 - bits)``, with the smallest ``bits`` that leaves at most ``WHOLE``."""
+    bits = 0
+    while len(found) > WHOLE:
+        bits += 1
+        found = found[:np.searchsorted(found, np.uint64(1 << (64 - bits)))]
+    return bits, found
+
+
+def _sets(kind: pa.DataType):
+    """Rows (id, h, text) to (id, h, bits, part, mark): what stands for a text in a block of comparisons."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in text_blocks(batch.column("text"), BLOCK_BYTES):
+                found, at = shingles(data, offsets)
+                bits, parts = zip(*[_part(np.unique(found[i:j])) for i, j in zip(at[:-1], at[1:])])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id")[a:b].cast(kind), batch.column("h")[a:b], pa.array(bits, pa.int32()),
+                     pa.array([x.tobytes() for x in parts], pa.binary()),
+                     pa.array([m.tobytes() for m in signatures(data, offsets)[0]], pa.binary())], names=["id", "h", "bits", "part", "mark"])
+
+    return run
+
+
+def _similarity(x: np.ndarray, y: np.ndarray, bits: int) -> float:
+    """Jaccard similarity of sorted sets below ``2 ** (64 - bits)``."""
+    if bits:
+        x, y = (s[:np.searchsorted(s, np.uint64(1 << (64 - bits)))] for s in (x, y))
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x):
+        return 0.0
+    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return common / (len(x) + len(y) - common)
+
+
+def _first_near(kind: pa.DataType, threshold: float):
+    """Rows (g, id, side, bits, part, mark), groups whole and by id, to (id, low, sure): the smallest earlier near copy of
+    each visitor. Of sets that stand in part those before it that may be near are given too, to be verified."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ("g", "id", "side", "bits", "part", "mark")):
+            ids, bits = group["id"], group["bits"]
+            stand, visit = np.flatnonzero(group["side"] == 1), np.flatnonzero(group["side"] == 2)
+            marks = np.frombuffer(b"".join(group["mark"]), dtype=np.uint16).reshape(len(ids), -1)
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in group["part"]]
+            out = []
+            for j in visit:
+                earlier = stand[:np.searchsorted(stand, j)]
+                earlier = earlier[ids[earlier] < ids[j]]
+                likely = earlier[(marks[earlier] == marks[j]).mean(axis=1) >= threshold - MARGIN] if len(earlier) else earlier
+                for i in likely.tolist():
+                    cut = max(bits[i], bits[j])
+                    share = _similarity(sets[i], sets[j], int(cut))
+                    if share >= threshold - (FINE_MARGIN if cut else 0):
+                        out.append((ids[j], ids[i], not cut))
+                    # what is so much likelier than the threshold is near by all odds: nothing larger is smaller
+                    if share >= threshold + (FINE_MARGIN if cut else 0):
+                        break
+            if out:
+                a, b, sure = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind), pa.array(sure, pa.bool_())], names=["id", "low", "sure"])
+
+    return run
+
+
+def earlier_near(visits: DataFrame, stands: DataFrame, docs: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """``(id, low, sure)``: for each visitor (id, low) the smallest earlier near copy among those that stand for the same
+    ``low``; pairs that are not sure are to be verified. docs are (id, h, text)."""
+    ids, n = written(visits.select("id").unionByName(stands.select("id")).distinct())
+    kind, name = to_arrow_type(docs.schema["id"].dataType), docs.schema["id"].dataType.simpleString()
+    sets = cut_lineage(docs.join(by_size(ids, n), "id", "left_semi").mapInArrow(
+        _sets(kind), f"id {name}, h long, bits int, part binary, mark binary").dropDuplicates(["id", "h"]))
+    # rows that share an id are represented by one, so that a repeated id multiplies nothing
+    heads = sets.join(sets.groupBy("id").agg(F.min("h").alias("h")), ["id", "h"], "left_semi")
+    blocks = lambda rows, c: rows.groupBy("low").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias(c))
+    sizes = blocks(stands, "stood").join(blocks(visits, "visited"), "low")
+    zero, own = F.lit(0).cast("long"), lambda c: F.pmod(F.xxhash64("id"), F.col(c))
+    every = lambda c: F.explode(F.sequence(zero, F.col(c) - 1))
+    here = stands.join(sizes, "low").select("id", "low", own("stood").alias("i"), every("visited").alias("j"), F.lit(1).alias("side"))
+    come = visits.join(sizes, "low").select("id", "low", every("stood").alias("i"), own("visited").alias("j"), F.lit(2).alias("side"))
+    rows = here.join(heads, "id").unionByName(come.join(sets, "id")).withColumn("g", F.xxhash64("low", "i", "j"))
+    return written(rows.repartition("g").sortWithinPartitions("g", "id", "side").select("g", "id", "side", "bits", "part", "mark")
+                   .mapInArrow(_first_near(kind, threshold), f"id {name}, low {name}, sure boolean"))
 
 
 def near_copies(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -285,40 +370,37 @@ def near_copies(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_
     ``threshold``, taken on the whole sets. The smallest id of each of its
     bands' groups is tried first: where that is a near copy, no other of the
     group can be a smaller one. Where it is not, all earlier members of the
-    group are candidates, one for each text; those of at least
-    ``threshold - MARGIN`` equal positions are verified.
+    groups with this smallest id are candidates, one for each text; those of
+    at least ``threshold - MARGIN`` equal positions are verified.
     """
     bands = (marks.where(F.col("has_words") & F.col("id").isNotNull())
              .select("id", F.explode(band_keys(F.col("mark"))).alias("band")))
     # of most bands one document only; the rest are few beside the documents' bands
     low, n_low = written(bands.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high"))
                          .where("low < high").select("band", "low"))
-    grouped, _ = written(bands.join(by_size(low, n_low), "band").select("id", "band", "low").distinct())
-    pairs, n = written(grouped.where(F.col("low") < F.col("id")).select("id", "low").distinct())
+    pairs, n = written(bands.join(by_size(low, n_low), "band").where(F.col("low") < F.col("id")).select("id", "low").distinct())
     texts = packed(docs, id_col, text_col)
     tried = cut_lineage(confirmed(texts, pairs, n, threshold).groupBy("id", "low").agg(F.max("near").alias("near")))
     found = tried.where("near").select("id", "low")
 
     # copies of a text need not be compared with each other, nor each with the rest: the first one stands for them
     body = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    hashes = (docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(body).alias("h"), body.rlike(r"[^\x20\x09-\x0D]").alias("said"))
-              .where("id IS NOT NULL AND said").drop("said")
-              .join(pairs.select("id").distinct(), "id", "left_semi"))
+    plain = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(body).alias("h"), body.alias("text"))
+    said = plain.where(F.col("id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    hashes = said.select("id", "h").join(pairs.select("id").distinct(), "id", "left_semi")
     first = hashes.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("final")).where("first < final")
     copies = cut_lineage(hashes.join(first, "h").where(F.col("first") < F.col("id")).select("id", "first").distinct())
     only = copies.join(hashes.groupBy("id").agg(F.count_distinct("h").alias("k")).where("k = 1"), "id", "left_semi").select("id")
-    members = grouped.join(only, "id", "left_anti")
-    unsettled = (members.where(F.col("low") < F.col("id")).join(tried.where("NOT near").select("id", "low"), ["id", "low"], "left_semi")
-                 .select("id", "band", F.col("low").alias("least")))
-    more = (unsettled.join(members.select(F.col("id").alias("low"), "band"), "band")
-            .where((F.col("low") < F.col("id")) & (F.col("low") > F.col("least"))).select("id", "low").distinct()
-            .join(tried.select("id", "low"), ["id", "low"], "left_anti"))
-    estimate = F.arrow_udf(_estimate, "double")
-    own = marks.where("has_words").select("id", "mark")
-    likely = (more.join(own, "id").join(own.select(F.col("id").alias("low"), F.col("mark").alias("other")), "low")
-              .where(estimate("mark", "other") >= threshold - MARGIN).select("id", "low").distinct())
-    further, n_further = written(likely)
-    rest = confirmed(texts, further, n_further, threshold).where("near").select("id", "low")
+    members = cut_lineage(pairs.join(only, "id", "left_anti"))
+    # a near copy that is no larger than the smallest id of a group settles the document there
+    best = found.groupBy("id").agg(F.min("low").alias("best"))
+    visits = cut_lineage(members.join(tried.where("NOT near").select("id", "low"), ["id", "low"], "left_semi").join(best, "id", "left")
+                         .where(F.col("best").isNull() | (F.col("low") < F.col("best"))).select("id", "low"))
+    stands = members.join(visits.select("low").distinct(), "low", "left_semi")
+    further, _ = earlier_near(visits, stands, said, threshold)
+    unsure, n_unsure = written(further.where("NOT sure").select("id", "low").distinct())
+    rest = further.where("sure").select("id", "low").unionByName(
+        confirmed(texts, unsure, n_unsure, threshold).where("near").select("id", "low"))
     known = cut_lineage(found.unionByName(rest).groupBy("id").agg(F.min("low").alias("low")))
     through = copies.join(known.select(F.col("id").alias("first"), "low"), "first").select("id", "low")
     every = known.unionByName(through).unionByName(copies.select("id", F.col("first").alias("low")))

@@ -141,3 +141,39 @@ def test_a_near_copy_behind_an_unlike_smallest_member_is_found(spark):
     for key, text in texts.items():
         like = [k for k in texts if k < key and jaccard(text, texts[k]) >= 0.75]
         assert got[key] == min(like, default=None), key
+
+
+def family(rnd, words, changes, start):
+    """Texts of one base with as many words changed as told, the first one with more than all others."""
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    base, texts = [word() for _ in range(words)], {}
+    for i, n in enumerate(changes):
+        own = list(base)
+        for at in rnd.sample(range(words), n):
+            own[at] = word()
+        texts[start + i] = " ".join(own)
+    return texts
+
+
+def test_a_family_gives_no_row_a_pair(spark, monkeypatch):
+    """A large family on both sides of the threshold: every smallest near copy is found, by far fewer rows than pairs."""
+    rnd = random.Random(12)
+    texts = family(rnd, 150, [7, *[rnd.choice([1, 2, 3, 4, 5]) for _ in range(200)]], 1000)
+    texts |= family(rnd, 4000, [150, *[rnd.choice([20, 40, 60, 90, 130]) for _ in range(20)]], 5000)  # sets that stand in part
+    texts |= {2000: texts[1003], 5100: texts[5004]}
+    monkeypatch.setattr(fingerprints, "BLOCK_ROWS", 64, raising=False)
+    written, rows = fingerprints.written, []
+
+    def counted(df, *args):
+        out, n = written(df, *args)
+        rows.append(n)
+        return out, n
+
+    monkeypatch.setattr(fingerprints, "written", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.near_copy_of for r in fingerprints.report(df).collect()}
+    sets = {key: shingle_set(t) for key, t in texts.items()}
+    for key, mine in sets.items():
+        like = [k for k, s in sets.items() if k < key and len(mine & s) / len(mine | s) >= 0.75]
+        assert got[key] == min(like, default=None), key
+    assert sum(n is None for n in got.values()) > 20 and max(rows) < 24 * len(texts)
