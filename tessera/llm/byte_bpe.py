@@ -49,6 +49,7 @@ WHITE_SPACE = [(0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680,
                (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
 CACHE_PIECES = 150_000  # of each of two generations
 CHARS = 1 << 19
+SHORT_PIECE = 48  # bytes
 
 
 def class_table() -> np.ndarray:
@@ -173,6 +174,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     if known is not None:
         return [known]
     n = len(piece)
+    if n <= SHORT_PIECE:
+        return _merge_short(piece, ranks)
     # a heap of pairs over a linked list: n log n however long the piece
     end = list(range(1, n + 1))
     left = list(range(-1, n - 1))
@@ -205,6 +208,24 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i:end[i]]] for i in range(n) if alive[i]]
 
 
+def _merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """As ``merge``, by looking over all pairs each time: quicker for the few bytes of most pieces."""
+    get, none = ranks.get, 1 << 62
+    cuts = list(range(len(piece) + 1))
+    pairs = [get(piece[i:i + 2], none) for i in range(len(piece) - 1)]
+    while pairs:
+        low = min(pairs)
+        if low == none:
+            break
+        i = pairs.index(low)
+        del cuts[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = get(piece[cuts[i]:cuts[i + 2]], none)
+        if i:
+            pairs[i - 1] = get(piece[cuts[i - 1]:cuts[i + 1]], none)
+    return [ranks[piece[a:b]] for a, b in zip(cuts, cuts[1:])]
+
+
 class Encoder:
     """Encodes texts by ranks; pieces met before come from the cache."""
 
@@ -303,14 +324,35 @@ class Packed(dict):
         return out
 
 
+def _spelled(table: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """The entries of ids ``bounds[k]`` to ``bounds[k + 1]`` of a table, joined, for every k."""
+    if not len(ids):
+        return [b""] * (len(bounds) - 1)
+    _, offsets, data = table.take(pa.array(ids)).buffers()
+    at = np.frombuffer(offsets, dtype=np.int64)[bounds].tolist()
+    whole = memoryview(data) if data is not None else memoryview(b"")
+    return [bytes(whole[a:b]) for a, b in zip(at, at[1:])]
+
+
+def _tables(encoder: Encoder) -> tuple[pa.Array, pa.Array]:
+    """By id: its token, and its decimal digits with a comma."""
+    size = max(encoder.tokens, default=-1) + 1
+    return (pa.array([encoder.tokens.get(i, b"") for i in range(size)], pa.large_binary()),
+            pa.array([b"%d," % i for i in range(size)], pa.large_binary()))
+
+
 def _parts(encoder: Encoder, texts: list[str]) -> Iterator[tuple[bytes, bytes, bytes]]:
     """The ids of each text as 32-bit numbers and as text, and the bytes they decode to."""
-    known = encoder.__dict__.setdefault("known", Packed(encoder))
-    shown = encoder.__dict__.setdefault("shown", {i: str(i).encode() for i in encoder.tokens})
-    for own in encoder.pieces(texts):
-        packed = b"".join([known[p] for p in own])
-        ids = np.frombuffer(packed, dtype="<i4").tolist()
-        yield packed, b",".join([shown[i] for i in ids]), encoder.decode(ids)
+    if "tables" not in encoder.__dict__:
+        encoder.known, encoder.tables = Packed(encoder), _tables(encoder)
+    known = encoder.known
+    packed = [b"".join([known[p] for p in own]) for own in encoder.pieces(texts)]
+    ids = np.frombuffer(b"".join(packed), dtype="<i4")
+    bounds = np.zeros(len(packed) + 1, dtype=np.int64)
+    np.cumsum([len(p) // 4 for p in packed], out=bounds[1:])
+    tokens, digits = encoder.tables
+    for p, shown, decoded in zip(packed, _spelled(digits, ids, bounds), _spelled(tokens, ids, bounds)):
+        yield p, shown[:-1], decoded
 
 
 def _bounded(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[list[str]]:

@@ -34,6 +34,25 @@ def test_encode_as_the_library(reference):
         assert encoder.decode(ids) == text.encode()
 
 
+def test_short_and_long_pieces_merge_alike_and_tables_are_built_once(reference, monkeypatch):
+    ranks, rnd = byte_bpe.load_ranks(RANKS), random.Random(2)
+    for n in [*range(1, 120), 500]:
+        piece = "".join(rnd.choice("abchinst é中") for _ in range(n)).encode()[:n]
+        ids = byte_bpe.merge(piece, ranks)
+        monkeypatch.setattr(byte_bpe, "SHORT_PIECE", 0, raising=False)
+        assert ids == byte_bpe.merge(piece, ranks) and b"".join(reference.decode_single_token_bytes(i) for i in ids) == piece
+        monkeypatch.undo()
+    built, make = [], byte_bpe.Packed.__init__
+    monkeypatch.setattr(byte_bpe.Packed, "__init__", lambda self, encoder: (built.append(1), make(self, encoder))[1])
+    encoder, texts = byte_bpe.Encoder(ranks, byte_bpe.class_table()), ["", *odd_texts(40), "", "0" * 2000, ""]
+    for part in (texts[:1], texts[:20], texts[20:]):
+        for text, (packed, shown, decoded) in zip(part, byte_bpe._parts(encoder, part), strict=True):
+            ids = reference.encode_ordinary(text)
+            assert packed == b"".join(i.to_bytes(4, "little") for i in ids)
+            assert shown == ",".join(map(str, ids)).encode() and decoded == text.encode()
+    assert len(built) == 1
+
+
 def test_scan_equals_one_state_at_a_time():
     import numpy as np
     rng = np.random.default_rng(1)
