@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage
@@ -26,6 +29,26 @@ def written(df: DataFrame, rows: int = ROWS_PER_TASK) -> tuple[DataFrame, int]:
     return out.coalesce(tasks_for(n, rows)), n
 
 
+@contextmanager
+def shuffled_joins(spark: SparkSession) -> Iterator[None]:
+    """What is executed inside keeps joins shuffled that are planned so.
+
+    A job of many steps would else turn most of its joins into broadcasts at
+    run time: each table is gathered and hashed on the driver, which holds it
+    until its garbage is collected, though the rows were shuffled already.
+    """
+    key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "-1")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """``(id, component)`` for every id in ``links``; component is the smallest id reachable.
 

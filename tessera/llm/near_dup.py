@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.blocks import SPACE_WORDS, Words, by_size, mix, small_batches, text_blocks, word_table
-from tessera.llm.components import components, tasks_for, written
+from tessera.llm.components import components, shuffled_joins, tasks_for, written
 from tessera.session import cut_lineage
 
 SHINGLE = 5
@@ -446,9 +446,8 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["k", "mark"])
 
 
-def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", percent: int = 75) -> DataFrame:
-    """``id, n_shingles, component_id, kept, text_hash`` for every row of ``docs``."""
-    slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+def _linked(slim: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows, the classes among them, and ``id, component`` of the classes that are linked."""
     rows = cut_lineage(sketches(slim))
     classes = (rows.where("id is not null and n > 0").groupBy("digest").agg(F.min("id").alias("id"), F.first("sig").alias("sig"))
                .withColumn("k", F.monotonically_increasing_id()))
@@ -456,12 +455,13 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     nodes, _ = written(grow(classes))
     marks = classes.select("k", "sig").mapInArrow(_mark, "k long, mark binary")
     keys = classes.select("k", "id", "digest")
-    sets = links = None
-    for step in (lambda: star_pairs(nodes, marks), lambda: attach(nodes, components(links), marks),
-                 lambda: cross_pairs(nodes, components(links), marks, sets, percent)):
+    sets = found = None
+    for step in (lambda: star_pairs(nodes, marks), lambda: attach(nodes, found, marks),
+                 lambda: cross_pairs(nodes, found, marks, sets, percent)):
         pairs, _ = written(step())
+        sure = None
         if "sure" in pairs.columns:
-            links = links.unionByName(pairs.where("sure").select("a", "b"))
+            sure = pairs.where("sure").select("a", "b")
             pairs = pairs.where("NOT sure").select("a", "b")
         ends = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
         missing = keys.join(ends, "k", "left_semi")
@@ -469,9 +469,21 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
             missing = missing.join(sets.select("k"), "k", "left_anti")
         more, _ = written(full_sets(slim, by_size(*written(missing))), 5_000)
         sets = more if sets is None else sets.unionByName(more)
-        confirmed, _ = written(confirm(pairs, sets, percent))
-        links = confirmed if links is None else links.unionByName(confirmed)
-    found = components(links).select(F.col("id").alias("k"), F.col("component").alias("comp"))
+        confirmed = confirm(pairs, sets, percent)
+        links, n = written(confirmed if sure is None else confirmed.unionByName(sure))
+        if found is None:
+            found = components(links)
+        elif n:  # the components so far, as links to their smallest member, stand for all links found before
+            found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links))
+    return rows, classes, found
+
+
+def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", percent: int = 75) -> DataFrame:
+    """``id, n_shingles, component_id, kept, text_hash`` for every row of ``docs``."""
+    slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    with shuffled_joins(docs.sparkSession):
+        rows, classes, found = _linked(slim, percent)
+    found = found.select(F.col("id").alias("k"), F.col("component").alias("comp"))
     lowest = classes.join(found, "k").groupBy("comp").agg(F.min("id").alias("low"))
     of_class = (classes.select("k", "digest", "id").join(found.join(lowest, "comp").select("k", "low"), "k", "left")
                 .select("digest", F.coalesce("low", "id").alias("low")))
@@ -488,5 +500,6 @@ def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     """
     gone = (near_duplicates(docs, text_col, id_col, percent).where("not kept")
             .select(F.col(id_col).alias("_gone_id"), F.col("text_hash").alias("_gone_text")).distinct())
-    gone = by_size(*written(gone))
+    with shuffled_joins(docs.sparkSession):
+        gone = by_size(*written(gone))
     return docs.join(gone, (docs[id_col] == gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_text"]), "left_anti")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import embedding_dup, near_dup
-from tessera.llm.components import components
+from tessera.llm.components import components, shuffled_joins
 
 
 def closure(ids, links):
@@ -179,3 +179,41 @@ def test_sets_are_confirmed_inside_groups():
         y = set(rnd.sample(range(40), rnd.randint(0, 20))) if rnd.random() < .5 else x | set(rnd.sample(range(40), rnd.randint(0, 6)))
         want = len(x & y) > 0 and 100 * len(x & y) >= 75 * len(x | y)
         assert near_dup.alike(np.array(sorted(x), np.uint64), np.array(sorted(y), np.uint64), 75) == want
+
+
+def executed(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_steps_of_near_dup_hash_no_table_on_the_driver(spark, monkeypatch):
+    """Joins of the steps stay shuffled at run time, and the session's setting is as before afterwards."""
+    key, plain = "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.autoBroadcastJoinThreshold"
+    before, seen, calls = spark.conf.get(plain), [], []
+    for n in ("written", "components"):
+        real = getattr(near_dup, n)
+        monkeypatch.setattr(near_dup, n, lambda *a, real=real, n=n: (seen.append(spark.conf.get(key, None)), calls.append(n), real(*a))[2])
+    docs = spark.createDataFrame(list(enumerate(["a b c d e f", "a b c d e f", "x y z", "a b c d e f g h i j k"])), "doc_id long, text string")
+    spark.conf.set(key, "5m")
+    try:
+        assert sorted(r.doc_id for r in near_dup.keep_one(docs).collect()) == [0, 2, 3]
+        assert seen and set(seen) == {"-1"} and spark.conf.get(key) == "5m"
+        # nothing new was linked in the later steps: the components are those of the first
+        assert calls.count("components") == 1
+    finally:
+        spark.conf.unset(key)
+    spark.conf.set(plain, "-1")  # as for tables of unknown size: a sort-merge join is planned
+    try:
+        join = lambda: spark.range(50).join(spark.range(20), "id")
+        spark.conf.set(key, "5m")
+        assert "BroadcastHashJoin" in executed(join())
+        with shuffled_joins(spark):
+            assert "BroadcastHashJoin" not in executed(join())
+        assert spark.conf.get(key) == "5m"
+        spark.conf.unset(key)
+        with pytest.raises(ValueError), shuffled_joins(spark):
+            raise ValueError
+        assert spark.conf.get(key, None) is None
+    finally:
+        spark.conf.unset(key)
+        spark.conf.set(plain, before)
